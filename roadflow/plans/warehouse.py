@@ -200,6 +200,12 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
+    def has(self, name: str) -> bool:
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self.path(name))
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.exists(p))
+
     @property
     def fact(self) -> DataFrame:
         return self.table(FACT)
@@ -256,6 +262,8 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, count_points: DataFrame
 
 def loaded_years(wh: Warehouse) -> DataFrame:
     """Distinct years present in the fact (reads only the partition column)."""
+    if not wh.has(FACT):
+        return wh.spark.createDataFrame([], "Year int")
     years = wh.fact.select("DateKey").distinct()
     dates = wh.dim("DimDate")
     return years.join(dates.select("DateKey", "Year"), "DateKey").select("Year")
@@ -279,10 +287,11 @@ def incremental_load(wh: Warehouse, raw: DataFrame, target_years=None) -> DataFr
     todo = years_to_load(wh, raw, target_years).checkpoint(eager=True)
     if todo.limit(1).count() == 0:
         return todo
-    subset = raw.join(bounded_broadcast(todo, 100_000), raw.year == F.col("Year"), "left_semi")
+    years = bounded_broadcast(todo.select(F.col("Year").alias("_load_year")), 100_000)
+    subset = raw.join(years, raw.year == F.col("_load_year"), "left_semi")
     keyed = attach_keys(clean_aadf(subset), wh.lookups())
     write_fact(fact_rows(keyed), wh.path(FACT), mode="append")
-    wh.manifest[FACT] = wh.table(FACT).count()
+    wh.manifest[FACT] = wh.table(FACT).count() if wh.has(FACT) else 0
     return todo
 
 

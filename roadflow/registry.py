@@ -1,15 +1,25 @@
 """Name -> query registry: every registered query is a function of
 ``(spark, sf_dir)`` returning a DataFrame over data Spark derives from the
-tables in ``sf_dir``."""
+tables in ``sf_dir`` (landed raw extracts, or the warehouse built from
+them)."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .operators import clean as cleaning
+from .plans import analyses as an
+from .plans import quality as dq
 from .plans import reports
+from .plans import serving as sv
+from .plans import warehouse as whm
 from .plans.warehouse import warehouse_for
+from .session import new_output_dir
+from .sources import pages as pg
+from .sources.landing import landing_for
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +42,12 @@ WAREHOUSE_REPORTS = [
 ]
 
 
+def decimals_as_double(df: DataFrame) -> DataFrame:
+    """Output projection: decimal columns exposed as double."""
+    return df.select(*[F.col(c).cast("double").alias(c) if t.startswith("decimal") else F.col(c)
+                       for c, t in df.dtypes])
+
+
 def _on_warehouse(name: str) -> Query:
     fn = getattr(reports, name)
 
@@ -42,16 +58,226 @@ def _on_warehouse(name: str) -> Query:
     return run
 
 
+def _raw(spark, sf):
+    return landing_for(spark, sf).table("raw_aadf")
+
+
+def _points(spark, sf):
+    return landing_for(spark, sf).table("count_points")
+
+
+def _counts(spark, sf):
+    return landing_for(spark, sf).table("raw_counts")
+
+
+# --------------------------------------------------------------------------
+# ETL stage queries
+# --------------------------------------------------------------------------
+
+def etl_fact_load(spark, sf):
+    wh = warehouse_for(spark, sf)
+    return decimals_as_double(wh.fact.select(*whm.FACT_COLUMNS))
+
+
+def etl_fact_load_stats(spark, sf):
+    wh = warehouse_for(spark, sf)
+    return whm.load_stats(whm.attach_keys(cleaning.clean_aadf(_raw(spark, sf)), wh.lookups()))
+
+
+def etl_incremental_load(spark, sf, first_years=(2017, 2018, 2019)):
+    """Load a few years into a fresh warehouse, then every missing year,
+    then once more (a no-op); returns the resulting fact."""
+    land = landing_for(spark, sf)
+    raw, points = land.table("raw_aadf"), land.table("count_points")
+    wh = whm.build_dimensions(spark, points, new_output_dir(spark, "warehouse-incr"))
+    whm.incremental_load(wh, raw, set(first_years))
+    whm.incremental_load(wh, raw)
+    whm.incremental_load(wh, raw)
+    return decimals_as_double(wh.fact.select(*whm.FACT_COLUMNS))
+
+
+def etl_pages_flatten(spark, sf):
+    return pg.flatten_pages(pg.read_pages(spark, landing_for(spark, sf).pages_path()))
+
+
+def etl_pages_completeness(spark, sf):
+    return pg.pages_completeness(pg.read_pages(spark, landing_for(spark, sf).pages_path()))
+
+
+def stream_pages_ingest(spark, sf):
+    from .streaming.page_ingest import ingest_pages
+
+    src = landing_for(spark, sf).pages_path()
+    out = new_output_dir(spark, "pages-stream")
+    return ingest_pages(spark, src, f"{out}/table", f"{out}/_checkpoint").drop("current_page")
+
+
+ETL = {
+    "etl_clean_aadf": lambda s, sf: decimals_as_double(cleaning.clean_aadf(_raw(s, sf))),
+    "etl_clean_summary": lambda s, sf: cleaning.clean_summary(_raw(s, sf)),
+    "etl_validate_aadf": lambda s, sf: cleaning.validate_aadf(_raw(s, sf)),
+    "etl_dim_date": lambda s, sf: warehouse_for(s, sf).table("DimDate"),
+    "etl_dim_region": lambda s, sf: warehouse_for(s, sf).table("DimRegion"),
+    "etl_dim_local_authority": lambda s, sf: warehouse_for(s, sf).table("DimLocalAuthority"),
+    "etl_dim_count_point": lambda s, sf: decimals_as_double(warehouse_for(s, sf).table("DimCountPoint")),
+    "etl_fact_load": etl_fact_load,
+    "etl_fact_load_stats": etl_fact_load_stats,
+    "etl_loaded_years": lambda s, sf: whm.loaded_years(warehouse_for(s, sf)),
+    "etl_years_to_load": lambda s, sf: whm.years_to_load(warehouse_for(s, sf), _raw(s, sf)),
+    "etl_incremental_load": etl_incremental_load,
+    "etl_pages_flatten": etl_pages_flatten,
+    "etl_pages_completeness": etl_pages_completeness,
+    "stream_pages_ingest": stream_pages_ingest,
+}
+
+# --------------------------------------------------------------------------
+# Batch analyses, serving datasets, dashboard views
+# --------------------------------------------------------------------------
+
+
+def _merge_partials(s, sf):
+    c = _counts(s, sf)
+    return an.merge_partial_aggregates(
+        [an.partial_hourly(c, last_year=2019), an.partial_hourly(c, first_year=2020)], ["hour"])
+
+
+def _chart_feeds(s, sf):
+    wh = warehouse_for(s, sf)
+    names = ["yoy_growth_trend", "covid_impact", "regional_traffic_summary", "hgv_passenger_mix",
+             "cycling_share_export", "road_category_distribution", "lgv_growth_trend"]
+    return sv.chart_feeds({n: getattr(reports, n)(wh) for n in names})
+
+
+def _roads_geojson(s, sf):
+    wh = warehouse_for(s, sf)
+    raw = an.as_numbers(_raw(s, sf), ["all_motor_vehicles"])
+    traffic = raw.groupBy(F.col("count_point_id").alias("CountPointID")).agg(
+        an.psum("all_motor_vehicles").alias("all_motor_vehicles"))
+    return sv.point_features(wh.table("DimCountPoint"), traffic)
+
+
+ANALYSES = {
+    "estimation_method_by_year": lambda s, sf: an.estimation_method_by_year(_raw(s, sf)),
+    "estimation_method_detailed": lambda s, sf: an.estimation_method_detailed(_raw(s, sf)),
+    "road_category_trends": lambda s, sf: an.road_category_trends(_raw(s, sf)),
+    "hgv_axle_trends": lambda s, sf: an.hgv_axle_trends(_raw(s, sf)),
+    "vehicle_mode_trends": lambda s, sf: an.vehicle_mode_trends(_raw(s, sf)),
+    "count_point_coverage": lambda s, sf: an.count_point_coverage(_points(s, sf)),
+    "region_coverage_density": lambda s, sf: an.region_coverage_density(_points(s, sf)),
+    "directional_imbalance_pivot": lambda s, sf: an.directional_imbalance_pivot(_raw(s, sf)),
+    "road_utilization_top100": lambda s, sf: an.road_utilization_top100(_raw(s, sf)),
+    "aadf_key_findings": lambda s, sf: an.aadf_key_findings(_raw(s, sf), _points(s, sf)),
+    "peak_hour_pattern": lambda s, sf: an.peak_hour_pattern(_counts(s, sf)),
+    "peak_period_share": lambda s, sf: an.peak_period_share(_counts(s, sf)),
+    "day_of_week_pattern": lambda s, sf: an.day_of_week_pattern(_counts(s, sf)),
+    "weekend_split": lambda s, sf: an.weekend_split(_counts(s, sf)),
+    "seasonal_pattern": lambda s, sf: an.seasonal_pattern(_counts(s, sf)),
+    "year_hour_heatmap": lambda s, sf: an.year_hour_heatmap(_counts(s, sf)),
+    "road_category_hourly": lambda s, sf: an.road_category_hourly(_counts(s, sf)),
+    "raw_key_findings": lambda s, sf: an.raw_key_findings(_counts(s, sf)),
+    "merge_partial_aggregates": _merge_partials,
+    "serve_yearly_totals": lambda s, sf: sv.serve_yearly_totals(_raw(s, sf)),
+    "serve_regional_by_year": lambda s, sf: sv.serve_regional_by_year(_raw(s, sf)),
+    "serve_top_roads_by_year": lambda s, sf: sv.serve_top_roads_by_year(_raw(s, sf)),
+    "serve_geo_hotspots": lambda s, sf: sv.serve_geo_hotspots(_raw(s, sf)),
+    "serve_vehicle_mix": lambda s, sf: sv.serve_vehicle_mix(_raw(s, sf)),
+    "serve_road_category_by_year": lambda s, sf: sv.serve_road_category_by_year(_raw(s, sf)),
+    "cloud_kpis": lambda s, sf: sv.cloud_kpis(sv.serve_yearly_totals(_raw(s, sf))),
+    "cloud_yoy": lambda s, sf: sv.cloud_yoy(sv.serve_yearly_totals(_raw(s, sf))),
+    "cloud_region_table": lambda s, sf: sv.cloud_region_table(sv.serve_regional_by_year(_raw(s, sf))),
+    "cloud_hgv_share": lambda s, sf: sv.cloud_hgv_share(sv.serve_vehicle_mix(_raw(s, sf))),
+    "cloud_vehicle_long": lambda s, sf: sv.cloud_vehicle_long(sv.serve_yearly_totals(_raw(s, sf))),
+    "cloud_lgv_share": lambda s, sf: sv.cloud_lgv_share(sv.serve_yearly_totals(_raw(s, sf))),
+    "cloud_bus_share": lambda s, sf: sv.cloud_bus_share(sv.serve_yearly_totals(_raw(s, sf))),
+    "cloud_road_category": lambda s, sf: sv.cloud_road_category(sv.serve_road_category_by_year(_raw(s, sf))),
+    "cloud_top_roads": lambda s, sf: sv.cloud_top_roads(sv.serve_top_roads_by_year(_raw(s, sf))),
+    "cloud_hotspots": lambda s, sf: sv.cloud_hotspots(sv.serve_geo_hotspots(_raw(s, sf))),
+    "chart_feeds": _chart_feeds,
+    "roads_with_traffic": lambda s, sf: sv.roads_with_traffic(
+        landing_for(s, sf).table("road_segments"), _raw(s, sf)),
+    "roads_with_traffic_2023": lambda s, sf: sv.roads_with_traffic(
+        landing_for(s, sf).table("road_segments"), _raw(s, sf), 2023),
+    "roads_geojson": _roads_geojson,
+}
+
+# --------------------------------------------------------------------------
+# Data quality, reconciliation, profiling, export
+# --------------------------------------------------------------------------
+
+
+def _profile_files(s, sf):
+    land = landing_for(s, sf)
+    paths = {}
+    for name in ["count_points", "raw_aadf", "raw_counts", "full_aadf", "subset_aadf"]:
+        land.table(name)
+        paths[name] = land.path(name)
+    paths["local_authority_traffic"] = land.path("local_authority_traffic")  # never delivered
+    return dq.profile_files(s, paths)
+
+
+def export_reports(spark, sf, names=None):
+    """Run the exported reports and write one CSV per report; a failing
+    report is recorded and the others still run."""
+    from .sources.sinks import write_csv
+
+    wh = warehouse_for(spark, sf)
+    out = new_output_dir(spark, "reports")
+    rows = []
+    for name in names or EXPORTED:
+        try:
+            df = getattr(reports, name)(wh)
+            write_csv(df, f"{out}/{name}", single_file=True)
+            n = spark.read.option("header", True).csv(f"{out}/{name}").count()
+            rows.append((name, "OK", n))
+        except Exception as e:  # noqa: BLE001
+            rows.append((name, f"ERROR {type(e).__name__}", None))
+    return spark.createDataFrame(rows, "report string, status string, rows bigint")
+
+
+EXPORTED = [
+    "regional_traffic_summary", "top_busiest_roads", "yoy_growth_trend", "hgv_passenger_mix",
+    "local_authority_growth", "road_category_distribution", "geospatial_hotspots", "covid_impact",
+    "cycling_share_export", "lgv_growth_trend", "motorway_vs_aroad", "hgv_axle_breakdown",
+    "bus_coach_decline", "motorcycle_trends",
+]
+
+QUALITY = {
+    "dq_row_counts": lambda s, sf: dq.dq_row_counts(warehouse_for(s, sf)),
+    "dq_null_check": lambda s, sf: dq.dq_null_check(warehouse_for(s, sf)),
+    "dq_negative_values": lambda s, sf: dq.dq_negative_values(warehouse_for(s, sf)),
+    "dq_orphan_facts": lambda s, sf: dq.dq_orphan_facts(warehouse_for(s, sf)),
+    "dq_year_coverage": lambda s, sf: dq.dq_year_coverage(warehouse_for(s, sf)),
+    "dq_direction_distribution": lambda s, sf: dq.dq_direction_distribution(warehouse_for(s, sf)),
+    "dq_report": lambda s, sf: dq.dq_report(warehouse_for(s, sf)),
+    "dq_status_totals": lambda s, sf: dq.dq_status_totals(dq.dq_report(warehouse_for(s, sf))),
+    "profile_files": _profile_files,
+    "profile_extract": lambda s, sf: dq.profile_extract(_raw(s, sf)),
+    "profile_direction_counts": lambda s, sf: dq.profile_direction_counts(_raw(s, sf)),
+    "compare_datasets": lambda s, sf: dq.compare_datasets(_raw(s, sf), etl_pages_flatten(s, sf)),
+    "count_points_profile": lambda s, sf: dq.count_points_profile(_points(s, sf)),
+    "reconcile_direction_sums": lambda s, sf: dq.reconcile_direction_sums(
+        _raw(s, sf), landing_for(s, sf).table("full_aadf")),
+    "reconcile_subset": lambda s, sf: dq.reconcile_subset(
+        landing_for(s, sf).table("subset_aadf"), landing_for(s, sf).table("full_aadf")),
+    "reconcile_id_overlap": lambda s, sf: dq.reconcile_id_overlap(
+        landing_for(s, sf).table("subset_aadf"), landing_for(s, sf).table("full_aadf")),
+    "export_reports": export_reports,
+}
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     for name in WAREHOUSE_REPORTS:
         out[name] = _on_warehouse(name)
+    for group in (ETL, ANALYSES, QUALITY):
+        out.update(group)
     return out
 
 
 def oracle_sql() -> dict[str, str]:
-    from .oracle import reports_sql
+    from .oracle import analyses_sql, etl_sql, quality_sql, reports_sql
 
     out = {}
-    out.update(reports_sql.oracle())
+    for mod in (reports_sql, etl_sql, analyses_sql, quality_sql):
+        out.update(mod.oracle())
     return out

@@ -48,6 +48,25 @@ class Landing:
                     self._written.add(name)
         return self.spark.read.parquet(self.path(name))
 
+    def pages_path(self) -> str:
+        """Folder of JSON page files cut from the raw AADF extract."""
+        name = "pages_json"
+        if name not in self._written:
+            with _LOCK:
+                if name not in self._written:
+                    from pyspark.sql import functions as F
+
+                    from . import pages
+
+                    rows = standin.raw_aadf_with_order(self.spark, self.sf_dir).select(
+                        "l_orderkey", "l_linenumber", "count_point_id", "year",
+                        F.col("all_motor_vehicles").try_cast("double").alias("all_motor_vehicles"),
+                    )
+                    env = pages.build_envelopes(rows, ["l_orderkey", "l_linenumber"])
+                    pages.write_page_files(env, self.path(name))
+                    self._written.add(name)
+        return self.path(name)
+
 
 def landing_for(spark: SparkSession, sf_dir: str) -> Landing:
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
