@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Largest dimension we hint as broadcast; above it the planner (and AQE at
 # run time) chooses between broadcast and a shuffled join.
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_ROWS = 1_000_000
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, known_rows: int | None = None) -> DataFrame:

@@ -41,6 +41,8 @@ SQL = {
         road_category, direction_of_travel, CAST(latitude AS DOUBLE) AS latitude,
         CAST(longitude AS DOUBLE) AS longitude, CAST(link_length_km AS DOUBLE) AS link_length_km,
         estimation_method, estimation_method_detailed, {", ".join(MEASURES)} FROM clean_aadf""",
+    "api_regions_records": """SELECT to_json(struct_pack(RegionKey := RegionKey, RegionID := RegionID,
+        RegionName := RegionName, RegionONSCode := RegionONSCode)) AS record FROM DimRegion""",
     "etl_clean_summary": """SELECT i AS initial_rows, k AS kept_rows, i - k AS dropped_rows
         FROM (SELECT (SELECT count(*) FROM raw_aadf) AS i, (SELECT count(*) FROM clean_aadf) AS k) t""",
     "etl_validate_aadf": _validate(),
@@ -67,5 +69,8 @@ SQL = {
 }
 
 
+SQL["etl_clean_aadf_csv"] = SQL["etl_clean_aadf"]
+
+
 def oracle() -> dict[str, str]:
     return {k: with_base(v) for k, v in SQL.items()}

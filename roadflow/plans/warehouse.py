@@ -21,7 +21,7 @@ import os
 import threading
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import clean_aadf
@@ -93,24 +93,23 @@ CP_ATTRS = ["road_name", "road_category", "road_type", "latitude", "longitude",
 
 
 def dim_count_point(count_points: DataFrame) -> DataFrame:
-    """One row per count point: the earliest-year row wins (explicit order,
-    never an arbitrary ``dropDuplicates``)."""
-    w = Window.partitionBy("count_point_id").orderBy(
-        F.col("year").asc_nulls_last(), *[F.col(c).asc_nulls_first() for c in CP_ATTRS]
-    )
-    first = (
-        count_points.select("count_point_id", "year", *CP_ATTRS)
-        .withColumn("_rn", F.row_number().over(w))
-        .where(F.col("_rn") == 1)
-        .select(
-            F.col("count_point_id").alias("CountPointID"),
-            F.col("road_name").alias("RoadName"),
-            F.col("road_category").alias("RoadCategory"),
-            F.col("road_type").alias("RoadType"),
-            F.col("latitude").alias("Latitude"),
-            F.col("longitude").alias("Longitude"),
-            F.col("link_length_km").alias("LinkLengthKm"),
-        )
+    """One row per count point: the earliest-year row wins, ties broken on
+    the attributes (an explicit order, never an arbitrary ``dropDuplicates``).
+
+    Written as a ``min_by`` aggregate rather than a window so it combines
+    partially before the shuffle: a point with very many rows never lands
+    whole in one task."""
+    order = F.struct(F.col("year").isNull(), F.col("year"), *[F.col(c) for c in CP_ATTRS])
+    first = count_points.groupBy("count_point_id").agg(
+        F.min_by(F.struct(*[F.col(c) for c in CP_ATTRS]), order).alias("a")
+    ).select(
+        F.col("count_point_id").alias("CountPointID"),
+        F.col("a.road_name").alias("RoadName"),
+        F.col("a.road_category").alias("RoadCategory"),
+        F.col("a.road_type").alias("RoadType"),
+        F.col("a.latitude").alias("Latitude"),
+        F.col("a.longitude").alias("Longitude"),
+        F.col("a.link_length_km").alias("LinkLengthKm"),
     )
     keyed = with_dense_key(first, "CountPointKey", ["CountPointID"])
     return keyed.select("CountPointKey", "CountPointID", "RoadName", "RoadCategory", "RoadType",

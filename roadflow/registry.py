@@ -112,8 +112,25 @@ def stream_pages_ingest(spark, sf):
     return ingest_pages(spark, src, f"{out}/table", f"{out}/_checkpoint").drop("current_page")
 
 
+def etl_clean_aadf_csv(spark, sf):
+    """Clean the extract as delivered: a headed CSV read with an explicit
+    schema (measures as text), split across tasks by the reader."""
+    from .sources.readers import read_raw_aadf_csv
+
+    raw = read_raw_aadf_csv(spark, landing_for(spark, sf).csv_path("raw_aadf"))
+    return decimals_as_double(cleaning.clean_aadf(raw))
+
+
+def api_regions_records(spark, sf):
+    from .sources.sinks import as_json_records
+
+    return as_json_records(reports.regions_list(warehouse_for(spark, sf)))
+
+
 ETL = {
     "etl_clean_aadf": lambda s, sf: decimals_as_double(cleaning.clean_aadf(_raw(s, sf))),
+    "etl_clean_aadf_csv": etl_clean_aadf_csv,
+    "api_regions_records": api_regions_records,
     "etl_clean_summary": lambda s, sf: cleaning.clean_summary(_raw(s, sf)),
     "etl_validate_aadf": lambda s, sf: cleaning.validate_aadf(_raw(s, sf)),
     "etl_dim_date": lambda s, sf: warehouse_for(s, sf).table("DimDate"),

@@ -18,12 +18,13 @@ from ..session import new_output_dir
 from . import standin
 
 RAW_TABLES = {
-    "raw_aadf": standin.raw_aadf,
-    "count_points": standin.count_points,
-    "raw_counts": standin.raw_counts,
-    "full_aadf": standin.full_aadf,
-    "subset_aadf": standin.subset_aadf,
-    "road_segments": standin.road_segments,
+    "raw_aadf": lambda land: standin.raw_aadf(land.spark, land.sf_dir),
+    "count_points": lambda land: standin.count_points(land.spark, land.sf_dir),
+    "raw_counts": lambda land: standin.raw_counts(land.spark, land.sf_dir),
+    # the two comparison datasets are derived from the landed direction extract
+    "full_aadf": lambda land: standin.full_aadf(land.spark, land.sf_dir, land.table("raw_aadf")),
+    "subset_aadf": lambda land: standin.subset_aadf(land.spark, land.sf_dir, land.table("full_aadf")),
+    "road_segments": lambda land: standin.road_segments(land.spark, land.sf_dir),
 }
 
 _LOCK = threading.RLock()
@@ -44,10 +45,23 @@ class Landing:
         if name not in self._written:
             with _LOCK:
                 if name not in self._written:
-                    RAW_TABLES[name](self.spark, self.sf_dir).write.mode("overwrite").parquet(self.path(name))
+                    RAW_TABLES[name](self).write.mode("overwrite").parquet(self.path(name))
                     self._written.add(name)
         return self.spark.read.parquet(self.path(name))
 
+    def csv_path(self, name: str) -> str:
+        """The landed table also written as CSV with a header (the form in
+        which extracts are delivered)."""
+        key = f"{name}_csv"
+        if key not in self._written:
+            with _LOCK:
+                if key not in self._written:
+                    from .sinks import write_csv
+
+                    write_csv(self.table(name), self.path(key))
+                    self._written.add(key)
+        return self.path(key)
+
     def pages_path(self) -> str:
         """Folder of JSON page files cut from the raw AADF extract."""
         name = "pages_json"

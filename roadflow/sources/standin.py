@@ -218,10 +218,10 @@ def raw_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def full_aadf(spark: SparkSession, sf_dir: str) -> DataFrame:
+def full_aadf(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
     """All-directions dataset: direction rows summed per (point, year),
     with a planted +1 on every 17th point."""
-    raw = raw_aadf(spark, sf_dir)
+    raw = raw if raw is not None else raw_aadf(spark, sf_dir)
     summed = raw.groupBy("count_point_id", "year").agg(
         F.sum(F.col("all_motor_vehicles").cast("double")).alias("all_motor_vehicles")
     )
@@ -231,10 +231,10 @@ def full_aadf(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def subset_aadf(spark: SparkSession, sf_dir: str) -> DataFrame:
+def subset_aadf(spark: SparkSession, sf_dir: str, full: DataFrame | None = None) -> DataFrame:
     """Sample dataset: every third point of the full set, plus each of those
     points once more at year 1900 (rows absent from the full set)."""
-    full = full_aadf(spark, sf_dir).where(F.col("count_point_id") % 3 == 0)
+    full = (full if full is not None else full_aadf(spark, sf_dir)).where(F.col("count_point_id") % 3 == 0)
     extra = (
         full.select("count_point_id").distinct()
         .withColumn("year", F.lit(1900))
