@@ -238,6 +238,13 @@ SQL = {
     "roads_with_traffic_2023": f"""SELECT s.CP_Number, s.RoadNumber, t.count_point_id, t.all_motor_vehicles
         FROM road_segments s LEFT JOIN ({ROAD_TRAFFIC.format(where='AND year = 2023')}) t
         ON s.CP_Number = t.count_point_id""",
+    "roads_geojson": f"""SELECT cp.CountPointID, to_json(struct_pack(
+          type := 'Feature',
+          geometry := struct_pack(type := 'Point',
+                                  coordinates := [CAST(cp.Longitude AS DOUBLE), CAST(cp.Latitude AS DOUBLE)]),
+          properties := struct_pack(CP_Number := cp.CountPointID, RoadNumber := cp.RoadName,
+                                    all_motor_vehicles := t.all_motor_vehicles))) AS feature
+        FROM DimCountPoint cp LEFT JOIN ({ROAD_TRAFFIC.format(where='')}) t ON cp.CountPointID = t.count_point_id""",
 }
 
 EXTRA = {
