@@ -6,8 +6,11 @@ report settings.  Conventions shared by all of them:
 
 * the year is the fact's partition column (``DateKey = Year``), so year
   predicates prune partitions instead of joining DimDate;
-* dimensions are joined as size-checked broadcasts, facts are never
-  shuffled for a join; grouping uses partial (map-side) aggregation;
+* eager aggregation: fact rows are first combined per surrogate key (an
+  integer-keyed partial aggregate, see :func:`partials`), then dimension
+  attributes are joined onto one row per key (size-checked broadcasts) and
+  the final grouping runs on that small input.  Facts are never shuffled
+  for a join;
 * sums are exact decimal sums exposed as double, means are over fact rows
   (rounded to 6 places), ratios are NULL on a zero denominator;
 * top-N lists break ties on their key columns, ascending.
@@ -40,6 +43,28 @@ def fact(wh: Warehouse, *cols: str, **years) -> DataFrame:
     return f.select(F.col("DateKey").alias("Year"), *cols)
 
 
+def partials(wh: Warehouse, keys: list[str], sums: dict, count: bool = False, **years) -> DataFrame:
+    """Eager aggregation: fact rows combined per surrogate key (and year)
+    *before* any dimension join.  The hot path is an integer-keyed partial
+    aggregate; dimension attributes are joined onto one row per key and
+    the final grouping runs on that much smaller input.  ``sums`` maps
+    alias -> fact column / expression; ``count`` adds the row count ``_n``
+    (for means over fact rows)."""
+    f = wh.fact
+    if years:
+        f = f.where(year_filter(F.col("DateKey"), **years))
+    f = f.withColumnRenamed("DateKey", "Year")
+    aggs = [F.sum(F.col(e) if isinstance(e, str) else e).alias(a) for a, e in sums.items()]
+    if count:
+        aggs.append(F.count(F.lit(1)).alias("_n"))
+    return f.groupBy(*keys).agg(*aggs)
+
+
+def mean_of(total: str = "s", rows: str = "_n", digits: int = 6) -> F.Column:
+    """Mean over fact rows from partial sums and counts."""
+    return F.round(F.try_divide(F.sum(total).cast("double"), F.sum(rows).cast("double")), digits)
+
+
 def with_region(f: DataFrame, wh: Warehouse, *cols: str) -> DataFrame:
     d = wh.dim("DimRegion").select("RegionKey", *(cols or ("RegionName",)))
     return f.join(d, "RegionKey")
@@ -78,22 +103,24 @@ def yearly(wh: Warehouse, aggs: dict, **years) -> DataFrame:
 # --------------------------------------------------------------------------
 
 def regional_traffic_summary(wh: Warehouse, year: int = 2023) -> DataFrame:
-    f = with_region(fact(wh, "RegionKey", MV, "AllHGVs", "PedalCycles", year=year), wh)
+    p = partials(wh, ["RegionKey"], {"mv": MV, "hgv": "AllHGVs", "allv": F.col(MV) + F.col("PedalCycles")},
+                 year=year)
     return (
-        f.groupBy("RegionName")
+        with_region(p, wh).groupBy("RegionName")
         .agg(
-            sum_d(MV).alias("TotalMotorVehicles"),
-            sum_d("AllHGVs").alias("TotalHGVs"),
-            sum_d(F.col(MV) + F.col("PedalCycles")).alias("TotalAllVehicles"),
+            sum_d("mv").alias("TotalMotorVehicles"),
+            sum_d("hgv").alias("TotalHGVs"),
+            sum_d("allv").alias("TotalAllVehicles"),
         )
         .orderBy(F.desc("TotalAllVehicles"), "RegionName")
     )
 
 
 def top_busiest_roads(wh: Warehouse, since: int = 2020, min_total: float = 1_000_000, n: int = 10) -> DataFrame:
-    f = with_point(fact(wh, "CountPointKey", MV, since=since), wh, "RoadName", "RoadCategory")
-    g = f.groupBy("RoadName", "RoadCategory").agg(
-        sum_d(MV).alias("TotalTraffic"), avg_d(MV).alias("AvgDailyFlow")
+    p = with_point(partials(wh, ["CountPointKey"], {"s": MV}, count=True, since=since), wh,
+                   "RoadName", "RoadCategory")
+    g = p.groupBy("RoadName", "RoadCategory").agg(
+        sum_d("s").alias("TotalTraffic"), mean_of().alias("AvgDailyFlow")
     ).where(F.col("TotalTraffic") > min_total)
     return top_n(g, n, [F.desc("TotalTraffic"), F.asc_nulls_first("RoadName"), F.asc_nulls_first("RoadCategory")])
 
@@ -109,11 +136,11 @@ def yoy_growth_trend(wh: Warehouse) -> DataFrame:
 
 
 def hgv_passenger_mix(wh: Warehouse) -> DataFrame:
-    f = with_region(fact(wh, "RegionKey", MV, "AllHGVs", "CarsAndTaxis", "LGVs"), wh)
-    g = f.groupBy("RegionName").agg(
-        sum_d("AllHGVs").alias("HGV_Total"),
-        sum_d(F.col("CarsAndTaxis") + F.col("LGVs")).alias("Passenger_Total"),
-        F.sum(MV).alias("_mv"),
+    p = partials(wh, ["RegionKey"], {"hgv": "AllHGVs", "pas": F.col("CarsAndTaxis") + F.col("LGVs"), "mv": MV})
+    g = with_region(p, wh).groupBy("RegionName").agg(
+        sum_d("hgv").alias("HGV_Total"),
+        sum_d("pas").alias("Passenger_Total"),
+        F.sum("mv").alias("_mv"),
     )
     return g.select(
         "RegionName", "HGV_Total", "Passenger_Total", pct("HGV_Total", "_mv").alias("HGV_Pct")
@@ -123,11 +150,11 @@ def hgv_passenger_mix(wh: Warehouse) -> DataFrame:
 def local_authority_growth(wh: Warehouse, base_year: int = 2018, target_year: int = 2023) -> DataFrame:
     """Traffic per local authority in two years and the growth between them;
     authorities without traffic in the base year are left out."""
-    f = with_la(fact(wh, "LocalAuthorityKey", MV, years=[base_year, target_year]), wh)
+    p = with_la(partials(wh, ["Year", "LocalAuthorityKey"], {"s": MV}, years=[base_year, target_year]), wh)
     t, b = f"Traffic{target_year}", f"Traffic{base_year}"
-    g = f.groupBy("LocalAuthorityName").agg(
-        sum_d(F.when(F.col("Year") == target_year, F.col(MV))).alias(t),
-        sum_d(F.when(F.col("Year") == base_year, F.col(MV))).alias(b),
+    g = p.groupBy("LocalAuthorityName").agg(
+        sum_d(F.when(F.col("Year") == target_year, F.col("s"))).alias(t),
+        sum_d(F.when(F.col("Year") == base_year, F.col("s"))).alias(b),
     )
     return (
         g.where(F.col(b).isNotNull())
@@ -137,19 +164,19 @@ def local_authority_growth(wh: Warehouse, base_year: int = 2018, target_year: in
 
 
 def road_category_distribution(wh: Warehouse) -> DataFrame:
-    f = with_point(fact(wh, "CountPointKey", MV), wh, "RoadCategory", "CountPointID")
-    return f.groupBy("RoadCategory").agg(
+    p = with_point(partials(wh, ["CountPointKey"], {"s": MV}, count=True), wh, "RoadCategory", "CountPointID")
+    return p.groupBy("RoadCategory").agg(
         F.count_distinct("CountPointID").alias("NumCountPoints"),
-        sum_d(MV).alias("TotalTraffic"),
-        avg_d(MV).alias("AvgFlowPerPoint"),
+        sum_d("s").alias("TotalTraffic"),
+        mean_of().alias("AvgFlowPerPoint"),
     ).orderBy(F.desc("TotalTraffic"), "RoadCategory")
 
 
 def geospatial_hotspots(wh: Warehouse, year: int = 2023, min_total: float = 50_000) -> DataFrame:
-    f = fact(wh, "CountPointKey", "RegionKey", "LocalAuthorityKey", MV, year=year)
-    f = with_la(with_region(with_point(f, wh, "Latitude", "Longitude", "RoadName"), wh), wh)
+    p = partials(wh, ["CountPointKey", "RegionKey", "LocalAuthorityKey"], {"s": MV}, count=True, year=year)
+    p = with_la(with_region(with_point(p, wh, "Latitude", "Longitude", "RoadName"), wh), wh)
     keys = ["Latitude", "Longitude", "RoadName", "RegionName", "LocalAuthorityName"]
-    g = f.groupBy(*keys).agg(sum_d(MV).alias("TotalTraffic"), avg_d(MV).alias("AvgDailyFlow"))
+    g = p.groupBy(*keys).agg(sum_d("s").alias("TotalTraffic"), mean_of().alias("AvgDailyFlow"))
     return (
         g.where(F.col("TotalTraffic") > min_total)
         .withColumn("Latitude", F.col("Latitude").cast("double"))
@@ -172,10 +199,10 @@ def covid_impact(wh: Warehouse, start: int = 2019, end: int = 2023) -> DataFrame
 
 
 def covid_recovery_by_region(wh: Warehouse, base: int = 2019, covid: int = 2020, recovery: int = 2023) -> DataFrame:
-    f = with_region(fact(wh, "RegionKey", MV, years=[base, covid, recovery]), wh)
+    p = with_region(partials(wh, ["Year", "RegionKey"], {"s": MV}, years=[base, covid, recovery]), wh)
     cols = {y: f"Traffic_{y}" for y in (base, covid, recovery)}
-    g = f.groupBy("RegionName").agg(
-        *[sum_d(F.when(F.col("Year") == y, F.col(MV))).alias(a) for y, a in cols.items()]
+    g = p.groupBy("RegionName").agg(
+        *[sum_d(F.when(F.col("Year") == y, F.col("s"))).alias(a) for y, a in cols.items()]
     )
     return (
         g.withColumn("Covid_Drop_Pct", growth_pct(cols[covid], cols[base]))
@@ -204,13 +231,12 @@ def cycling_modal_shift(wh: Warehouse) -> DataFrame:
 
 
 def directional_flow(wh: Warehouse, year: int = 2023, min_flow: float = 10_000) -> DataFrame:
-    f = fact(wh, "CountPointKey", "RegionKey", "DirectionOfTravel", MV, year=year).where(
-        F.col("DirectionOfTravel") != "C"
-    )
-    f = with_region(with_point(f, wh, "RoadName", "RoadCategory"), wh)
+    p = partials(wh.where_fact(F.col("DirectionOfTravel") != "C"),
+                 ["CountPointKey", "RegionKey", "DirectionOfTravel"], {"s": MV}, year=year)
+    p = with_region(with_point(p, wh, "RoadName", "RoadCategory"), wh)
     keys = ["RoadName", "RoadCategory", "RegionName", "DirectionOfTravel"]
     return (
-        f.groupBy(*keys).agg(sum_d(MV).alias("DirectionalFlow"))
+        p.groupBy(*keys).agg(sum_d("s").alias("DirectionalFlow"))
         .where(F.col("DirectionalFlow") > min_flow)
         .orderBy("RoadName", "DirectionOfTravel", "RoadCategory", "RegionName")
     )
@@ -218,33 +244,36 @@ def directional_flow(wh: Warehouse, year: int = 2023, min_flow: float = 10_000)
 
 def vehicle_km_by_region(wh: Warehouse, since: int = 2019) -> DataFrame:
     """Annual vehicle-km: flow x link length x 365, summed exactly."""
-    f = with_region(with_point(fact(wh, "CountPointKey", "RegionKey", MV, "AllHGVs", since=since),
-                               wh, "LinkLengthKm"), wh)
+    # link length is constant per point, so sum(flow * km) = km * sum(flow): exact in decimals
+    p = partials(wh, ["Year", "CountPointKey", "RegionKey"], {"mv": MV, "hgv": "AllHGVs"}, since=since)
+    p = with_region(with_point(p, wh, "LinkLengthKm"), wh)
     km = F.col("LinkLengthKm")
-    return f.groupBy("RegionName", "Year").agg(
-        F.round(F.sum(F.col(MV) * km * F.lit(365)).cast("double"), 3).alias("VehicleKm_Annual"),
-        F.round(F.sum(F.col("AllHGVs") * km * F.lit(365)).cast("double"), 3).alias("HGV_VehicleKm_Annual"),
+    return p.groupBy("RegionName", "Year").agg(
+        F.round(F.sum(F.col("mv") * km * F.lit(365)).cast("double"), 3).alias("VehicleKm_Annual"),
+        F.round(F.sum(F.col("hgv") * km * F.lit(365)).cast("double"), 3).alias("HGV_VehicleKm_Annual"),
     ).orderBy("RegionName", "Year")
 
 
 def road_category_performance(wh: Warehouse, since: int = 2015) -> DataFrame:
-    f = with_point(fact(wh, "CountPointKey", MV, "AllHGVs", since=since), wh, "RoadCategory", "CountPointID")
-    g = f.groupBy("RoadCategory", "Year").agg(
+    p = partials(wh, ["Year", "CountPointKey"], {"s": MV, "hgv": "AllHGVs"}, count=True, since=since)
+    p = with_point(p, wh, "RoadCategory", "CountPointID")
+    g = p.groupBy("RoadCategory", "Year").agg(
         F.count_distinct("CountPointID").alias("NumPoints"),
-        sum_d(MV).alias("TotalFlow"),
-        avg_d(MV).alias("AvgFlow"),
-        sum_d("AllHGVs").alias("TotalHGV"),
+        sum_d("s").alias("TotalFlow"),
+        mean_of().alias("AvgFlow"),
+        sum_d("hgv").alias("TotalHGV"),
     )
     return g.withColumn("HGV_Pct", pct("TotalHGV", "TotalFlow")).orderBy("RoadCategory", "Year")
 
 
 def top_growing_roads(wh: Warehouse, base: int = 2019, target: int = 2023,
                       min_base: float = 100_000, n: int = 20) -> DataFrame:
-    f = with_point(fact(wh, "CountPointKey", MV, years=[base, target]), wh, "RoadName", "RoadCategory")
+    p = with_point(partials(wh, ["Year", "CountPointKey"], {"s": MV}, years=[base, target]), wh,
+                   "RoadName", "RoadCategory")
     b, t = f"Traffic_{base}", f"Traffic_{target}"
-    g = f.groupBy("RoadName", "RoadCategory").agg(
-        sum_d(F.when(F.col("Year") == base, F.col(MV))).alias(b),
-        sum_d(F.when(F.col("Year") == target, F.col(MV))).alias(t),
+    g = p.groupBy("RoadName", "RoadCategory").agg(
+        sum_d(F.when(F.col("Year") == base, F.col("s"))).alias(b),
+        sum_d(F.when(F.col("Year") == target, F.col("s"))).alias(t),
     ).where(F.col(b) > min_base)
     g = g.withColumn("Change_Pct", growth_pct(t, b))
     return top_n(g, n, [F.desc_nulls_last("Change_Pct"), F.asc_nulls_first("RoadName"),
@@ -257,12 +286,12 @@ def lgv_growth_trend(wh: Warehouse) -> DataFrame:
 
 
 def congestion_proxy(wh: Warehouse, year: int = 2023, min_flow: float = 10_000, n: int = 20) -> DataFrame:
-    f = fact(wh, "CountPointKey", "RegionKey", MV, year=year)
-    f = with_region(with_point(f, wh, "RoadName", "RoadCategory", "LinkLengthKm"), wh).where(
+    p = partials(wh, ["CountPointKey", "RegionKey"], {"s": MV}, year=year)
+    p = with_region(with_point(p, wh, "RoadName", "RoadCategory", "LinkLengthKm"), wh).where(
         F.col("LinkLengthKm") > 0
     )
     keys = ["RoadName", "RoadCategory", "RegionName", "LinkLengthKm"]
-    g = f.groupBy(*keys).agg(sum_d(MV).alias("TotalFlow")).where(F.col("TotalFlow") > min_flow)
+    g = p.groupBy(*keys).agg(sum_d("s").alias("TotalFlow")).where(F.col("TotalFlow") > min_flow)
     g = g.withColumn("FlowPerKm", F.round(safe_div("TotalFlow", "LinkLengthKm"), 0)).withColumn(
         "LinkLengthKm", F.col("LinkLengthKm").cast("double")
     )
@@ -270,11 +299,11 @@ def congestion_proxy(wh: Warehouse, year: int = 2023, min_flow: float = 10_000,
 
 
 def motorway_vs_aroad(wh: Warehouse) -> DataFrame:
-    f = with_point(fact(wh, "CountPointKey", MV), wh, "RoadCategory", "CountPointID")
+    f = with_point(partials(wh, ["Year", "CountPointKey"], {"s": MV}), wh, "RoadCategory", "CountPointID")
     cat = F.col("RoadCategory")
 
     def flow(cats):
-        return sum_d(F.when(cat.isin(cats), F.col(MV)).otherwise(F.lit(0)))
+        return sum_d(F.when(cat.isin(cats), F.col("s")).otherwise(F.lit(0)))
 
     def points(cats):
         return F.count_distinct(F.when(cat.isin(cats), F.col("CountPointID")))
@@ -314,11 +343,11 @@ def motorcycle_trends(wh: Warehouse) -> DataFrame:
 def coverage_by_region_category(wh: Warehouse, year: int = 2023) -> DataFrame:
     """Points and link length per region and category.  Link length is summed
     over fact rows (once per direction row), as the published report does."""
-    f = with_region(with_point(fact(wh, "CountPointKey", "RegionKey", year=year), wh,
-                               "RoadCategory", "CountPointID", "LinkLengthKm"), wh)
-    g = f.groupBy("RegionName", "RoadCategory").agg(
+    p = partials(wh, ["CountPointKey", "RegionKey"], {}, count=True, year=year)
+    p = with_region(with_point(p, wh, "RoadCategory", "CountPointID", "LinkLengthKm"), wh)
+    g = p.groupBy("RegionName", "RoadCategory").agg(
         F.count_distinct("CountPointID").alias("NumPoints"),
-        F.sum("LinkLengthKm").alias("_km"),
+        F.sum(F.col("LinkLengthKm") * F.col("_n")).alias("_km"),
     )
     return g.select(
         "RegionName", "RoadCategory", "NumPoints",
@@ -328,12 +357,11 @@ def coverage_by_region_category(wh: Warehouse, year: int = 2023) -> DataFrame:
 
 
 def directional_imbalance_sql(wh: Warehouse, year: int = 2023, min_flow: float = 1000, n: int = 30) -> DataFrame:
-    f = fact(wh, "CountPointKey", "RegionKey", "DirectionOfTravel", MV, year=year).where(
-        F.col("DirectionOfTravel") != "C"
-    )
-    f = with_region(with_point(f, wh, "RoadName", "RoadCategory"), wh)
+    p = partials(wh.where_fact(F.col("DirectionOfTravel") != "C"),
+                 ["CountPointKey", "RegionKey", "DirectionOfTravel"], {"s": MV}, year=year)
+    p = with_region(with_point(p, wh, "RoadName", "RoadCategory"), wh)
     keys = ["RoadName", "RoadCategory", "RegionName"]
-    per_dir = f.groupBy(*keys, "DirectionOfTravel").agg(F.sum(MV).alias("Flow"))
+    per_dir = p.groupBy(*keys, "DirectionOfTravel").agg(F.sum("s").alias("Flow"))
     piv = per_dir.groupBy(*keys).agg(
         F.max("Flow").cast("double").alias("MaxDirFlow"),
         F.min("Flow").cast("double").alias("MinDirFlow"),
@@ -375,17 +403,17 @@ def yearly_totals_api(wh: Warehouse) -> DataFrame:
 
 
 def traffic_by_region(wh: Warehouse, year: int = 2023) -> DataFrame:
-    f = with_region(fact(wh, "RegionKey", MV, "AllHGVs", year=year), wh)
-    return f.groupBy("RegionName").agg(
-        sum_d(MV).alias("TotalMotor"), sum_d("AllHGVs").alias("TotalHGV")
+    p = with_region(partials(wh, ["RegionKey"], {"mv": MV, "hgv": "AllHGVs"}, year=year), wh)
+    return p.groupBy("RegionName").agg(
+        sum_d("mv").alias("TotalMotor"), sum_d("hgv").alias("TotalHGV")
     ).orderBy(F.desc("TotalMotor"), "RegionName")
 
 
 def top_roads(wh: Warehouse, year: int = 2023, limit: int = 10) -> DataFrame:
     if not 1 <= int(limit) <= MAX_API_LIMIT:
         raise ValueError(f"limit must be between 1 and {MAX_API_LIMIT}")
-    f = with_point(fact(wh, "CountPointKey", MV, year=year), wh, "RoadName", "RoadCategory")
-    g = f.groupBy("RoadName", "RoadCategory").agg(sum_d(MV).alias("TotalTraffic"))
+    p = with_point(partials(wh, ["CountPointKey"], {"s": MV}, year=year), wh, "RoadName", "RoadCategory")
+    g = p.groupBy("RoadName", "RoadCategory").agg(sum_d("s").alias("TotalTraffic"))
     return top_n(g, int(limit), [F.desc("TotalTraffic"), F.asc_nulls_first("RoadName"),
                                  F.asc_nulls_first("RoadCategory")])
 
@@ -395,15 +423,15 @@ MIX = {"Cars": "CarsAndTaxis", "LGVs": "LGVs", "HGVs": "AllHGVs", "Buses": "Buse
 
 
 def vehicle_mix_by_region(wh: Warehouse, year: int = 2023) -> DataFrame:
-    f = with_region(fact(wh, "RegionKey", *MIX.values(), year=year), wh)
-    return f.groupBy("RegionName").agg(*[sum_d(c).alias(a) for a, c in MIX.items()]).orderBy("RegionName")
+    p = with_region(partials(wh, ["RegionKey"], {a: c for a, c in MIX.items()}, year=year), wh)
+    return p.groupBy("RegionName").agg(*[sum_d(a).alias(a) for a in MIX]).orderBy("RegionName")
 
 
 def hotspots(wh: Warehouse, year: int = 2023, min_traffic: float = 50_000) -> DataFrame:
-    f = with_region(with_point(fact(wh, "CountPointKey", "RegionKey", MV, year=year), wh,
-                               "Latitude", "Longitude", "RoadName"), wh)
+    p = partials(wh, ["CountPointKey", "RegionKey"], {"s": MV}, year=year)
+    p = with_region(with_point(p, wh, "Latitude", "Longitude", "RoadName"), wh)
     keys = ["Latitude", "Longitude", "RoadName", "RegionName"]
-    g = f.groupBy(*keys).agg(sum_d(MV).alias("TotalTraffic")).where(F.col("TotalTraffic") > min_traffic)
+    g = p.groupBy(*keys).agg(sum_d("s").alias("TotalTraffic")).where(F.col("TotalTraffic") > min_traffic)
     return (
         g.withColumn("Latitude", F.col("Latitude").cast("double"))
         .withColumn("Longitude", F.col("Longitude").cast("double"))
@@ -424,9 +452,9 @@ def yearly_overview(wh: Warehouse) -> DataFrame:
 
 
 def regional_overview(wh: Warehouse, year: int = 2023) -> DataFrame:
-    f = with_region(fact(wh, "RegionKey", "CountPointKey", MV, "AllHGVs", year=year), wh)
-    return f.groupBy("RegionName").agg(
-        sum_d(MV).alias("TotalMotor"), sum_d("AllHGVs").alias("TotalHGV"),
+    p = with_region(partials(wh, ["RegionKey", "CountPointKey"], {"mv": MV, "hgv": "AllHGVs"}, year=year), wh)
+    return p.groupBy("RegionName").agg(
+        sum_d("mv").alias("TotalMotor"), sum_d("hgv").alias("TotalHGV"),
         F.count_distinct("CountPointKey").alias("CountPoints"),
     ).orderBy(F.desc("TotalMotor"), "RegionName")
 

@@ -207,7 +207,14 @@ class Warehouse:
 
     @property
     def fact(self) -> DataFrame:
-        return self.table(FACT)
+        f = self.table(FACT)
+        return f.where(self._fact_filter) if getattr(self, "_fact_filter", None) is not None else f
+
+    def where_fact(self, condition) -> "Warehouse":
+        """A view of this warehouse whose fact is filtered by ``condition``."""
+        view = Warehouse(self.spark, self.root, self.manifest)
+        view._fact_filter = condition
+        return view
 
     def dim(self, name: str, broadcast: bool = True) -> DataFrame:
         df = self.table(name)
