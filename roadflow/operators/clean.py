@@ -74,9 +74,16 @@ def validate_aadf(df: DataFrame) -> DataFrame:
 
     # Negative counts and null counts: one aggregate over the whole extract.
     counters = []
+    types = dict(df.dtypes)
     for c in VEHICLE_COLS:
         if c in df.columns:
-            counters.append(F.count_if(_numeric(df, c) < 0).alias(f"negative_{c}|"))
+            if types[c] == "string":
+                # a negative number is written with a leading '-': only those
+                # values are parsed (CASE short-circuits the pattern check)
+                neg = F.when(F.trim(F.col(c)).startswith("-"), _numeric(df, c) < 0)
+            else:
+                neg = F.col(c) < 0
+            counters.append(F.count_if(F.coalesce(neg, F.lit(False))).alias(f"negative_{c}|"))
     for c in REQUIRED_COLS:
         if c in df.columns:
             counters.append(F.count_if(F.col(c).isNull()).alias(f"null_values|{c}"))

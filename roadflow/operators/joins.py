@@ -5,18 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension we hint as broadcast; above it the planner (and AQE at
-# run time) chooses between broadcast and a shuffled join.
+# Largest dimension hinted as broadcast; above it the planner (and AQE at
+# run time, from actual shuffle sizes) chooses between broadcast and a
+# shuffled join.
 BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, known_rows: int | None = None) -> DataFrame:
-    """Hint ``df`` as broadcast if it has at most ``max_rows`` rows.
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of ``df`` (no job is run)."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # pragma: no cover - estimate unavailable
+        return None
 
-    ``known_rows`` (e.g. from the warehouse manifest) avoids a counting job.
-    A side that is too big is returned unhinted, so a shuffled join is used.
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, known_rows: int | None = None,
+                      max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Hint ``df`` as broadcast only when it is provably small.
+
+    ``known_rows`` (e.g. from the warehouse manifest) is checked against
+    ``max_rows``; otherwise the optimizer's byte estimate is checked against
+    ``max_bytes``.  A side that is too big, or of unknown size, is returned
+    unhinted so the planner can choose a shuffled join.
     """
-    rows = known_rows
-    if rows is None:
-        rows = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if rows <= max_rows else df
+    if known_rows is not None:
+        return F.broadcast(df) if known_rows <= max_rows else df
+    size = estimated_bytes(df)
+    return F.broadcast(df) if size is not None and size <= max_bytes else df

@@ -86,13 +86,28 @@ def dq_report(wh: Warehouse, checks: dict | None = None) -> DataFrame:
     table under its minimum.  Only low row counts WARN and only negative
     values FAIL; a check that raises is reported as ERROR and the others
     still run.  ``detail`` is the number of result rows, or
-    ``"<rows> < <minimum>"`` for a WARN row."""
-    rows = []
-    for name, fn in (checks or CHECKS).items():
+    ``"<rows> < <minimum>"`` for a WARN row.
+
+    The checks are independent Spark jobs and are submitted concurrently;
+    each returns a handful of rows."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    checks = checks or CHECKS
+
+    def run(item):
+        name, fn = item
         try:
-            result = fn(wh).collect()  # a few rows per check
+            return name, fn(wh).collect(), None
         except Exception as e:  # noqa: BLE001
-            rows.append((name, "ERROR", f"{type(e).__name__}: {e}"[:500]))
+            return name, None, f"{type(e).__name__}: {e}"[:500]
+
+    with ThreadPoolExecutor(max_workers=max(1, len(checks))) as pool:
+        results = list(pool.map(run, checks.items()))
+
+    rows = []
+    for name, result, error in results:
+        if error is not None:
+            rows.append((name, "ERROR", error))
             continue
         status = "PASS"
         if name == "negative_values" and result and result[0]["Status"] == "FAIL":

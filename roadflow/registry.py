@@ -62,6 +62,11 @@ def _raw(spark, sf):
     return landing_for(spark, sf).table("raw_aadf")
 
 
+def _typed(spark, sf):
+    """Raw direction extract with measures already parsed to numbers."""
+    return landing_for(spark, sf).table("raw_aadf_typed")
+
+
 def _points(spark, sf):
     return landing_for(spark, sf).table("count_points")
 
@@ -87,9 +92,8 @@ def etl_fact_load_stats(spark, sf):
 def etl_incremental_load(spark, sf, first_years=(2017, 2018, 2019)):
     """Load a few years into a fresh warehouse, then every missing year,
     then once more (a no-op); returns the resulting fact."""
-    land = landing_for(spark, sf)
-    raw, points = land.table("raw_aadf"), land.table("count_points")
-    wh = whm.build_dimensions(spark, points, new_output_dir(spark, "warehouse-incr"))
+    raw = landing_for(spark, sf).table("raw_aadf")
+    wh = warehouse_for(spark, sf).with_new_fact(new_output_dir(spark, "warehouse-incr"))
     whm.incremental_load(wh, raw, set(first_years))
     whm.incremental_load(wh, raw)
     whm.incremental_load(wh, raw)
@@ -167,23 +171,23 @@ def _chart_feeds(s, sf):
 
 def _roads_geojson(s, sf):
     wh = warehouse_for(s, sf)
-    raw = an.as_numbers(_raw(s, sf), ["all_motor_vehicles"])
+    raw = _typed(s, sf)
     traffic = raw.groupBy(F.col("count_point_id").alias("CountPointID")).agg(
         an.psum("all_motor_vehicles").alias("all_motor_vehicles"))
     return sv.point_features(wh.table("DimCountPoint"), traffic)
 
 
 ANALYSES = {
-    "estimation_method_by_year": lambda s, sf: an.estimation_method_by_year(_raw(s, sf)),
-    "estimation_method_detailed": lambda s, sf: an.estimation_method_detailed(_raw(s, sf)),
-    "road_category_trends": lambda s, sf: an.road_category_trends(_raw(s, sf)),
-    "hgv_axle_trends": lambda s, sf: an.hgv_axle_trends(_raw(s, sf)),
-    "vehicle_mode_trends": lambda s, sf: an.vehicle_mode_trends(_raw(s, sf)),
+    "estimation_method_by_year": lambda s, sf: an.estimation_method_by_year(_typed(s, sf)),
+    "estimation_method_detailed": lambda s, sf: an.estimation_method_detailed(_typed(s, sf)),
+    "road_category_trends": lambda s, sf: an.road_category_trends(_typed(s, sf)),
+    "hgv_axle_trends": lambda s, sf: an.hgv_axle_trends(_typed(s, sf)),
+    "vehicle_mode_trends": lambda s, sf: an.vehicle_mode_trends(_typed(s, sf)),
     "count_point_coverage": lambda s, sf: an.count_point_coverage(_points(s, sf)),
     "region_coverage_density": lambda s, sf: an.region_coverage_density(_points(s, sf)),
-    "directional_imbalance_pivot": lambda s, sf: an.directional_imbalance_pivot(_raw(s, sf)),
-    "road_utilization_top100": lambda s, sf: an.road_utilization_top100(_raw(s, sf)),
-    "aadf_key_findings": lambda s, sf: an.aadf_key_findings(_raw(s, sf), _points(s, sf)),
+    "directional_imbalance_pivot": lambda s, sf: an.directional_imbalance_pivot(_typed(s, sf)),
+    "road_utilization_top100": lambda s, sf: an.road_utilization_top100(_typed(s, sf)),
+    "aadf_key_findings": lambda s, sf: an.aadf_key_findings(_typed(s, sf), _points(s, sf)),
     "peak_hour_pattern": lambda s, sf: an.peak_hour_pattern(_counts(s, sf)),
     "peak_period_share": lambda s, sf: an.peak_period_share(_counts(s, sf)),
     "day_of_week_pattern": lambda s, sf: an.day_of_week_pattern(_counts(s, sf)),
@@ -193,27 +197,27 @@ ANALYSES = {
     "road_category_hourly": lambda s, sf: an.road_category_hourly(_counts(s, sf)),
     "raw_key_findings": lambda s, sf: an.raw_key_findings(_counts(s, sf)),
     "merge_partial_aggregates": _merge_partials,
-    "serve_yearly_totals": lambda s, sf: sv.serve_yearly_totals(_raw(s, sf)),
-    "serve_regional_by_year": lambda s, sf: sv.serve_regional_by_year(_raw(s, sf)),
-    "serve_top_roads_by_year": lambda s, sf: sv.serve_top_roads_by_year(_raw(s, sf)),
-    "serve_geo_hotspots": lambda s, sf: sv.serve_geo_hotspots(_raw(s, sf)),
-    "serve_vehicle_mix": lambda s, sf: sv.serve_vehicle_mix(_raw(s, sf)),
-    "serve_road_category_by_year": lambda s, sf: sv.serve_road_category_by_year(_raw(s, sf)),
-    "cloud_kpis": lambda s, sf: sv.cloud_kpis(sv.serve_yearly_totals(_raw(s, sf))),
-    "cloud_yoy": lambda s, sf: sv.cloud_yoy(sv.serve_yearly_totals(_raw(s, sf))),
-    "cloud_region_table": lambda s, sf: sv.cloud_region_table(sv.serve_regional_by_year(_raw(s, sf))),
-    "cloud_hgv_share": lambda s, sf: sv.cloud_hgv_share(sv.serve_vehicle_mix(_raw(s, sf))),
-    "cloud_vehicle_long": lambda s, sf: sv.cloud_vehicle_long(sv.serve_yearly_totals(_raw(s, sf))),
-    "cloud_lgv_share": lambda s, sf: sv.cloud_lgv_share(sv.serve_yearly_totals(_raw(s, sf))),
-    "cloud_bus_share": lambda s, sf: sv.cloud_bus_share(sv.serve_yearly_totals(_raw(s, sf))),
-    "cloud_road_category": lambda s, sf: sv.cloud_road_category(sv.serve_road_category_by_year(_raw(s, sf))),
-    "cloud_top_roads": lambda s, sf: sv.cloud_top_roads(sv.serve_top_roads_by_year(_raw(s, sf))),
-    "cloud_hotspots": lambda s, sf: sv.cloud_hotspots(sv.serve_geo_hotspots(_raw(s, sf))),
+    "serve_yearly_totals": lambda s, sf: sv.serve_yearly_totals(_typed(s, sf)),
+    "serve_regional_by_year": lambda s, sf: sv.serve_regional_by_year(_typed(s, sf)),
+    "serve_top_roads_by_year": lambda s, sf: sv.serve_top_roads_by_year(_typed(s, sf)),
+    "serve_geo_hotspots": lambda s, sf: sv.serve_geo_hotspots(_typed(s, sf)),
+    "serve_vehicle_mix": lambda s, sf: sv.serve_vehicle_mix(_typed(s, sf)),
+    "serve_road_category_by_year": lambda s, sf: sv.serve_road_category_by_year(_typed(s, sf)),
+    "cloud_kpis": lambda s, sf: sv.cloud_kpis(sv.serve_yearly_totals(_typed(s, sf))),
+    "cloud_yoy": lambda s, sf: sv.cloud_yoy(sv.serve_yearly_totals(_typed(s, sf))),
+    "cloud_region_table": lambda s, sf: sv.cloud_region_table(sv.serve_regional_by_year(_typed(s, sf))),
+    "cloud_hgv_share": lambda s, sf: sv.cloud_hgv_share(sv.serve_vehicle_mix(_typed(s, sf))),
+    "cloud_vehicle_long": lambda s, sf: sv.cloud_vehicle_long(sv.serve_yearly_totals(_typed(s, sf))),
+    "cloud_lgv_share": lambda s, sf: sv.cloud_lgv_share(sv.serve_yearly_totals(_typed(s, sf))),
+    "cloud_bus_share": lambda s, sf: sv.cloud_bus_share(sv.serve_yearly_totals(_typed(s, sf))),
+    "cloud_road_category": lambda s, sf: sv.cloud_road_category(sv.serve_road_category_by_year(_typed(s, sf))),
+    "cloud_top_roads": lambda s, sf: sv.cloud_top_roads(sv.serve_top_roads_by_year(_typed(s, sf))),
+    "cloud_hotspots": lambda s, sf: sv.cloud_hotspots(sv.serve_geo_hotspots(_typed(s, sf))),
     "chart_feeds": _chart_feeds,
     "roads_with_traffic": lambda s, sf: sv.roads_with_traffic(
-        landing_for(s, sf).table("road_segments"), _raw(s, sf)),
+        landing_for(s, sf).table("road_segments"), _typed(s, sf)),
     "roads_with_traffic_2023": lambda s, sf: sv.roads_with_traffic(
-        landing_for(s, sf).table("road_segments"), _raw(s, sf), 2023),
+        landing_for(s, sf).table("road_segments"), _typed(s, sf), 2023),
     "roads_geojson": _roads_geojson,
 }
 
@@ -233,21 +237,26 @@ def _profile_files(s, sf):
 
 
 def export_reports(spark, sf, names=None):
-    """Run the exported reports and write one CSV per report; a failing
-    report is recorded and the others still run."""
+    """Run the exported reports and write one CSV per report (submitted as
+    concurrent Spark jobs); a failing report is recorded and the others
+    still run."""
+    from concurrent.futures import ThreadPoolExecutor
+
     from .sources.sinks import write_csv
 
     wh = warehouse_for(spark, sf)
     out = new_output_dir(spark, "reports")
-    rows = []
-    for name in names or EXPORTED:
+
+    def one(name):
         try:
-            df = getattr(reports, name)(wh)
-            write_csv(df, f"{out}/{name}", single_file=True)
+            write_csv(getattr(reports, name)(wh), f"{out}/{name}", single_file=True)
             n = spark.read.option("header", True).csv(f"{out}/{name}").count()
-            rows.append((name, "OK", n))
+            return (name, "OK", n)
         except Exception as e:  # noqa: BLE001
-            rows.append((name, f"ERROR {type(e).__name__}", None))
+            return (name, f"ERROR {type(e).__name__}", None)
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        rows = list(pool.map(one, names or EXPORTED))
     return spark.createDataFrame(rows, "report string, status string, rows bigint")
 
 
@@ -273,7 +282,7 @@ QUALITY = {
     "compare_datasets": lambda s, sf: dq.compare_datasets(_raw(s, sf), etl_pages_flatten(s, sf)),
     "count_points_profile": lambda s, sf: dq.count_points_profile(_points(s, sf)),
     "reconcile_direction_sums": lambda s, sf: dq.reconcile_direction_sums(
-        _raw(s, sf), landing_for(s, sf).table("full_aadf")),
+        _typed(s, sf), landing_for(s, sf).table("full_aadf")),
     "reconcile_subset": lambda s, sf: dq.reconcile_subset(
         landing_for(s, sf).table("subset_aadf"), landing_for(s, sf).table("full_aadf")),
     "reconcile_id_overlap": lambda s, sf: dq.reconcile_id_overlap(

@@ -25,8 +25,18 @@ RAW_TABLES = {
     "full_aadf": lambda land: standin.full_aadf(land.spark, land.sf_dir, land.table("raw_aadf")),
     "subset_aadf": lambda land: standin.subset_aadf(land.spark, land.sf_dir, land.table("full_aadf")),
     "road_segments": lambda land: standin.road_segments(land.spark, land.sf_dir),
+    # the direction extract with its text measures parsed once (numbers as
+    # written, unparsable text -> NULL, nothing clamped or filtered): the
+    # raw-extract analyses scan this instead of re-parsing text per query
+    "raw_aadf_typed": lambda land: _typed(land.table("raw_aadf")),
 }
 
+
+def _typed(raw: DataFrame) -> DataFrame:
+    from ..plans.analyses import as_numbers
+
+    return as_numbers(raw)
+
 _LOCK = threading.RLock()
 _CACHE: dict = {}
 
