@@ -70,11 +70,17 @@ def present_values(df: DataFrame, col: str, allowed: list) -> list:
 # AADF analyses
 # --------------------------------------------------------------------------
 
+MAX_PIVOT_VALUES = 1000
+
+
 def estimation_method_by_year(raw: DataFrame, methods: list | None = None) -> DataFrame:
     """Year x estimation-method row counts, total and counted share."""
     base = keys_present(raw, ["year", "estimation_method"])
     if methods is None:
-        methods = sorted(r[0] for r in base.select("estimation_method").distinct().limit(1000).collect())
+        found = base.select("estimation_method").distinct().limit(MAX_PIVOT_VALUES + 1).collect()
+        if len(found) > MAX_PIVOT_VALUES:
+            raise ValueError(f"more than {MAX_PIVOT_VALUES} estimation methods: pass them explicitly")
+        methods = sorted(r[0] for r in found)
     g = base.groupBy("year").pivot("estimation_method", methods).agg(F.count(F.lit(1))).na.fill(0, methods)
     g = g.withColumn("total", reduce(lambda a, b: a + b, [F.col(m) for m in methods]))
     if "Counted" in methods:

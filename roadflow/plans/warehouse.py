@@ -233,7 +233,8 @@ class Warehouse:
         """A view of this warehouse whose fact is filtered by ``condition``."""
         view = Warehouse(self.spark, self.root, self.manifest)
         view._fact_root = getattr(self, "_fact_root", None)
-        view._fact_filter = condition
+        current = getattr(self, "_fact_filter", None)
+        view._fact_filter = condition if current is None else (current & condition)
         return view
 
     def dim(self, name: str, broadcast: bool = True) -> DataFrame:

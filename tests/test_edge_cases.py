@@ -122,3 +122,25 @@ def test_validate_on_raw_extract(spark):
     found = {(r.issue, r.detail) for r in queries()["etl_validate_aadf"](spark, SMALL_SF).collect()}
     assert ("invalid_directions", "X") in found and ("negative_cars_and_taxis", None) in found
     assert F is not None
+
+
+def test_reports_on_empty_fact(spark):
+    """Every warehouse report runs on an empty fact and returns no NULL-key noise."""
+    from roadflow.registry import WAREHOUSE_REPORTS
+
+    empty = _small_warehouse(spark).where_fact(F.lit(False))
+    for name in WAREHOUSE_REPORTS:
+        rows = getattr(reports, name)(empty).collect()
+        if name in ("table_row_counts", "regions_list"):
+            continue
+        if name == "national_vehicle_mix":  # a global aggregate: one row per vehicle type, all NULL
+            assert all(r.Total is None for r in rows)
+            continue
+        assert rows == [], name
+
+
+def test_growth_without_base_year(spark):
+    wh = _small_warehouse(spark).where_fact(F.col("DateKey") != 2018)
+    assert reports.local_authority_growth(wh).count() == 0
+    full = reports.local_authority_growth(_small_warehouse(spark)).count()
+    assert full > 0
