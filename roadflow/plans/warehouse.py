@@ -170,22 +170,20 @@ def load_stats(keyed: DataFrame) -> DataFrame:
     )
 
 
-def write_fact(fact: DataFrame, path: str, mode: str = "overwrite", years: int = YEAR_MAX - YEAR_MIN + 1) -> None:
+def write_fact(fact: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write fact rows partitioned by year.
 
-    Rows are hash-partitioned on (year, salt) where the salt is a
-    deterministic hash of the whole row folded into ``n / years`` buckets:
-    each task receives about one year's slice, so the number of files stays
-    close to the number of tasks, and a year (or a single count point)
-    holding a third of all rows is still spread evenly over many writers.
+    ``REBALANCE(DateKey)`` clusters each year into few tasks (so files are
+    few and large), and adaptive execution splits any year that is bigger
+    than the advisory partition size (``spark.sql.adaptive.
+    advisoryPartitionSizeInBytes``) into several tasks from the actual
+    shuffle sizes: a year, or a single count point, holding a third of all
+    rows is written by many tasks.  No sampling pass is needed (unlike a
+    range partitioning), so the clean + key lookup upstream runs once.
     Inside each file rows are sorted by count point, so row-group min/max
-    statistics prune point lookups.  No sampling pass is needed (unlike a
-    range partitioning), so the upstream clean + key lookup runs once."""
-    n = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(1, n // max(1, years))
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns if c != "LoadDate"]), F.lit(buckets))
+    statistics prune point lookups."""
     (
-        fact.repartition(n, F.col("DateKey"), salt)
+        fact.hint("rebalance", "DateKey")
         .sortWithinPartitions("DateKey", "CountPointKey")
         .write.mode(mode)
         .partitionBy("DateKey")
