@@ -51,9 +51,9 @@ def main() -> None:
 
     t = time.time()
     land = landing_for(spark, sf_dir)
-    for name in ("raw_aadf", "raw_aadf_typed", "count_points", "raw_counts", "full_aadf", "subset_aadf",
-                 "road_segments"):
-        land.table(name)
+    land.prepare(["raw_aadf", "count_points", "raw_counts", "road_segments"])
+    land.prepare(["raw_aadf_typed", "full_aadf"])
+    land.table("subset_aadf")
     land.pages_path()
     land.csv_path("raw_aadf")
     timings["build_landing"] = round(time.time() - t, 3)

@@ -257,12 +257,26 @@ class Warehouse:
 
 
 def build_dimensions(spark: SparkSession, count_points: DataFrame, root: str) -> Warehouse:
+    """Write the four dimensions.  The independent ones are separate Spark
+    jobs submitted concurrently (the local authority waits for regions)."""
+    from concurrent.futures import ThreadPoolExecutor
+
     wh = Warehouse(spark, root)
-    dim_date(spark).write.mode("overwrite").parquet(wh.path("DimDate"))
-    dim_region(count_points).write.mode("overwrite").parquet(wh.path("DimRegion"))
-    dim_local_authority(count_points, wh.table("DimRegion")).write.mode("overwrite").parquet(
-        wh.path("DimLocalAuthority"))
-    dim_count_point(count_points).write.mode("overwrite").parquet(wh.path("DimCountPoint"))
+
+    def dates():
+        dim_date(spark).write.mode("overwrite").parquet(wh.path("DimDate"))
+
+    def regions_then_authorities():
+        dim_region(count_points).write.mode("overwrite").parquet(wh.path("DimRegion"))
+        dim_local_authority(count_points, wh.table("DimRegion")).write.mode("overwrite").parquet(
+            wh.path("DimLocalAuthority"))
+
+    def points():
+        dim_count_point(count_points).write.mode("overwrite").parquet(wh.path("DimCountPoint"))
+
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        for f in [pool.submit(job) for job in (dates, regions_then_authorities, points)]:
+            f.result()
     for name in DIMS:
         wh.manifest[name] = wh.table(name).count()
     return wh
@@ -333,6 +347,7 @@ def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:
     with _LOCK:
         if key not in _CACHE:
             land = landing_for(spark, sf_dir)
+            land.prepare(["raw_aadf", "count_points"])
             _CACHE[key] = build_warehouse(
                 spark, land.table("raw_aadf"), land.table("count_points"), new_output_dir(spark, "warehouse")
             )

@@ -37,6 +37,10 @@ def _typed(raw: DataFrame) -> DataFrame:
 
     return as_numbers(raw)
 
+
+# Landed tables partitioned by a column (year-filtered analyses prune them).
+PARTITIONED = {"raw_aadf_typed": "year"}
+
 _LOCK = threading.RLock()
 _CACHE: dict = {}
 
@@ -47,24 +51,44 @@ class Landing:
         self.sf_dir = sf_dir
         self.root = root
         self._written: set[str] = set()
+        self._locks: dict[str, threading.Lock] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def _lock(self, name: str) -> threading.Lock:
+        with _LOCK:
+            return self._locks.setdefault(name, threading.Lock())
+
     def table(self, name: str) -> DataFrame:
+        """The landed table (written on first use; one writer per table, so
+        independent tables can be landed concurrently)."""
         if name not in self._written:
-            with _LOCK:
+            with self._lock(name):
                 if name not in self._written:
-                    RAW_TABLES[name](self).write.mode("overwrite").parquet(self.path(name))
+                    df = RAW_TABLES[name](self)
+                    part = PARTITIONED.get(name)
+                    if part:
+                        # few large files per year; AQE splits an oversized year
+                        df.hint("rebalance", part).write.mode("overwrite").partitionBy(part).parquet(self.path(name))
+                    else:
+                        df.write.mode("overwrite").parquet(self.path(name))
                     self._written.add(name)
         return self.spark.read.parquet(self.path(name))
 
+    def prepare(self, names: list[str], parallel: int = 4) -> None:
+        """Land several tables, submitting independent writes concurrently."""
+        from concurrent.futures import ThreadPoolExecutor
+
+        with ThreadPoolExecutor(max_workers=parallel) as pool:
+            list(pool.map(self.table, names))
+
     def csv_path(self, name: str) -> str:
         """The landed table also written as CSV with a header (the form in
         which extracts are delivered)."""
         key = f"{name}_csv"
         if key not in self._written:
-            with _LOCK:
+            with self._lock(key):
                 if key not in self._written:
                     from .sinks import write_csv
 
@@ -76,7 +100,7 @@ class Landing:
         """Folder of JSON page files cut from the raw AADF extract."""
         name = "pages_json"
         if name not in self._written:
-            with _LOCK:
+            with self._lock(name):
                 if name not in self._written:
                     from pyspark.sql import functions as F
 
