@@ -56,15 +56,20 @@ def divide_or_zero(num, den) -> Column:
     return F.coalesce(safe_div(num, den), F.lit(0.0))
 
 
-def coerce_measure(c: str, dtype) -> Column:
-    """Text or number -> non-negative number; unparsable text becomes 0."""
+def coerce_measure(c: str, dtype, target: str = "double") -> Column:
+    """Text or number -> non-negative number of type ``target``; unparsable
+    (or, for decimals, out-of-range) values become 0.  Text is parsed
+    straight into the target type (no double round trip for decimals)."""
     if dtype == "string":
         s = F.trim(F.col(c))
-        parsed = F.when(s.rlike(NUMERIC_PATTERN), s.try_cast("double"))
+        parsed = F.when(s.rlike(NUMERIC_PATTERN), s.try_cast(target))
     else:
-        parsed = F.col(c).cast("double")
-    value = F.coalesce(F.nanvl(parsed, F.lit(0.0)), F.lit(0.0))
-    return F.greatest(value, F.lit(0.0))
+        parsed = F.col(c).try_cast(target)
+    zero = F.lit(0).cast(target)
+    if target == "double":
+        parsed = F.nanvl(parsed, zero)
+    value = F.coalesce(parsed, zero)
+    return F.greatest(value, zero)
 
 
 def literal_map(mapping: dict) -> Column:

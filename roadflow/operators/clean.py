@@ -27,13 +27,14 @@ def keep_predicate(df: DataFrame) -> Column:
     return F.coalesce(cond, F.lit(False))
 
 
-def clean_aadf(df: DataFrame) -> DataFrame:
+def clean_aadf(df: DataFrame, measure_type: str = "double") -> DataFrame:
     """Coerce measures (bad text -> 0, negatives -> 0), drop rows with a
     missing key, an invalid direction or a year outside 2000-2025.  Road
-    category is not filtered.  Measures come out as double."""
+    category is not filtered.  Measures come out as ``measure_type``
+    (double by default; the fact load asks for its decimal type)."""
     dtypes = dict(df.dtypes)
     present = [c for c in VEHICLE_COLS if c in df.columns]
-    coerced = df.withColumns({c: coerce_measure(c, dtypes[c]) for c in present})
+    coerced = df.withColumns({c: coerce_measure(c, dtypes[c], measure_type) for c in present})
     return coerced.where(keep_predicate(df))
 
 

@@ -283,7 +283,7 @@ def build_dimensions(spark: SparkSession, count_points: DataFrame, root: str) ->
 
 
 def load_fact(wh: Warehouse, raw: DataFrame, mode: str = "overwrite") -> None:
-    keyed = attach_keys(clean_aadf(raw), wh.lookups())
+    keyed = attach_keys(clean_aadf(raw, MEASURE_TYPE.simpleString()), wh.lookups())
     write_fact(fact_rows(keyed), wh.path(FACT), mode)
 
 
@@ -329,7 +329,7 @@ def incremental_load(wh: Warehouse, raw: DataFrame, target_years=None) -> DataFr
         return todo
     years = bounded_broadcast(todo.select(F.col("Year").alias("_load_year")), 100_000, known_rows=n_years)
     subset = raw.join(years, raw.year == F.col("_load_year"), "left_semi")
-    keyed = attach_keys(clean_aadf(subset), wh.lookups())
+    keyed = attach_keys(clean_aadf(subset, MEASURE_TYPE.simpleString()), wh.lookups())
     write_fact(fact_rows(keyed), wh.path(FACT), mode="append")
     wh.manifest[FACT] = wh.table(FACT).count() if wh.has(FACT) else 0
     return todo
