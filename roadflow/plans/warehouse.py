@@ -16,7 +16,6 @@ dimension only when its recorded size is under the bound.
 
 from __future__ import annotations
 
-import json
 import os
 import threading
 from functools import reduce
@@ -246,14 +245,13 @@ class Warehouse:
                        self.table("DimCountPoint"), self.manifest)
 
     def save_manifest(self) -> None:
+        """Record table row counts (used for broadcast size checks) next to
+        the tables, written through Spark so any shared file system works."""
         for name in DIMS + [FACT]:
             self.manifest[name] = self.table(name).count()
-        try:
-            os.makedirs(self.root, exist_ok=True)
-            with open(os.path.join(self.root, "_manifest.json"), "w") as fh:
-                json.dump(self.manifest, fh)
-        except OSError:  # remote file systems: the in-memory copy is enough
-            pass
+        rows = sorted(self.manifest.items())
+        self.spark.createDataFrame(rows, "table string, rows bigint").coalesce(1).write.mode(
+            "overwrite").json(self.path("_manifest"))
 
 
 def build_dimensions(spark: SparkSession, count_points: DataFrame, root: str) -> Warehouse:
