@@ -6,7 +6,6 @@ the report collects only those tiny results.
 
 from __future__ import annotations
 
-import os
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -235,7 +234,3 @@ def count_points_profile(points: DataFrame) -> DataFrame:
     return points.agg(
         F.count_distinct("count_point_id").alias("unique_count_points"), F.count(F.lit(1)).alias("total_rows"),
         F.min("year").alias("min_year"), F.max("year").alias("max_year"))
-
-
-def local_exists(path: str) -> bool:
-    return os.path.exists(path)
