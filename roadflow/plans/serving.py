@@ -38,11 +38,23 @@ def _nums(raw: DataFrame) -> DataFrame:
 
 def latest_year_rows(df: DataFrame, year_col: str = "year") -> DataFrame:
     """Rows of the newest year: a one-row aggregate semi-joined back (a
-    broadcast hash join on the year, no cartesian product)."""
+    broadcast hash join on the year, no cartesian product).  Used on
+    derived (year-grain) data, where a separate scalar job would recompute
+    the input."""
     latest = df.agg(F.max(year_col).alias("_latest"))
     return df.join(F.broadcast(latest), F.col(year_col) == F.col("_latest"), "left_semi")
 
 
+def latest_year_partition(df: DataFrame, year_col: str = "year") -> DataFrame:
+    """Rows of the newest year of a year-partitioned source: the newest year
+    is fetched as one scalar (a scan of the partition column only) and then
+    used as a literal predicate, so only that year's files are read."""
+    latest = df.agg(F.max(year_col)).first()[0]
+    if latest is None:
+        return df.limit(0)
+    return df.where(F.col(year_col) == F.lit(latest))
+
+
 def serve_yearly_totals(raw: DataFrame) -> DataFrame:
     df = keys_present(_nums(raw), ["year"])
     return df.groupBy(F.col("year").alias("Year")).agg(
@@ -76,7 +88,7 @@ def serve_geo_hotspots(raw: DataFrame, min_total: float = 10_000) -> DataFrame:
     """Latest year, per point: total traffic and its position (the first
     non-missing latitude / longitude; rows carry no order, so the
     smallest one)."""
-    df = keys_present(latest_year_rows(_nums(raw)), ["count_point_id", "road_name", "region_name"])
+    df = keys_present(latest_year_partition(_nums(raw)), ["count_point_id", "road_name", "region_name"])
     g = df.groupBy(F.col("count_point_id").alias("CountPointID"), F.col("road_name").alias("RoadName"),
                    F.col("region_name").alias("RegionName")).agg(
         psum("all_motor_vehicles").alias("TotalTraffic"),
@@ -87,7 +99,7 @@ def serve_geo_hotspots(raw: DataFrame, min_total: float = 10_000) -> DataFrame:
 
 
 def serve_vehicle_mix(raw: DataFrame) -> DataFrame:
-    df = keys_present(latest_year_rows(_nums(raw)), ["region_name"])
+    df = keys_present(latest_year_partition(_nums(raw)), ["region_name"])
     return df.groupBy(F.col("region_name").alias("RegionName")).agg(
         *[psum(c).alias(a) for a, c in MIX_COLS.items()]).orderBy("RegionName")
 
