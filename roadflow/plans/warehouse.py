@@ -6,9 +6,9 @@ Layout (Parquet under the shared folder):
 * ``DimRegion``, ``DimLocalAuthority``, ``DimCountPoint`` - dense 1..n keys
   in natural-id order (:func:`roadflow.operators.keys.with_dense_key`)
 * ``FactTrafficFlowDirection`` - partitioned by ``DateKey`` (the year), so
-  every year predicate becomes partition pruning; rows are
-  range-partitioned on (DateKey, CountPointKey) before writing so a large
-  year is spread over many writers and files carry tight key ranges.
+  every year predicate becomes partition pruning; written with
+  ``REBALANCE(DateKey)`` so adaptive execution splits an oversized year over
+  many writers, and sorted by count point inside each file.
 
 Row counts of the dimensions are kept in a manifest; joins broadcast a
 dimension only when its recorded size is under the bound.
