@@ -49,15 +49,20 @@ def dq_negative_values(wh: Warehouse) -> DataFrame:
 
 def dq_orphan_facts(wh: Warehouse) -> DataFrame:
     """Fact rows whose key has no dimension row (left joins + null probes).
-    The local-authority key is checked as well."""
-    f = wh.fact.select("DateKey", "CountPointKey", "RegionKey", "LocalAuthorityKey")
+    The local-authority key is checked as well.  Fact rows are first counted
+    per key combination, so the dimension probes run once per combination
+    rather than once per fact row."""
+    keys = ["DateKey", "CountPointKey", "RegionKey", "LocalAuthorityKey"]
+    f = wh.fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     probes = [("DateKey", "DimDate", "OrphanDate"), ("CountPointKey", "DimCountPoint", "OrphanCP"),
               ("RegionKey", "DimRegion", "OrphanRegion"), ("LocalAuthorityKey", "DimLocalAuthority", "OrphanLA")]
     for key, dim, flag in probes:
         d = wh.dim(dim).select(key).distinct().withColumn(flag, F.lit(False))
         f = f.join(d, key, "left")
-    return f.agg(*[F.count_if(F.col(flag).isNull()).alias(flag) for _, _, flag in probes],
-                 F.count(F.lit(1)).alias("TotalRows"))
+    n = F.col("_n")
+    return f.agg(*[F.coalesce(F.sum(F.when(F.col(flag).isNull(), n)), F.lit(0)).alias(flag)
+                   for _, _, flag in probes],
+                 F.coalesce(F.sum(n), F.lit(0)).alias("TotalRows"))
 
 
 def dq_year_coverage(wh: Warehouse) -> DataFrame:
