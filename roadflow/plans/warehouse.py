@@ -248,7 +248,8 @@ class Warehouse:
         """Record table row counts (used for broadcast size checks) next to
         the tables, written through Spark so any shared file system works."""
         for name in DIMS + [FACT]:
-            self.manifest[name] = self.table(name).count()
+            if name == FACT or name not in self.manifest:
+                self.manifest[name] = self.table(name).count()
         rows = sorted(self.manifest.items())
         self.spark.createDataFrame(rows, "table string, rows bigint").coalesce(1).write.mode(
             "overwrite").json(self.path("_manifest"))
