@@ -169,7 +169,7 @@ def load_stats(keyed: DataFrame) -> DataFrame:
     )
 
 
-def write_fact(fact: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_fact(fact: DataFrame, path: str, mode: str = "overwrite", replace_years_only: bool = False) -> None:
     """Write fact rows partitioned by year.
 
     ``REBALANCE(DateKey)`` clusters each year into few tasks (so files are
@@ -181,13 +181,16 @@ def write_fact(fact: DataFrame, path: str, mode: str = "overwrite") -> None:
     range partitioning), so the clean + key lookup upstream runs once.
     Inside each file rows are sorted by count point, so row-group min/max
     statistics prune point lookups."""
-    (
+    writer = (
         fact.hint("rebalance", "DateKey")
         .sortWithinPartitions("DateKey", "CountPointKey")
         .write.mode(mode)
         .partitionBy("DateKey")
-        .parquet(path)
     )
+    if mode == "overwrite":
+        # full refresh replaces every year; a reload replaces only its years
+        writer = writer.option("partitionOverwriteMode", "dynamic" if replace_years_only else "static")
+    writer.parquet(path)
 
 
 # --------------------------------------------------------------------------
@@ -334,6 +337,17 @@ def incremental_load(wh: Warehouse, raw: DataFrame, target_years=None) -> DataFr
     return todo
 
 
+def reload_years(wh: Warehouse, raw: DataFrame, years) -> None:
+    """Re-load the given years from the extract, replacing exactly those
+    year partitions of the fact (dynamic partition overwrite); other years
+    are untouched.  A year with no valid rows keeps its old partition."""
+    wanted = sorted({int(y) for y in years})
+    subset = raw.where(F.col("year").isin(wanted))
+    keyed = attach_keys(clean_aadf(subset, MEASURE_TYPE.simpleString()), wh.lookups())
+    write_fact(fact_rows(keyed), wh.path(FACT), mode="overwrite", replace_years_only=True)
+    wh.manifest[FACT] = wh.table(FACT).count()
+
+
 _LOCK = threading.RLock()
 _CACHE: dict = {}
 

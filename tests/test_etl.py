@@ -24,3 +24,21 @@ def test_full_then_incremental_from_csv(spark):
     steps = {r.step: r for r in run_etl(spark, aadf, points, root, incremental=True).collect()}
     assert "[1990]" in steps["load"].detail  # the only source year never loadable
     assert Warehouse(spark, root).table("FactTrafficFlowDirection").count() == fact_rows
+
+
+def test_reload_replaces_only_given_years(spark):
+    from pyspark.sql import functions as F
+
+    from roadflow.plans import warehouse as whm
+
+    land = landing_for(spark, SMALL_SF)
+    raw = land.table("raw_aadf")
+    wh = warehouse_for(spark, SMALL_SF).with_new_fact(new_output_dir(spark, "reload"))
+    whm.load_fact(wh, raw)
+    before = {r.DateKey: r["count"] for r in wh.fact.groupBy("DateKey").count().collect()}
+    # reload 2023 from an extract holding only half of that year's rows
+    half = raw.where((F.col("year") != 2023) | (F.col("count_point_id") % 2 == 0))
+    whm.reload_years(wh, half, [2023])
+    after = {r.DateKey: r["count"] for r in wh.fact.groupBy("DateKey").count().collect()}
+    assert {k: v for k, v in after.items() if k != 2023} == {k: v for k, v in before.items() if k != 2023}
+    assert 0 < after[2023] < before[2023]
