@@ -258,7 +258,8 @@ EXTRA = {
               coalesce(SUM(CASE WHEN direction_of_travel = 'E' THEN flow END), 0.0) AS E,
               coalesce(SUM(CASE WHEN direction_of_travel = 'N' THEN flow END), 0.0) AS N,
               coalesce(SUM(CASE WHEN direction_of_travel = 'S' THEN flow END), 0.0) AS S,
-              coalesce(SUM(CASE WHEN direction_of_travel = 'W' THEN flow END), 0.0) AS W
+              coalesce(SUM(CASE WHEN direction_of_travel = 'W' THEN flow END), 0.0) AS W,
+              coalesce(SUM(CASE WHEN direction_of_travel = 'X' THEN flow END), 0.0) AS X
             FROM imb_perdir GROUP BY count_point_id, year, road_name""",
     },
 }

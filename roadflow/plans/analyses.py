@@ -164,22 +164,28 @@ DIRS = ["E", "N", "S", "W"]
 
 
 def directional_imbalance_pivot(raw: DataFrame, year: int = 2023, n: int = 50) -> DataFrame:
-    """Per point, year and road: flow per direction (N/S/E/W, missing = 0),
-    max, min and max / (min, or 1 when min is 0); top ``n`` of ``year``.
+    """Per point, year and road: flow per direction (missing = 0), max, min
+    and max / (min, or 1 when min is 0); top ``n`` of ``year``.
 
-    Direction columns are those that occur anywhere in the directed rows
-    (a bounded set of at most four values)."""
+    Every non-'C' direction value that occurs becomes a column (invalid
+    values such as 'X' included, as in the source pivot); max and min run
+    over the N/S/E/W columns present.  The column list is a small distinct
+    set, checked against a bound."""
     keys = ["count_point_id", "year", "road_name"]
     directed = keys_present(as_numbers(raw, ["all_motor_vehicles"]), keys + ["direction_of_travel"]).where(
         F.col("direction_of_travel") != "C")
-    present = present_values(directed, "direction_of_travel", DIRS)
+    found = directed.select("direction_of_travel").distinct().limit(MAX_PIVOT_VALUES + 1).collect()
+    if len(found) > MAX_PIVOT_VALUES:
+        raise ValueError(f"more than {MAX_PIVOT_VALUES} direction values")
+    columns = sorted(r[0] for r in found)
+    present = [d for d in DIRS if d in columns]
     per_dir = directed.where(F.col("year") == year).groupBy(*keys, "direction_of_travel").agg(
         psum("all_motor_vehicles").alias("flow"))
     if len(present) < 2:
         return per_dir.limit(0)
     piv = per_dir.groupBy(*keys).agg(
         *[F.coalesce(F.sum(F.when(F.col("direction_of_travel") == d, F.col("flow"))), F.lit(0.0)).alias(d)
-          for d in present]
+          for d in columns]
     )
     piv = piv.withColumn("max_dir", F.greatest(*[F.col(d) for d in present])).withColumn(
         "min_dir", F.least(*[F.col(d) for d in present]))
