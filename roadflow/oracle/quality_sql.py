@@ -99,9 +99,9 @@ SQL = {
         FROM (SELECT count_point_id, year, coalesce(SUM({parsed('all_motor_vehicles')}), 0.0) AS mv FROM raw_aadf
               WHERE count_point_id IS NOT NULL AND year IS NOT NULL GROUP BY count_point_id, year) s
         JOIN full_aadf f ON s.count_point_id = f.count_point_id AND s.year = f.year""",
-    "reconcile_subset": """SELECT CASE WHEN f.hit THEN 'both' ELSE 'left_only' END AS _merge, count(*) AS count
-        FROM subset_aadf s LEFT JOIN (SELECT DISTINCT count_point_id, year, true AS hit FROM full_aadf) f
-          ON s.count_point_id = f.count_point_id AND s.year = f.year
+    "reconcile_subset": """SELECT CASE WHEN f.count_point_id IS NOT NULL THEN 'both' ELSE 'left_only' END AS _merge,
+          count(*) AS count
+        FROM subset_aadf s LEFT JOIN full_aadf f ON s.count_point_id = f.count_point_id AND s.year = f.year
         GROUP BY 1""",
     "reconcile_id_overlap": """SELECT
         (SELECT count(*) FROM (SELECT DISTINCT count_point_id FROM subset_aadf WHERE count_point_id IS NOT NULL

@@ -154,13 +154,16 @@ def reconcile_direction_sums(direction_rows: DataFrame, full: DataFrame) -> Data
 
 
 def reconcile_subset(sample: DataFrame, full: DataFrame) -> DataFrame:
-    """Is every (point, year) of the sample in the full set?  Left join with
-    a match indicator, then value counts of the indicator."""
+    """Is every (point, year) of the sample in the full set?  Value counts
+    of a left-join match indicator.  A sample row matching k full rows
+    counts k times (left-join semantics), computed from per-key counts of
+    the full set, so no row pairs are ever materialised."""
     keys = ["count_point_id", "year"]
-    right = full.select(*keys).distinct().withColumn("_hit", F.lit(True))
+    right = full.groupBy(*keys).agg(F.count(F.lit(1)).alias("_k"))
     j = sample.select(*keys).join(right, keys, "left")
-    return j.groupBy(F.when(F.col("_hit"), "both").otherwise("left_only").alias("_merge")).agg(
-        F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"))
+    rows = F.coalesce(F.col("_k"), F.lit(1))
+    return j.groupBy(F.when(F.col("_k").isNotNull(), "both").otherwise("left_only").alias("_merge")).agg(
+        F.sum(rows).cast("bigint").alias("count")).orderBy(F.desc("count"))
 
 
 def reconcile_id_overlap(sample: DataFrame, full: DataFrame) -> DataFrame:

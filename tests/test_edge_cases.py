@@ -144,3 +144,13 @@ def test_growth_without_base_year(spark):
     assert reports.local_authority_growth(wh).count() == 0
     full = reports.local_authority_growth(_small_warehouse(spark)).count()
     assert full > 0
+
+
+def test_reconcile_subset_counts_duplicate_matches(spark):
+    from roadflow.plans.quality import reconcile_subset
+
+    sample = spark.createDataFrame([(1, 2020), (2, 2020), (3, 2020)], "count_point_id bigint, year int")
+    full = spark.createDataFrame([(1, 2020, 1.0), (1, 2020, 2.0), (2, 2020, 3.0)],
+                                 "count_point_id bigint, year int, all_motor_vehicles double")
+    out = {r._merge: r["count"] for r in reconcile_subset(sample, full).collect()}
+    assert out == {"both": 3, "left_only": 1}
