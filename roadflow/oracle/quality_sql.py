@@ -56,12 +56,15 @@ def _profile(name, cols, has_points):
 PROFILE = " UNION ALL ".join([_profile(n, c, p) for n, (c, p) in FILES.items()]) + \
     (" UNION ALL SELECT 'local_authority_traffic', 'MISSING', NULL, NULL, NULL, NULL, NULL, NULL")
 
-EXPORTED = [
-    "regional_traffic_summary", "top_busiest_roads", "yoy_growth_trend", "hgv_passenger_mix",
-    "local_authority_growth", "road_category_distribution", "geospatial_hotspots", "covid_impact",
-    "cycling_share_export", "lgv_growth_trend", "motorway_vs_aroad", "hgv_axle_breakdown",
-    "bus_coach_decline", "motorcycle_trends",
-]
+EXPORTS = {  # export name -> report whose rows are written
+    "regional_traffic_summary": "regional_traffic_summary", "top_busiest_roads": "top_busiest_roads",
+    "yoy_growth_trend": "yoy_growth_trend", "hgv_passenger_mix": "hgv_passenger_mix",
+    "local_authority_growth": "local_authority_growth", "road_category_distribution": "road_category_distribution",
+    "geospatial_hotspots": "geospatial_hotspots", "covid_impact": "covid_impact",
+    "cycling_trends": "cycling_share_export", "lgv_ecommerce_trend": "lgv_growth_trend",
+    "motorway_vs_aroad": "motorway_vs_aroad", "hgv_axle_breakdown": "hgv_axle_breakdown",
+    "bus_coach_decline": "bus_coach_decline", "motorcycle_trends": "motorcycle_trends",
+}
 
 SQL = {
     "dq_row_counts": ROW_COUNTS,
@@ -108,7 +111,7 @@ SQL = {
                                INTERSECT SELECT DISTINCT count_point_id FROM full_aadf) i) AS shared_ids,
         (SELECT count(DISTINCT count_point_id) FROM subset_aadf) AS sample_ids""",
     "export_reports": " UNION ALL ".join(
-        f"SELECT '{n}' AS report, 'OK' AS status, count(*) AS rows FROM ({REPORT_SQL[n]}) t" for n in EXPORTED),
+        f"SELECT '{n}' AS report, 'OK' AS status, count(*) AS rows FROM ({REPORT_SQL[r]}) t" for n, r in EXPORTS.items()),
 }
 
 

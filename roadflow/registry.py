@@ -239,7 +239,7 @@ def _profile_files(s, sf):
 def export_reports(spark, sf, names=None):
     """Run the exported reports and write one CSV per report (submitted as
     concurrent Spark jobs); a failing report is recorded and the others
-    still run."""
+    still run.  Export names and column sets follow the published exports."""
     from concurrent.futures import ThreadPoolExecutor
 
     from .sources.sinks import write_csv
@@ -248,24 +248,38 @@ def export_reports(spark, sf, names=None):
     out = new_output_dir(spark, "reports")
 
     def one(name):
+        report, columns = EXPORTS[name]
         try:
-            write_csv(getattr(reports, name)(wh), f"{out}/{name}", single_file=True)
+            df = getattr(reports, report)(wh)
+            write_csv(df.select(*columns) if columns else df, f"{out}/{name}", single_file=True)
             n = spark.read.option("header", True).csv(f"{out}/{name}").count()
             return (name, "OK", n)
         except Exception as e:  # noqa: BLE001
             return (name, f"ERROR {type(e).__name__}", None)
 
     with ThreadPoolExecutor(max_workers=4) as pool:
-        rows = list(pool.map(one, names or EXPORTED))
+        rows = list(pool.map(one, names or list(EXPORTS)))
     return spark.createDataFrame(rows, "report string, status string, rows bigint")
 
 
-EXPORTED = [
-    "regional_traffic_summary", "top_busiest_roads", "yoy_growth_trend", "hgv_passenger_mix",
-    "local_authority_growth", "road_category_distribution", "geospatial_hotspots", "covid_impact",
-    "cycling_share_export", "lgv_growth_trend", "motorway_vs_aroad", "hgv_axle_breakdown",
-    "bus_coach_decline", "motorcycle_trends",
-]
+# export name -> (report, columns written; None = all)
+EXPORTS = {
+    "regional_traffic_summary": ("regional_traffic_summary", None),
+    "top_busiest_roads": ("top_busiest_roads", None),
+    "yoy_growth_trend": ("yoy_growth_trend", None),
+    "hgv_passenger_mix": ("hgv_passenger_mix", None),
+    "local_authority_growth": ("local_authority_growth", None),
+    "road_category_distribution": ("road_category_distribution", None),
+    "geospatial_hotspots": ("geospatial_hotspots", None),
+    "covid_impact": ("covid_impact", None),
+    "cycling_trends": ("cycling_share_export", None),
+    "lgv_ecommerce_trend": ("lgv_growth_trend", ["Year", "TotalLGVs", "TotalMotor", "LGV_Share_Pct"]),
+    "motorway_vs_aroad": ("motorway_vs_aroad", ["Year", "Motorway_Flow", "ARoad_Flow", "Minor_Flow"]),
+    "hgv_axle_breakdown": ("hgv_axle_breakdown",
+                           ["Year", "Rigid2", "Rigid3", "Rigid4Plus", "Artic3_4", "Artic5", "Artic6", "TotalHGV"]),
+    "bus_coach_decline": ("bus_coach_decline", None),
+    "motorcycle_trends": ("motorcycle_trends", ["Year", "TotalMotorcycles", "Motorcycle_SharePct"]),
+}
 
 QUALITY = {
     "dq_row_counts": lambda s, sf: dq.dq_row_counts(warehouse_for(s, sf)),
