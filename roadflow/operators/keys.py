@@ -16,12 +16,27 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
+from .joins import estimated_bytes
+
+
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def partitions_for(df: DataFrame) -> int:
+    """Range partitions sized from the optimizer's estimate (~128 MB each),
+    capped by ``spark.sql.shuffle.partitions``: a small dimension gets a
+    handful of partitions, a large input as many as the session allows."""
+    cap = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = estimated_bytes(df)
+    if size is None:
+        return cap
+    return max(1, min(cap, -(-size // TARGET_PARTITION_BYTES)))
 
 
 def with_dense_key(df: DataFrame, key: str, order_cols: list[str], num_partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     shared_dir(spark)  # make sure a checkpoint folder is registered
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or partitions_for(df)
     tagged = (
         df.repartitionByRange(n, *order_cols)
         .sortWithinPartitions(*order_cols)
