@@ -174,3 +174,30 @@ def survivors(docs: DataFrame, verdict: DataFrame, id_col: str, text_col: str) -
     on = keyed[id_col].eqNullSafe(F.col("__again_id")) & (keyed[key] == F.col("__again_key"))
     copies = keyed.join(again, on, "left_semi").dropDuplicates([id_col, key])
     return keyed.join(again, on, "left_anti").unionByName(copies).drop(key)
+
+
+def replace_spans(text: Column, spans: Column, label: Callable[[Column], Column]) -> Column:
+    """``text`` with each span (sorted by start) replaced by ``label(span)``; of overlapping spans the first counts."""
+    def step(acc: Column, s: Column) -> Column:
+        taken = F.struct(
+            F.concat(acc["out"], F.substring(text, acc["end"] + 1, s["start"] - acc["end"]), label(s)).alias("out"),
+            s["end"].cast("int").alias("end"))
+        return F.when(s["start"] >= acc["end"], taken).otherwise(acc)
+
+    zero = F.struct(F.lit("").alias("out"), F.lit(0).alias("end"))
+    done = F.aggregate(spans, zero, step, lambda acc: F.concat(
+        acc["out"], F.substring(text, acc["end"] + 1, F.length(text))))
+    return F.when(F.size(spans) > 0, done).otherwise(text)
+
+
+def ordered(spans: Column, kinds: list[str], kind_first: bool) -> Column:
+    """Spans as (start, end, kind), by start then kind in the order of ``kinds``, or by kind first."""
+    place = F.array(*[F.lit(k) for k in kinds])
+
+    def key(s: Column) -> Column:
+        at = F.array_position(place, s["kind"]).alias("at")
+        first = [at, s["start"].alias("start")] if kind_first else [s["start"].alias("start"), at]
+        return F.struct(*first, s["end"].alias("end"), s["kind"].alias("kind"))
+
+    return F.transform(F.array_sort(F.transform(spans, key)), lambda s: F.struct(
+        s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))

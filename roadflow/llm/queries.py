@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, quality, simhash
-from .common import table
+from . import bpe, decontaminate, exact_dedup, licenses, line_dedup, pii, quality, secrets, simhash, toxicity
+from .common import n_of, span_text, table
 
 
 def tokenizer_path() -> str:
@@ -23,6 +23,13 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"].isin(secrets.BASE_KINDS))
+    return found.select("doc_id", *[n_of(F.col("spans"), k).alias(f"n_{k}") for k in secrets.BASE_KINDS],
+                        F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
+
+
 def encoded(docs: DataFrame) -> DataFrame:
     """doc_id, ids, and the digests of ids and of the text decoded from them."""
     path = tokenizer_path()
@@ -36,6 +43,23 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(table(spark, sf_dir, "documents")).drop("ids")
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(pii.KINDS))
+    return found.select(F.col("id").alias("doc_id"), *[n_of(F.col("spans"), k).alias(f"n_{k}") for k in pii.KINDS],
+                        F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
+
+
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = licenses.scan(docs, licenses.train(docs))
+    return found.select(
+        F.col("id").alias("doc_id"), F.size("licenses").cast("long").alias("n_licenses"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform("licenses", lambda x: x["family"]))), ",").alias("families"),
+        F.array_join(F.transform("licenses", lambda x: F.concat_ws(
+            ":", x["family"], x["start"].cast("string"), x["end"].cast("string"))), ",").alias("spans"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     names = F.array_sort(F.transform("items", lambda i: i.cast("string")))
@@ -58,12 +82,34 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs.select("doc_id", "text"), model).select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), *[f"p_{c}" for c in toxicity.CATEGORIES],
+        (F.col("p_toxic") >= 0.5).alias("toxic"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.scan(table(spark, sf_dir, "documents"))
+    lines = F.aggregate("removed", F.lit(0).cast("long"), lambda a, r: a + r["lines"])
+    return found.select(
+        F.col("id").alias("doc_id"), "n_lines", "n_chunks", F.size("removed").cast("long").alias("n_removed_chunks"),
+        lines.alias("n_removed_lines"), F.array_join(F.transform("removed", lambda r: F.concat_ws(
+            ":", r["first"].cast("string"), (r["first"] + r["lines"]).cast("string"))), ",").alias("removed"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_secrets": op2_secrets,
     "op3_bpe": op3_bpe,
+    "op4_pii": op4_pii,
+    "op5_licenses": op5_licenses,
     "op6_decontaminate": op6_decontaminate,
     "op7_simhash": op7_simhash,
     "op8_quality": op8_quality,
+    "op9_toxicity": op9_toxicity,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 OP1_SQL = r"""
