@@ -1,9 +1,12 @@
 """Benchmark decontamination with DataFrame functions only.
 
 Benchmark windows (ten consecutive words, or the whole of a shorter item) form
-a hash set that is broadcast in blocks of a proven size; the words of each
-document are hashed, combined into window hashes by doubling (1, 2, 4, 8, 8+2
-words), probed against the set, and every hit is verified word by word.
+a hash set that is broadcast in parts of a proven size. Wherever a window of m
+words stands in a document, it holds a whole block of (m + 1) / 2 words that
+starts at a multiple of that number. So the set has each window under the
+hashes of all its blocks, only the document's aligned blocks are probed, and
+every probe that hits is verified by comparing the window word by word. No
+window is missed, and the words are looked up five times less often.
 
 Defined results: null or empty texts have no words and are clean; items
 without words have no windows; a null item id marks words as hit but is not
@@ -32,75 +35,76 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(text), NOT_WORD), "")
 
 
-def _pair(a: Column, b: Column) -> Column:
-    return F.xxhash64(a, b)
+def block_size(length: int) -> int:
+    """The longest aligned block that every place of a window of ``length`` words contains whole."""
+    return (length + 1) // 2
 
 
-def window_hashes(hashes: Column, length: int) -> Column:
-    """Entry i is the hash of the ``length`` words from word i on; entries near the end are of no use."""
-    def doubled(h: Column, size: int) -> Column:
-        return F.zip_with(h, F.slice(h, F.lit(size + 1), F.greatest(F.size(h), F.lit(1))), _pair)
-
-    def grow(h: Column, size: int, left: int, done: Column | None, done_size: int) -> Column:
-        # done: windows of done_size words, made of the powers of two already used.
-        if left & 1:
-            if done is None:
-                done, done_size = h, size
-            else:
-                done = F.zip_with(h, F.slice(done, F.lit(size + 1), F.greatest(F.size(h), F.lit(1))), _pair)
-                done_size += size
-        left >>= 1
-        if not left:
-            return done
-        kept, kept_size = done, done_size
-        return let(doubled(h, size), lambda twice: grow(twice, 2 * size, left, kept, kept_size))
-
-    return let(hashes, lambda h: grow(h, 1, length, None, 0))
+def block_hash(words: str, start: Column, size: int) -> Column:
+    return F.xxhash64(*[F.get(words, start + i) for i in range(size)])
 
 
 def benchmark_windows(bench: DataFrame, item_col: str = "item_id", text_col: str = "text",
                       window: int = WINDOW) -> DataFrame:
-    """Distinct windows: words, length, items (ids of the items that contain it), hash."""
+    """Distinct windows: words, length, items (ids of the items that contain it)."""
     items = bench.select(F.col(item_col).alias("item"), words_of(text_of(text_col)).alias("all")).filter(
         F.size("all") > 0).withColumn("length", F.least(F.size("all"), F.lit(window)))
     each = items.select("item", "length", "all", F.explode(F.sequence(
         F.lit(0), F.size("all") - F.col("length"))).alias("at"))
     each = each.select("item", "length", F.slice("all", F.col("at") + 1, F.col("length")).alias("words"))
-    sets = each.groupBy("words", "length").agg(F.collect_set("item").alias("items"))
-    hashed = F.transform("words", lambda w: F.xxhash64(w))
-    by_length = reduce(
-        lambda e, n: e.when(F.col("length") == n, F.get(window_hashes(hashed, n), F.lit(0))),
-        range(2, window + 1), F.when(F.col("length") == 1, F.get(hashed, F.lit(0))))
-    return sets.withColumn("hash", by_length)
+    return each.groupBy("words", "length").agg(F.collect_set("item").alias("items"))
+
+
+def window_blocks(windows: DataFrame, lengths: list[int]) -> DataFrame:
+    """Each window under the hash of each of its blocks: hash, offset (of the block), words, length, items."""
+    def size(make):
+        return reduce(lambda e, n: e.when(F.col("length") == n, make(block_size(n))), lengths[1:],
+                      F.when(F.col("length") == lengths[0], make(block_size(lengths[0]))))
+
+    each = windows.withColumn("offset", F.explode(F.sequence(F.lit(0), F.col("length") - size(F.lit))))
+    return each.withColumn("hash", size(lambda b: block_hash("words", F.col("offset"), b)))
 
 
 def find_hits(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               item_col: str = "item_id", bench_text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """id, key, hits (array of at, length: merged word ranges), items, n_hit for each contaminated text."""
     windows = materialise(benchmark_windows(bench, item_col, bench_text_col, window), "windows")
-    size = windows.agg(F.sum(F.lit(ROW_BYTES) + F.length(F.array_join("words", " ")) + 16 * F.size("items"))).first()[0]
-    lengths = sorted(r[0] for r in windows.select("length").distinct().collect())  # at most ``window``
-    blocks = max(1, -(-(size or 0) // BROADCAST_BYTES))
+    # At most ``window`` lengths; an empty benchmark goes the same way with no rows.
+    lengths = sorted(r[0] for r in windows.select("length").distinct().collect()) or [window]
+    blocks = materialise(window_blocks(windows, lengths), "blocks")
+    width = F.lit(ROW_BYTES) + F.length(F.array_join("words", " ")) + 16 * F.size("items")
+    parts = max(1, -(-(blocks.agg(F.sum(width)).first()[0] or 0) // BROADCAST_BYTES))
+
     texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    hashed = texts.select("id", content_key(F.col("text")).alias("key"), words_of(F.col("text")).alias("doc")).filter(
-        F.size("doc") > 0).withColumn("one", F.transform("doc", lambda w: F.xxhash64(w)))
-    probes = hashed.select("id", "key", "doc", F.size("doc").alias("n"), F.posexplode(
-        F.concat(*[window_hashes(F.col("one"), n) for n in lengths] or [F.array().cast("array<bigint>")])).alias(
-            "slot", "hash"))
-    probes = probes.select("id", "key", "doc", "hash", (F.col("slot") % F.col("n")).alias("at"))
-
-    def block(b: int) -> DataFrame:
-        part = windows.filter(F.pmod("hash", F.lit(blocks)) == b) if blocks > 1 else windows
-        found = probes.join(F.broadcast(part), "hash")
-        # A lambda, so that the comparison is no join key and only probes that hit pay for it.
-        same = F.forall(F.sequence(F.lit(0), F.col("length") - 1),
-                        lambda k: F.get("doc", F.col("at") + k).eqNullSafe(F.get("words", k)))
-        return found.filter(same).select("id", "key", "at", "length", "items")
-
-    hits = reduce(DataFrame.unionByName, [block(b) for b in range(blocks)])
+    words = texts.select("id", content_key(F.col("text")).alias("key"), words_of(F.col("text")).alias("doc"))
+    # A slot holds where a block starts and its size, as start * (window + 1) + size. It is computed from the words
+    # themselves: generated code makes a column at its first use, and that has to come before the loop over the slots.
+    sizes, base = sorted({block_size(n) for n in lengths}), window + 1
+    n = F.size("doc").cast("long")
+    slots = F.concat(*[F.when(n >= b, F.sequence(
+        F.lit(b).cast("long"), (F.floor(n / b) - 1) * b * base + b, F.lit(b * base).cast("long"))).otherwise(
+        F.array().cast("array<bigint>")) for b in sizes])
+    probes = words.select("id", "key", "doc", F.explode(slots).alias("slot")).select(
+        "id", "key", "doc", F.floor(F.col("slot") / base).cast("int").alias("start"), (F.col("slot") % base).alias("size"))
+    probes = probes.withColumn("hash", reduce(
+        lambda e, b: e.when(F.col("size") == b, block_hash("doc", F.col("start"), b)), sizes[1:],
+        F.when(F.col("size") == sizes[0], block_hash("doc", F.col("start"), sizes[0]))))
+
+    def hits_of(part: int) -> DataFrame:
+        table = blocks.filter(F.pmod("hash", F.lit(parts)) == part) if parts > 1 else blocks
+        at = F.col("start") - F.col("offset")
+        found = probes.join(F.broadcast(table), "hash").filter(
+            (at >= 0) & (at + F.col("length") <= F.size("doc")))
+        # A column that the aggregate tests: as a filter it would become part of the join, which then could not run in
+        # generated code and would copy the words of every probe.
+        same = F.forall(F.sequence(F.lit(0), F.col("length") - 1), lambda k: F.get("doc", at + k) == F.get("words", k))
+        return found.select("id", "key", at.alias("at"), "length", "items", same.alias("same"))
+
+    hits = reduce(DataFrame.unionByName, [hits_of(p) for p in range(parts)])
     grouped = hits.groupBy("id", "key").agg(
-        F.array_sort(F.collect_set(F.struct("at", "length"))).alias("found"),
-        F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
+        F.array_sort(F.collect_set(F.when(F.col("same"), F.struct("at", "length")))).alias("found"),
+        F.array_distinct(F.flatten(F.collect_set(F.when(F.col("same"), F.col("items"))))).alias("items")).filter(
+        F.size("found") > 0)
     # found is sorted, so each hit adds what lies past the end of those before it.
     covered = F.aggregate(
         "found", F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")),
@@ -115,7 +119,7 @@ def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
     """id, n_words, n_hit, items for each row of ``docs``, clean ones too."""
     texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     counts = texts.select("id", content_key(F.col("text")).alias("key"),
-                          F.regexp_count("text", F.lit(WORD_RAW)).cast("long").alias("n_words"))
+                          F.size(F.array_remove(F.split("text", NOT_WORD_RAW), "")).cast("long").alias("n_words"))
     hits = find_hits(docs, bench, id_col, text_col).select(
         F.col("id").alias("hit_id"), F.col("key").alias("hit_key"), "n_hit", "items")
     return counts.join(hits, counts["id"].eqNullSafe(hits["hit_id"]) & (counts["key"] == hits["hit_key"]), "left").select(
@@ -136,7 +140,7 @@ def cut_spans(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_co
     text = text_of(text_col)
     joined = docs.join(hits, docs[id_col].eqNullSafe(F.col("__hit_id"))
                        & (content_key(text_of(text_col)) == F.col("__hit_key")), "left")
-    words, gaps = F.regexp_extract_all(text, F.lit(WORD_RAW), F.lit(0)), F.split(text, WORD_RAW, -1)
+    words, gaps = F.array_remove(F.split(text, NOT_WORD_RAW), ""), F.split(text, WORD_RAW, -1)
     kept = let(words, lambda w: let(gaps, lambda g: F.concat(
         F.array_join(F.transform(
             F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: ~F.exists(
