@@ -60,7 +60,8 @@ TEMPLATES = {
 UNKNOWN = "unknown"
 FAMILIES = [UNKNOWN, *TEMPLATES]
 SAMPLE, CONTAINMENT, CONFIDENCE = 2000, 0.6, 0.5
-L1, ROUNDS = 2e-3, 60
+L1, ROUNDS = 1e-3, 40
+FAMILY_WEIGHT = 40.0  # in rows of the "unknown" sample
 TEMPERATURES = (0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0)
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
@@ -131,20 +132,24 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
         F.size("words"))).alias("n")).select("family", "words", "n", F.explode(F.sequence(
             F.lit(0), F.size("words") - F.col("n"))).alias("at")).select(
         "family", F.slice("words", F.col("at") + 1, F.col("n")).alias("words"))
-    positive = windows.select("family", all_grams(F.col("words")).alias("grams"))
+    # Each family weighs the same, however few windows its notices have.
+    share = windows.groupBy("family").agg((F.lit(FAMILY_WEIGHT) / F.count("*")).alias("weight"))
+    positive = windows.join(F.broadcast(share), "family").select(
+        "family", "weight", all_grams(F.col("words")).alias("grams"))
     lines = lines_of(docs, vocabulary, id_col, text_col).select("words", all_grams(F.col("words")).alias("grams"))
     held = [F.size(F.array_intersect("grams", F.lit(r["grams"]))) / len(r["grams"]) for r in shapes if r["grams"]]
     negative = lines.filter(F.greatest(*held) < CONTAINMENT / 2).select(
-        F.lit(0).alias("family"), F.array_intersect("grams", known).alias("grams")).filter(F.size("grams") > 0)
+        F.lit(0).alias("family"), F.lit(1.0).alias("weight"), F.array_intersect("grams", known).alias("grams")).filter(F.size("grams") > 0)
     negative = negative.orderBy(F.xxhash64("grams"), "grams").limit(sample)
     # The empty paragraph is the most frequent one: most lines hold no template n-gram at all.
-    empty = spark.range(20).select(F.lit(0).alias("family"), F.array().cast("array<string>").alias("grams"))
+    empty = spark.range(20).select(F.lit(0).alias("family"), F.lit(1.0).alias("weight"),
+                                   F.array().cast("array<string>").alias("grams"))
     rows = positive.unionByName(negative).unionByName(empty).withColumn(
         "fold", F.pmod(F.xxhash64("family", "grams"), F.lit(4)))
     vectors = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="grams", outputCol="features", minTF=1.0)
-    rows = materialise(rows, "license_rows").repartition(8)
+    rows = materialise(rows, "license_rows").repartition(4)
     rows = vectors.setBinary(True).transform(rows)
-    learner = LogisticRegression(labelCol="family", family="multinomial", elasticNetParam=1.0, regParam=L1,
+    learner = LogisticRegression(labelCol="family", weightCol="weight", family="multinomial", elasticNetParam=1.0, regParam=L1,
                                  maxIter=ROUNDS, standardization=False)
     # Every family needs rows on both sides; a template's windows are spread over folds by their hash.
     trial = learner.fit(rows.filter("fold <> 0").unionByName(vectors.transform(positive.withColumn("fold", F.lit(1)))))
