@@ -16,24 +16,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from .joins import estimated_bytes
+from .joins import input_bytes
 
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 
 
 def partitions_for(df: DataFrame) -> int:
-    """Range partitions sized from the optimizer's estimate (~128 MB each),
-    capped by ``spark.sql.shuffle.partitions``: a small dimension gets a
-    handful of partitions, a large input as many as the session allows."""
-    cap = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    size = estimated_bytes(df)
-    if size is None:
-        return cap
-    return max(1, min(cap, -(-size // TARGET_PARTITION_BYTES)))
+    """Range partitions of ~128 MB of input each: a small dimension gets a
+    handful, a large input as many as its size asks for."""
+    return max(1, -(-input_bytes(df) // TARGET_PARTITION_BYTES))
 
 
-def with_dense_key(df: DataFrame, key: str, order_cols: list[str], num_partitions: int | None = None) -> DataFrame:
+def with_dense_key(df: DataFrame, key: str, order_cols: list[str], num_partitions: int | None = None,
+                   key_type: str = "int") -> DataFrame:
+    """``key_type`` is ``int`` for dimensions (under 2^31 members) and must be
+    ``bigint`` where rows are numbered."""
     spark = df.sparkSession
     shared_dir(spark)  # make sure a checkpoint folder is registered
     n = num_partitions or partitions_for(df)
@@ -48,5 +46,5 @@ def with_dense_key(df: DataFrame, key: str, order_cols: list[str], num_partition
     w = Window.orderBy("_kp").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_koff", F.coalesce(F.sum("_kn").over(w), F.lit(0)))
     out = tagged.join(F.broadcast(offsets.select("_kp", "_k0", "_koff")), "_kp")
-    out = out.withColumn(key, (F.col("_koff") + F.col("_km") - F.col("_k0") + 1).cast("int"))
+    out = out.withColumn(key, (F.col("_koff") + F.col("_km") - F.col("_k0") + 1).cast(key_type))
     return out.drop("_kp", "_km", "_k0", "_koff", "_kn")

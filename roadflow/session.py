@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -37,8 +38,10 @@ def local_session(cpus: int | str = "*", app: str = "roadflow", extra: dict | No
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for materialised tables and checkpoints.
 
-    Uses the cluster's ``spark.checkpoint.dir``; only when the session has
-    none (local tests) a private folder is created and registered.
+    Uses the cluster's ``spark.checkpoint.dir``; only a local master without
+    one (tests) gets a private folder.  A cluster without the setting is an
+    error: a machine-local folder would hold a part of each table on every
+    executor.
     """
     sc = spark.sparkContext
     current = None
@@ -50,6 +53,9 @@ def shared_dir(spark: SparkSession) -> str:
         current = spark.conf.get("spark.checkpoint.dir", None)
         if current:
             sc.setCheckpointDir(current)
+    if not current and not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a folder that the driver "
+                           "and all executors share")
     if not current:
         current = tempfile.mkdtemp(prefix="roadflow-ckpt-", dir="/tmp")
         sc.setCheckpointDir(current)
@@ -60,3 +66,11 @@ def shared_dir(spark: SparkSession) -> str:
 def new_output_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared folder."""
     return f"{shared_dir(spark)}/roadflow/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialise(df, name: str):
+    """``df`` written to the shared folder and read back: later uses scan the
+    result, and a lost executor costs no recomputation of what lies before."""
+    path = new_output_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
