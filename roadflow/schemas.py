@@ -99,6 +99,8 @@ PM_PEAK_HOURS = [16, 17, 18]
 # ---------------------------------------------------------------------------
 
 MEASURE_TYPE = T.DecimalType(18, 2)
+# Measures of the raw analyses: as written, summed exactly.
+ANALYSIS_TYPE = T.DecimalType(26, 4)
 LATITUDE_TYPE = T.DecimalType(10, 8)
 LONGITUDE_TYPE = T.DecimalType(11, 8)
 LINK_KM_TYPE = T.DecimalType(8, 3)
@@ -153,22 +155,24 @@ RAW_COUNTS_SCHEMA = T.StructType(
     + [T.StructField(c, T.LongType()) for c in RAW_COUNT_MEASURES]
 )
 
+CORRUPT = "_corrupt"
+
+
+def with_corrupt(schema: T.StructType) -> T.StructType:
+    """The schema with a column that keeps the text of a malformed record."""
+    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+
+
 # JSON page envelope of the paged extract.
-PAGE_ROW_SCHEMA = T.StructType(
-    [
-        T.StructField("count_point_id", T.LongType()),
-        T.StructField("year", T.IntegerType()),
-        T.StructField("all_motor_vehicles", T.DoubleType()),
-    ]
-)
+PAGE_ROW_SCHEMA = RAW_AADF_SCHEMA
 
 PAGE_ENVELOPE_SCHEMA = T.StructType(
     [
         T.StructField("data", T.ArrayType(PAGE_ROW_SCHEMA)),
         T.StructField("total", T.LongType()),
-        T.StructField("last_page", T.IntegerType()),
+        T.StructField("last_page", T.LongType()),
         T.StructField("per_page", T.IntegerType()),
-        T.StructField("current_page", T.IntegerType()),
+        T.StructField("current_page", T.LongType()),
     ]
 )
 

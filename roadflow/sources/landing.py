@@ -14,6 +14,7 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..schemas import RAW_AADF_SCHEMA
 from ..session import new_output_dir
 from . import standin
 
@@ -39,7 +40,7 @@ def _typed(raw: DataFrame) -> DataFrame:
 
 
 # Landed tables partitioned by a column (year-filtered analyses prune them).
-PARTITIONED = {"raw_aadf_typed": "year"}
+PARTITIONED = {"raw_aadf": "year", "raw_aadf_typed": "year"}
 
 _LOCK = threading.RLock()
 _CACHE: dict = {}
@@ -74,7 +75,9 @@ class Landing:
                     else:
                         df.write.mode("overwrite").parquet(self.path(name))
                     self._written.add(name)
-        return self.spark.read.parquet(self.path(name))
+        df = self.spark.read.parquet(self.path(name))
+        order = RAW_AADF_SCHEMA.names if name in PARTITIONED else df.columns
+        return df.select(*order)  # a partition column is read last
 
     def prepare(self, names: list[str], parallel: int = 4) -> None:
         """Land several tables, submitting independent writes concurrently."""
@@ -84,15 +87,15 @@ class Landing:
             list(pool.map(self.table, names))
 
     def csv_path(self, name: str) -> str:
-        """The landed table also written as CSV with a header (the form in
-        which extracts are delivered)."""
+        """The landed table also written as CSV with a header, in the form in
+        which extracts are delivered (:func:`standin.as_delivered`)."""
         key = f"{name}_csv"
         if key not in self._written:
             with self._lock(key):
                 if key not in self._written:
                     from .sinks import write_csv
 
-                    write_csv(self.table(name), self.path(key))
+                    write_csv(standin.as_delivered(self.table(name)), self.path(key))
                     self._written.add(key)
         return self.path(key)
 
@@ -102,14 +105,9 @@ class Landing:
         if name not in self._written:
             with self._lock(name):
                 if name not in self._written:
-                    from pyspark.sql import functions as F
-
                     from . import pages
 
-                    rows = standin.raw_aadf_with_order(self.spark, self.sf_dir).select(
-                        "l_orderkey", "l_linenumber", "count_point_id", "year",
-                        F.col("all_motor_vehicles").try_cast("double").alias("all_motor_vehicles"),
-                    )
+                    rows = standin.raw_aadf_with_order(self.spark, self.sf_dir)
                     env = pages.build_envelopes(rows, ["l_orderkey", "l_linenumber"])
                     pages.write_page_files(env, self.path(name))
                     self._written.add(name)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.keys import with_dense_key
-from ..schemas import PAGE_ENVELOPE_SCHEMA
+from ..schemas import CORRUPT, PAGE_ENVELOPE_SCHEMA, with_corrupt
 
 PER_PAGE = 1000
 
@@ -22,8 +22,8 @@ def build_envelopes(rows: DataFrame, order_cols: list[str], per_page: int = PER_
     Each page holds at most ``per_page`` rows, so the per-page collect is
     bounded whatever the table size; ``total`` and ``last_page`` are two
     scalars from one aggregate."""
-    keyed = with_dense_key(rows, "_row", order_cols)
-    paged = keyed.withColumn("page", (F.floor((F.col("_row") - 1) / per_page) + 1).cast("int"))
+    keyed = with_dense_key(rows, "_row", order_cols, key_type="bigint")
+    paged = keyed.withColumn("page", (F.expr(f"(_row - 1) div {per_page}") + 1))
     stats = keyed.agg(F.count(F.lit(1)).alias("n")).first()
     total = int(stats["n"])
     last_page = (total + per_page - 1) // per_page
@@ -32,7 +32,7 @@ def build_envelopes(rows: DataFrame, order_cols: list[str], per_page: int = PER_
     return env.select(
         "data",
         F.lit(total).cast("bigint").alias("total"),
-        F.lit(last_page).cast("int").alias("last_page"),
+        F.lit(last_page).cast("bigint").alias("last_page"),
         F.lit(per_page).cast("int").alias("per_page"),
         F.col("page").alias("current_page"),
     )
@@ -43,7 +43,15 @@ def write_page_files(envelopes: DataFrame, path: str) -> None:
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(PAGE_ENVELOPE_SCHEMA).json(path)
+    """Page envelopes; a page that is no valid JSON is kept as text in ``_corrupt``."""
+    return spark.read.schema(with_corrupt(PAGE_ENVELOPE_SCHEMA)).option("columnNameOfCorruptRecord", CORRUPT).json(path)
+
+
+def corrupt_pages(envelopes: DataFrame) -> DataFrame:
+    """The number of pages that could not be parsed."""
+    # Spark refuses to read only the corrupt-record column, so another one is counted with it.
+    return envelopes.agg(F.count(F.when(F.col(CORRUPT).isNotNull(), F.lit(1))).alias("corrupt_pages"),
+                         F.count("total").alias("parsed_pages"))
 
 
 def flatten_pages(envelopes: DataFrame) -> DataFrame:
@@ -61,6 +69,7 @@ def pages_completeness(envelopes: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.size("data")), F.lit(0)).cast("bigint").alias("rows_received"),
         F.max("total").alias("total"),
     )
+    # a corrupt page has no data, so its rows are missing from the count
     return g.withColumn(
         "complete",
         (F.col("distinct_pages") == F.col("last_page")) & (F.col("rows_received") == F.col("total")),

@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialise
+
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> None:
-    """CSV with a header.  ``single_file`` is only for small, aggregated
-    results (reports); large outputs keep one file per task."""
-    out = df.coalesce(1) if single_file else df
+    """CSV with a header.  ``single_file`` is for results of a bounded number
+    of rows (reports): these are stored first, so only the finished rows pass
+    through one task, not the work that makes them.  Large outputs keep one
+    file per task."""
+    out = materialise(df, "result").coalesce(1) if single_file else df
     out.write.mode(mode).option("header", True).csv(path)
 
 

@@ -5,7 +5,8 @@ hourly raw counts).  For the shared test data they are derived, with
 integer arithmetic on keys only, from ``part``, ``lineitem``, ``nation``
 and ``region`` so that every derived table grows with the inputs and a
 SQL engine can recompute them exactly.  Dirty rows are planted on purpose
-(bad directions, 'bad' numbers, negative counts, out-of-range years).
+(bad directions, 'bad' numbers, negative counts, out-of-range years, measures
+too large for the fact, points at two positions, hour 24, missing years).
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ TYPE_TO_CATEGORY = {
 }
 LINE_TO_DIRECTION = {1: "N", 2: "S", 3: "E", 4: "W", 5: "C", 6: "N", 7: "S"}
 LEFT_OUT_MOD, LEFT_OUT_REM = 211, 210
+OVER_RANGE = "12345678901234567890"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -150,6 +152,8 @@ def _measures(signed: bool, as_text: bool) -> dict:
     if as_text:
         out = {c: v.cast("string") for c, v in out.items()}
         out["pedal_cycles"] = F.when(k % 109 == 0, F.lit("bad")).otherwise(out["pedal_cycles"])
+        big = "two_wheeled_motor_vehicles"
+        out[big] = F.when(k % 1009 == 0, F.lit(OVER_RANGE)).otherwise(out[big])
     return out
 
 
@@ -189,8 +193,11 @@ def raw_aadf_with_order(spark: SparkSession, sf_dir: str) -> DataFrame:
         "road_name",
         "road_category",
         direction.alias("direction_of_travel"),
-        "latitude",
-        "longitude",
+        # some rows state the point half a degree further north and west
+        F.expr("CAST(CASE WHEN l_orderkey % 139 = 0 THEN latitude + 0.5 ELSE latitude END AS DECIMAL(10,8))").alias(
+            "latitude"),
+        F.expr("CAST(CASE WHEN l_orderkey % 139 = 0 THEN longitude - 0.5 ELSE longitude END AS DECIMAL(11,8))").alias(
+            "longitude"),
         "link_length_km",
         F.when(F.col("l_returnflag") == "R", "Counted").otherwise("Estimated").alias("estimation_method"),
         F.concat_ws("-", "l_returnflag", "l_linestatus").alias("estimation_method_detailed"),
@@ -203,6 +210,20 @@ def raw_aadf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_aadf_with_order(spark, sf_dir).drop("l_orderkey", "l_linenumber")
 
 
+def as_delivered(df: DataFrame) -> DataFrame:
+    """An extract as a source may write it: columns in another order, one more
+    column, ids with a decimal point, and a word for missing texts."""
+    out = []
+    for name, kind in reversed(df.dtypes):
+        if name in ("region_id", "local_authority_id"):
+            out.append(F.concat(F.col(name).cast("string"), F.lit(".0")).alias(name))
+        elif kind == "string":
+            out.append(F.coalesce(F.col(name), F.lit("NA")).alias(name))
+        else:
+            out.append(F.col(name))
+    return df.select(F.lit("v1").alias("extract_version"), *out)
+
+
 def raw_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly raw counts, one row per lineitem."""
     li = _with_points(spark, sf_dir, _lineitem_base(spark, sf_dir), ["road_category"])
@@ -211,8 +232,9 @@ def raw_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return li.select(
         F.to_date("l_shipdate").alias("count_date"),
-        (F.year("l_shipdate") + 22).cast("int").alias("year"),
-        (F.lit(7) + F.col("l_orderkey") % 12).cast("int").alias("hour"),
+        F.when(F.col("l_orderkey") % 131 != 0, F.year("l_shipdate") + 22).cast("int").alias("year"),
+        F.when(F.col("l_orderkey") % 127 == 0, F.lit(24)).otherwise(F.lit(7) + F.col("l_orderkey") % 12)
+        .cast("int").alias("hour"),
         "road_category",
         *[m[c].cast("bigint").alias(c) for c in RAW_COUNT_MEASURES],
     )
@@ -223,11 +245,11 @@ def full_aadf(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) ->
     with a planted +1 on every 17th point."""
     raw = raw if raw is not None else raw_aadf(spark, sf_dir)
     summed = raw.groupBy("count_point_id", "year").agg(
-        F.sum(F.col("all_motor_vehicles").cast("double")).alias("all_motor_vehicles")
+        F.sum(F.col("all_motor_vehicles").cast("decimal(26,4)")).alias("all_motor_vehicles")
     )
     return summed.withColumn(
         "all_motor_vehicles",
-        F.col("all_motor_vehicles") + F.when(F.col("count_point_id") % 17 == 0, 1.0).otherwise(0.0),
+        (F.col("all_motor_vehicles") + F.when(F.col("count_point_id") % 17 == 0, 1).otherwise(0)).cast("decimal(26,4)"),
     )
 
 
@@ -238,6 +260,6 @@ def subset_aadf(spark: SparkSession, sf_dir: str, full: DataFrame | None = None)
     extra = (
         full.select("count_point_id").distinct()
         .withColumn("year", F.lit(1900))
-        .withColumn("all_motor_vehicles", F.lit(None).cast("double"))
+        .withColumn("all_motor_vehicles", F.lit(None).cast("decimal(26,4)"))
     )
     return full.unionByName(extra)

@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from roadflow.sources import readers, sinks
@@ -32,10 +33,58 @@ def test_column_pruned_read(spark):
     land = landing_for(spark, SMALL_SF)
     df = readers.read_raw_aadf_csv(spark, land.csv_path("raw_aadf"), ["count_point_id", "year"])
     assert df.columns == ["count_point_id", "year"]
-    assert "ReadSchema: struct<count_point_id:bigint,year:int>" in \
+    # only the two columns are parsed, as text
+    assert "ReadSchema: struct<year:string,count_point_id:string>" in \
         df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    head = ["LGVs", "note", "year", "region_id", "count_point_id", "local_authority_id", "direction_of_travel", "road_name"]
+    names = [f.name for f in readers.RAW_AADF_SCHEMA]
+    head += [n for n in names if n not in head]
+    lines = [",".join(head)]
+    for cells in (["7", "x", "2020.0", "3.0", "11", "5", "N", "A1"], ["bad", "x", "20x0", "NULL", "12.0", "n/a", "NA", "A2"]):
+        lines.append(",".join(cells + [""] * (len(head) - len(cells))))
+    path = tmp_path / "x.csv"
+    path.write_text("\n".join(lines) + "\n")
+    df = readers.read_raw_aadf_csv(spark, str(path))
+    assert df.columns == names
+    got = {r["count_point_id"]: r for r in df.collect()}
+    assert (got[11]["year"], got[11]["region_id"], got[11]["LGVs"], got[11]["road_name"]) == (2020, 3, "7", "A1")
+    assert (got[12]["year"], got[12]["region_id"], got[12]["local_authority_id"], got[12]["direction_of_travel"]) == (
+        None, None, None, None)
+    counts = readers.malformed_counts(spark, str(path), readers.RAW_AADF_SCHEMA).first()
+    assert (counts["rows"], counts["bad_cells"], counts["malformed_lines"]) == (2, 1, 0)
+
+
+def test_csv_without_a_wanted_column_fails_by_name(spark, tmp_path):
+    path = tmp_path / "x.csv"
+    path.write_text("CP_Number,Road\n1,A1\n")
+    with pytest.raises(ValueError, match="RoadNumber"):
+        readers.read_road_segments_csv(spark, str(path))
+
+
+def test_malformed_lines_are_counted(spark, tmp_path):
+    path = tmp_path / "x.csv"
+    path.write_text("CP_Number,RoadNumber\n1,A1\n2,A2,extra\nthree,A3\n")
+    counts = readers.malformed_counts(spark, str(path), readers.ROAD_SEGMENT_SCHEMA).first()
+    assert (counts["rows"], counts["bad_cells"], counts["malformed_lines"]) == (3, 1, 1)
+
+
+def test_profile_reports_an_unreadable_file_and_goes_on(spark, tmp_path):
+    from roadflow.plans.quality import profile_files
+
+    good, bad, csv = tmp_path / "good", tmp_path / "bad.parquet", tmp_path / "x.csv"
+    spark.range(3).selectExpr("id as count_point_id", "2020 as year").write.parquet(str(good))
+    bad.write_bytes(b"PAR1 no parquet file at all")
+    csv.write_text("year,a\n2001,1\n2003.0,2\n")
+    got = {r["file"]: r for r in profile_files(
+        spark, {"good": str(good), "bad": str(bad), "csv": str(csv), "none": str(tmp_path / "none")}).collect()}
+    assert {n: r["status"] for n, r in got.items()} == {"good": "OK", "bad": "ERROR", "csv": "OK", "none": "MISSING"}
+    assert (got["good"]["rows"], got["csv"]["min_year"], got["csv"]["max_year"]) == (3, 2001, 2003)
+    assert len(got["bad"]["column_names"]) > 200  # the whole error
+
+
 def test_append_csv_keeps_all_rows(spark):
     out = new_output_dir(spark, "append")
     df = spark.range(0, 10).withColumnRenamed("id", "v")
