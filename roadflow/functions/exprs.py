@@ -7,13 +7,11 @@ exact values (``F.round``); pandas-style analyses round half to even
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import MONTH_NAMES, ROAD_LABELS
 
-NUMERIC_PATTERN = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
-
 
 def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -56,15 +54,48 @@ def divide_or_zero(num, den) -> Column:
     return F.coalesce(safe_div(num, den), F.lit(0.0))
 
 
-def coerce_measure(c: str, dtype, target: str = "double") -> Column:
-    """Text or number -> non-negative number of type ``target``; unparsable
-    (or, for decimals, out-of-range) values become 0.  Text is parsed
-    straight into the target type (no double round trip for decimals)."""
+def parse_double(c) -> Column:
+    """Text -> double, NULL unless it is a plain decimal number.
+
+    The cast itself also takes ``1d``, ``nan``, ``Infinity`` and hexadecimal
+    numbers; a plain number ends in a digit or a point and holds no x."""
+    s = F.trim(col_(c))
+    odd = F.contains(s, F.lit("x")) | F.contains(s, F.lit("X"))
+    return F.when(F.right(s, F.lit(1)).between(".", "9") & ~odd, s.try_cast("double"))
+
+
+def parse_exact(c, dtype: str, target: str) -> Column:
+    """Text or number -> ``target`` (a decimal type), exactly as written; NULL if it is no number.
+    A number too large for the type is an error, never a silent NULL."""
     if dtype == "string":
-        s = F.trim(F.col(c))
-        parsed = F.when(s.rlike(NUMERIC_PATTERN), s.try_cast(target))
+        exact, number = F.trim(col_(c)).try_cast(target), parse_double(c)
     else:
+        exact, number = col_(c).try_cast(target), F.nanvl(dbl(c), F.lit(None).cast("double"))
+    text = F.concat(F.lit(f"{c}: too large for {target}: "), col_(c).cast("string"))
+    return F.coalesce(exact, F.when(number.isNotNull(), F.raise_error(text).cast(target)))
+
+
+def over_range(c: str, dtype: str, target: str) -> Column:
+    """Whether a positive measure is too large for the decimal type ``target`` (and so parses to NULL)."""
+    if dtype != "string":
+        return F.col(c).try_cast(target).isNull() & F.coalesce(dbl(c) > 0, F.lit(False))
+    # Only long texts and those with an exponent can be; the rest is not parsed.
+    may = (F.length(c) > 15) | F.contains(F.lower(c), F.lit("e"))
+    return F.coalesce(may, F.lit(False)) & F.trim(F.col(c)).try_cast(target).isNull() & F.coalesce(
+        parse_double(c) > 0, F.lit(False))
+
+
+def coerce_measure(c: str, dtype, target: str = "double") -> Column:
+    """Text or number -> non-negative number of type ``target``; unparsable
+    values become 0.  Text is parsed straight into the target type (no double
+    round trip for decimals).  Decimals out of range also become 0: callers
+    set such rows apart first (:func:`over_range`)."""
+    if dtype != "string":
         parsed = F.col(c).try_cast(target)
+    elif target == "double":
+        parsed = parse_double(c)
+    else:
+        parsed = F.trim(F.col(c)).try_cast(target)
     zero = F.lit(0).cast(target)
     if target == "double":
         parsed = F.nanvl(parsed, zero)
@@ -106,3 +137,9 @@ def year_filter(c, year=None, since=None, between=None, years=None) -> Column:
     if years is not None:
         cond = cond & c.isin(list(years))
     return cond
+
+
+def decimals_as_double(df: DataFrame) -> DataFrame:
+    """Output projection: decimal columns exposed as double."""
+    return df.select(*[F.col(f"`{c}`").cast("double").alias(c) if t.startswith("decimal") else F.col(f"`{c}`")
+                       for c, t in df.dtypes])

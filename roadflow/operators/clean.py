@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import NUMERIC_PATTERN, coerce_measure
+from ..functions.exprs import coerce_measure, over_range, parse_double
 from ..schemas import (
     KEY_COLS, REQUIRED_COLS, VALID_DIRECTIONS, VALID_ROAD_CATEGORIES, VEHICLE_COLS,
     YEAR_MAX, YEAR_MIN,
@@ -38,6 +38,13 @@ def clean_aadf(df: DataFrame, measure_type: str = "double") -> DataFrame:
     return coerced.where(keep_predicate(df))
 
 
+def any_over_range(df: DataFrame, measure_type: str) -> Column:
+    """Whether a row holds a measure that is too large for ``measure_type``."""
+    dtypes = dict(df.dtypes)
+    return reduce(lambda a, b: a | b, [over_range(c, dtypes[c], measure_type) for c in VEHICLE_COLS if c in dtypes],
+                  F.lit(False))
+
+
 def clean_summary(df: DataFrame) -> DataFrame:
     """initial / kept / dropped row counts of :func:`clean_aadf`, one pass."""
     keep = keep_predicate(df)
@@ -49,8 +56,7 @@ def clean_summary(df: DataFrame) -> DataFrame:
 
 def _numeric(df: DataFrame, c: str) -> Column:
     if dict(df.dtypes)[c] == "string":
-        s = F.trim(F.col(c))
-        return F.when(s.rlike(NUMERIC_PATTERN), s.try_cast("double"))
+        return parse_double(c)
     return F.col(c).cast("double")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .base import parsed, with_base
+from .base import exact, with_base
 from .reports_sql import SQL as REPORT_SQL
 
 
@@ -12,7 +12,7 @@ def ps(expr: str) -> str:
 
 
 def pn(c: str) -> str:
-    return ps(parsed(c))
+    return ps(exact(c))
 
 
 def ratio(a: str, b: str, d: int, scale: str = "100.0") -> str:
@@ -50,8 +50,8 @@ HOUR_LABEL = "lpad(CAST(hour AS VARCHAR), 2, '0') || ':00-' || lpad(CAST(hour +
 
 def hour_matrix(key: str) -> str:
     cols = ", ".join(
-        f"CAST(coalesce(SUM(CASE WHEN hour = {h} THEN all_motor_vehicles END), 0) AS BIGINT) AS \"{h}\""
-        for h in range(7, 19))
+        f"CAST(coalesce(SUM(all_motor_vehicles) FILTER (WHERE hour = {h}), 0) AS BIGINT) AS \"{h}\""
+        for h in [*range(7, 19), 24])  # the hours of the derived counts
     return f"SELECT {key}, {cols} FROM raw_counts WHERE {key} IS NOT NULL AND hour IS NOT NULL GROUP BY {key}"
 
 
@@ -83,8 +83,9 @@ TOP_ROADS = f"""SELECT Year, RoadName, RoadCategory, TotalTraffic FROM (
 LATEST = "year = (SELECT max(year) FROM raw_aadf)"
 
 GEO = f"""SELECT * FROM (SELECT count_point_id AS CountPointID, road_name AS RoadName, region_name AS RegionName,
-    {pn('all_motor_vehicles')} AS TotalTraffic, CAST(min(latitude) AS DOUBLE) AS Latitude,
-    CAST(min(longitude) AS DOUBLE) AS Longitude
+    {pn('all_motor_vehicles')} AS TotalTraffic,
+    CAST(arg_min(latitude, latitude * 1000 + longitude) AS DOUBLE) AS Latitude,
+    CAST(arg_min(longitude, latitude * 1000 + longitude) AS DOUBLE) AS Longitude
     FROM raw_aadf WHERE {LATEST} AND count_point_id IS NOT NULL AND road_name IS NOT NULL
       AND region_name IS NOT NULL
     GROUP BY count_point_id, road_name, region_name) g WHERE TotalTraffic > 10000"""
@@ -132,7 +133,8 @@ SQL = {
     "road_category_trends": f"""SELECT *, {ratio('total_hgv', 'total_motor', 2)} AS hgv_pct FROM (
         SELECT year, road_category, road_label, {pn('all_motor_vehicles')} AS total_motor,
           {pn('all_HGVs')} AS total_hgv, {pn('pedal_cycles')} AS total_cycles,
-          count(DISTINCT count_point_id) AS count_points, round(avg({parsed('all_motor_vehicles')}), 6) AS avg_flow
+          count(DISTINCT count_point_id) AS count_points, round(CAST(sum({exact('all_motor_vehicles')}) AS DOUBLE)
+            / nullif(count({exact('all_motor_vehicles')}), 0), 6) AS avg_flow
         FROM (SELECT *, {LABEL} AS road_label FROM raw_aadf) r
         WHERE year IS NOT NULL AND road_category IS NOT NULL AND road_label IS NOT NULL
         GROUP BY year, road_category, road_label) t""",
@@ -204,7 +206,7 @@ SQL = {
         _argmax("busiest_month", f"SELECT *, {MONTHS} AS month_name FROM ({count_sums('month', CAL)}) m",
                 "month_name", "month", False),
     ]),
-    "merge_partial_aggregates": count_sums("hour", where="year IS NOT NULL"),
+    "merge_partial_aggregates": count_sums("hour"),
     "serve_yearly_totals": YEARLY,
     "serve_regional_by_year": REGIONAL,
     "serve_top_roads_by_year": TOP_ROADS,

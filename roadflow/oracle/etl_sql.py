@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .base import FACT_NAMES, MEASURES, parsed, with_base
+from .base import FACT_NAMES, IN_RANGE, MEASURES, parsed, with_base
 
 REQUIRED = ["count_point_id", "year", "region_id", "local_authority_id", "direction_of_travel"] + MEASURES
 DIRS = "('N','S','E','W','C')"
@@ -30,8 +30,10 @@ FACT_SELECT = ("SELECT DateKey, CountPointKey, LocalAuthorityKey, RegionKey, Dir
                + ", ".join(f"CAST({n} AS DOUBLE) AS {n}" for n in FACT_NAMES)
                + " FROM FactTrafficFlowDirection")
 
-PAGE_ROWS = ("SELECT count_point_id, year, TRY_CAST(all_motor_vehicles AS DOUBLE) AS all_motor_vehicles "
-             "FROM raw_aadf")
+PAGE_ROWS = f"""SELECT count_point_id, year, region_id, region_name, local_authority_id, road_name, road_category,
+    direction_of_travel, CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude,
+    CAST(link_length_km AS DOUBLE) AS link_length_km, estimation_method, estimation_method_detailed,
+    {", ".join(MEASURES)} FROM raw_aadf"""
 
 ALL_KEYS = ("DateKey IS NOT NULL AND CountPointKey IS NOT NULL AND LocalAuthorityKey IS NOT NULL "
             "AND RegionKey IS NOT NULL")
@@ -53,7 +55,8 @@ SQL = {
         CAST(Latitude AS DOUBLE) AS Latitude, CAST(Longitude AS DOUBLE) AS Longitude,
         CAST(LinkLengthKm AS DOUBLE) AS LinkLengthKm FROM DimCountPoint""",
     "etl_fact_load": FACT_SELECT,
-    "etl_fact_load_stats": f"""SELECT count_if({ALL_KEYS}) AS loaded_rows, count_if(NOT ({ALL_KEYS})) AS dropped_rows
+    "etl_fact_load_stats": f"""SELECT count_if({ALL_KEYS} AND {IN_RANGE}) AS loaded_rows,
+        count_if(NOT ({ALL_KEYS})) AS dropped_rows, count_if({ALL_KEYS} AND NOT {IN_RANGE}) AS over_range_rows
         FROM keyed""",
     "etl_loaded_years": """SELECT DISTINCT d.Year FROM FactTrafficFlowDirection f
         JOIN DimDate d ON f.DateKey = d.DateKey""",
@@ -63,7 +66,7 @@ SQL = {
     "etl_pages_flatten": PAGE_ROWS,
     "stream_pages_ingest": PAGE_ROWS,
     "etl_pages_completeness": """SELECT CAST(ceil(n / 1000.0) AS BIGINT) AS pages_received,
-        CAST(ceil(n / 1000.0) AS BIGINT) AS distinct_pages, CAST(ceil(n / 1000.0) AS INTEGER) AS last_page,
+        CAST(ceil(n / 1000.0) AS BIGINT) AS distinct_pages, CAST(ceil(n / 1000.0) AS BIGINT) AS last_page,
         n AS rows_received, n AS total, true AS complete
         FROM (SELECT count(*) AS n FROM raw_aadf) t""",
 }

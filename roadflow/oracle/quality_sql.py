@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from .base import parsed, with_base
+from ..plans.exports import REPORTS, TEXT_COLUMNS
+from .base import exact, with_base
 from .reports_sql import SQL as REPORT_SQL
 
 MINIMA = {"DimDate": 10, "DimRegion": 5, "DimLocalAuthority": 100, "DimCountPoint": 10000,
@@ -18,15 +19,41 @@ NEGATIVE = """SELECT *, CASE WHEN NegMotor > 0 OR NegHGV > 0 OR NegCars > 0 OR N
       count_if(CarsAndTaxis < 0) AS NegCars, count_if(PedalCycles < 0) AS NegCycles, count(*) AS TotalRows
       FROM FactTrafficFlowDirection) t"""
 
-REPORT = f"""SELECT 'row_counts' AS "check", 'PASS' AS status, '5' AS detail
-    UNION ALL SELECT 'row_count_' || TableName, 'WARN', CAST(RowCount AS VARCHAR) || ' < ' || CAST(MinExpected AS VARCHAR)
-      FROM ({ROW_COUNTS}) r WHERE Status = 'WARN'
-    UNION ALL SELECT 'null_check_fact', 'PASS', '1'
-    UNION ALL SELECT 'negative_values', Status, '1' FROM ({NEGATIVE}) n
-    UNION ALL SELECT 'orphan_facts', 'PASS', '1'
-    UNION ALL SELECT 'year_coverage', 'PASS', CAST(count(DISTINCT DateKey) AS VARCHAR) FROM FactTrafficFlowDirection
-    UNION ALL SELECT 'direction_distribution', 'PASS', CAST(count(DISTINCT coalesce(DirectionOfTravel, '<null>')) AS VARCHAR)
-      FROM FactTrafficFlowDirection"""
+NULLS = {"NullDateKey": "DateKey", "NullCountPointKey": "CountPointKey", "NullRegionKey": "RegionKey",
+         "NullLAKey": "LocalAuthorityKey", "NullDirection": "DirectionOfTravel", "NullMotorVehicles": "AllMotorVehicles"}
+NULL_CHECK = ("SELECT *, " + ", ".join(f"round({a} * 100.0 / nullif(TotalRows, 0), 2) AS {a}Pct" for a in NULLS)
+              + " FROM (SELECT " + ", ".join(f"count_if({c} IS NULL) AS {a}" for a, c in NULLS.items())
+              + ", count(*) AS TotalRows FROM FactTrafficFlowDirection) c")
+
+ORPHANS = """SELECT count_if(d.DateKey IS NULL) AS OrphanDate, count_if(cp.CountPointKey IS NULL) AS OrphanCP,
+        count_if(r.RegionKey IS NULL) AS OrphanRegion, count_if(la.LocalAuthorityKey IS NULL) AS OrphanLA,
+        count(*) AS TotalRows
+        FROM FactTrafficFlowDirection f
+        LEFT JOIN DimDate d ON f.DateKey = d.DateKey
+        LEFT JOIN DimCountPoint cp ON f.CountPointKey = cp.CountPointKey
+        LEFT JOIN DimRegion r ON f.RegionKey = r.RegionKey
+        LEFT JOIN DimLocalAuthority la ON f.LocalAuthorityKey = la.LocalAuthorityKey"""
+YEARS = """SELECT d.Year, count(*) AS FactRows FROM FactTrafficFlowDirection f
+        JOIN DimDate d ON f.DateKey = d.DateKey GROUP BY d.Year"""
+DIRECTIONS = "SELECT DirectionOfTravel, count(*) AS Cnt FROM FactTrafficFlowDirection GROUP BY DirectionOfTravel"
+
+
+def _check(name: str, sql: str, first: str, status: str = "'PASS'") -> str:
+    """The check's result as JSON records."""
+    return (f"SELECT '{name}' AS \"check\", {status} AS status, "
+            f"CAST(to_json(list(t ORDER BY {first})) AS VARCHAR) AS detail FROM ({sql}) t")
+
+
+REPORT = " UNION ALL ".join([
+    _check("row_counts", ROW_COUNTS, "TableName"),
+    f"""SELECT 'row_count_' || TableName, 'WARN', CAST(RowCount AS VARCHAR) || ' < ' || CAST(MinExpected AS VARCHAR)
+      FROM ({ROW_COUNTS}) r WHERE Status = 'WARN'""",
+    _check("null_check_fact", NULL_CHECK, "TotalRows"),
+    _check("negative_values", NEGATIVE, "TotalRows", "max(Status)"),
+    _check("orphan_facts", ORPHANS, "TotalRows"),
+    _check("year_coverage", YEARS, "Year"),
+    _check("direction_distribution", DIRECTIONS, "DirectionOfTravel"),
+])
 
 RAW_COLS = ("count_point_id, year, region_id, region_name, local_authority_id, road_name, road_category, "
             "direction_of_travel, latitude, longitude, link_length_km, estimation_method, "
@@ -38,7 +65,7 @@ FILES = {
     "count_points": ("count_point_id, year, region_id, region_name, region_ons_code, local_authority_id, "
                      "local_authority_name, local_authority_code, road_name, road_category, road_type, latitude, "
                      "longitude, link_length_km", True),
-    "raw_aadf": (RAW_COLS, True),
+    "raw_aadf": (RAW_COLS.replace("year, ", "", 1) + ", year", True),  # year is the partition column
     "raw_counts": ("count_date, year, hour, road_category, pedal_cycles, two_wheeled_motor_vehicles, "
                    "cars_and_taxis, buses_and_coaches, LGVs, all_HGVs, all_motor_vehicles", False),
     "full_aadf": ("count_point_id, year, all_motor_vehicles", True),
@@ -54,37 +81,32 @@ def _profile(name, cols, has_points):
 
 
 PROFILE = " UNION ALL ".join([_profile(n, c, p) for n, (c, p) in FILES.items()]) + \
+    " UNION ALL " + _profile("raw_aadf", "extract_version, " + ", ".join(reversed(RAW_COLS.split(", "))), True).replace(
+        "'raw_aadf' AS file", "'raw_aadf_csv' AS file") + \
     (" UNION ALL SELECT 'local_authority_traffic', 'MISSING', NULL, NULL, NULL, NULL, NULL, NULL")
 
-EXPORTS = {  # export name -> report whose rows are written
-    "regional_traffic_summary": "regional_traffic_summary", "top_busiest_roads": "top_busiest_roads",
-    "yoy_growth_trend": "yoy_growth_trend", "hgv_passenger_mix": "hgv_passenger_mix",
-    "local_authority_growth": "local_authority_growth", "road_category_distribution": "road_category_distribution",
-    "geospatial_hotspots": "geospatial_hotspots", "covid_impact": "covid_impact",
-    "cycling_trends": "cycling_share_export", "lgv_ecommerce_trend": "lgv_growth_trend",
-    "motorway_vs_aroad": "motorway_vs_aroad", "hgv_axle_breakdown": "hgv_axle_breakdown",
-    "bus_coach_decline": "bus_coach_decline", "motorcycle_trends": "motorcycle_trends",
-}
+def _content() -> str:
+    """Rows, filled cells and their sum for each column of each export."""
+    parts = []
+    for name, (report, columns) in REPORTS.items():
+        for c in columns:
+            value = f"length({c})" if c in TEXT_COLUMNS else f"round(CAST({c} AS DOUBLE), 4)"
+            parts.append(f"SELECT '{name}' AS report, '{c}' AS \"column\", count(*) AS rows, count({c}) AS filled, "
+                         f"coalesce(CAST(sum(CAST({value} AS DECIMAL(30,4))) AS DOUBLE), 0) AS total "
+                         f"FROM ({REPORT_SQL[report]}) t")
+    return " UNION ALL ".join(parts)
+
+
+# The pages deliver the extract in full, a thousand rows each.
+EXTRA = {"compare_datasets": {"page_rows": "SELECT * FROM raw_aadf"}}
 
 SQL = {
     "dq_row_counts": ROW_COUNTS,
-    "dq_null_check": """SELECT count_if(DateKey IS NULL) AS NullDateKey, count_if(CountPointKey IS NULL) AS NullCountPointKey,
-        count_if(RegionKey IS NULL) AS NullRegionKey, count_if(LocalAuthorityKey IS NULL) AS NullLAKey,
-        count_if(DirectionOfTravel IS NULL) AS NullDirection, count_if(AllMotorVehicles IS NULL) AS NullMotorVehicles,
-        count(*) AS TotalRows FROM FactTrafficFlowDirection""",
+    "dq_null_check": NULL_CHECK,
     "dq_negative_values": NEGATIVE,
-    "dq_orphan_facts": """SELECT count_if(d.DateKey IS NULL) AS OrphanDate, count_if(cp.CountPointKey IS NULL) AS OrphanCP,
-        count_if(r.RegionKey IS NULL) AS OrphanRegion, count_if(la.LocalAuthorityKey IS NULL) AS OrphanLA,
-        count(*) AS TotalRows
-        FROM FactTrafficFlowDirection f
-        LEFT JOIN DimDate d ON f.DateKey = d.DateKey
-        LEFT JOIN DimCountPoint cp ON f.CountPointKey = cp.CountPointKey
-        LEFT JOIN DimRegion r ON f.RegionKey = r.RegionKey
-        LEFT JOIN DimLocalAuthority la ON f.LocalAuthorityKey = la.LocalAuthorityKey""",
-    "dq_year_coverage": """SELECT d.Year, count(*) AS FactRows FROM FactTrafficFlowDirection f
-        JOIN DimDate d ON f.DateKey = d.DateKey GROUP BY d.Year""",
-    "dq_direction_distribution": """SELECT DirectionOfTravel, count(*) AS Cnt FROM FactTrafficFlowDirection
-        GROUP BY DirectionOfTravel""",
+    "dq_orphan_facts": ORPHANS,
+    "dq_year_coverage": YEARS,
+    "dq_direction_distribution": DIRECTIONS,
     "dq_report": REPORT,
     "dq_status_totals": f"""SELECT count_if(status = 'PASS') AS passed, count_if(status = 'WARN') AS warned,
         count_if(status IN ('FAIL', 'ERROR')) AS failed FROM ({REPORT}) r""",
@@ -93,13 +115,17 @@ SQL = {
         coalesce(bool_or(year = 2025), false) AS has_2025 FROM raw_aadf""",
     "profile_direction_counts": """SELECT direction_of_travel, count(*) AS count FROM raw_aadf
         WHERE direction_of_travel IS NOT NULL GROUP BY direction_of_travel""",
-    "compare_datasets": """SELECT 26 AS left_columns, 3 AS right_columns, false AS same_columns,
-        n AS left_rows, n AS right_rows, true AS same_rows FROM (SELECT count(*) AS n FROM raw_aadf) t""",
+    "compare_datasets": """SELECT l.c AS left_columns, r.c AS right_columns, l.names = r.names AS same_columns,
+        l.n AS left_rows, r.n AS right_rows, l.n = r.n AS same_rows
+        FROM (SELECT count(*) AS n, (SELECT len(json_keys(to_json(x))) FROM raw_aadf x LIMIT 1) AS c,
+                     (SELECT json_keys(to_json(x)) FROM raw_aadf x LIMIT 1) AS names FROM raw_aadf) l,
+             (SELECT count(*) AS n, (SELECT len(json_keys(to_json(x))) FROM page_rows x LIMIT 1) AS c,
+                     (SELECT json_keys(to_json(x)) FROM page_rows x LIMIT 1) AS names FROM page_rows) r""",
     "count_points_profile": """SELECT count(DISTINCT count_point_id) AS unique_count_points, count(*) AS total_rows,
         min(year) AS min_year, max(year) AS max_year FROM count_points""",
     "reconcile_direction_sums": f"""SELECT count_if(s.mv = f.all_motor_vehicles) AS matching_rows, count(*) AS merged_rows,
         (SELECT count(*) FROM full_aadf) AS total_full
-        FROM (SELECT count_point_id, year, coalesce(SUM({parsed('all_motor_vehicles')}), 0.0) AS mv FROM raw_aadf
+        FROM (SELECT count_point_id, year, coalesce(SUM({exact('all_motor_vehicles')}), 0) AS mv FROM raw_aadf
               WHERE count_point_id IS NOT NULL AND year IS NOT NULL GROUP BY count_point_id, year) s
         JOIN full_aadf f ON s.count_point_id = f.count_point_id AND s.year = f.year""",
     "reconcile_subset": """SELECT CASE WHEN f.count_point_id IS NOT NULL THEN 'both' ELSE 'left_only' END AS _merge,
@@ -110,10 +136,9 @@ SQL = {
         (SELECT count(*) FROM (SELECT DISTINCT count_point_id FROM subset_aadf WHERE count_point_id IS NOT NULL
                                INTERSECT SELECT DISTINCT count_point_id FROM full_aadf) i) AS shared_ids,
         (SELECT count(DISTINCT count_point_id) FROM subset_aadf) AS sample_ids""",
-    "export_reports": " UNION ALL ".join(
-        f"SELECT '{n}' AS report, 'OK' AS status, count(*) AS rows FROM ({REPORT_SQL[r]}) t" for n, r in EXPORTS.items()),
+    "export_reports": _content(),
 }
 
 
 def oracle() -> dict[str, str]:
-    return {k: with_base(v) for k, v in SQL.items()}
+    return {k: with_base(v, EXTRA.get(k)) for k, v in SQL.items()}

@@ -114,13 +114,16 @@ SQL = {
           HAVING SUM({MV}) > 10000) x
         ORDER BY FlowPerKm DESC NULLS LAST, RoadName NULLS FIRST, RoadCategory NULLS FIRST,
                  RegionName NULLS FIRST, x.LinkLengthKm NULLS FIRST LIMIT 20""",
-    "motorway_vs_aroad": f"""SELECT d.Year,
-        {S("CASE WHEN cp.RoadCategory IN ('TM','PM') THEN " + MV + " ELSE 0 END")} AS Motorway_Flow,
-        {S("CASE WHEN cp.RoadCategory IN ('TA','PA') THEN " + MV + " ELSE 0 END")} AS ARoad_Flow,
-        {S("CASE WHEN cp.RoadCategory IN ('M','MB','MCU') THEN " + MV + " ELSE 0 END")} AS Minor_Flow,
-        COUNT(DISTINCT CASE WHEN cp.RoadCategory IN ('TM','PM') THEN cp.CountPointID END) AS Motorway_Points,
-        COUNT(DISTINCT CASE WHEN cp.RoadCategory IN ('TA','PA') THEN cp.CountPointID END) AS ARoad_Points
-        {F_CP} GROUP BY d.Year""",
+    "motorway_vs_aroad": f"""SELECT Year,
+        coalesce(sum(flow) FILTER (kind = 'M'), 0) AS Motorway_Flow, coalesce(sum(flow) FILTER (kind = 'A'), 0) AS ARoad_Flow,
+        coalesce(sum(flow) FILTER (kind = 'minor'), 0) AS Minor_Flow,
+        coalesce(sum(points) FILTER (kind = 'M'), 0)::BIGINT AS Motorway_Points,
+        coalesce(sum(points) FILTER (kind = 'A'), 0)::BIGINT AS ARoad_Points
+        FROM (SELECT d.Year, CASE right(cp.RoadCategory, 1) WHEN 'M' THEN 'M' WHEN 'A' THEN 'A' ELSE 'minor' END AS kind,
+                CAST(sum({MV}) AS DOUBLE) AS flow, count(DISTINCT cp.CountPointID) AS points
+              {F_CP} WHERE cp.RoadCategory IN ('TM', 'PM', 'TA', 'PA', 'M', 'MB', 'MCU')
+              GROUP BY d.Year, kind) g
+        GROUP BY Year""",
     "hgv_axle_breakdown": f"""SELECT *, {P('Artic5 + Artic6', 'TotalHGV')} AS LargeArtic_Pct FROM (
         {yearly_sql({'Rigid2': 'HGVs2RigidAxle', 'Rigid3': 'HGVs3RigidAxle', 'Rigid4Plus': 'HGVs4OrMoreRigidAxle',
                      'Artic3_4': 'HGVs3Or4ArticulatedAxle', 'Artic5': 'HGVs5ArticulatedAxle',
@@ -135,8 +138,15 @@ SQL = {
         ROUND(CAST(COUNT(DISTINCT cp.CountPointID) AS DOUBLE) / NULLIF(CAST(SUM(cp.LinkLengthKm) AS DOUBLE), 0) * 100.0, 2)
           AS PointsPer100km
         {F_CPR} WHERE d.Year = 2023 GROUP BY r.RegionName, cp.RoadCategory""",
-    "directional_imbalance_sql": f"""SELECT *, ROUND(MaxDirFlow / NULLIF(MinDirFlow, 0), 2) AS ImbalanceRatio
-        FROM imb_piv WHERE MinDirFlow > 1000
+    "directional_imbalance_sql": f"""SELECT RoadName, RoadCategory, RegionName, list_max(flows) AS MaxDirFlow,
+        list_min(flows) AS MinDirFlow, round(list_max(flows) / nullif(list_min(flows), 0), 2) AS ImbalanceRatio
+        FROM (SELECT RoadName, RoadCategory, RegionName, list(flow) AS flows FROM (
+                SELECT DISTINCT cp.RoadName, cp.RoadCategory, r.RegionName, f.DirectionOfTravel,
+                  CAST(sum({MV}) OVER (PARTITION BY cp.RoadName, cp.RoadCategory, r.RegionName, f.DirectionOfTravel)
+                    AS DOUBLE) AS flow
+                {F_CPR} WHERE d.Year = 2023 AND f.DirectionOfTravel IN ('N', 'S', 'E', 'W')) one
+              GROUP BY ALL) g
+        WHERE len(flows) > 1 AND list_min(flows) > 1000
         ORDER BY ImbalanceRatio DESC NULLS LAST, RoadName NULLS FIRST, RoadCategory NULLS FIRST,
                  RegionName NULLS FIRST LIMIT 30""",
     "cycling_share_export": f"""SELECT Year, TotalCycles, TotalMotor,
@@ -196,18 +206,5 @@ SQL = {
 }
 
 
-EXTRA = {
-    "directional_imbalance_sql": {
-        "imb_dirflow": f"""SELECT cp.RoadName, cp.RoadCategory, r.RegionName, f.DirectionOfTravel,
-              SUM({MV}) AS Flow
-            {F_CPR} WHERE d.Year = 2023 AND f.DirectionOfTravel <> 'C'
-            GROUP BY cp.RoadName, cp.RoadCategory, r.RegionName, f.DirectionOfTravel""",
-        "imb_piv": """SELECT RoadName, RoadCategory, RegionName, CAST(MAX(Flow) AS DOUBLE) AS MaxDirFlow,
-              CAST(MIN(Flow) AS DOUBLE) AS MinDirFlow
-            FROM imb_dirflow GROUP BY RoadName, RoadCategory, RegionName HAVING COUNT(*) >= 2""",
-    },
-}
-
-
 def oracle() -> dict[str, str]:
-    return {k: with_base(v, EXTRA.get(k)) for k, v in SQL.items()}
+    return {k: with_base(v) for k, v in SQL.items()}

@@ -3,14 +3,15 @@
 These follow data-frame-library semantics, not SQL semantics:
 
 * group keys that are NULL drop the row (no NULL group);
-* sums over no values are 0, not NULL;
+* sums are exact decimal sums; sums over no values are 0, not NULL;
 * ratios round half to even (``bround``); a zero denominator gives NULL;
 * measures are read as numbers exactly as they appear in the extract
   (no clamping, unparsable text is NULL);
 * arg-max / top-N ties resolve to the smallest key.
 
-All are single-scan aggregations (partial aggregation before the shuffle);
-pivots use an explicit, bounded list of column values.
+All are single-scan aggregations (partial aggregation before the shuffle).
+Pivots work on the aggregated long form, whose few rows also give the column
+list: whatever values occur become columns.
 """
 
 from __future__ import annotations
@@ -20,8 +21,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import NUMERIC_PATTERN, dbl, hour_label, month_name, road_label
-from ..schemas import AM_PEAK_HOURS, MINOR_CATEGORIES, PM_PEAK_HOURS, RAW_COUNT_MEASURES, VEHICLE_COLS
+from ..functions.exprs import dbl, hour_label, month_name, parse_exact, road_label
+from ..schemas import AM_PEAK_HOURS, ANALYSIS_TYPE, MINOR_CATEGORIES, PM_PEAK_HOURS, RAW_COUNT_MEASURES, VEHICLE_COLS
 
 
 # --------------------------------------------------------------------------
@@ -29,18 +30,9 @@ from ..schemas import AM_PEAK_HOURS, MINOR_CATEGORIES, PM_PEAK_HOURS, RAW_COUNT_
 # --------------------------------------------------------------------------
 
 def as_numbers(df: DataFrame, cols=VEHICLE_COLS) -> DataFrame:
-    """Measures as double exactly as written (text that is not a number -> NULL)."""
-    types = dict(df.dtypes)
-    out = {}
-    for c in cols:
-        if c not in types:
-            continue
-        if types[c] == "string":
-            s = F.trim(F.col(c))
-            out[c] = F.when(s.rlike(NUMERIC_PATTERN), s.try_cast("double"))
-        else:
-            out[c] = F.col(c).cast("double")
-    return df.withColumns(out)
+    """Measures as exact decimals, as written (text that is not a number -> NULL)."""
+    types, target = dict(df.dtypes), ANALYSIS_TYPE.simpleString()
+    return df.withColumns({c: parse_exact(c, types[c], target) for c in cols if c in types and types[c] != target})
 
 
 def keys_present(df: DataFrame, keys) -> DataFrame:
@@ -48,9 +40,9 @@ def keys_present(df: DataFrame, keys) -> DataFrame:
 
 
 def psum(c) -> Column:
-    """Sum where an empty / all-missing group sums to 0 (as double)."""
+    """Sum where an empty / all-missing group sums to 0."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.coalesce(F.sum(c).cast("double"), F.lit(0.0))
+    return F.coalesce(F.sum(c), F.lit(0).cast("decimal(1,0)"))
 
 
 def ratio(num, den, digits: int, scale: float = 100.0) -> Column:
@@ -59,30 +51,32 @@ def ratio(num, den, digits: int, scale: float = 100.0) -> Column:
     return F.bround(q * F.lit(scale), digits)
 
 
-def present_values(df: DataFrame, col: str, allowed: list) -> list:
-    """Which of a small, fixed set of values occur in ``col`` (bounded)."""
-    rows = df.where(F.col(col).isin(allowed)).select(col).distinct().collect()
-    found = {r[0] for r in rows}
-    return [v for v in allowed if v in found]
+def pivot_sums(long: DataFrame, keys: list[str], col: str, value: str) -> tuple[DataFrame, list[str]]:
+    """Aggregated ``long`` rows (keys, col, value) with a column per value of
+    ``col`` (missing combinations are 0), and the names of these columns.
+
+    ``long`` is written to the shared folder first, so its source is scanned
+    once: for the column list and for the pivot."""
+    from ..session import materialise
+
+    long = materialise(long, "pivot")
+    found = sorted(r[0] for r in long.select(col).distinct().collect())  # the columns of the result
+    names = [str(v) for v in found]
+    wide = long.groupBy(*keys).pivot(col, found).agg(F.sum(value)) if found else long.select(*keys).distinct()
+    return wide.na.fill(0, names) if names else wide, names
 
 
 # --------------------------------------------------------------------------
 # AADF analyses
 # --------------------------------------------------------------------------
 
-MAX_PIVOT_VALUES = 1000
-
-
-def estimation_method_by_year(raw: DataFrame, methods: list | None = None) -> DataFrame:
+def estimation_method_by_year(raw: DataFrame) -> DataFrame:
     """Year x estimation-method row counts, total and counted share."""
     base = keys_present(raw, ["year", "estimation_method"])
-    if methods is None:
-        found = base.select("estimation_method").distinct().limit(MAX_PIVOT_VALUES + 1).collect()
-        if len(found) > MAX_PIVOT_VALUES:
-            raise ValueError(f"more than {MAX_PIVOT_VALUES} estimation methods: pass them explicitly")
-        methods = sorted(r[0] for r in found)
-    g = base.groupBy("year").pivot("estimation_method", methods).agg(F.count(F.lit(1))).na.fill(0, methods)
-    g = g.withColumn("total", reduce(lambda a, b: a + b, [F.col(m) for m in methods]))
+    long = base.groupBy("year", "estimation_method").agg(F.count(F.lit(1)).alias("n"))
+    g, methods = pivot_sums(long, ["year"], "estimation_method", "n")
+    g = g.withColumn("total", reduce(lambda a, b: a + b, [F.col(f"`{m}`") for m in methods],
+                                     F.lit(0).cast("bigint")))
     if "Counted" in methods:
         g = g.withColumn("counted_pct", ratio("Counted", "total", 2))
     return g.orderBy("year")
@@ -104,7 +98,8 @@ def road_category_trends(raw: DataFrame) -> DataFrame:
         psum("all_HGVs").alias("total_hgv"),
         psum("pedal_cycles").alias("total_cycles"),
         F.count_distinct("count_point_id").alias("count_points"),
-        F.round(F.avg("all_motor_vehicles"), 6).alias("avg_flow"),
+        F.round(F.try_divide(F.sum("all_motor_vehicles").cast("double"),
+                             F.count("all_motor_vehicles").cast("double")), 6).alias("avg_flow"),
     )
     return g.withColumn("hgv_pct", ratio("total_hgv", "total_motor", 2)).orderBy("year", "road_category")
 
@@ -167,33 +162,26 @@ def directional_imbalance_pivot(raw: DataFrame, year: int = 2023, n: int = 50) -
     """Per point, year and road: flow per direction (missing = 0), max, min
     and max / (min, or 1 when min is 0); top ``n`` of ``year``.
 
-    Every non-'C' direction value that occurs becomes a column (invalid
-    values such as 'X' included, as in the source pivot); max and min run
-    over the N/S/E/W columns present.  The column list is a small distinct
-    set, checked against a bound."""
+    Every non-'C' direction value of any year becomes a column (invalid
+    values such as 'X' included, as in the source pivot), and N, S, E and W
+    always do; max and min run over those of N/S/E/W that occur in the
+    extract.  The distinct directions come from one combined aggregate."""
     keys = ["count_point_id", "year", "road_name"]
     directed = keys_present(as_numbers(raw, ["all_motor_vehicles"]), keys + ["direction_of_travel"]).where(
         F.col("direction_of_travel") != "C")
-    found = directed.select("direction_of_travel").distinct().limit(MAX_PIVOT_VALUES + 1).collect()
-    if len(found) > MAX_PIVOT_VALUES:
-        raise ValueError(f"more than {MAX_PIVOT_VALUES} direction values")
-    columns = sorted(r[0] for r in found)
-    present = [d for d in DIRS if d in columns]
-    per_dir = directed.where(F.col("year") == year).groupBy(*keys, "direction_of_travel").agg(
-        psum("all_motor_vehicles").alias("flow"))
+    found = {r[0] for r in directed.select("direction_of_travel").distinct().collect()}  # the columns of the result
+    columns = sorted(found | set(DIRS))
+    present = [d for d in DIRS if d in found]
     if len(present) < 2:
-        return per_dir.limit(0)
-    piv = per_dir.groupBy(*keys).agg(
-        *[F.coalesce(F.sum(F.when(F.col("direction_of_travel") == d, F.col("flow"))), F.lit(0.0)).alias(d)
-          for d in columns]
-    )
-    piv = piv.withColumn("max_dir", F.greatest(*[F.col(d) for d in present])).withColumn(
-        "min_dir", F.least(*[F.col(d) for d in present]))
-    piv = piv.withColumn(
-        "imbalance_ratio",
-        F.bround(F.col("max_dir") / F.when(F.col("min_dir") == 0, F.lit(1.0)).otherwise(F.col("min_dir")), 2),
-    )
-    return piv.orderBy(F.desc_nulls_last("imbalance_ratio"), *keys).limit(n)
+        present = DIRS
+    flow = F.col("all_motor_vehicles")
+    piv = directed.where(F.col("year") == year).groupBy(*keys).agg(
+        *[psum(F.when(F.col("direction_of_travel") == d, flow)).alias(d) for d in columns])
+    piv = piv.withColumns({"max_dir": F.greatest(*map(F.col, present)), "min_dir": F.least(*map(F.col, present))})
+    piv = piv.withColumn("imbalance_ratio", F.bround(
+        dbl("max_dir") / F.when(F.col("min_dir") == 0, F.lit(1.0)).otherwise(dbl("min_dir")), 2))
+    # One direction alone has no imbalance: same columns, no rows.
+    return piv.orderBy(F.desc_nulls_last("imbalance_ratio"), *keys).limit(n if len(found & set(DIRS)) > 1 else 0)
 
 
 def road_utilization_top100(raw: DataFrame, year: int = 2023, n: int = 100) -> DataFrame:
@@ -202,7 +190,7 @@ def road_utilization_top100(raw: DataFrame, year: int = 2023, n: int = 100) -> D
     g = df.groupBy(*keys).agg(psum("all_motor_vehicles").alias("all_motor_vehicles"))
     g = g.withColumn(
         "flow_per_km",
-        F.bround(F.try_divide(F.col("all_motor_vehicles"), F.nullif(dbl("link_length_km"), F.lit(0.0))), 0),
+        F.bround(F.try_divide(dbl("all_motor_vehicles"), F.nullif(dbl("link_length_km"), F.lit(0.0))), 0),
     ).where(F.col("flow_per_km").isNotNull())
     g = g.withColumn("link_length_km", dbl("link_length_km"))
     return g.orderBy(F.desc("flow_per_km"), *keys).limit(n)
@@ -275,15 +263,11 @@ def seasonal_pattern(counts: DataFrame) -> DataFrame:
     return _sums(with_calendar(counts), ["month"]).withColumn("month_name", month_name("month")).orderBy("month")
 
 
-HOURS = list(range(24))
-
-
 def _hour_matrix(counts: DataFrame, row_key: str) -> DataFrame:
-    base = keys_present(counts, [row_key, "hour"])
-    hours = present_values(base, "hour", HOURS)
-    cols = [str(h) for h in hours]
-    g = base.groupBy(row_key).pivot("hour", hours).agg(F.sum("all_motor_vehicles").cast("bigint"))
-    return g.na.fill(0, cols).orderBy(row_key)
+    """A row per ``row_key``, a column per hour that occurs, whatever its number."""
+    long = keys_present(counts, [row_key, "hour"]).groupBy(row_key, "hour").agg(
+        F.sum("all_motor_vehicles").cast("bigint").alias("n"))
+    return pivot_sums(long, [row_key], "hour", "n")[0].orderBy(row_key)
 
 
 def year_hour_heatmap(counts: DataFrame) -> DataFrame:
@@ -294,31 +278,30 @@ def road_category_hourly(counts: DataFrame) -> DataFrame:
     return _hour_matrix(counts, "road_category")
 
 
-def _argmax(df: DataFrame, key: str, label: str, value: str, smallest: bool) -> DataFrame:
-    """Label of the row with the largest (or smallest) value; ties -> lowest key."""
-    k = F.col(key)
-    if smallest:
-        pick = F.min_by(F.struct(F.col(label).cast("string").alias("l"), F.col(value).alias("v")),
-                        F.struct(F.col(value), k))
-    else:
-        pick = F.max_by(F.struct(F.col(label).cast("string").alias("l"), F.col(value).alias("v")),
-                        F.struct(F.col(value), -k))
-    return df.agg(pick.alias("p")).select(F.col("p.l").alias("label"), F.col("p.v").cast("double").alias("value"))
-
-
 def raw_key_findings(counts: DataFrame) -> DataFrame:
-    hourly = peak_hour_pattern(counts)
-    dow = day_of_week_pattern(counts)
-    monthly = seasonal_pattern(counts)
-    mv = "all_motor_vehicles"
-    parts = [
-        ("peak_hour", _argmax(hourly, "hour", "hour_label", mv, False)),
-        ("quietest_hour", _argmax(hourly, "hour", "hour_label", mv, True)),
-        ("busiest_day", _argmax(dow, "day_of_week", "day_name", mv, False)),
-        ("quietest_day", _argmax(dow, "day_of_week", "day_name", mv, True)),
-        ("busiest_month", _argmax(monthly, "month", "month_name", mv, False)),
-    ]
-    return reduce(DataFrame.unionByName, [p.select(F.lit(n).alias("finding"), "label", "value") for n, p in parts])
+    """Busiest and quietest hour, day and month: one scan with grouping sets,
+    then picks from its few rows (ties resolve to the smallest key)."""
+    days = with_calendar(counts)
+    sums = days.groupingSets(
+        [["hour"], ["day_of_week", "day_name"], ["month"]], "hour", "day_of_week", "day_name", "month").agg(
+        F.coalesce(F.sum("all_motor_vehicles"), F.lit(0)).cast("bigint").alias("n"),
+        F.grouping("hour").alias("g_hour"), F.grouping("day_of_week").alias("g_day"), F.grouping("month").alias("g_month"))
+    kinds = {"hour": ("g_hour", hour_label("hour")), "day_of_week": ("g_day", F.col("day_name")),
+             "month": ("g_month", month_name("month"))}
+
+    def pick(finding: str, key: str, smallest: bool) -> Column:
+        flag, label = kinds[key]
+        # A key that is NULL although it is grouped belongs to no group here.
+        own = (F.col(flag) == 0) & F.col(key).isNotNull()
+        place = F.struct(F.col("n") if smallest else -F.col("n"), F.col(key))
+        best = F.min_by(F.struct(label.alias("label"), F.col("n").cast("double").alias("value")), F.when(own, place))
+        return F.struct(F.lit(finding).alias("finding"), best.alias("best"))
+
+    found = sums.agg(F.array(
+        pick("peak_hour", "hour", False), pick("quietest_hour", "hour", True),
+        pick("busiest_day", "day_of_week", False), pick("quietest_day", "day_of_week", True),
+        pick("busiest_month", "month", False)).alias("all"))
+    return found.select(F.explode("all").alias("f")).select("f.finding", "f.best.label", "f.best.value")
 
 
 def merge_partial_aggregates(parts: list[DataFrame], keys: list[str]) -> DataFrame:
@@ -329,9 +312,9 @@ def merge_partial_aggregates(parts: list[DataFrame], keys: list[str]) -> DataFra
 
 
 def partial_hourly(counts: DataFrame, first_year: int | None = None, last_year: int | None = None) -> DataFrame:
-    df = counts
-    if first_year is not None:
-        df = df.where(F.col("year") >= first_year)
-    if last_year is not None:
-        df = df.where(F.col("year") <= last_year)
-    return _sums(df, ["hour"])
+    """Hourly sums of a range of years; without bounds, of the rows without a year."""
+    year = F.col("year")
+    if first_year is None and last_year is None:
+        return _sums(counts.where(year.isNull()), ["hour"])
+    df = counts if first_year is None else counts.where(year >= first_year)
+    return _sums(df if last_year is None else df.where(year <= last_year), ["hour"])

@@ -11,42 +11,55 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.readers import read_count_points_csv, read_parquet, read_raw_aadf_csv
-from . import quality, reports
-from .warehouse import FACT, Warehouse, build_dimensions, build_warehouse, incremental_load
-
-EXPORTED_REPORTS = [
-    "regional_traffic_summary", "top_busiest_roads", "yoy_growth_trend", "hgv_passenger_mix",
-    "local_authority_growth", "road_category_distribution", "geospatial_hotspots", "covid_impact",
-    "cycling_share_export", "lgv_growth_trend", "motorway_vs_aroad", "hgv_axle_breakdown",
-    "bus_coach_decline", "motorcycle_trends",
-]
+from ..schemas import COUNT_POINTS_SCHEMA, RAW_AADF_SCHEMA
+from ..session import materialise
+from ..sources import pages
+from ..sources.readers import malformed_counts, read_count_points_csv, read_parquet, read_raw_aadf_csv
+from . import exports, quality, serving
+from .analyses import as_numbers
+from .warehouse import FACT, build_dimensions, build_warehouse, incremental_load, new_version, open_warehouse
 
 
 def read_extract(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """A delivered extract: CSV with a header (explicit schema) or Parquet."""
-    if path.rstrip("/").endswith(".parquet"):
+    """A delivered extract: CSV with a header, Parquet, or a folder of JSON pages."""
+    place = path.rstrip("/")
+    if place.endswith(".parquet"):
         return read_parquet(spark, path)
+    if place.endswith("json"):
+        return pages.flatten_pages(pages.read_pages(spark, path))
     reader = {"aadf": read_raw_aadf_csv, "count_points": read_count_points_csv}[kind]
     return reader(spark, path)
 
 
+def extract_step(spark: SparkSession, path: str, kind: str) -> tuple[str, str, str]:
+    """What did not parse in an extract, as a step of the run."""
+    place = path.rstrip("/")
+    if place.endswith(".parquet"):
+        return f"extract:{kind}", "OK", "typed"
+    if place.endswith("json"):
+        envelopes = pages.read_pages(spark, path)
+        done, bad = pages.pages_completeness(envelopes).first(), pages.corrupt_pages(envelopes).first()
+        status = "OK" if done["complete"] and not bad["corrupt_pages"] else "WARN"
+        return f"extract:{kind}", status, f"{done['rows_received']} of {done['total']} rows, {bad['corrupt_pages']} corrupt pages"
+    r = malformed_counts(spark, path, {"aadf": RAW_AADF_SCHEMA, "count_points": COUNT_POINTS_SCHEMA}[kind]).first()
+    status = "WARN" if r["bad_cells"] or r["malformed_lines"] else "OK"
+    return f"extract:{kind}", status, f"{r['rows']} rows, {r['bad_cells']} bad cells, {r['malformed_lines']} malformed lines"
+
+
 def run_etl(spark: SparkSession, aadf_path: str, count_points_path: str, warehouse_root: str,
             incremental: bool = False, years=None, reports_dir: str | None = None) -> DataFrame:
     """Run the batch and return ``(step, status, detail)`` rows."""
+    steps = [extract_step(spark, aadf_path, "aadf"), extract_step(spark, count_points_path, "count_points")]
     raw = read_extract(spark, aadf_path, "aadf")
     points = read_extract(spark, count_points_path, "count_points")
-    steps = []
 
+    wh = open_warehouse(spark, warehouse_root) if incremental else None
     if incremental:
-        wh = Warehouse(spark, warehouse_root)
-        if not wh.has("DimCountPoint"):
-            wh = build_dimensions(spark, points, warehouse_root)
-        else:
-            wh.manifest.update({n: wh.table(n).count() for n in
-                                ("DimDate", "DimRegion", "DimLocalAuthority", "DimCountPoint")})
+        if wh is None:
+            wh = build_dimensions(spark, points, new_version(spark, warehouse_root))
         loaded = incremental_load(wh, raw, set(years) if years else None)
-        steps.append(("load", "OK", f"source years not yet loaded, attempted: {sorted(r[0] for r in loaded.collect())}"))
+        wh.save_manifest()
+        steps.append(("load", "OK", f"years not yet loaded, attempted: {sorted(r[0] for r in loaded.collect())}"))
     else:
         wh = build_warehouse(spark, raw, points, warehouse_root)
         steps.append(("load", "OK", f"{wh.manifest.get(FACT, 0)} fact rows"))
@@ -55,12 +68,10 @@ def run_etl(spark: SparkSession, aadf_path: str, count_points_path: str, warehou
         steps.append((f"dq:{r['check']}", r["status"], r["detail"]))
 
     if reports_dir:
-        from ..sources.sinks import write_csv
-
-        for name in EXPORTED_REPORTS:
-            try:
-                write_csv(getattr(reports, name)(wh), f"{reports_dir}/{name}", single_file=True)
-                steps.append((f"export:{name}", "OK", f"{reports_dir}/{name}"))
-            except Exception as e:  # noqa: BLE001
-                steps.append((f"export:{name}", "ERROR", f"{type(e).__name__}: {e}"[:300]))
+        # Parsed once for the analyses and the stored dashboard datasets.
+        typed = materialise(as_numbers(raw), "typed")
+        serving.store_serving(typed, f"{reports_dir}/datasets")
+        results = (exports.report_results(wh) | exports.analysis_results(typed, points)
+                   | exports.serving_results(typed) | exports.quality_results(wh))
+        steps += [(f"export:{name}", status, detail) for name, status, detail in exports.write_results(results, reports_dir)]
     return spark.createDataFrame(steps, "step string, status string, detail string")

@@ -6,14 +6,16 @@ the report collects only those tiny results.
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.exprs import pct
 from ..schemas import MIN_EXPECTED_ROWS
-from .analyses import as_numbers, keys_present
-from .warehouse import DIMS, FACT, Warehouse
+from .analyses import as_numbers, keys_present, psum
+from .warehouse import DIMS, FACT, Warehouse, folder_names
 
 
 def dq_row_counts(wh: Warehouse) -> DataFrame:
@@ -28,14 +30,16 @@ def dq_row_counts(wh: Warehouse) -> DataFrame:
 
 
 def dq_null_check(wh: Warehouse) -> DataFrame:
+    """Nulls per column, and as a percentage of all rows."""
     f = wh.fact
     nulls = {
         "NullDateKey": "DateKey", "NullCountPointKey": "CountPointKey", "NullRegionKey": "RegionKey",
         "NullLAKey": "LocalAuthorityKey", "NullDirection": "DirectionOfTravel",
         "NullMotorVehicles": "AllMotorVehicles",
     }
-    return f.agg(*[F.count_if(F.col(c).isNull()).alias(a) for a, c in nulls.items()],
-                 F.count(F.lit(1)).alias("TotalRows"))
+    counts = f.agg(*[F.count_if(F.col(c).isNull()).alias(a) for a, c in nulls.items()],
+                   F.count(F.lit(1)).alias("TotalRows"))
+    return counts.withColumns({f"{a}Pct": pct(a, "TotalRows") for a in nulls})
 
 
 def dq_negative_values(wh: Warehouse) -> DataFrame:
@@ -49,11 +53,15 @@ def dq_negative_values(wh: Warehouse) -> DataFrame:
 
 def dq_orphan_facts(wh: Warehouse) -> DataFrame:
     """Fact rows whose key has no dimension row (left joins + null probes).
-    The local-authority key is checked as well.  Fact rows are first counted
-    per key combination, so the dimension probes run once per combination
-    rather than once per fact row."""
+    The local-authority key is checked as well.  With broadcastable
+    dimensions the probes run in the scan's tasks and one row per task is
+    shuffled; otherwise fact rows are first counted per key combination, so
+    the shuffled probes run once per combination."""
     keys = ["DateKey", "CountPointKey", "RegionKey", "LocalAuthorityKey"]
-    f = wh.fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    if all(wh.broadcastable(d) for d in DIMS):
+        f = wh.fact.select(*keys, F.lit(1).cast("bigint").alias("_n"))
+    else:
+        f = wh.fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     probes = [("DateKey", "DimDate", "OrphanDate"), ("CountPointKey", "DimCountPoint", "OrphanCP"),
               ("RegionKey", "DimRegion", "OrphanRegion"), ("LocalAuthorityKey", "DimLocalAuthority", "OrphanLA")]
     for key, dim, flag in probes:
@@ -89,7 +97,8 @@ def dq_report(wh: Warehouse, checks: dict | None = None) -> DataFrame:
     """``(check, status, detail)`` for every check, plus a WARN row per
     table under its minimum.  Only low row counts WARN and only negative
     values FAIL; a check that raises is reported as ERROR and the others
-    still run.  ``detail`` is the number of result rows, or
+    still run.  ``detail`` is the check's result as JSON records (in the
+    order of their first column), the whole error text, or
     ``"<rows> < <minimum>"`` for a WARN row.
 
     The checks are independent Spark jobs and are submitted concurrently;
@@ -103,7 +112,7 @@ def dq_report(wh: Warehouse, checks: dict | None = None) -> DataFrame:
         try:
             return name, fn(wh).collect(), None
         except Exception as e:  # noqa: BLE001
-            return name, None, f"{type(e).__name__}: {e}"[:500]
+            return name, None, f"{type(e).__name__}: {e}"
 
     with ThreadPoolExecutor(max_workers=max(1, len(checks))) as pool:
         results = list(pool.map(run, checks.items()))
@@ -116,7 +125,8 @@ def dq_report(wh: Warehouse, checks: dict | None = None) -> DataFrame:
         status = "PASS"
         if name == "negative_values" and result and result[0]["Status"] == "FAIL":
             status = "FAIL"
-        rows.append((name, status, str(len(result))))
+        records = sorted((r.asDict() for r in result), key=lambda r: str(next(iter(r.values()))))
+        rows.append((name, status, json.dumps(records, separators=(",", ":"))))
         if name == "row_counts":
             for r in result:
                 if r["Status"] == "WARN":
@@ -141,8 +151,9 @@ def reconcile_direction_sums(direction_rows: DataFrame, full: DataFrame) -> Data
     all-directions dataset?  Inner join on the composite key."""
     d = as_numbers(direction_rows, ["all_motor_vehicles"])
     summed = keys_present(d, ["count_point_id", "year"]).groupBy("count_point_id", "year").agg(
-        F.coalesce(F.sum("all_motor_vehicles"), F.lit(0.0)).alias("mv_summed"))
-    f = full.select("count_point_id", "year", F.col("all_motor_vehicles").cast("double").alias("mv_full"))
+        psum("all_motor_vehicles").alias("mv_summed"))  # decimals: equality is exact
+    f = as_numbers(full, ["all_motor_vehicles"]).select(
+        "count_point_id", "year", F.col("all_motor_vehicles").alias("mv_full"))
     merged = summed.join(f, ["count_point_id", "year"], "inner")
     m = merged.agg(F.count_if(F.col("mv_summed") == F.col("mv_full")).alias("matching_rows"),
                    F.count(F.lit(1)).alias("merged_rows"))
@@ -192,27 +203,32 @@ def profile_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def profile_files(spark: SparkSession, paths: dict) -> DataFrame:
-    """One profile row per input file: rows, columns, names, year range,
-    distinct points; absent inputs are MISSING and unreadable ones ERROR."""
+    """One profile row per input (CSV with a header if its name ends in
+    ``csv``, else Parquet): rows, columns, names, year range, distinct points.
+    Absent inputs are MISSING.  Each input's one-row aggregate runs on its own
+    (concurrently), so an unreadable one is an ERROR row with the whole error
+    text and the others are still profiled."""
+    from concurrent.futures import ThreadPoolExecutor
+
     schema = ("file string, status string, rows bigint, columns int, column_names string, "
               "min_year int, max_year int, distinct_points bigint")
-    parts = []
-    for name, path in paths.items():
-        if not _exists(spark, path):
-            parts.append(spark.createDataFrame([(name, "MISSING", None, None, None, None, None, None)], schema))
-            continue
+
+    def profile(item):
+        name, path = item
+        if folder_names(spark, path) is None:
+            return (name, "MISSING", None, None, None, None, None, None)
         try:
-            parts.append(profile_table(spark.read.parquet(path), name))
+            if path.rstrip("/").endswith("csv"):
+                df = spark.read.option("header", True).csv(path)
+                df = df.withColumns({c: F.col(c).try_cast("double").cast("int") for c in ["year"] if c in df.columns})
+            else:
+                df = spark.read.parquet(path)
+            return tuple(profile_table(df, name).first())
         except Exception as e:  # noqa: BLE001
-            parts.append(spark.createDataFrame([(name, "ERROR", None, None, str(e)[:200], None, None, None)], schema))
-    return reduce(DataFrame.unionByName, parts)
-
+            return (name, "ERROR", None, None, str(e), None, None, None)
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(jpath))
+    with ThreadPoolExecutor(max_workers=max(1, len(paths))) as pool:
+        return spark.createDataFrame(list(pool.map(profile, paths.items())), schema)
 
 
 def profile_extract(raw: DataFrame, year: int = 2025) -> DataFrame:

@@ -9,8 +9,9 @@ report settings.  Conventions shared by all of them:
 * eager aggregation: fact rows are first combined per surrogate key (an
   integer-keyed partial aggregate, see :func:`partials`), then dimension
   attributes are joined onto one row per key (size-checked broadcasts) and
-  the final grouping runs on that small input.  Facts are never shuffled
-  for a join;
+  the final grouping runs on that small input.  Where the final groups are
+  far fewer than the count points and the point dimension can be broadcast,
+  the join comes first and the final aggregate combines in the map task;
 * sums are exact decimal sums exposed as double, means are over fact rows
   (rounded to 6 places), ratios are NULL on a zero denominator;
 * top-N lists break ties on their key columns, ascending.
@@ -43,18 +44,28 @@ def fact(wh: Warehouse, *cols: str, **years) -> DataFrame:
     return f.select(F.col("DateKey").alias("Year"), *cols)
 
 
-def partials(wh: Warehouse, keys: list[str], sums: dict, count: bool = False, **years) -> DataFrame:
+def partials(wh: Warehouse, keys: list[str], sums: dict, count: bool = False, coarse: bool = False,
+             **years) -> DataFrame:
     """Eager aggregation: fact rows combined per surrogate key (and year)
     *before* any dimension join.  The hot path is an integer-keyed partial
     aggregate; dimension attributes are joined onto one row per key and
     the final grouping runs on that much smaller input.  ``sums`` maps
     alias -> fact column / expression; ``count`` adds the row count ``_n``
-    (for means over fact rows)."""
+    (for means over fact rows).
+
+    ``coarse`` says that the final groups are far fewer than the count
+    points.  If the point dimension is small enough to broadcast, the rows
+    are then passed on as they are: the join runs in the scan's task and the
+    final aggregate's map side combines them, so only final groups are
+    shuffled instead of one row per point."""
     f = wh.fact
     if years:
         f = f.where(year_filter(F.col("DateKey"), **years))
     f = f.withColumnRenamed("DateKey", "Year")
     aggs = [F.sum(F.col(e) if isinstance(e, str) else e).alias(a) for a, e in sums.items()]
+    if coarse and wh.broadcastable("DimCountPoint"):
+        rows = [(F.col(e) if isinstance(e, str) else e).alias(a) for a, e in sums.items()]
+        return f.select(*keys, *rows, *([F.lit(1).alias("_n")] if count else []))
     if count:
         aggs.append(F.count(F.lit(1)).alias("_n"))
     return f.groupBy(*keys).agg(*aggs)
@@ -117,7 +128,7 @@ def regional_traffic_summary(wh: Warehouse, year: int = 2023) -> DataFrame:
 
 
 def top_busiest_roads(wh: Warehouse, since: int = 2020, min_total: float = 1_000_000, n: int = 10) -> DataFrame:
-    p = with_point(partials(wh, ["CountPointKey"], {"s": MV}, count=True, since=since), wh,
+    p = with_point(partials(wh, ["CountPointKey"], {"s": MV}, count=True, coarse=True, since=since), wh,
                    "RoadName", "RoadCategory")
     g = p.groupBy("RoadName", "RoadCategory").agg(
         sum_d("s").alias("TotalTraffic"), mean_of().alias("AvgDailyFlow")
@@ -232,7 +243,7 @@ def cycling_modal_shift(wh: Warehouse) -> DataFrame:
 
 def directional_flow(wh: Warehouse, year: int = 2023, min_flow: float = 10_000) -> DataFrame:
     p = partials(wh.where_fact(F.col("DirectionOfTravel") != "C"),
-                 ["CountPointKey", "RegionKey", "DirectionOfTravel"], {"s": MV}, year=year)
+                 ["CountPointKey", "RegionKey", "DirectionOfTravel"], {"s": MV}, coarse=True, year=year)
     p = with_region(with_point(p, wh, "RoadName", "RoadCategory"), wh)
     keys = ["RoadName", "RoadCategory", "RegionName", "DirectionOfTravel"]
     return (
@@ -245,7 +256,7 @@ def directional_flow(wh: Warehouse, year: int = 2023, min_flow: float = 10_000)
 def vehicle_km_by_region(wh: Warehouse, since: int = 2019) -> DataFrame:
     """Annual vehicle-km: flow x link length x 365, summed exactly."""
     # link length is constant per point, so sum(flow * km) = km * sum(flow): exact in decimals
-    p = partials(wh, ["Year", "CountPointKey", "RegionKey"], {"mv": MV, "hgv": "AllHGVs"}, since=since)
+    p = partials(wh, ["Year", "CountPointKey", "RegionKey"], {"mv": MV, "hgv": "AllHGVs"}, coarse=True, since=since)
     p = with_region(with_point(p, wh, "LinkLengthKm"), wh)
     km = F.col("LinkLengthKm")
     return p.groupBy("RegionName", "Year").agg(
@@ -268,7 +279,7 @@ def road_category_performance(wh: Warehouse, since: int = 2015) -> DataFrame:
 
 def top_growing_roads(wh: Warehouse, base: int = 2019, target: int = 2023,
                       min_base: float = 100_000, n: int = 20) -> DataFrame:
-    p = with_point(partials(wh, ["Year", "CountPointKey"], {"s": MV}, years=[base, target]), wh,
+    p = with_point(partials(wh, ["Year", "CountPointKey"], {"s": MV}, coarse=True, years=[base, target]), wh,
                    "RoadName", "RoadCategory")
     b, t = f"Traffic_{base}", f"Traffic_{target}"
     g = p.groupBy("RoadName", "RoadCategory").agg(
@@ -286,7 +297,7 @@ def lgv_growth_trend(wh: Warehouse) -> DataFrame:
 
 
 def congestion_proxy(wh: Warehouse, year: int = 2023, min_flow: float = 10_000, n: int = 20) -> DataFrame:
-    p = partials(wh, ["CountPointKey", "RegionKey"], {"s": MV}, year=year)
+    p = partials(wh, ["CountPointKey", "RegionKey"], {"s": MV}, coarse=True, year=year)
     p = with_region(with_point(p, wh, "RoadName", "RoadCategory", "LinkLengthKm"), wh).where(
         F.col("LinkLengthKm") > 0
     )
@@ -358,7 +369,7 @@ def coverage_by_region_category(wh: Warehouse, year: int = 2023) -> DataFrame:
 
 def directional_imbalance_sql(wh: Warehouse, year: int = 2023, min_flow: float = 1000, n: int = 30) -> DataFrame:
     p = partials(wh.where_fact(F.col("DirectionOfTravel") != "C"),
-                 ["CountPointKey", "RegionKey", "DirectionOfTravel"], {"s": MV}, year=year)
+                 ["CountPointKey", "RegionKey", "DirectionOfTravel"], {"s": MV}, coarse=True, year=year)
     p = with_region(with_point(p, wh, "RoadName", "RoadCategory"), wh)
     keys = ["RoadName", "RoadCategory", "RegionName"]
     per_dir = p.groupBy(*keys, "DirectionOfTravel").agg(F.sum("s").alias("Flow"))
@@ -412,7 +423,7 @@ def traffic_by_region(wh: Warehouse, year: int = 2023) -> DataFrame:
 def top_roads(wh: Warehouse, year: int = 2023, limit: int = 10) -> DataFrame:
     if not 1 <= int(limit) <= MAX_API_LIMIT:
         raise ValueError(f"limit must be between 1 and {MAX_API_LIMIT}")
-    p = with_point(partials(wh, ["CountPointKey"], {"s": MV}, year=year), wh, "RoadName", "RoadCategory")
+    p = with_point(partials(wh, ["CountPointKey"], {"s": MV}, coarse=True, year=year), wh, "RoadName", "RoadCategory")
     g = p.groupBy("RoadName", "RoadCategory").agg(sum_d("s").alias("TotalTraffic"))
     return top_n(g, int(limit), [F.desc("TotalTraffic"), F.asc_nulls_first("RoadName"),
                                  F.asc_nulls_first("RoadCategory")])
@@ -440,7 +451,11 @@ def hotspots(wh: Warehouse, year: int = 2023, min_traffic: float = 50_000) -> Da
 
 
 def available_years(wh: Warehouse) -> DataFrame:
-    return wh.fact.select(F.col("DateKey").alias("Year")).distinct().orderBy("Year")
+    """From the fact's partition folders; no fact file is read."""
+    years = wh.fact_years()
+    if years is None:
+        return wh.fact.select(F.col("DateKey").alias("Year")).distinct().orderBy("Year")
+    return wh.spark.createDataFrame([(y,) for y in years], "Year int")
 
 
 def yearly_overview(wh: Warehouse) -> DataFrame:

@@ -2,8 +2,9 @@
 
 The serving datasets are computed from the raw AADF extract (data-frame
 semantics, see :mod:`roadflow.plans.analyses`) and are small: one row per
-year, per (year, region), per (year, road) for the top 50, etc.  The
-dashboard views (``cloud_*``) and chart feeds read those datasets.
+year, per (year, region), per (year, road) for the top 50, etc.  They are
+stored once (:func:`store_serving`) and the dashboard views (``cloud_*``) read
+the stored files.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import dbl
+from ..functions.exprs import dbl, growth_pct, pct
 from .analyses import as_numbers, keys_present, psum, ratio
 
 YEARLY_COLS = {
@@ -85,17 +86,18 @@ def serve_top_roads_by_year(raw: DataFrame, n: int = 50) -> DataFrame:
 
 
 def serve_geo_hotspots(raw: DataFrame, min_total: float = 10_000) -> DataFrame:
-    """Latest year, per point: total traffic and its position (the first
-    non-missing latitude / longitude; rows carry no order, so the
-    smallest one)."""
+    """Latest year, per point: total traffic and its position.  Rows carry no
+    order, so of several positions the smallest whole one is taken: latitude
+    and longitude always come from the same row."""
     df = keys_present(latest_year_partition(_nums(raw)), ["count_point_id", "road_name", "region_name"])
     g = df.groupBy(F.col("count_point_id").alias("CountPointID"), F.col("road_name").alias("RoadName"),
                    F.col("region_name").alias("RegionName")).agg(
         psum("all_motor_vehicles").alias("TotalTraffic"),
-        F.min("latitude").cast("double").alias("Latitude"),
-        F.min("longitude").cast("double").alias("Longitude"),
-    )
-    return g.where(F.col("TotalTraffic") > min_total)
+        F.min(F.when(F.col("latitude").isNotNull() & F.col("longitude").isNotNull(),
+                     F.struct("latitude", "longitude"))).alias("_at"),
+    ).where(F.col("TotalTraffic") > min_total)
+    return g.select("CountPointID", "RoadName", "RegionName", "TotalTraffic",
+                    dbl("_at.latitude").alias("Latitude"), dbl("_at.longitude").alias("Longitude"))
 
 
 def serve_vehicle_mix(raw: DataFrame) -> DataFrame:
@@ -133,7 +135,7 @@ def cloud_kpis(yearly: DataFrame) -> DataFrame:
 def cloud_yoy(yearly: DataFrame) -> DataFrame:
     w = Window.orderBy("Year")
     prev = F.lag("TotalMotor").over(w)
-    y = yearly.select("Year", F.round((F.try_divide(F.col("TotalMotor"), F.nullif(prev, F.lit(0.0))) - 1)
+    y = yearly.select("Year", F.round((F.try_divide(dbl("TotalMotor"), F.nullif(dbl(prev), F.lit(0.0))) - 1)
                                       * F.lit(100.0), 6).alias("YoY_Growth"))
     return y.where(F.col("YoY_Growth").isNotNull()).orderBy("Year")
 
@@ -180,32 +182,75 @@ def cloud_hotspots(geo: DataFrame, min_traffic: float = 50_000) -> DataFrame:
 # Chart feeds (scaled, sorted inputs of the static charts)
 # --------------------------------------------------------------------------
 
-def chart_feeds(reports: dict) -> DataFrame:
-    """``(chart, series, x, y)`` rows for the seven static charts, built from
-    the warehouse reports (``reports`` maps report name -> DataFrame)."""
-
-    def feed(chart, series, df, x, y, scale=1.0):
-        return df.where(F.col(y).isNotNull()).select(
-            F.lit(chart).alias("chart"), F.lit(series).alias("series"),
-            F.col(x).cast("string").alias("x"), F.round(dbl(y) / F.lit(scale), 6).alias("y"))
-
-    yoy = reports["yoy_growth_trend"]
-    covid = reports["covid_impact"]
-    parts = [
-        feed("yoy_growth_trend", "traffic_billions", yoy, "Year", "TotalTraffic", 1e9),
-        feed("yoy_growth_trend", "growth_pct", yoy, "Year", "YoY_GrowthPct"),
-        feed("regional_traffic", "motor_millions", reports["regional_traffic_summary"], "RegionName",
-             "TotalMotorVehicles", 1e6),
-        feed("hgv_passenger_mix", "hgv_pct", reports["hgv_passenger_mix"], "RegionName", "HGV_Pct"),
-        *[feed("covid_impact", c.lower() + "_millions", covid, "Year", c, 1e6)
-          for c in ["Cars", "LGVs", "HGVs", "Buses", "Cycles"]],
-        feed("cycling_trends", "cycles_thousands", reports["cycling_share_export"], "Year", "TotalCycles", 1e3),
-        feed("cycling_trends", "share_pct", reports["cycling_share_export"], "Year", "CycleSharePct"),
-        feed("road_category_pie", "traffic", reports["road_category_distribution"], "RoadCategory",
-             "TotalTraffic"),
-        feed("lgv_ecommerce_trend", "lgv_share_pct", reports["lgv_growth_trend"], "Year", "LGV_Share_Pct"),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+def chart_feeds(wh, summary_year: int = 2023, covid: tuple[int, int] = (2019, 2023)) -> DataFrame:
+    """``(chart, series, x, y)`` rows for the seven static charts.
+
+    All year-grain charts share one yearly aggregate of the fact, the two
+    regional charts one regional aggregate; each is unpivoted into its series,
+    so the fact is scanned three times for thirteen series."""
+    from . import reports
+
+    def unpivoted(df: DataFrame, x: str, series: list[tuple]) -> DataFrame:
+        rows = F.array(*[F.struct(F.lit(chart).alias("chart"), F.lit(name).alias("series"),
+                                  F.round(dbl(y) / F.lit(scale), 6).alias("y")) for chart, name, y, scale in series])
+        out = df.select(F.col(x).cast("string").alias("x"), F.explode(rows).alias("r")).select(
+            "r.chart", "r.series", "x", "r.y")
+        return out.where(F.col("y").isNotNull())
+
+    modes = {"Cars": "CarsAndTaxis", "LGVs": "LGVs", "HGVs": "AllHGVs", "Buses": "BusesAndCoaches",
+             "Cycles": "PedalCycles"}
+    y = reports.yearly(wh, {"Motor": reports.MV, **modes})
+    y = y.withColumn("Growth", growth_pct("Motor", reports.prev_row(y, "Motor")))
+    in_covid = F.col("Year").between(*covid)
+    by_year = unpivoted(y, "Year", [
+        ("yoy_growth_trend", "traffic_billions", F.col("Motor"), 1e9),
+        ("yoy_growth_trend", "growth_pct", F.col("Growth"), 1.0),
+        *[("covid_impact", f"{m.lower()}_millions", F.when(in_covid, F.col(m)), 1e6) for m in modes],
+        ("cycling_trends", "cycles_thousands", F.col("Cycles"), 1e3),
+        ("cycling_trends", "share_pct", pct("Cycles", F.col("Motor") + F.col("Cycles"), 4), 1.0),
+        ("lgv_ecommerce_trend", "lgv_share_pct", pct("LGVs", "Motor"), 1.0),
+    ])
+    p = reports.with_region(reports.partials(
+        wh, ["Year", "RegionKey"], {"mv": reports.MV, "hgv": "AllHGVs"}), wh)
+    regions = p.groupBy("RegionName").agg(
+        F.sum(F.when(F.col("Year") == summary_year, F.col("mv"))).alias("Latest"),
+        F.sum("mv").alias("Motor"), F.sum("hgv").alias("HGV"))
+    by_region = unpivoted(regions, "RegionName", [
+        ("regional_traffic", "motor_millions", F.col("Latest"), 1e6),
+        ("hgv_passenger_mix", "hgv_pct", pct("HGV", "Motor"), 1.0),
+    ])
+    c = reports.with_point(reports.partials(wh, ["CountPointKey"], {"mv": reports.MV}, coarse=True), wh, "RoadCategory")
+    by_category = unpivoted(c.groupBy("RoadCategory").agg(F.sum("mv").alias("Motor")), "RoadCategory", [
+        ("road_category_pie", "traffic", F.col("Motor"), 1.0)])
+    return by_year.unionByName(by_region).unionByName(by_category)
+
+
+# --------------------------------------------------------------------------
+# Stored datasets
+# --------------------------------------------------------------------------
+
+#: Stored name -> the dataset.
+DATASETS = {
+    "yearly_totals": serve_yearly_totals,
+    "regional_by_year": serve_regional_by_year,
+    "top_roads_by_year": serve_top_roads_by_year,
+    "geospatial_hotspots": serve_geo_hotspots,
+    "vehicle_mix": serve_vehicle_mix,
+    "road_category_by_year": serve_road_category_by_year,
+}
+
+
+def store_serving(raw: DataFrame, root: str, parallel: int = 3) -> None:
+    """Write the six datasets under ``root`` (independent jobs, submitted concurrently)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        list(pool.map(lambda item: item[1](raw).write.mode("overwrite").parquet(f"{root}/{item[0]}"), DATASETS.items()))
+
+
+def served(spark, root: str, name: str) -> DataFrame:
+    """A stored dataset."""
+    return spark.read.parquet(f"{root}/{name}")
 
 
 # --------------------------------------------------------------------------
@@ -231,6 +276,6 @@ def point_features(points_dim: DataFrame, traffic: DataFrame) -> DataFrame:
         F.struct(F.lit("Point").alias("type"),
                  F.array(dbl("Longitude"), dbl("Latitude")).alias("coordinates")).alias("geometry"),
         F.struct(F.col("CountPointID").alias("CP_Number"), F.col("RoadName").alias("RoadNumber"),
-                 F.col("all_motor_vehicles")).alias("properties"),
+                 dbl("all_motor_vehicles").alias("all_motor_vehicles")).alias("properties"),
     )
     return j.select("CountPointID", F.to_json(feature).alias("feature"))

@@ -10,28 +10,43 @@ Layout (Parquet under the shared folder):
   ``REBALANCE(DateKey)`` so adaptive execution splits an oversized year over
   many writers, and sorted by count point inside each file.
 
-Row counts of the dimensions are kept in a manifest; joins broadcast a
+Row counts of the tables are kept in a manifest; joins broadcast a
 dimension only when its recorded size is under the bound.
+
+A full refresh builds a new version folder (``v00000001``, ...) and commits it
+by writing its manifest last. Readers open the newest committed version, so a
+refresh that fails at any point leaves the old dimensions and the old fact in
+use together.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import threading
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators.clean import clean_aadf
-from ..operators.joins import BROADCAST_MAX_ROWS, bounded_broadcast
+from ..operators.clean import any_over_range, clean_aadf
+from ..operators.joins import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, bounded_broadcast, row_bytes
 from ..operators.keys import with_dense_key
 from ..schemas import FACT_MEASURES, MEASURE_TYPE, YEAR_MAX, YEAR_MIN
 from ..session import new_output_dir
 
 FACT = "FactTrafficFlowDirection"
+REJECTED = "RejectedRows"
+OVER_RANGE = "_over_range"
 DIMS = ["DimDate", "DimRegion", "DimLocalAuthority", "DimCountPoint"]
 FACT_KEYS = ["DateKey", "CountPointKey", "LocalAuthorityKey", "RegionKey"]
+FACT_SCHEMA = T.StructType(
+    [T.StructField(k, T.IntegerType()) for k in FACT_KEYS if k != "DateKey"]
+    + [T.StructField("DirectionOfTravel", T.StringType())]
+    + [T.StructField(m, MEASURE_TYPE) for m in FACT_MEASURES.values()]
+    + [T.StructField("LoadDate", T.TimestampType()), T.StructField("DateKey", T.IntegerType())])  # DateKey: the partition
 FACT_COLUMNS = FACT_KEYS + ["DirectionOfTravel"] + list(FACT_MEASURES.values())
 
 
@@ -151,21 +166,29 @@ def all_keys_present():
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in FACT_KEYS])
 
 
+def keyed_rows(raw: DataFrame, maps: dict) -> DataFrame:
+    """Cleaned rows with their keys and a flag for measures that the fact's decimal type cannot hold."""
+    kind = MEASURE_TYPE.simpleString()
+    return attach_keys(clean_aadf(raw.withColumn(OVER_RANGE, any_over_range(raw, kind)), kind), maps)
+
+
 def fact_rows(keyed: DataFrame, with_load_date: bool = True) -> DataFrame:
+    """Rows with all keys and measures in range, as the fact stores them."""
     cols = [F.col(k).cast("int").alias(k) for k in FACT_KEYS]
     cols.append(F.col("direction_of_travel").alias("DirectionOfTravel"))
     cols += [F.col(src).cast(MEASURE_TYPE).alias(dst) for src, dst in FACT_MEASURES.items()]
     if with_load_date:
         cols.append(F.current_timestamp().alias("LoadDate"))
-    return keyed.where(all_keys_present()).select(*cols)
+    return keyed.where(all_keys_present() & ~F.col(OVER_RANGE)).select(*cols)
 
 
 def load_stats(keyed: DataFrame) -> DataFrame:
-    """Rows loaded vs rows dropped for a missing key, one aggregate."""
-    ok = all_keys_present()
+    """Rows loaded, dropped for a missing key, and rejected for a measure out of range, one aggregate."""
+    ok, big = all_keys_present(), F.col(OVER_RANGE)
     return keyed.agg(
-        F.count_if(ok).alias("loaded_rows"),
+        F.count_if(ok & ~big).alias("loaded_rows"),
         F.count_if(~ok).alias("dropped_rows"),
+        F.count_if(ok & big).alias("over_range_rows"),
     )
 
 
@@ -210,7 +233,9 @@ class Warehouse:
         return f"{self.root}/{name}"
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """A table of this version; the fact by its declared schema, which also reads one without any rows."""
+        reader = self.spark.read.schema(FACT_SCHEMA) if name == FACT else self.spark.read
+        return reader.parquet(self.path(name))
 
     def with_new_fact(self, fact_root: str) -> "Warehouse":
         """Same dimensions, but an (initially empty) fact under ``fact_root``."""
@@ -219,10 +244,20 @@ class Warehouse:
         return view
 
     def has(self, name: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.exists(p))
+        return folder_names(self.spark, self.path(name)) is not None
+
+    def broadcastable(self, name: str) -> bool:
+        """Whether the manifest proves the dimension small enough to broadcast."""
+        rows = self.manifest.get(name)
+        return rows is not None and rows <= BROADCAST_MAX_ROWS and \
+            rows * row_bytes(self.table(name)) <= BROADCAST_MAX_BYTES
+
+    def fact_years(self) -> list[int] | None:
+        """Years of the fact from its partition folders; None for a filtered view, which must be read."""
+        if getattr(self, "_fact_filter", None) is not None:
+            return None
+        names = folder_names(self.spark, self.path(FACT)) or []
+        return sorted(int(n.split("=")[1]) for n in names if n.startswith("DateKey=") and n.split("=")[1].isdigit())
 
     @property
     def fact(self) -> DataFrame:
@@ -248,14 +283,56 @@ class Warehouse:
                        self.table("DimCountPoint"), self.manifest)
 
     def save_manifest(self) -> None:
-        """Record table row counts (used for broadcast size checks) next to
-        the tables, written through Spark so any shared file system works."""
+        """Record table row counts next to the tables; this commits the version.
+
+        Each call appends a numbered set of rows, so there is never a moment
+        without a manifest; the highest number counts."""
         for name in DIMS + [FACT]:
             if name == FACT or name not in self.manifest:
-                self.manifest[name] = self.table(name).count()
-        rows = sorted(self.manifest.items())
-        self.spark.createDataFrame(rows, "table string, rows bigint").coalesce(1).write.mode(
-            "overwrite").json(self.path("_manifest"))
+                self.manifest[name] = self.table(name).count() if self.has(name) else 0
+        self.saved = getattr(self, "saved", 0) + 1
+        rows = [(name, n, self.saved) for name, n in sorted(self.manifest.items())]
+        self.spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").json(self.path("_manifest"))
+
+
+MANIFEST = "table string, rows bigint, saved int"
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str] | None:
+    """Names in a folder of any file system Spark knows; None if there is no such folder."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    try:
+        found = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(place)
+    except Py4JJavaError as e:
+        if "FileNotFoundException" in str(e.java_exception):
+            return None
+        raise
+    return [f.getPath().getName() for f in found]
+
+
+def versions(spark: SparkSession, base: str) -> list[tuple[str, bool]]:
+    """(version folder, committed) in order."""
+    names = sorted(n for n in folder_names(spark, base) or [] if re.fullmatch(r"v\d{8}", n))
+    return [(n, "_SUCCESS" in (folder_names(spark, f"{base}/{n}/_manifest") or [])) for n in names]
+
+
+def new_version(spark: SparkSession, base: str) -> str:
+    """A folder that no version has used."""
+    last = max((int(n[1:]) for n, _ in versions(spark, base)), default=0)
+    return f"{base}/v{last + 1:08d}"
+
+
+def open_warehouse(spark: SparkSession, base: str) -> Warehouse | None:
+    """The newest committed version under ``base``, with its manifest; None before the first commit."""
+    done = [n for n, committed in versions(spark, base) if committed]
+    if not done:
+        return None
+    root = f"{base}/{done[-1]}"
+    rows = spark.read.schema(MANIFEST).json(f"{root}/_manifest").collect()  # a few rows for each save
+    saved = max(r["saved"] for r in rows)
+    wh = Warehouse(spark, root, {r["table"]: r["rows"] for r in rows if r["saved"] == saved})
+    wh.saved = saved
+    return wh
 
 
 def build_dimensions(spark: SparkSession, count_points: DataFrame, root: str) -> Warehouse:
@@ -284,14 +361,24 @@ def build_dimensions(spark: SparkSession, count_points: DataFrame, root: str) ->
     return wh
 
 
-def load_fact(wh: Warehouse, raw: DataFrame, mode: str = "overwrite") -> None:
-    keyed = attach_keys(clean_aadf(raw, MEASURE_TYPE.simpleString()), wh.lookups())
-    write_fact(fact_rows(keyed), wh.path(FACT), mode)
+def load_fact(wh: Warehouse, raw: DataFrame, mode: str = "overwrite", replace_years_only: bool = False) -> int:
+    """Clean, attach keys, write; returns the number of rows with a measure out of range.
+
+    Those are counted by a scan of the measures alone (an observed metric of
+    the write would be lost when the plan turns out empty) and, if there are
+    any, set apart as they came."""
+    write_fact(fact_rows(keyed_rows(raw, wh.lookups())), wh.path(FACT), mode, replace_years_only)
+    bad = any_over_range(raw, MEASURE_TYPE.simpleString())
+    rejected = raw.agg(F.count_if(bad)).first()[0]
+    if rejected:
+        raw.where(bad).write.mode("append").parquet(wh.path(REJECTED))
+    return rejected
 
 
-def build_warehouse(spark: SparkSession, raw: DataFrame, count_points: DataFrame, root: str) -> Warehouse:
-    """Full refresh: dimensions, then the fact (clean -> keys -> write)."""
-    wh = build_dimensions(spark, count_points, root)
+def build_warehouse(spark: SparkSession, raw: DataFrame, count_points: DataFrame, base: str) -> Warehouse:
+    """Full refresh: dimensions, then the fact (clean -> keys -> write), in a
+    new version folder that the manifest, written last, commits."""
+    wh = build_dimensions(spark, count_points, new_version(spark, base))
     load_fact(wh, raw)
     wh.save_manifest()
     return wh
@@ -302,12 +389,12 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, count_points: DataFrame
 # --------------------------------------------------------------------------
 
 def loaded_years(wh: Warehouse) -> DataFrame:
-    """Distinct years present in the fact (reads only the partition column)."""
-    if not wh.has(FACT):
-        return wh.spark.createDataFrame([], "Year int")
-    years = wh.fact.select("DateKey").distinct()
-    dates = wh.dim("DimDate")
-    return years.join(dates.select("DateKey", "Year"), "DateKey").select("Year")
+    """Distinct years present in the fact, from its partition folders."""
+    years = wh.fact_years()
+    if years is None:
+        years = [r[0] for r in wh.fact.select("DateKey").distinct().collect()]  # calendar years
+    years = wh.spark.createDataFrame([(y,) for y in years], "DateKey int")
+    return years.join(wh.dim("DimDate").select("DateKey", "Year"), "DateKey").select("Year")
 
 
 def years_to_load(wh: Warehouse, raw: DataFrame, target_years=None) -> DataFrame:
@@ -323,18 +410,16 @@ def years_to_load(wh: Warehouse, raw: DataFrame, target_years=None) -> DataFrame
 def incremental_load(wh: Warehouse, raw: DataFrame, target_years=None) -> DataFrame:
     """Append the years not yet loaded; a second run appends nothing.
 
-    Returns the years that were loaded.  The year list is a distinct set of
-    calendar years, so it is size-checked and broadcast into a semi-join."""
-    todo = years_to_load(wh, raw, target_years).checkpoint(eager=True)
-    n_years = todo.count()  # distinct calendar years: a handful of rows
-    if n_years == 0:
-        return todo
-    years = bounded_broadcast(todo.select(F.col("Year").alias("_load_year")), 100_000, known_rows=n_years)
-    subset = raw.join(years, raw.year == F.col("_load_year"), "left_semi")
-    keyed = attach_keys(clean_aadf(subset, MEASURE_TYPE.simpleString()), wh.lookups())
-    write_fact(fact_rows(keyed), wh.path(FACT), mode="append")
-    wh.manifest[FACT] = wh.table(FACT).count() if wh.has(FACT) else 0
-    return todo
+    Returns the years that were loaded.  Only years of the calendar dimension
+    can ever load, so the others are left out first; the rest is a list of
+    calendar years that goes into the scan as literals and prunes an extract
+    that is partitioned by year."""
+    calendar = wh.dim("DimDate").select("Year")
+    years = sorted(r[0] for r in years_to_load(wh, raw, target_years).join(calendar, "Year").collect())
+    if years:
+        load_fact(wh, raw.where(F.col("year").isin(years)), mode="append")
+        wh.manifest[FACT] = wh.table(FACT).count() if wh.has(FACT) else 0
+    return wh.spark.createDataFrame([(y,) for y in years], "Year int")
 
 
 def reload_years(wh: Warehouse, raw: DataFrame, years) -> None:
@@ -343,8 +428,7 @@ def reload_years(wh: Warehouse, raw: DataFrame, years) -> None:
     are untouched.  A year with no valid rows keeps its old partition."""
     wanted = sorted({int(y) for y in years})
     subset = raw.where(F.col("year").isin(wanted))
-    keyed = attach_keys(clean_aadf(subset, MEASURE_TYPE.simpleString()), wh.lookups())
-    write_fact(fact_rows(keyed), wh.path(FACT), mode="overwrite", replace_years_only=True)
+    load_fact(wh, subset, mode="overwrite", replace_years_only=True)
     wh.manifest[FACT] = wh.table(FACT).count()
 
 

@@ -5,11 +5,14 @@ them)."""
 
 from __future__ import annotations
 
+import os
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions.exprs import decimals_as_double
 from .operators import clean as cleaning
 from .plans import analyses as an
 from .plans import quality as dq
@@ -17,7 +20,7 @@ from .plans import reports
 from .plans import serving as sv
 from .plans import warehouse as whm
 from .plans.warehouse import warehouse_for
-from .session import new_output_dir
+from .session import materialise, new_output_dir
 from .sources import pages as pg
 from .sources.landing import landing_for
 
@@ -42,12 +45,6 @@ WAREHOUSE_REPORTS = [
 ]
 
 
-def decimals_as_double(df: DataFrame) -> DataFrame:
-    """Output projection: decimal columns exposed as double."""
-    return df.select(*[F.col(c).cast("double").alias(c) if t.startswith("decimal") else F.col(c)
-                       for c, t in df.dtypes])
-
-
 def _on_warehouse(name: str) -> Query:
     fn = getattr(reports, name)
 
@@ -86,7 +83,7 @@ def etl_fact_load(spark, sf):
 
 def etl_fact_load_stats(spark, sf):
     wh = warehouse_for(spark, sf)
-    return whm.load_stats(whm.attach_keys(cleaning.clean_aadf(_raw(spark, sf)), wh.lookups()))
+    return whm.load_stats(whm.keyed_rows(_raw(spark, sf), wh.lookups()))
 
 
 def etl_incremental_load(spark, sf, first_years=(2017, 2018, 2019)):
@@ -101,7 +98,7 @@ def etl_incremental_load(spark, sf, first_years=(2017, 2018, 2019)):
 
 
 def etl_pages_flatten(spark, sf):
-    return pg.flatten_pages(pg.read_pages(spark, landing_for(spark, sf).pages_path()))
+    return decimals_as_double(pg.flatten_pages(pg.read_pages(spark, landing_for(spark, sf).pages_path())))
 
 
 def etl_pages_completeness(spark, sf):
@@ -113,7 +110,7 @@ def stream_pages_ingest(spark, sf):
 
     src = landing_for(spark, sf).pages_path()
     out = new_output_dir(spark, "pages-stream")
-    return ingest_pages(spark, src, f"{out}/table", f"{out}/_checkpoint").drop("current_page")
+    return decimals_as_double(ingest_pages(spark, src, f"{out}/table", f"{out}/_checkpoint").drop("current_page"))
 
 
 def etl_clean_aadf_csv(spark, sf):
@@ -157,16 +154,29 @@ ETL = {
 
 
 def _merge_partials(s, sf):
+    """Partial aggregates stored by batch (two ranges of years, and rows without one), then merged."""
     c = _counts(s, sf)
-    return an.merge_partial_aggregates(
-        [an.partial_hourly(c, last_year=2019), an.partial_hourly(c, first_year=2020)], ["hour"])
+    batches = [an.partial_hourly(c, last_year=2019), an.partial_hourly(c, first_year=2020), an.partial_hourly(c)]
+    return an.merge_partial_aggregates([materialise(b, "partial-hourly") for b in batches], ["hour"])
 
 
-def _chart_feeds(s, sf):
-    wh = warehouse_for(s, sf)
-    names = ["yoy_growth_trend", "covid_impact", "regional_traffic_summary", "hgv_passenger_mix",
-             "cycling_share_export", "road_category_distribution", "lgv_growth_trend"]
-    return sv.chart_feeds({n: getattr(reports, n)(wh) for n in names})
+_SERVING: dict = {}
+_LOCK = threading.Lock()
+
+
+def _served(spark, sf, name):
+    """A stored serving dataset; the six are written once per session and input."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf))
+    with _LOCK:
+        if key not in _SERVING:
+            root = new_output_dir(spark, "serving")
+            sv.store_serving(_typed(spark, sf), root)
+            _SERVING[key] = root
+    return sv.served(spark, _SERVING[key], name)
+
+
+def _view(view, dataset):
+    return lambda s, sf: view(_served(s, sf, dataset))
 
 
 def _roads_geojson(s, sf):
@@ -197,23 +207,23 @@ ANALYSES = {
     "road_category_hourly": lambda s, sf: an.road_category_hourly(_counts(s, sf)),
     "raw_key_findings": lambda s, sf: an.raw_key_findings(_counts(s, sf)),
     "merge_partial_aggregates": _merge_partials,
-    "serve_yearly_totals": lambda s, sf: sv.serve_yearly_totals(_typed(s, sf)),
-    "serve_regional_by_year": lambda s, sf: sv.serve_regional_by_year(_typed(s, sf)),
-    "serve_top_roads_by_year": lambda s, sf: sv.serve_top_roads_by_year(_typed(s, sf)),
-    "serve_geo_hotspots": lambda s, sf: sv.serve_geo_hotspots(_typed(s, sf)),
-    "serve_vehicle_mix": lambda s, sf: sv.serve_vehicle_mix(_typed(s, sf)),
-    "serve_road_category_by_year": lambda s, sf: sv.serve_road_category_by_year(_typed(s, sf)),
-    "cloud_kpis": lambda s, sf: sv.cloud_kpis(sv.serve_yearly_totals(_typed(s, sf))),
-    "cloud_yoy": lambda s, sf: sv.cloud_yoy(sv.serve_yearly_totals(_typed(s, sf))),
-    "cloud_region_table": lambda s, sf: sv.cloud_region_table(sv.serve_regional_by_year(_typed(s, sf))),
-    "cloud_hgv_share": lambda s, sf: sv.cloud_hgv_share(sv.serve_vehicle_mix(_typed(s, sf))),
-    "cloud_vehicle_long": lambda s, sf: sv.cloud_vehicle_long(sv.serve_yearly_totals(_typed(s, sf))),
-    "cloud_lgv_share": lambda s, sf: sv.cloud_lgv_share(sv.serve_yearly_totals(_typed(s, sf))),
-    "cloud_bus_share": lambda s, sf: sv.cloud_bus_share(sv.serve_yearly_totals(_typed(s, sf))),
-    "cloud_road_category": lambda s, sf: sv.cloud_road_category(sv.serve_road_category_by_year(_typed(s, sf))),
-    "cloud_top_roads": lambda s, sf: sv.cloud_top_roads(sv.serve_top_roads_by_year(_typed(s, sf))),
-    "cloud_hotspots": lambda s, sf: sv.cloud_hotspots(sv.serve_geo_hotspots(_typed(s, sf))),
-    "chart_feeds": _chart_feeds,
+    "serve_yearly_totals": lambda s, sf: _served(s, sf, "yearly_totals"),
+    "serve_regional_by_year": lambda s, sf: _served(s, sf, "regional_by_year"),
+    "serve_top_roads_by_year": lambda s, sf: _served(s, sf, "top_roads_by_year"),
+    "serve_geo_hotspots": lambda s, sf: _served(s, sf, "geospatial_hotspots"),
+    "serve_vehicle_mix": lambda s, sf: _served(s, sf, "vehicle_mix"),
+    "serve_road_category_by_year": lambda s, sf: _served(s, sf, "road_category_by_year"),
+    "cloud_kpis": _view(sv.cloud_kpis, "yearly_totals"),
+    "cloud_yoy": _view(sv.cloud_yoy, "yearly_totals"),
+    "cloud_region_table": _view(sv.cloud_region_table, "regional_by_year"),
+    "cloud_hgv_share": _view(sv.cloud_hgv_share, "vehicle_mix"),
+    "cloud_vehicle_long": _view(sv.cloud_vehicle_long, "yearly_totals"),
+    "cloud_lgv_share": _view(sv.cloud_lgv_share, "yearly_totals"),
+    "cloud_bus_share": _view(sv.cloud_bus_share, "yearly_totals"),
+    "cloud_road_category": _view(sv.cloud_road_category, "road_category_by_year"),
+    "cloud_top_roads": _view(sv.cloud_top_roads, "top_roads_by_year"),
+    "cloud_hotspots": _view(sv.cloud_hotspots, "geospatial_hotspots"),
+    "chart_feeds": lambda s, sf: sv.chart_feeds(warehouse_for(s, sf)),
     "roads_with_traffic": lambda s, sf: sv.roads_with_traffic(
         landing_for(s, sf).table("road_segments"), _typed(s, sf)),
     "roads_with_traffic_2023": lambda s, sf: sv.roads_with_traffic(
@@ -232,54 +242,24 @@ def _profile_files(s, sf):
     for name in ["count_points", "raw_aadf", "raw_counts", "full_aadf", "subset_aadf"]:
         land.table(name)
         paths[name] = land.path(name)
+    paths["raw_aadf_csv"] = land.csv_path("raw_aadf")
     paths["local_authority_traffic"] = land.path("local_authority_traffic")  # never delivered
     return dq.profile_files(s, paths)
 
 
 def export_reports(spark, sf, names=None):
-    """Run the exported reports and write one CSV per report (submitted as
-    concurrent Spark jobs); a failing report is recorded and the others
-    still run.  Export names and column sets follow the published exports."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    from .sources.sinks import write_csv
+    """Write the published exports as CSV and return what the files hold, read back."""
+    from .plans import exports
 
     wh = warehouse_for(spark, sf)
     out = new_output_dir(spark, "reports")
+    results = exports.report_results(wh)
+    names = names or list(results)
+    failed = [r for r in exports.write_results({n: results[n] for n in names}, out) if r[1] != "OK"]
+    if failed:
+        raise RuntimeError(f"exports failed: {failed}")
+    return exports.written_content(spark, out, names)
 
-    def one(name):
-        report, columns = EXPORTS[name]
-        try:
-            df = getattr(reports, report)(wh)
-            write_csv(df.select(*columns) if columns else df, f"{out}/{name}", single_file=True)
-            n = spark.read.option("header", True).csv(f"{out}/{name}").count()
-            return (name, "OK", n)
-        except Exception as e:  # noqa: BLE001
-            return (name, f"ERROR {type(e).__name__}", None)
-
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        rows = list(pool.map(one, names or list(EXPORTS)))
-    return spark.createDataFrame(rows, "report string, status string, rows bigint")
-
-
-# export name -> (report, columns written; None = all)
-EXPORTS = {
-    "regional_traffic_summary": ("regional_traffic_summary", None),
-    "top_busiest_roads": ("top_busiest_roads", None),
-    "yoy_growth_trend": ("yoy_growth_trend", None),
-    "hgv_passenger_mix": ("hgv_passenger_mix", None),
-    "local_authority_growth": ("local_authority_growth", None),
-    "road_category_distribution": ("road_category_distribution", None),
-    "geospatial_hotspots": ("geospatial_hotspots", None),
-    "covid_impact": ("covid_impact", None),
-    "cycling_trends": ("cycling_share_export", None),
-    "lgv_ecommerce_trend": ("lgv_growth_trend", ["Year", "TotalLGVs", "TotalMotor", "LGV_Share_Pct"]),
-    "motorway_vs_aroad": ("motorway_vs_aroad", ["Year", "Motorway_Flow", "ARoad_Flow", "Minor_Flow"]),
-    "hgv_axle_breakdown": ("hgv_axle_breakdown",
-                           ["Year", "Rigid2", "Rigid3", "Rigid4Plus", "Artic3_4", "Artic5", "Artic6", "TotalHGV"]),
-    "bus_coach_decline": ("bus_coach_decline", None),
-    "motorcycle_trends": ("motorcycle_trends", ["Year", "TotalMotorcycles", "Motorcycle_SharePct"]),
-}
 
 QUALITY = {
     "dq_row_counts": lambda s, sf: dq.dq_row_counts(warehouse_for(s, sf)),
@@ -293,7 +273,8 @@ QUALITY = {
     "profile_files": _profile_files,
     "profile_extract": lambda s, sf: dq.profile_extract(_raw(s, sf)),
     "profile_direction_counts": lambda s, sf: dq.profile_direction_counts(_raw(s, sf)),
-    "compare_datasets": lambda s, sf: dq.compare_datasets(_raw(s, sf), etl_pages_flatten(s, sf)),
+    "compare_datasets": lambda s, sf: dq.compare_datasets(
+        _raw(s, sf), pg.flatten_pages(pg.read_pages(s, landing_for(s, sf).pages_path()))),
     "count_points_profile": lambda s, sf: dq.count_points_profile(_points(s, sf)),
     "reconcile_direction_sums": lambda s, sf: dq.reconcile_direction_sums(
         _typed(s, sf), landing_for(s, sf).table("full_aadf")),
@@ -311,7 +292,16 @@ def queries() -> dict[str, Query]:
         out[name] = _on_warehouse(name)
     for group in (ETL, ANALYSES, QUALITY):
         out.update(group)
-    return out
+    return {name: _plain(query) for name, query in out.items()}
+
+
+def _plain(query: Query) -> Query:
+    """Sums are kept as exact decimals up to here."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return decimals_as_double(query(spark, sf_dir))
+
+    run.__name__ = getattr(query, "__name__", "run")
+    return run
 
 
 def oracle_sql() -> dict[str, str]:

@@ -1,7 +1,7 @@
 """Batch ETL over delivered CSV extracts."""
 
 from roadflow.plans.etl import run_etl
-from roadflow.plans.warehouse import Warehouse, warehouse_for
+from roadflow.plans.warehouse import open_warehouse, warehouse_for
 from roadflow.session import new_output_dir
 from roadflow.sources.landing import landing_for
 
@@ -17,13 +17,64 @@ def test_full_then_incremental_from_csv(spark):
     assert steps["load"].status == "OK"
     assert steps["dq:negative_values"].status == "PASS"
     assert all(s.status == "OK" for k, s in steps.items() if k.startswith("export:"))
-    fact_rows = Warehouse(spark, root).table("FactTrafficFlowDirection").count()
+    fact_rows = open_warehouse(spark, root).fact.count()
     assert fact_rows == warehouse_for(spark, SMALL_SF).fact.count()
 
     # a second, incremental run finds every year loaded and appends nothing
     steps = {r.step: r for r in run_etl(spark, aadf, points, root, incremental=True).collect()}
-    assert "[1990]" in steps["load"].detail  # the only source year never loadable
-    assert Warehouse(spark, root).table("FactTrafficFlowDirection").count() == fact_rows
+    assert steps["load"].detail.endswith("[]")  # 1990 is no calendar year and is never attempted
+    assert open_warehouse(spark, root).fact.count() == fact_rows
+
+
+def test_full_refresh_from_pages(spark):
+    land = landing_for(spark, SMALL_SF)
+    root = new_output_dir(spark, "etl-pages")
+    steps = {r.step: r for r in run_etl(spark, land.pages_path(), land.csv_path("count_points"), root).collect()}
+    assert steps["extract:aadf"].status == "OK"
+    assert open_warehouse(spark, root).fact.count() == warehouse_for(spark, SMALL_SF).fact.count()
+
+
+def test_failed_refresh_leaves_the_old_version_in_use(spark, monkeypatch):
+    from roadflow.plans import reports
+    from roadflow.plans import warehouse as whm
+
+    land = landing_for(spark, SMALL_SF)
+    raw, points = land.table("raw_aadf"), land.table("count_points")
+    base = new_output_dir(spark, "refresh")
+    assert open_warehouse(spark, base) is None
+    whm.build_warehouse(spark, raw, points, base)
+    before = sorted(map(tuple, reports.top_roads(open_warehouse(spark, base), 2023, 50).collect()))
+
+    def fail(*args, **kwargs):
+        raise RuntimeError("load failed")
+
+    monkeypatch.setattr(whm, "write_fact", fail)
+    changed = points.where("count_point_id % 2 = 0")  # other points, so other surrogate keys
+    try:
+        whm.build_warehouse(spark, raw, changed, base)
+        raise AssertionError("the refresh must fail")
+    except RuntimeError:
+        pass
+    assert len(whm.versions(spark, base)) == 2
+    assert sorted(map(tuple, reports.top_roads(open_warehouse(spark, base), 2023, 50).collect())) == before
+    monkeypatch.undo()
+    whm.build_warehouse(spark, raw, changed, base)
+    assert open_warehouse(spark, base).root.endswith("v00000003")
+    assert open_warehouse(spark, base).manifest["DimCountPoint"] < warehouse_for(spark, SMALL_SF).manifest["DimCountPoint"]
+
+
+def test_over_range_rows_are_set_apart(spark):
+    from roadflow.plans import warehouse as whm
+
+    raw = landing_for(spark, SMALL_SF).table("raw_aadf")
+    wh = warehouse_for(spark, SMALL_SF).with_new_fact(new_output_dir(spark, "reject"))
+    some = raw.where("year between 2015 and 2019").limit(20)
+    from pyspark.sql import functions as F
+
+    big = some.withColumn("LGVs", F.lit("99999999999999999999"))
+    rejected = whm.load_fact(wh, big)
+    assert rejected > 0 and wh.has(whm.REJECTED) and wh.table(whm.REJECTED).count() >= rejected
+    assert wh.fact.count() == 0
 
 
 def test_reload_replaces_only_given_years(spark):

@@ -25,7 +25,7 @@ def test_no_pairwise_or_python_operators(spark, name):
 
 
 def test_hot_year_is_spread_over_writers(spark):
-    # every row in one year: the salted hash layout must still use many writers
+    # every row in one year: the year must still be split over many writers
     rows = spark.range(0, 200000).select(
         F.lit(2023).alias("DateKey"), (F.col("id") % 7).cast("int").alias("CountPointKey"),
         (F.col("id") % 5).cast("decimal(18,2)").alias("AllMotorVehicles"))
