@@ -1,15 +1,15 @@
 """BPE encoding and decoding by prefix-sharing trie traversal.
 
 Encodes as a given word-end BPE tokenizer file does. The distinct words of an
-Arrow batch that are not known yet go into a trie of their byte symbols. Each
-node gets the last token of its prefix's encoding: the one token that ends
-there and may follow the last token of what stands before it. States move down
-the trie depth first, so a prefix shared by many words is encoded once; a
-word's tokens are read back from its end.
+Arrow batch that are not known yet are inserted into a trie of byte symbols, in
+depth-first order. Each node gets the last token of its prefix's encoding: the
+one token that ends there and may follow the last token of what stands before
+it. States are passed down the trie, so a prefix shared by many words is
+encoded once; a word's tokens are read back from its end.
 
-Memory is bounded: the trie lives for a batch, known words are forgotten when
-they are too many, and words of over ``TRIE_SYMBOLS`` symbols walk the same
-states alone instead of being stored. None of this changes a result.
+Memory is bounded: trie and known words are forgotten when they grow too large,
+and words of over ``TRIE_SYMBOLS`` symbols walk the same states alone instead
+of being stored. None of this changes a result.
 
 Defined results: null and empty texts have no ids and decode to ""; ids that
 the vocabulary lacks are skipped by ``decode``; null ids lists decode to "".
@@ -28,10 +28,11 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_arrow_batches, text_of
+from .common import fresh, small_arrow_batches, text_of
 
-TRIE_SYMBOLS = 64
-KNOWN_WORDS = 400_000
+TRIE_SYMBOLS, TRIE_NODES = 64, 200_000
+TOKEN, START = 0, 1
+KNOWN_WORDS = 250_000
 #: Characters normalised and split at a time.
 PIECE = 1 << 16
 _NEVER = 1 << 60
@@ -58,8 +59,14 @@ class Vocabulary:
             regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) or r"(?!)")
         self.words = regex.compile(next(
             p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"))
-        self.symbols = byte_symbols()
-        self.longest = max(map(len, self.ids))
+        self.symbols = dict(enumerate(byte_symbols()))
+        # The longest token for each last three symbols, within a word and at its end; others have two at most.
+        self.reach: tuple[dict[str, int], dict[str, int]] = ({}, {})
+        for token in self.ids:
+            at_end = bool(self.end) and token.endswith(self.end)
+            body = token[:-len(self.end)] if at_end else token
+            place = self.reach[at_end]
+            place[body[-3:]] = max(place.get(body[-3:], 2), len(body))
         self.rank: dict[tuple[int, int], int] = {}
         self.parts: dict[int, tuple[int, int]] = {}
         self.made: dict[int, int] = {}
@@ -70,6 +77,9 @@ class Vocabulary:
             self.made.setdefault(whole, rank)
         self.follows: dict[tuple[int, int], bool] = {}
         self.known: dict[str, bytes] = {}
+        # A node holds its prefix's last token, where that starts, and its children by symbol.
+        self.trie: dict = {}
+        self.nodes = 0
 
     def edge(self, token: int, side: int) -> list[tuple[int, int]]:
         """(part, rank of the merge that uses it up) along one side of a token, smallest part first."""
@@ -86,8 +96,6 @@ class Vocabulary:
         It does not if some merge across the border comes before the merges
         that use up the parts it joins; of equal ranks the left one comes first.
         """
-        if (known := self.follows.get((left, right))) is not None:
-            return known
         a, b = self.edge(left, 1), self.edge(right, 0)
         i = j = 0
         good = True
@@ -108,10 +116,15 @@ class Vocabulary:
 
     def last_token(self, text: str, at: int, last: list[int], end: str = "") -> tuple[int, int]:
         """The last token (and where it starts) of the encoding of text[:at], given those of all shorter prefixes."""
-        for start in range(max(0, at - self.longest), at):
-            token = self.ids.get(text[start:at] + end)
-            if token is not None and (start == 0 or self.may_follow(last[start], token)):
-                return token, start
+        ids, known = self.ids, self.follows
+        for start in range(max(0, at - self.reach[bool(end)].get(text[max(0, at - 3):at], 2)), at):
+            token = ids.get(text[start:at] + end)
+            if token is not None:
+                if start == 0:
+                    return token, start
+                good = known.get((last[start], token))
+                if good or good is None and self.may_follow(last[start], token):
+                    return token, start
         raise ValueError(f"no token ends at {at} in {text!r}")
 
     def read_back(self, text: str, last: list[int], begins: list[int]) -> bytes:
@@ -125,34 +138,34 @@ class Vocabulary:
     def encode_words(self, words: set[str]) -> dict[str, bytes]:
         """The ids of each word, as the bytes of 32-bit numbers."""
         out: dict[str, bytes] = {}
-        root: dict = {}
-        symbols = self.symbols
-        for word in words:
-            text = "".join([symbols[b] for b in word.encode()])
+        last, begins = [0] * TRIE_SYMBOLS, [0] * TRIE_SYMBOLS
+        for word in sorted(words):  # the trie's depth-first order
+            text = word.encode().decode("latin-1").translate(self.symbols)
             if len(text) > TRIE_SYMBOLS:
-                last, begins = [0], [0]
-                for at in range(1, len(text)):
-                    token, start = self.last_token(text, at, last)
-                    last.append(token)
-                    begins.append(start)
-                out[word] = self.read_back(text, last, begins)
+                out[word] = self.encode_alone(text)
                 continue
-            node = root
-            for symbol in text[:-1]:
-                node = node.setdefault(symbol, {})
-            node.setdefault("", {})[text[-1]] = word  # "" holds the words that end below this node
-        last, begins = [0] * (TRIE_SYMBOLS + 1), [0] * (TRIE_SYMBOLS + 1)
-        stack = [("", root)]
-        while stack:
-            text, node = stack.pop()
-            depth = len(text)
-            if depth:
-                last[depth], begins[depth] = self.last_token(text, depth, last)
-            for symbol, word in node.get("", {}).items():
-                out[word] = self.read_back(text + symbol, last, begins)
-            stack.extend((text + symbol, child) for symbol, child in node.items() if symbol)
+            if self.nodes > TRIE_NODES:
+                self.trie, self.nodes = {}, 0
+            node = self.trie
+            for at in range(1, len(text)):
+                child = node.get(text[at - 1])
+                if child is None:
+                    token, start = self.last_token(text, at, last)
+                    child = node[text[at - 1]] = {TOKEN: token, START: start}
+                    self.nodes += 1
+                last[at], begins[at] = child[TOKEN], child[START]
+                node = child
+            out[word] = self.read_back(text, last, begins)
         return out
 
+    def encode_alone(self, text: str) -> bytes:
+        last, begins = [0], [0]
+        for at in range(1, len(text)):
+            token, start = self.last_token(text, at, last)
+            last.append(token)
+            begins.append(start)
+        return self.read_back(text, last, begins)
+
     def normalise(self, text: str) -> str:
         if text.isascii():
             return text.lower()
@@ -187,11 +200,11 @@ class Vocabulary:
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         split = [self.split(t) for t in texts]
-        new = set().union(*split).difference(self.known)
+        words = set().union(*split)
+        new = words.difference(self.known)
         if new:
-            if len(self.known) + len(new) > KNOWN_WORDS:
-                self.known.clear()
-                new = set().union(*split)
+            if len(self.known) + len(new) > KNOWN_WORDS:  # only the batch's own words stay, among them the frequent ones
+                self.known = {w: self.known[w] for w in words.intersection(self.known)}
             self.known |= self.encode_words({w for w in new if isinstance(w, str)})
             self.known |= {w: np.array([w], np.int32).tobytes() for w in new if isinstance(w, int)}
         ids = self.known.__getitem__
@@ -241,5 +254,21 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", to: str = "decoded")
     return df.withColumn(to, text(F.coalesce(F.col(ids_col), F.array().cast("array<int>"))))
 
 
+def round_trip(docs: DataFrame, path: str, text_col: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``docs`` with the ids of each whole text and the text decoded from them, in one pass through Python."""
+    source = _sent(docs, path)
+
+    @F.pandas_udf("ids array<int>, decoded string")
+    def both(texts: pd.Series) -> pd.DataFrame:
+        v = vocabulary(source.value)
+        found = v.encode_batch(texts.tolist())
+        return pd.DataFrame({"ids": pd.Series(found, dtype=object), "decoded": [v.decode(i.tolist()) for i in found]})
+
+    small_arrow_batches(docs.sparkSession)
+    both_col = fresh(docs, "__both")
+    out = docs.withColumn(both_col, both(text_of(text_col)))
+    return out.withColumns({ids: F.col(f"{both_col}.ids"), decoded: F.col(f"{both_col}.decoded")}).drop(both_col)
+
+
 def id_text(ids: Column) -> Column:
     return F.array_join(F.transform(ids, lambda i: i.cast("string")), " ")

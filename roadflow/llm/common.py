@@ -14,7 +14,7 @@ SPACE = r"[\x20\x09-\x0D]"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 EMPTY_SHA256 = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
 #: Text handed to Python at a time; a single longer text still goes whole.
-ARROW_ROWS, ARROW_BYTES = "256", "8m"
+ARROW_ROWS, ARROW_BYTES = "256", "4m"
 #: A side is broadcast only when its counted rows times its row width stay under this.
 BROADCAST_BYTES = 32 << 20
 _BLOCK = 128

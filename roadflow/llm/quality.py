@@ -31,7 +31,7 @@ from .common import small_arrow_batches, text_of
 
 CHUNK, STEP, BLOCK = 256, 224, 4
 EMBED, FILTERS, HIDDEN = 8, 32, 16
-SLAB = 1024
+SLAB = 512
 SAMPLE, CHUNKS = 800, 8
 EPOCHS, RATE, SEED = 14, 3e-3, 7
 

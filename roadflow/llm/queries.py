@@ -32,9 +32,7 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def encoded(docs: DataFrame) -> DataFrame:
     """doc_id, ids, and the digests of ids and of the text decoded from them."""
-    path = tokenizer_path()
-    ids = bpe.encode(docs.select("doc_id", "text"), path).select("doc_id", "ids")
-    return bpe.decode(ids, path).select(
+    return bpe.round_trip(docs.select("doc_id", "text"), tokenizer_path()).select(
         "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(bpe.id_text(F.col("ids")), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
