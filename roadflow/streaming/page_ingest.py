@@ -18,6 +18,8 @@ from ..schemas import PAGE_ENVELOPE_SCHEMA
 
 def ingest_pages(spark: SparkSession, source_dir: str, target_dir: str, checkpoint_dir: str,
                  max_files_per_trigger: int = 64) -> DataFrame:
+    """``max_files_per_trigger`` is a rate: how many files one micro-batch takes.
+    A run still takes every file that is there when it starts."""
     stream = (
         spark.readStream.schema(PAGE_ENVELOPE_SCHEMA)
         .option("maxFilesPerTrigger", max_files_per_trigger)
