@@ -111,8 +111,10 @@ def lines_of(docs: DataFrame, known: list[str], id_col: str = "doc_id", text_col
     each = cut.select("row", "id", "key", F.explode(F.arrays_zip("lines", starts.alias("starts"))).alias("x")).select(
         "row", "id", "key", F.col("x.starts").alias("start"), (F.col("x.starts") + F.length("x.lines")).alias("end"),
         words_of(F.col("x.lines")).alias("words"))
-    hashed = F.lit([0]) if not pairs else F.transform(F.lit(pairs), lambda p: F.xxhash64(
-        F.get(F.split(p, " "), F.lit(0)), F.get(F.split(p, " "), F.lit(1))))
+    # Hashed once, as a literal: a function of a literal array would be computed for every line.
+    hashed = docs.sparkSession.createDataFrame([tuple(p.split(" ")) for p in pairs], "a string, b string").select(
+        F.xxhash64("a", "b").alias("h"))
+    hashed = F.lit([r["h"] for r in hashed.collect()] or [0]).cast("array<bigint>")
     # Hashes may collide, which only lets a line through that then has no n-gram in the table.
     found = let(F.col("words"), lambda w: F.arrays_overlap(
         F.zip_with(w, F.slice(w, F.lit(2), F.greatest(F.size(w), F.lit(1))), lambda a, b: F.xxhash64(a, b)), hashed))
@@ -147,12 +149,12 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     rows = positive.unionByName(negative).unionByName(empty).withColumn(
         "fold", F.pmod(F.xxhash64("family", "grams"), F.lit(4)))
     vectors = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="grams", outputCol="features", minTF=1.0)
-    rows = materialise(rows, "license_rows").repartition(4)
+    rows = materialise(rows, "license_rows").coalesce(1)  # a few thousand rows: an iteration is one small task
     rows = vectors.setBinary(True).transform(rows)
     learner = LogisticRegression(labelCol="family", weightCol="weight", family="multinomial", elasticNetParam=1.0, regParam=L1,
                                  maxIter=ROUNDS, standardization=False)
     # Every family needs rows on both sides; a template's windows are spread over folds by their hash.
-    trial = learner.fit(rows.filter("fold <> 0").unionByName(vectors.transform(positive.withColumn("fold", F.lit(1)))))
+    trial = learner.fit(rows.filter("fold <> 0").unionByName(vectors.transform(positive.withColumn("fold", F.lit(1)))).coalesce(1))
     held_out = trial.transform(rows.filter("fold = 0")).select("family", F.col("rawPrediction").alias("raw"))
     losses = held_out.select("family", vector_to_array("raw").alias("raw")).agg(*[
         F.avg(-F.log(F.greatest(F.get(softmax(F.col("raw"), t), F.col("family")), F.lit(1e-9)))).alias(f"t{i}")
