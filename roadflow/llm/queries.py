@@ -85,6 +85,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs.select("doc_id", "text"), model).select(
         "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), *[f"p_{c}" for c in toxicity.CATEGORIES],
+        F.col("p_toxic").alias("score"), (F.col("p_toxic") >= 0.5).cast("int").alias("predicted"),
         (F.col("p_toxic") >= 0.5).alias("toxic"))
 
 
