@@ -30,9 +30,10 @@ from pyspark.sql import functions as F
 
 from .common import fresh, small_arrow_batches, text_of
 
-TRIE_SYMBOLS, TRIE_NODES = 64, 200_000
+TRIE_SYMBOLS, TRIE_NODES = 64, 300_000
 TOKEN, START = 0, 1
-KNOWN_WORDS = 250_000
+#: Words and token pairs whose results a worker remembers; about 200 MB for the words.
+KNOWN_WORDS, KNOWN_PAIRS = 900_000, 300_000
 #: Characters normalised and split at a time.
 PIECE = 1 << 16
 _NEVER = 1 << 60
@@ -109,7 +110,7 @@ class Vocabulary:
                 i += 1
             else:
                 j += 1
-        if len(self.follows) > KNOWN_WORDS:
+        if len(self.follows) > KNOWN_PAIRS:
             self.follows.clear()
         self.follows[left, right] = good
         return good
