@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +19,7 @@ ARROW_ROWS, ARROW_BYTES = "256", "4m"
 #: A side is broadcast only when its counted rows times its row width stay under this.
 BROADCAST_BYTES = 32 << 20
 _BLOCK = 128
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,7 +48,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 def small_arrow_batches(spark: SparkSession) -> None:
-    """Bounds what one Arrow batch holds in a Python worker, whatever the text lengths."""
+    """Readies a session for Python workers: bounds what one Arrow batch holds, whatever the text lengths,
+    and lets workers import this package from where the driver has it (on a cluster it is installed there,
+    or sent with --py-files)."""
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, known)])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
 

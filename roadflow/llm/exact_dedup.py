@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, content_key, materialise, survivors, text_of
+from .common import SPACE, content_key, materialise, small_arrow_batches, survivors, text_of
 
 #: Counters of a sketch, and so the most winners that are broadcast.
 COUNTERS = 1024
@@ -57,6 +57,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def heavy_digests(table: DataFrame, counters: int = COUNTERS) -> DataFrame:
     """At most ``counters`` digests; every digest with over 2 / (counters + 1) of all rows is among them."""
+    small_arrow_batches(table.sparkSession)
     total = table.count()
     found = table.select("digest").mapInArrow(lambda it: sketch(it, counters), "digest binary, n long")
     return found.groupBy("digest").agg(F.sum("n").alias("n")).filter(
