@@ -128,18 +128,18 @@ def components(edges: DataFrame) -> DataFrame:
         else:
             out = moved.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
                 least.select("a", F.col("m").alias("b")))
-        return out.filter("a <> b").distinct()
+        return out.filter("a <> b")
 
-    def state(table: DataFrame) -> tuple:
-        return tuple(table.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+    def starred(table: DataFrame) -> bool:
+        """Whether the edges are stars: no node is at both ends of edges, and none leads to two roots."""
+        ends = table.select(F.col("a").alias("node"), F.lit(1).alias("end")).unionByName(
+            table.select(F.col("b").alias("node"), F.lit(2).alias("end")))
+        return ends.groupBy("node").agg(F.bit_or("end").alias("ends"), F.count_if(F.col("end") == 1).alias("roots")).filter(
+            "ends = 3 OR roots > 1").isEmpty()
 
     table = materialise(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "edges")
-    before = state(table)
-    while before[0]:
-        table = materialise(star(star(table, True), False), "stars")
-        if (after := state(table)) == before:
-            break
-        before = after
+    while not starred(table):
+        table = materialise(star(star(table, True), False).distinct(), "stars")
     return table.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         table.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
