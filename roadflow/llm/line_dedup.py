@@ -1,12 +1,15 @@
 """Line dedup by content-defined chunks of lines.
 
-Each line is hashed; a rolling hash over the last ``SPAN_LINES`` line hashes
-decides where a chunk ends, so chunks depend on the lines around a boundary
-only and equal passages are cut alike wherever they stand. Chunks of at least
-``MIN_LINES`` lines whose hash occurs more than once in the corpus are
-candidates; their texts are compared byte by byte before anything goes. Of
-equal chunks the first (smallest id, then earliest) stays, the others are
-removed.
+A chunk reaches from a line with text over ``MIN_LINES`` such lines, with the
+blank lines between them, and one starts at every line with text; a line of at
+least ``LONG_BYTES`` bytes is a chunk by itself too. So a chunk depends on
+nothing but its own lines, and chunks overlap: all pairs of neighbouring lines
+of a repeated passage are repeated chunks wherever the passage stands, and
+together they reach to its real ends. Chunks whose hash occurs more than once
+in the corpus are candidates; their texts are compared byte by byte before
+anything goes. Of equal chunks the first (smallest id, then earliest) stays,
+the others are removed. The first occurrence of a line is never in a copy, or
+in a run of equal lines its first line is not, so no line is lost altogether.
 
 Hashes are counted with map-side combining, and the comparison keeps only the
 smallest and the largest text of a hash: these are equal exactly if all are.
@@ -15,47 +18,39 @@ Neither gathers a frequent chunk's rows in one task. Hashes whose texts differ
 
 Defined results: null text is an empty text of one empty line; rows equal in
 id and text are one document, which is no copy of itself; null ids come after
-all others; lines end at \\n only.
+all others; lines end at \\n only; a short line that is repeated without a
+neighbour stays, and so do blank lines at the ends of a passage.
 """
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, content_key, materialise, small_arrow_batches, text_of
+from .common import broadcast_if_small, content_key, let, materialise, small_arrow_batches, text_of
 
-SPAN_LINES = 2
-#: One line in so many ends a chunk, by its rolling hash.
-EVERY = 3
 MIN_LINES = 2
-_ODD = np.uint64(0x9E3779B97F4A7C15)
-
-
-def chunk_ends(hashes: np.ndarray, span: int = SPAN_LINES, every: int = EVERY) -> np.ndarray:
-    """Indexes after the last line of each chunk."""
-    rolled = np.zeros_like(hashes)
-    for back in range(span):  # the same polynomial as a hash rolled line by line
-        rolled[back:] += (hashes[:len(hashes) - back] if back else hashes) * _ODD ** np.uint64(back)
-    rolled = (rolled ^ (rolled >> np.uint64(32))) * _ODD
-    cut = (rolled >> np.uint64(33)) % np.uint64(every) == 0
-    cut[-1] = True
-    return np.flatnonzero(cut) + 1
+#: A repeated line of so many bytes (about fifty words) is a passage without a neighbour.
+LONG_BYTES = 250
 
 
 def chunks_of(text: str) -> list[dict]:
-    """first (line, from 0), lines and hash of each chunk."""
+    """first (line, from 0), lines and hash of each chunk, in order; neither starts nor ends ever go back."""
     lines = text.encode("utf-8", "surrogatepass").split(b"\n")
-    with np.errstate(over="ignore"):
-        ends = chunk_ends(np.array([xxhash.xxh64_intdigest(x) for x in lines], np.uint64))
-    out, first = [], 0
-    for end in ends.tolist():
+    full = [i for i, x in enumerate(lines) if x and not x.isspace()]
+    out = []
+
+    def add(first: int, end: int) -> None:
         digest = xxhash.xxh64_intdigest(b"\n".join(lines[first:end]), 1)
         out.append({"first": first, "lines": end - first, "hash": digest - (1 << 64) if digest >> 63 else digest})
-        first = end
+
+    for k, first in enumerate(full):
+        if len(lines[first]) >= LONG_BYTES:
+            add(first, first + 1)
+        if k + MIN_LINES <= len(full):
+            add(first, full[k + MIN_LINES - 1] + 1)
     return out
 
 
@@ -75,14 +70,13 @@ def _place() -> Column:
     return F.struct(F.col("id").isNull(), F.col("id"), F.col("key"), F.col("first"))
 
 
-def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    min_lines: int = MIN_LINES) -> tuple[DataFrame, DataFrame]:
+def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(all chunks, the removable ones): the latter are id, key, first, lines."""
     chunks = materialise(chunk_table(docs, id_col, text_col).distinct(), "chunks")
-    repeated = materialise(chunks.filter(F.col("lines") >= min_lines).groupBy("hash").agg(
+    repeated = materialise(chunks.groupBy("hash").agg(
         F.count("*").alias("n"), F.min(_place()).alias("owner")).filter("n > 1"), "repeated")
     small = broadcast_if_small(repeated, repeated.count(), 80)
-    copies = materialise(chunks.filter(F.col("lines") >= min_lines).join(small, "hash"), "copies")
+    copies = materialise(chunks.join(small, "hash"), "copies")
 
     # Byte comparison: only texts of candidate chunks are read out.
     marks = materialise(copies.groupBy(F.col("id").alias("mark_id"), F.col("key").alias("mark_key")).agg(
@@ -92,9 +86,10 @@ def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text = text_of(text_col)
     texts = docs.select(F.col(id_col).alias("id"), text.alias("text"), content_key(text).alias("key"))
     texts = texts.join(marks, texts["id"].eqNullSafe(F.col("mark_id")) & (texts["key"] == F.col("mark_key")))
-    parts = texts.select("id", "key", F.split("text", "\n", -1).alias("all"), F.explode("marks").alias("m")).select(
-        "id", "key", F.col("m.first").alias("first"), F.col("m.hash").alias("hash"),
-        F.array_join(F.slice("all", F.col("m.first") + 1, F.col("m.lines")), "\n").alias("part"))
+    parts = let(F.split("text", "\n", -1), lambda all_lines: F.transform("marks", lambda m: F.struct(
+        m["first"].alias("first"), m["hash"].alias("hash"),
+        F.array_join(F.slice(all_lines, m["first"] + 1, m["lines"]), "\n").alias("part"))))
+    parts = texts.select("id", "key", F.explode(parts).alias("m")).select("id", "key", "m.first", "m.hash", "m.part")
     compared = materialise(parts.groupBy("hash").agg(
         (F.min("part") == F.max("part")).alias("equal")), "compared")
     differ = compared.filter("not equal").select("hash")
@@ -103,37 +98,65 @@ def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not differ.isEmpty():
         apart = materialise(parts.join(differ, "hash").distinct(), "apart")
         owners = apart.groupBy("hash", "part").agg(F.min(_place()).alias("owner"))
-        again = apart.join(owners, ["hash", "part"]).filter(_place() != F.col("owner")).select("id", "key", "first")
-        removable = removable.unionByName(copies.select("id", "key", "first", "lines").join(
-            F.broadcast(again) if again.count() < 10_000 else again, ["id", "key", "first"], "left_semi"))
+        again = apart.join(owners, ["hash", "part"]).filter(_place() != F.col("owner")).select("id", "key", "first", "hash")
+        copy = F.broadcast(again) if again.count() < 10_000 else again
+        removable = removable.unionByName(copies.join(
+            copy, copies["id"].eqNullSafe(copy["id"]) & (copies["key"] == copy["key"])
+            & (copies["first"] == copy["first"]) & (copies["hash"] == copy["hash"]), "left_semi").select(
+            "id", "key", "first", "lines"))
     return chunks, removable
 
 
+def _passages(chunks: Column) -> Column:
+    """(first, lines) of what sorted chunks cover together; chunks that touch are one passage."""
+    def end(c: Column) -> Column:
+        return c["first"] + c["lines"]
+
+    def joined(c: Column) -> Column:
+        starts = F.filter(c, lambda x, i: (i == 0) | (x["first"] > end(F.get(c, i - 1))))
+        ends = F.filter(c, lambda x, i: (i == F.size(c) - 1) | (F.get(c, i + 1)["first"] > end(x)))
+        return F.zip_with(starts, ends, lambda a, z: F.struct(
+            a["first"].alias("first"), (end(z) - a["first"]).alias("lines")))
+
+    return let(chunks, joined)
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_lines, n_chunks, removed (array of first, lines) for each row of ``docs``."""
+    """id, n_lines, n_chunks, removed (array of first, lines; the chunks, which overlap) and passages (the same lines,
+    each once) for each row of ``docs``."""
     chunks, removable = repeated_chunks(docs, id_col, text_col)
-    gone = removable.select("id", "key", "first", F.lit(True).alias("gone"))
-    marked = chunks.join(gone, chunks["id"].eqNullSafe(gone["id"]) & (chunks["key"] == gone["key"])
-                         & (chunks["first"] == gone["first"]), "left").select(
-        chunks["id"], chunks["key"], chunks["first"], "lines", "gone")
-    per = marked.groupBy(F.col("id").alias("doc"), F.col("key").alias("doc_key")).agg(
-        F.sum("lines").alias("n_lines"), F.count("*").alias("n_chunks"),
-        F.array_sort(F.collect_list(F.when(F.col("gone"), F.struct("first", "lines")))).alias("removed"))
+    counted = chunks.groupBy("id", "key").agg(F.count("*").alias("n_chunks"))
+    gone = removable.groupBy("id", "key").agg(F.array_sort(F.collect_list(F.struct("first", "lines"))).alias("removed"))
+    per = counted.join(gone, counted["id"].eqNullSafe(gone["id"]) & (counted["key"] == gone["key"]), "left").select(
+        counted["id"].alias("doc"), counted["key"].alias("doc_key"), "n_chunks", "removed")
     text = text_of(text_col)
-    rows = docs.select(F.col(id_col).alias("id"), content_key(text).alias("key"))
-    return rows.join(per, rows["id"].eqNullSafe(F.col("doc")) & (rows["key"] == F.col("doc_key"))).select(
-        "id", "key", "n_lines", "n_chunks", "removed")
+    rows = docs.select(F.col(id_col).alias("id"), content_key(text).alias("key"),
+                       F.size(F.split(text, "\n", -1)).cast("long").alias("n_lines"))
+    none = F.array().cast(gone.schema["removed"].dataType)
+    removed = F.coalesce("removed", none)
+    return rows.join(per, rows["id"].eqNullSafe(F.col("doc")) & (rows["key"] == F.col("doc_key")), "left").select(
+        "id", "key", "n_lines", F.coalesce("n_chunks", F.lit(0)).alias("n_chunks"), removed.alias("removed"),
+        _passages(removed).alias("passages"))
 
 
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the repeated chunks cut out of the texts."""
-    found = materialise(scan(docs, id_col, text_col).filter(F.size("removed") > 0).select(
-        F.col("id").alias("__gone_id"), F.col("key").alias("__gone_key"), F.col("removed").alias("__removed")).distinct(),
+    """``docs`` with the repeated passages cut out of the texts."""
+    found = materialise(scan(docs, id_col, text_col).filter(F.size("passages") > 0).select(
+        F.col("id").alias("__gone_id"), F.col("key").alias("__gone_key"), F.col("passages").alias("__gone")).distinct(),
         "removed")
     text = text_of(text_col)
     joined = docs.join(found, docs[id_col].eqNullSafe(F.col("__gone_id")) & (content_key(text) == F.col("__gone_key")),
                        "left")
-    kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda _, i: ~F.exists(
-        "__removed", lambda r: (r["first"] <= i) & (i < r["first"] + r["lines"]))), "\n")
-    return joined.withColumn(text_col, F.when(F.col("__removed").isNotNull(), kept).otherwise(F.col(text_col))).select(
+
+    def between(lines: Column) -> Column:
+        """The lines before, between and after the passages."""
+        def stretch(i: Column) -> Column:
+            last = F.get("__gone", i - 1)
+            start = F.coalesce(last["first"] + last["lines"], F.lit(0))
+            return F.slice(lines, start + 1, F.coalesce(F.get("__gone", i)["first"], F.size(lines)) - start)
+
+        return F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size("__gone")), stretch)), "\n")
+
+    kept = let(F.split(text, "\n", -1), between)
+    return joined.withColumn(text_col, F.when(F.col("__gone").isNotNull(), kept).otherwise(F.col(text_col))).select(
         *[F.col(f"`{c}`") for c in docs.columns])

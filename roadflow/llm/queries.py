@@ -91,10 +91,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.scan(table(spark, sf_dir, "documents"))
-    lines = F.aggregate("removed", F.lit(0).cast("long"), lambda a, r: a + r["lines"])
+    lines = F.aggregate("passages", F.lit(0).cast("long"), lambda a, r: a + r["lines"])
     return found.select(
         F.col("id").alias("doc_id"), "n_lines", "n_chunks", F.size("removed").cast("long").alias("n_removed_chunks"),
-        lines.alias("n_removed_lines"), F.array_join(F.transform("removed", lambda r: F.concat_ws(
+        lines.alias("n_removed_lines"), F.array_join(F.transform("passages", lambda r: F.concat_ws(
             ":", r["first"].cast("string"), (r["first"] + r["lines"]).cast("string"))), ",").alias("removed"))
 
 

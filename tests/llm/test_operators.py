@@ -366,6 +366,26 @@ def test_line_dedup_compares_bytes_where_hashes_collide(spark):
         line_dedup.chunk_table = table
 
 
+def test_line_dedup_removes_whole_passages_in_any_context(spark):
+    line = "line {} of the passage of {}, which is short".format
+    passages = [[line(k, n) for k in range(n)] for n in range(2, 7)]
+    passages += [["a long line by itself " * 20], [line(0, "blank"), "", "  ", line(1, "blank")]]
+    texts = ["\n".join([f"first {n}", *p, "end"]) for n, p in enumerate(passages)]
+    texts += ["\n".join([f"own {n} {c}"] * (c > 0) + p + [f"other {n} {c}"] * (c < 2))
+              for n, p in enumerate(passages) for c in range(3)]
+    texts += ["x\nend\ny", "\n\n\n"]  # a short line alone and blank lines are no passage
+    want = list(texts)
+    for n in range(len(passages)):
+        for c in range(3):
+            want[len(passages) + 3 * n + c] = "\n".join([f"own {n} {c}"] * (c > 0) + [f"other {n} {c}"] * (c < 2))
+    df = frame(spark, texts)
+    clean = {r["doc_id"]: r["text"] for r in line_dedup.drop_repeated_lines(df).collect()}
+    assert [clean[i] for i in range(len(texts))] == want
+    rows = {r["id"]: r for r in line_dedup.scan(df).collect()}
+    assert all(rows[i]["n_lines"] == t.count("\n") + 1 for i, t in enumerate(texts))
+    assert [tuple(x) for x in rows[len(passages) + 3 * 4 + 1]["passages"]] == [(1, 6)]
+
+
 # Empty tables and the pipeline
 
 def empty_dir(spark, tmp_path):
