@@ -7,8 +7,8 @@ fitted on held-out paragraphs calibrates its probabilities. A prediction
 counts only if the paragraph also holds enough of a template of that family.
 
 Training paragraphs are word windows of the templates, and as "unknown" a
-sample of ``SAMPLE`` corpus lines, chosen by hash, that hold too little of any
-template. Counting, scoring and comparing cover all lines of whole texts. A
+sample of ``SAMPLE`` different n-gram sets, chosen by hash, of the corpus lines
+that hold too little of any template. Counting, scoring and comparing cover all lines of whole texts. A
 line without any template 2-gram has no features, gets the intercepts alone
 and is unknown, so such lines are set aside first; nothing is lost by it.
 
@@ -142,7 +142,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     held = [F.size(F.array_intersect("grams", F.lit(r["grams"]))) / len(r["grams"]) for r in shapes if r["grams"]]
     negative = lines.filter(F.greatest(*held) < CONTAINMENT / 2).select(
         F.lit(0).alias("family"), F.lit(1.0).alias("weight"), F.array_intersect("grams", known).alias("grams")).filter(F.size("grams") > 0)
-    negative = negative.orderBy(F.xxhash64("grams"), "grams").limit(sample)
+    # Different sets first, so a frequent one fills the sample no more than any other.
+    negative = negative.groupBy("family", "weight", F.array_sort("grams").alias("grams")).agg(F.count("*").alias("n"))
+    negative = negative.orderBy(F.xxhash64("grams"), "grams").limit(sample).drop("n")
     # The empty paragraph is the most frequent one: most lines hold no template n-gram at all.
     empty = spark.range(20).select(F.lit(0).alias("family"), F.lit(1.0).alias("weight"),
                                    F.array().cast("array<string>").alias("grams"))

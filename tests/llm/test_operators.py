@@ -190,6 +190,17 @@ def test_licenses(spark):
     assert texts[0][first["start"]:first["end"]] == "Licensed under the Apache License, Version 2.0."
 
 
+def test_unknown_sample_holds_different_sets_whatever_their_counts(spark, monkeypatch):
+    texts = [f"a {w} b" for w in ("of the", "to the", "by the", "is free", "you can", "any person", "for the")]
+    df = frame(spark, texts + texts[:1] * 300)
+    kept = []
+    write = licenses.materialise
+    monkeypatch.setattr(licenses, "materialise", lambda rows, name: kept.append((name, write(rows, name))) or kept[-1][1])
+    licenses.train(df, sample=5)
+    rows = next(r for name, r in kept if name == "license_rows").filter("family = 0 and size(grams) > 0").collect()
+    assert len(rows) == 5 == len({tuple(r["grams"]) for r in rows})
+
+
 # 6 decontamination
 
 def test_contamination_equals_plain_windows(spark):
