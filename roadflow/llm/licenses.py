@@ -1,16 +1,23 @@
 """License scan with DataFrame functions only.
 
-Paragraphs (lines) are described by their word 2- and 3-grams, as far as these
-occur in license templates. A sparse multinomial logistic regression (Spark
-ML) tells families apart, with "unknown" as a class of its own; a temperature
-fitted on held-out paragraphs calibrates its probabilities. A prediction
-counts only if the paragraph also holds enough of a template of that family.
-
-Training paragraphs are word windows of the templates, and as "unknown" a
-sample of ``SAMPLE`` different n-gram sets, chosen by hash, of the corpus lines
-that hold too little of any template. Counting, scoring and comparing cover all lines of whole texts. A
-line without any template 2-gram has no features, gets the intercepts alone
-and is unknown, so such lines are set aside first; nothing is lost by it.
+A passage is a line, or neighbouring lines that a wrapped notice may run over:
+lines are linked where the words on both sides of the break, or with one word
+between them, stand together in a license template. Lines without words end a
+paragraph and link nothing. Passages are described by their word 2- and
+3-grams, as far as these occur in license templates. A sparse multinomial
+logistic regression (Spark ML) tells families apart, with "unknown" as a class
+of its own; a temperature fitted on held-out passages calibrates its
+probabilities. A prediction counts only if the passage also holds enough of a
+template of that family. Of linked lines and one of them of the same family
+the linked lines count, unless they hold no more of the family's templates.
+
+Training passages are word windows of the templates, and as "unknown" a
+sample of ``SAMPLE`` different n-gram sets, chosen by hash, of the corpus
+passages that hold too little of any template. Counting, scoring and comparing
+cover all passages of whole texts. A passage without any template 2-gram has no
+features, gets the intercepts alone and is unknown, so such passages are set
+aside first; nothing is lost by it. Nor is by scoring only those with enough
+template 2-grams to reach ``CONTAINMENT``.
 
 Defined results: null and empty texts have no license; repeated rows get equal
 results; an empty table is scored with the templates' windows alone as
@@ -19,6 +26,7 @@ training data.
 
 from __future__ import annotations
 
+import math
 from typing import NamedTuple
 
 from pyspark.ml.classification import LogisticRegression
@@ -101,31 +109,88 @@ def gram_table(spark: SparkSession) -> DataFrame:
         F.sort_array(F.collect_set("template")).alias("templates"))
 
 
-def lines_of(docs: DataFrame, known: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """row, id, key, start, end and words of the lines that hold a template 2-gram."""
-    pairs = sorted({g for g in known if g.count(" ") == 1})
+def _hashes(spark: SparkSession, grams: list[str]) -> dict[str, int]:
+    """The n-grams' hashes, from the driver: a function of a literal array would be computed for every passage."""
+    rows = spark.createDataFrame([(g, g.split(" ")) for g in grams], "gram string, words array<string>")
+    n = {len(g.split(" ")) for g in grams}
+    return {r["gram"]: r["h"] for k in n for r in rows.filter(F.size("words") == k).select(
+        "gram", F.xxhash64(*[F.get("words", F.lit(i)) for i in range(k)]).alias("h")).collect()}
+
+
+def _set(hashes) -> Column:
+    return F.lit(sorted(hashes) or [0]).cast("array<bigint>")
+
+
+def _pairs(w: Column) -> Column:
+    return F.zip_with(w, F.slice(w, F.lit(2), F.greatest(F.size(w), F.lit(1))), lambda a, b: F.xxhash64(a, b))
+
+
+def _triples(w: Column) -> Column:
+    return F.transform(F.when(F.size(w) >= 3, F.sequence(F.lit(0), F.size(w) - 3)).otherwise(F.array().cast("array<int>")),
+                       lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
+
+
+def passages_of(docs: DataFrame, known: dict[str, int], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """row, id, key, start, end, lines (their number), words and pairs (hashes of the template 2-grams, at least one)
+    of each passage. ``known`` has the templates' n-grams and their hashes."""
+    spark = docs.sparkSession
+    words = [r["words"] for r in templates(spark).select("words").collect()]
+    # Both sides of a break, as in the template or with one word of it left out.
+    links = _set(_hashes(spark, sorted({f"{w[i]} {w[i + d]}" for w in words for d in (1, 2) for i in range(len(w) - d)})).values())
     text = text_of(text_col)
     cut = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"),
                       content_key(text).alias("key"), F.split(text, "\n", -1).alias("lines"))
-    starts = offsets(F.transform("lines", lambda x: F.length(x).cast("long") + 1))
-    each = cut.select("row", "id", "key", F.explode(F.arrays_zip("lines", starts.alias("starts"))).alias("x")).select(
-        "row", "id", "key", F.col("x.starts").alias("start"), (F.col("x.starts") + F.length("x.lines")).alias("end"),
-        words_of(F.col("x.lines")).alias("words"))
-    # Hashed once, as a literal: a function of a literal array would be computed for every line.
-    hashed = docs.sparkSession.createDataFrame([tuple(p.split(" ")) for p in pairs], "a string, b string").select(
-        F.xxhash64("a", "b").alias("h"))
-    hashed = F.lit([r["h"] for r in hashed.collect()] or [0]).cast("array<bigint>")
-    # Hashes may collide, which only lets a line through that then has no n-gram in the table.
-    found = let(F.col("words"), lambda w: F.arrays_overlap(
-        F.zip_with(w, F.slice(w, F.lit(2), F.greatest(F.size(w), F.lit(1))), lambda a, b: F.xxhash64(a, b)), hashed))
-    return each.filter(found)
+    cut = cut.select("row", "id", "key", "lines", F.transform("lines", words_of).alias("words"),
+                     offsets(F.transform("lines", lambda x: F.length(x).cast("long") + 1)).alias("starts"))
+
+    def linked(w: Column, after: Column) -> Column:
+        """Whether a line's text may go on in the next line; a word next to the break may be another one."""
+        tail, head = [F.get(w, F.size(w) - i) for i in (1, 2)], [F.get(after, F.lit(i)) for i in (0, 1)]
+        sides = F.array(F.xxhash64(tail[0], head[0]), F.xxhash64(tail[0], head[1]), F.xxhash64(tail[1], head[0]))
+        return F.coalesce((F.size(w) > 0) & (F.size(after) > 0) & F.arrays_overlap(sides, links), F.lit(False))
+
+    cut = cut.withColumn("on", F.transform("words", lambda w, i: linked(w, F.get("words", i + 1))))
+    before = lambda i: F.coalesce(F.get("on", i - 1), F.lit(False))
+    place = F.transform("on", lambda on, i: F.struct(on.alias("on"), before(i).alias("before"), i.alias("i")))
+    cut = cut.withColumn("place", place)
+    # Linked lines begin where only the break after is crossed, and end where only the one before is.
+    firsts = F.filter("place", lambda p: p["on"] & ~p["before"])
+    lasts = F.filter("place", lambda p: ~p["on"] & p["before"])
+    runs = F.zip_with(firsts, lasts, lambda a, z: F.struct(a["i"].alias("first"), z["i"].alias("last")))
+    single = F.transform("place", lambda p: F.struct(p["i"].alias("first"), p["i"].alias("last")))
+    cut = cut.withColumn("spans", F.concat(single, runs))
+    each = cut.select("row", "id", "key", F.explode(F.transform("spans", lambda s: F.struct(
+        F.get("starts", s["first"]).alias("start"),
+        (F.get("starts", s["last"]) + F.length(F.get("lines", s["last"]))).alias("end"),
+        (s["last"] - s["first"] + 1).alias("lines"),
+        F.flatten(F.slice("words", s["first"] + 1, s["last"] - s["first"] + 1)).alias("words")))).alias("x")).select(
+        "row", "id", "key", "x.*")
+    # Hashes may collide, which only lets a passage through that then has no n-gram in the table.
+    pairs = _set(h for g, h in known.items() if g.count(" ") == 1)
+    found = let(_pairs(F.col("words")), lambda h: F.when(F.arrays_overlap(h, pairs), F.array_intersect(h, pairs)))
+    return each.withColumn("pairs", found).filter(F.col("pairs").isNotNull())
+
+
+def _may_hold(words: list[list[str]], known: dict[str, int]) -> Column:
+    """Whether ``pairs`` are enough for ``CONTAINMENT`` of any template: k of its 2-grams come with k 3-grams at most,
+    and with k - 1 if none of them stands twice in it."""
+    enough = []
+    for w in words:
+        two = {known[f"{a} {b}"] for a, b in zip(w, w[1:])}
+        n = len(two) + len({tuple(w[i:i + 3]) for i in range(len(w) - 2)})
+        least = math.ceil((CONTAINMENT * n + (len(two) == len(w) - 1)) / 2 - 1e-9)
+        enough.append((max(1, least), two))
+    any_of = F.lit(False)
+    for k, two in enough:
+        any_of = any_of | (F.size(F.array_intersect("pairs", _set(two))) >= k)
+    return (F.size("pairs") >= min(k for k, _ in enough)) & any_of
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Model:
     spark = docs.sparkSession
     table = materialise(gram_table(spark), "grams")
     vocabulary = sorted(r["gram"] for r in table.select("gram").collect())  # the templates' n-grams
-    known = F.lit(vocabulary)
+    known = _hashes(spark, vocabulary)
     shapes = templates(spark).select("template", "family", all_grams(F.col("words")).alias("grams"), "words").orderBy(
         "template").collect()
     # Windows of at least 60 % of a template, and of at least three words, stand for partial and changed notices.
@@ -138,14 +203,20 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     share = windows.groupBy("family").agg((F.lit(FAMILY_WEIGHT) / F.count("*")).alias("weight"))
     positive = windows.join(F.broadcast(share), "family").select(
         "family", "weight", all_grams(F.col("words")).alias("grams"))
-    lines = lines_of(docs, vocabulary, id_col, text_col).select("words", all_grams(F.col("words")).alias("grams"))
-    held = [F.size(F.array_intersect("grams", F.lit(r["grams"]))) / len(r["grams"]) for r in shapes if r["grams"]]
-    negative = lines.filter(F.greatest(*held) < CONTAINMENT / 2).select(
-        F.lit(0).alias("family"), F.lit(1.0).alias("weight"), F.array_intersect("grams", known).alias("grams")).filter(F.size("grams") > 0)
+    passages = passages_of(docs, known, id_col, text_col)
+    # A template 3-gram comes with two template 2-grams.
+    triples = _set(h for g, h in known.items() if g.count(" ") == 2)
+    more = F.when(F.size("pairs") > 1, F.array_intersect(_triples(F.col("words")), triples))
+    sets = passages.select(F.array_sort(F.concat("pairs", F.coalesce(more, F.array().cast("array<bigint>")))).alias("hashes"))
     # Different sets first, so a frequent one fills the sample no more than any other.
-    negative = negative.groupBy("family", "weight", F.array_sort("grams").alias("grams")).agg(F.count("*").alias("n"))
-    negative = negative.orderBy(F.xxhash64("grams"), "grams").limit(sample).drop("n")
-    # The empty paragraph is the most frequent one: most lines hold no template n-gram at all.
+    sets = materialise(sets.groupBy("hashes").agg(F.count("*").alias("n")), "license_sets")
+    held = [F.size(F.array_intersect("hashes", _set(known[g] for g in r["grams"]))) / len(r["grams"])
+            for r in shapes if r["grams"]]
+    few = sets.filter(F.greatest(*held) < CONTAINMENT / 2).orderBy(F.xxhash64("hashes"), "hashes").limit(sample)
+    names = F.create_map(*[F.lit(x) for g, h in known.items() for x in (h, g)])
+    negative = few.select(F.lit(0).alias("family"), F.lit(1.0).alias("weight"),
+                          F.transform("hashes", lambda h: F.element_at(names, h)).alias("grams"))
+    # The empty passage is the most frequent one: most hold no template n-gram at all.
     empty = spark.range(20).select(F.lit(0).alias("family"), F.lit(1.0).alias("weight"),
                                    F.array().cast("array<string>").alias("grams"))
     rows = positive.unionByName(negative).unionByName(empty).withColumn(
@@ -184,12 +255,15 @@ def softmax(logits: Column, temperature: float) -> Column:
 def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, licenses (array of start, end, family, confidence, held: share of the template) for each row of ``docs``."""
     vocabulary = sorted(r["gram"] for r in model.grams.select("gram").collect())
-    lines = lines_of(docs, vocabulary, id_col, text_col)
-    grams = lines.select("row", "id", "key", "start", "end", F.explode(all_grams(F.col("words"))).alias("gram")).join(
+    known = _hashes(docs.sparkSession, vocabulary)
+    words = [r["words"] for r in templates(docs.sparkSession).select("words").collect()]
+    may = passages_of(docs, known, id_col, text_col).filter(_may_hold(words, known))
+    at = ["row", "id", "key", "start", "end", "lines"]
+    grams = may.select(*at, F.explode(all_grams(F.col("words"))).alias("gram")).join(
         F.broadcast(model.grams), "gram")  # as many rows as the templates have n-grams
     sums = [F.sum(F.get("weights", F.lit(c))).alias(f"w{c}") for c in range(len(FAMILIES))]
     holds = [F.sum(F.array_contains("templates", t).cast("int")).alias(f"t{t}") for t in range(len(model.sizes))]
-    per = grams.groupBy("row", "id", "key", "start", "end").agg(*sums, *holds)
+    per = grams.groupBy(*at).agg(*sums, *holds)
     logits = F.array(*[F.col(f"w{c}") + F.lit(b) for c, b in enumerate(model.intercepts)])
     best = F.array_max(F.transform(softmax(logits, model.temperature), lambda p, c: F.struct(
         p.alias("confidence"), (-c).alias("less"))))
@@ -198,17 +272,34 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         own = [F.col(f"t{t}") / F.lit(float(max(1, n))) for t, n in enumerate(model.sizes) if model.owners[t] == family]
         return F.greatest(*own) if len(own) > 1 else own[0]
 
-    named = per.select("id", "key", "start", "end", best.alias("best"),
-                       F.array(F.lit(0.0), *[share(f) for f in range(1, len(FAMILIES))]).alias("held")).select(
-        "id", "key", "start", "end", F.col("best.confidence").alias("confidence"), (-F.col("best.less")).alias("c"),
-        "held").select("id", "key", F.struct(
+    def mass(family: int) -> Column:
+        return sum((F.col(f"t{t}") for t, owner in enumerate(model.owners) if owner == family), F.lit(0))
+
+    families = range(1, len(FAMILIES))
+    named = per.select("id", "key", "start", "end", "lines", best.alias("best"),
+                       F.array(F.lit(0.0), *[share(f) for f in families]).alias("held"),
+                       F.array(F.lit(0), *[mass(f) for f in families]).alias("mass")).select(
+        "id", "key", "start", "end", "lines", F.col("best.confidence").alias("confidence"),
+        (-F.col("best.less")).alias("c"), "held", "mass").select("id", "key", F.struct(
             "start", "end", F.get(F.lit(FAMILIES), F.col("c")).alias("family"),
-            F.round("confidence", 6).alias("confidence"), F.get("held", F.col("c")).alias("held")).alias("found"))
+            F.round("confidence", 6).alias("confidence"), F.get("held", F.col("c")).alias("held"), "lines",
+            F.get("mass", F.col("c")).alias("mass")).alias("found"))
     sure = named.filter((F.col("found.family") != UNKNOWN) & (F.col("found.confidence") >= CONFIDENCE)
                         & (F.col("found.held") >= CONTAINMENT))
-    # Equal rows of a document find the same lines, so a set is enough.
+
+    def inside(o: Column, s: Column) -> Column:
+        return (o["lines"] < s["lines"]) & (s["start"] <= o["start"]) & (o["end"] <= s["end"]) & (o["family"] == s["family"])
+
+    def chosen(found: Column) -> Column:
+        runs = F.filter(found, lambda s: (s["lines"] > 1) & ~F.exists(found, lambda o: inside(o, s) & (o["mass"] >= s["mass"])))
+        kept = let(runs, lambda r: F.filter(found, lambda o: F.when(o["lines"] > 1, F.array_contains(r, o)).otherwise(
+            ~F.exists(r, lambda s: inside(o, s)))))
+        return F.transform(kept, lambda x: F.struct(
+            *[x[c].alias(c) for c in ("start", "end", "family", "confidence", "held")]))
+
+    # Equal rows of a document find the same passages, so a set is enough.
     per_doc = sure.groupBy(F.col("id").alias("hit_id"), F.col("key").alias("hit_key")).agg(
-        F.array_sort(F.collect_set("found")).alias("licenses"))
+        let(F.array_sort(F.collect_set("found")), chosen).alias("licenses"))
     text = text_of(text_col)
     rows = docs.select(F.col(id_col).alias("id"), content_key(text).alias("key"))
     kind = per_doc.schema["licenses"].dataType

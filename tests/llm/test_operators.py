@@ -201,6 +201,23 @@ def test_unknown_sample_holds_different_sets_whatever_their_counts(spark, monkey
     assert len(rows) == 5 == len({tuple(r["grams"]) for r in rows})
 
 
+def test_wrapped_notices(spark):
+    gpl = ("# This program is free software: you can redistribute it and/or modify\n"
+           "# it under the terms of the GNU General Public License as published by\n"
+           "# the Free Software Foundation, either version 3 of the License, or")
+    mit = ("Permission is hereby granted, free of charge, to any\nperson obtaining a copy of this\n"
+           "software and associated\ndocumentation files")
+    apache = "Licensed under the\nApache License,\nVersion 2.0"
+    narrow = "This work is licensed under the Creative\nCommons (CC) Attribution 4.0 International License"
+    texts = [f"x = 1\n#\n{gpl}\n#\ny = 2", f"first line\n{mit}\nlast line", f"{apache}\n\nAll rights reserved.", narrow,
+             "one of\nthe trees is\nfree of all", "This program is free\n\nsoftware: you can redistribute it and/or modify"]
+    df = frame(spark, texts)
+    rows = {r["id"]: [(x["family"], texts[r["id"]][x["start"]:x["end"]]) for x in r["licenses"]]
+            for r in licenses.scan(df, licenses.train(df)).collect()}
+    assert rows == {0: [("gpl", gpl)], 1: [("mit", mit)], 2: [("apache", apache), ("proprietary", "All rights reserved.")],
+                    3: [("cc_by", narrow)], 4: [], 5: []}
+
+
 # 6 decontamination
 
 def test_contamination_equals_plain_windows(spark):
