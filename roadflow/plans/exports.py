@@ -81,11 +81,12 @@ def write_results(results: Results, root: str, parallel: int = 4) -> list[tuple[
     """Write each result as CSV under ``root``; (name, OK or ERROR, path or the whole error) for each.
 
     The results are independent jobs and are submitted concurrently; one that
-    fails is recorded and the others are still written."""
+    fails is recorded and the others are still written.  A name's last part
+    says whether the result grows with the count points."""
     def one(name: str) -> tuple[str, str, str]:
         path = f"{root}/{name}"
         try:
-            write_csv(decimals_as_double(results[name]()), path, single_file=name not in PER_POINT)
+            write_csv(decimals_as_double(results[name]()), path, single_file=name.rpartition("/")[2] not in PER_POINT)
             return name, "OK", path
         except Exception as e:  # noqa: BLE001
             return name, "ERROR", f"{type(e).__name__}: {e}"

@@ -53,3 +53,13 @@ def test_dense_keys_never_use_a_global_window(spark):
     assert "ExistingRDD" in plan
     window_inputs = [line for line in plan.splitlines() if "Window [" in line]
     assert all("_kn" in line for line in window_inputs)
+
+
+def test_results_with_a_row_per_point_are_not_written_by_one_task(spark, monkeypatch, tmp_path):
+    from roadflow.plans import exports
+
+    single = {}
+    monkeypatch.setattr(exports, "write_csv", lambda df, path, single_file: single.update({path: single_file}))
+    names = ["geospatial_hotspots", "serving/geospatial_hotspots", "serving/yearly_totals"]
+    exports.write_results({n: lambda: spark.range(1) for n in names}, str(tmp_path))
+    assert [single[f"{tmp_path}/{n}"] for n in names] == [False, False, True]
