@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, licenses, line_dedup, pii, quality, secrets, simhash, toxicity
+from . import alignment, bpe, decontaminate, exact_dedup, licenses, line_dedup, pii, quality, secrets, simhash, toxicity
 from .common import n_of, span_text, table
 
 
@@ -98,6 +98,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             ":", r["first"].cast("string"), (r["first"] + r["lines"]).cast("string"))), ",").alias("removed"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    found = alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                            public_tokenizers.path("piece_bpe_32k.model"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_secrets": op2_secrets,
@@ -109,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
+    "op13_alignment": op13_alignment,
 }
 
 OP1_SQL = r"""
