@@ -12,6 +12,8 @@ BY order_cols)``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,12 +22,18 @@ from .joins import input_bytes
 
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+#: Sizes from here on are the planner's stand-in for "unknown" (the largest long, or products of it).
+UNKNOWN_BYTES = 1 << 60
 
 
 def partitions_for(df: DataFrame) -> int:
     """Range partitions of ~128 MB of input each: a small dimension gets a
-    handful, a large input as many as its size asks for."""
-    return max(1, -(-input_bytes(df) // TARGET_PARTITION_BYTES))
+    handful, a large input as many as its size asks for.  An input whose size
+    the planner does not know gets the session's number of shuffle partitions."""
+    size = input_bytes(df)
+    if size >= UNKNOWN_BYTES:
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, -(-size // TARGET_PARTITION_BYTES))
 
 
 def with_dense_key(df: DataFrame, key: str, order_cols: list[str], num_partitions: int | None = None,
@@ -48,3 +56,24 @@ def with_dense_key(df: DataFrame, key: str, order_cols: list[str], num_partition
     out = tagged.join(F.broadcast(offsets.select("_kp", "_k0", "_koff")), "_kp")
     out = out.withColumn(key, (F.col("_koff") + F.col("_km") - F.col("_k0") + 1).cast(key_type))
     return out.drop("_kp", "_km", "_k0", "_koff", "_kn")
+
+
+def with_stable_key(members: DataFrame, known: DataFrame | None, key: str, natural: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(members with ``key``, the registry): members that ``known`` holds keep
+    their keys, new ones get dense keys after its highest.
+
+    ``members`` are distinct in ``natural``; ``known`` is the registry of an
+    earlier refresh (``natural`` columns and ``key``), or None.  The registry
+    also keeps members that are gone, so a key is never given out twice."""
+    if known is None:
+        keyed = with_dense_key(members, key, natural)
+        return keyed, keyed.select(*natural, key)
+    old = known.select(*[F.col(c).alias(f"_k_{c}") for c in natural], F.col(key).alias(key))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in natural])
+    # Written once: both the found and the new members come from it.
+    found = members.join(old, same, "left").drop(*[f"_k_{c}" for c in natural]).checkpoint(eager=True)
+    highest = known.agg(F.max(key)).first()[0] or 0
+    new = with_dense_key(found.where(F.col(key).isNull()).drop(key), key, natural)
+    new = new.withColumn(key, (F.col(key) + F.lit(highest)).cast(dict(old.dtypes)[key]))
+    keyed = found.where(F.col(key).isNotNull()).unionByName(new)
+    return keyed, known.select(*natural, key).unionByName(new.select(*natural, key))

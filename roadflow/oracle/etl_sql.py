@@ -48,7 +48,14 @@ SQL = {
     "etl_clean_summary": """SELECT i AS initial_rows, k AS kept_rows, i - k AS dropped_rows
         FROM (SELECT (SELECT count(*) FROM raw_aadf) AS i, (SELECT count(*) FROM clean_aadf) AS k) t""",
     "etl_validate_aadf": _validate(),
-    "etl_dim_date": "SELECT * FROM DimDate",
+    "etl_dim_date": """SELECT d.*, coalesce(n, 0) AS FactRows FROM DimDate d LEFT JOIN (
+        SELECT DateKey, count(*) AS n FROM FactTrafficFlowDirection GROUP BY DateKey) f ON d.DateKey = f.DateKey""",
+    "etl_dim_keys_stable": """SELECT CountPointID, CAST(row_number() OVER (ORDER BY late, CountPointID) AS INTEGER)
+        AS CountPointKey FROM (SELECT CountPointID, CountPointID % 3 = 0 AS late FROM DimCountPoint) p""",
+    "etl_rejected_rows": f"""SELECT CASE WHEN {ALL_KEYS} THEN 'over_range' ELSE 'no_key' END AS status,
+        k.year AS Year, k.direction_of_travel AS Direction, count(*) AS n_rows,
+        max(CAST(CAST(k.all_motor_vehicles AS BIGINT) AS VARCHAR)) AS largest_text
+        FROM keyed k WHERE NOT (({ALL_KEYS}) AND {IN_RANGE}) GROUP BY ALL""",
     "etl_dim_region": "SELECT * FROM DimRegion",
     "etl_dim_local_authority": "SELECT * FROM DimLocalAuthority",
     "etl_dim_count_point": """SELECT CountPointKey, CountPointID, RoadName, RoadCategory, RoadType,

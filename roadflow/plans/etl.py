@@ -17,7 +17,7 @@ from ..sources import pages
 from ..sources.readers import malformed_counts, read_count_points_csv, read_parquet, read_raw_aadf_csv
 from . import exports, quality, serving
 from .analyses import as_numbers
-from .warehouse import FACT, build_dimensions, build_warehouse, incremental_load, new_version, open_warehouse
+from .warehouse import FACT, build_dimensions, build_warehouse, incremental_load, open_warehouse
 
 
 def read_extract(spark: SparkSession, path: str, kind: str) -> DataFrame:
@@ -56,9 +56,8 @@ def run_etl(spark: SparkSession, aadf_path: str, count_points_path: str, warehou
     wh = open_warehouse(spark, warehouse_root) if incremental else None
     if incremental:
         if wh is None:
-            wh = build_dimensions(spark, points, new_version(spark, warehouse_root))
+            wh = build_dimensions(spark, points, warehouse_root)
         loaded = incremental_load(wh, raw, set(years) if years else None)
-        wh.save_manifest()
         steps.append(("load", "OK", f"years not yet loaded, attempted: {sorted(r[0] for r in loaded.collect())}"))
     else:
         wh = build_warehouse(spark, raw, points, warehouse_root)

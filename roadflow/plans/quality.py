@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from ..functions.exprs import pct
 from ..schemas import MIN_EXPECTED_ROWS
 from .analyses import as_numbers, keys_present, psum
-from .warehouse import DIMS, FACT, Warehouse, folder_names
+from ..sources.files import folder_names
+from .warehouse import DIMS, FACT, Warehouse
 
 
 def dq_row_counts(wh: Warehouse) -> DataFrame:

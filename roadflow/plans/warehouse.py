@@ -1,45 +1,46 @@
 """Star-schema warehouse: dimensions, fact load, incremental load.
 
-Layout (Parquet under the shared folder):
+Layout (Parquet under the shared folder, see :mod:`roadflow.plans.snapshots`):
 
 * ``DimDate`` - 26 calendar years, ``DateKey = Year``
 * ``DimRegion``, ``DimLocalAuthority``, ``DimCountPoint`` - dense 1..n keys
-  in natural-id order (:func:`roadflow.operators.keys.with_dense_key`)
-* ``FactTrafficFlowDirection`` - partitioned by ``DateKey`` (the year), so
-  every year predicate becomes partition pruning; written with
-  ``REBALANCE(DateKey)`` so adaptive execution splits an oversized year over
-  many writers, and sorted by count point inside each file.
-
-Row counts of the tables are kept in a manifest; joins broadcast a
-dimension only when its recorded size is under the bound.
-
-A full refresh builds a new version folder (``v00000001``, ...) and commits it
-by writing its manifest last. Readers open the newest committed version, so a
-refresh that fails at any point leaves the old dimensions and the old fact in
-use together.
+  in natural-id order on the first refresh; later refreshes keep the keys of
+  known members (:func:`roadflow.operators.keys.with_stable_key`), whose
+  registry is stored as ``Keys<dimension>``
+* ``FactTrafficFlowDirection`` - one write per load, partitioned by ``status``
+  and ``DateKey`` (the year), so every year predicate becomes partition
+  pruning. Status ``loaded`` is the fact; rows without all their keys
+  (``no_key``) or with a measure out of range (``over_range``) are set apart as
+  they came and read as ``RejectedRows``. Written with ``REBALANCE`` so adaptive
+  execution splits an oversized year over many writers, and sorted by count
+  point inside each file.
+
+Everything that a refresh or a load writes becomes visible by one commit, with
+the row counts of its parts; joins broadcast a dimension only when its recorded
+size is under the bound.
 """
 
 from __future__ import annotations
 
 import os
-import re
 import threading
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.clean import any_over_range, clean_aadf
 from ..operators.joins import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, bounded_broadcast, row_bytes
-from ..operators.keys import with_dense_key
+from ..operators.keys import with_stable_key
 from ..schemas import FACT_MEASURES, MEASURE_TYPE, YEAR_MAX, YEAR_MIN
 from ..session import new_output_dir
+from .snapshots import Part, Snapshot, Snapshots
 
 FACT = "FactTrafficFlowDirection"
 REJECTED = "RejectedRows"
-OVER_RANGE = "_over_range"
+OVER_RANGE, AS_CAME, STATUS = "_over_range", "_as_came", "status"
+LOADED, NO_KEY, TOO_LARGE = "loaded", "no_key", "over_range"
 DIMS = ["DimDate", "DimRegion", "DimLocalAuthority", "DimCountPoint"]
 FACT_KEYS = ["DateKey", "CountPointKey", "LocalAuthorityKey", "RegionKey"]
 FACT_SCHEMA = T.StructType(
@@ -77,17 +78,23 @@ def dim_date(spark: SparkSession) -> DataFrame:
     )
 
 
-def dim_region(count_points: DataFrame) -> DataFrame:
+REGION_IDS = ["RegionID", "RegionName", "RegionONSCode"]
+AUTHORITY_IDS = ["LocalAuthorityID", "RegionKey", "LocalAuthorityName", "LocalAuthorityCode"]
+
+
+def dim_region(count_points: DataFrame, known: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(the dimension, its key registry); so for the other dimensions with surrogate keys."""
     regions = count_points.select(
         F.col("region_id").alias("RegionID"),
         F.col("region_name").alias("RegionName"),
         F.col("region_ons_code").alias("RegionONSCode"),
     ).distinct()
-    keyed = with_dense_key(regions, "RegionKey", ["RegionID", "RegionName", "RegionONSCode"])
-    return keyed.select("RegionKey", "RegionID", "RegionName", "RegionONSCode")
+    keyed, registry = with_stable_key(regions, known, "RegionKey", REGION_IDS)
+    return keyed.select("RegionKey", *REGION_IDS), registry
 
 
-def dim_local_authority(count_points: DataFrame, regions: DataFrame) -> DataFrame:
+def dim_local_authority(count_points: DataFrame, regions: DataFrame,
+                        known: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     las = count_points.select(
         F.col("local_authority_id").alias("LocalAuthorityID"),
         F.col("local_authority_name").alias("LocalAuthorityName"),
@@ -96,17 +103,14 @@ def dim_local_authority(count_points: DataFrame, regions: DataFrame) -> DataFram
     ).distinct()
     region_keys = bounded_broadcast(regions.select("RegionID", "RegionKey"))
     las = las.join(region_keys, "RegionID", "left")
-    keyed = with_dense_key(
-        las, "LocalAuthorityKey",
-        ["LocalAuthorityID", "RegionKey", "LocalAuthorityName", "LocalAuthorityCode"],
-    )
-    return keyed.select("LocalAuthorityKey", "LocalAuthorityID", "RegionKey", "LocalAuthorityName", "LocalAuthorityCode")
+    keyed, registry = with_stable_key(las, known, "LocalAuthorityKey", AUTHORITY_IDS)
+    return keyed.select("LocalAuthorityKey", *AUTHORITY_IDS), registry
 
 
 CP_ATTRS = ["road_name", "road_category", "road_type", "latitude", "longitude", "link_length_km"]
 
 
-def dim_count_point(count_points: DataFrame) -> DataFrame:
+def dim_count_point(count_points: DataFrame, known: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """One row per count point: the earliest-year row wins, ties broken on
     the attributes (an explicit order, never an arbitrary ``dropDuplicates``).
 
@@ -125,9 +129,9 @@ def dim_count_point(count_points: DataFrame) -> DataFrame:
         F.col("a.longitude").alias("Longitude"),
         F.col("a.link_length_km").alias("LinkLengthKm"),
     )
-    keyed = with_dense_key(first, "CountPointKey", ["CountPointID"])
+    keyed, registry = with_stable_key(first, known, "CountPointKey", ["CountPointID"])
     return keyed.select("CountPointKey", "CountPointID", "RoadName", "RoadCategory", "RoadType",
-                        "Latitude", "Longitude", "LinkLengthKm")
+                        "Latitude", "Longitude", "LinkLengthKm"), registry
 
 
 # --------------------------------------------------------------------------
@@ -167,53 +171,37 @@ def all_keys_present():
 
 
 def keyed_rows(raw: DataFrame, maps: dict) -> DataFrame:
-    """Cleaned rows with their keys and a flag for measures that the fact's decimal type cannot hold."""
+    """Cleaned rows with their keys, their status, and the row as it came for those that are set apart."""
     kind = MEASURE_TYPE.simpleString()
-    return attach_keys(clean_aadf(raw.withColumn(OVER_RANGE, any_over_range(raw, kind)), kind), maps)
+    came = raw.withColumns({OVER_RANGE: any_over_range(raw, kind), AS_CAME: F.struct(*raw.columns)})
+    keyed = attach_keys(clean_aadf(came, kind), maps)
+    status = F.when(~all_keys_present(), NO_KEY).when(F.col(OVER_RANGE), TOO_LARGE).otherwise(LOADED)
+    return keyed.withColumn(STATUS, status).drop(OVER_RANGE)
 
 
-def fact_rows(keyed: DataFrame, with_load_date: bool = True) -> DataFrame:
-    """Rows with all keys and measures in range, as the fact stores them."""
-    cols = [F.col(k).cast("int").alias(k) for k in FACT_KEYS]
+def fact_rows(keyed: DataFrame) -> DataFrame:
+    """What the fact stores: keys and measures of loaded rows, the whole row as it came of the others."""
+    loaded = F.col(STATUS) == LOADED
+    cols = [F.col(k).cast("int").alias(k) for k in FACT_KEYS if k != "DateKey"]
     cols.append(F.col("direction_of_travel").alias("DirectionOfTravel"))
-    cols += [F.col(src).cast(MEASURE_TYPE).alias(dst) for src, dst in FACT_MEASURES.items()]
-    if with_load_date:
-        cols.append(F.current_timestamp().alias("LoadDate"))
-    return keyed.where(all_keys_present() & ~F.col(OVER_RANGE)).select(*cols)
-
-
-def load_stats(keyed: DataFrame) -> DataFrame:
-    """Rows loaded, dropped for a missing key, and rejected for a measure out of range, one aggregate."""
-    ok, big = all_keys_present(), F.col(OVER_RANGE)
-    return keyed.agg(
-        F.count_if(ok & ~big).alias("loaded_rows"),
-        F.count_if(~ok).alias("dropped_rows"),
-        F.count_if(ok & big).alias("over_range_rows"),
-    )
+    cols += [F.when(loaded, F.col(src).cast(MEASURE_TYPE)).alias(dst) for src, dst in FACT_MEASURES.items()]
+    cols += [F.current_timestamp().alias("LoadDate"), F.when(~loaded, F.col(AS_CAME)).alias(AS_CAME), F.col(STATUS),
+             F.coalesce("DateKey", "year").cast("int").alias("DateKey")]
+    return keyed.select(*cols)
 
 
-def write_fact(fact: DataFrame, path: str, mode: str = "overwrite", replace_years_only: bool = False) -> None:
-    """Write fact rows partitioned by year.
-
-    ``REBALANCE(DateKey)`` clusters each year into few tasks (so files are
-    few and large), and adaptive execution splits any year that is bigger
-    than the advisory partition size (``spark.sql.adaptive.
-    advisoryPartitionSizeInBytes``) into several tasks from the actual
-    shuffle sizes: a year, or a single count point, holding a third of all
-    rows is written by many tasks.  No sampling pass is needed (unlike a
-    range partitioning), so the clean + key lookup upstream runs once.
-    Inside each file rows are sorted by count point, so row-group min/max
-    statistics prune point lookups."""
-    writer = (
-        fact.hint("rebalance", "DateKey")
-        .sortWithinPartitions("DateKey", "CountPointKey")
-        .write.mode(mode)
-        .partitionBy("DateKey")
-    )
-    if mode == "overwrite":
-        # full refresh replaces every year; a reload replaces only its years
-        writer = writer.option("partitionOverwriteMode", "dynamic" if replace_years_only else "static")
-    writer.parquet(path)
+def spread(fact: DataFrame) -> DataFrame:
+    """Fact rows as they are written: few large files per year.
+
+    ``REBALANCE`` clusters each year into few tasks, and adaptive execution
+    splits any year that is bigger than the advisory partition size
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``) into several tasks
+    from the actual shuffle sizes: a year, or a single count point, holding a
+    third of all rows is written by many tasks.  No sampling pass is needed
+    (unlike a range partitioning), so the clean + key lookup upstream runs
+    once.  Inside each file rows are sorted by count point, so row-group
+    min/max statistics prune point lookups."""
+    return fact.hint("rebalance", STATUS, "DateKey").sortWithinPartitions(STATUS, "DateKey", "CountPointKey")
 
 
 # --------------------------------------------------------------------------
@@ -221,30 +209,54 @@ def write_fact(fact: DataFrame, path: str, mode: str = "overwrite", replace_year
 # --------------------------------------------------------------------------
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str, manifest: dict | None = None):
+    """One snapshot of the tables under a base folder."""
+
+    def __init__(self, spark: SparkSession, base: str, snapshot: Snapshot | None = None):
         self.spark = spark
-        self.root = root
-        self.manifest = manifest or {}
+        self.store = Snapshots(spark, base)
+        self.snapshot = snapshot or Snapshot()
+        self._fact_filter = None
+        self._schemas: dict[str, T.StructType] = {}
 
-    def path(self, name: str) -> str:
-        fact_root = getattr(self, "_fact_root", None)
-        if name == FACT and fact_root:
-            return f"{fact_root}/{name}"
-        return f"{self.root}/{name}"
+    @property
+    def manifest(self) -> dict[str, int]:
+        """Rows of each table."""
+        out = {name: self.snapshot.rows(name) for name in self.snapshot.parts if name != FACT}
+        return out | {FACT: self.snapshot.rows(FACT, status=LOADED)}
 
     def table(self, name: str) -> DataFrame:
-        """A table of this version; the fact by its declared schema, which also reads one without any rows."""
-        reader = self.spark.read.schema(FACT_SCHEMA) if name == FACT else self.spark.read
-        return reader.parquet(self.path(name))
-
-    def with_new_fact(self, fact_root: str) -> "Warehouse":
-        """Same dimensions, but an (initially empty) fact under ``fact_root``."""
-        view = Warehouse(self.spark, self.root, {k: v for k, v in self.manifest.items() if k != FACT})
-        view._fact_root = fact_root
+        """A table of this snapshot; the fact by its declared schema, which also reads one without any rows."""
+        if name == FACT:
+            return self.store.read(FACT, self.snapshot.of(FACT, status=LOADED), FACT_SCHEMA)
+        if name == REJECTED:
+            return self.rejected()
+        return self.store.read(name, self.snapshot.of(name), self._schema(name))
+
+    def _schema(self, name: str) -> T.StructType:
+        if name not in self._schemas:
+            first = self.store.path(self.snapshot.of(name)[0].folder)
+            self._schemas[name] = self.spark.read.parquet(first).schema
+        return self._schemas[name]
+
+    def rejected(self) -> DataFrame:
+        """The rows that were set apart, as they came, with the reason (``status``) and the year."""
+        parts = [p for p in self.snapshot.of(FACT) if p.values[STATUS] != LOADED]
+        if not parts:
+            return self.spark.createDataFrame([], "status string, DateKey int")
+        whole = self.spark.read.parquet(self.store.path(parts[0].folder)).schema
+        kept = T.StructType([whole[AS_CAME], T.StructField(STATUS, T.StringType()), T.StructField("DateKey", T.IntegerType())])
+        return self.store.read(FACT, parts, kept).select(STATUS, "DateKey", f"{AS_CAME}.*")
+
+    def with_new_fact(self, base: str) -> "Warehouse":
+        """Same dimensions, but an empty fact, in a warehouse of its own under ``base``."""
+        parts = {name: [Part(self.store.path(p.folder), p.rows, p.values) for p in ps]
+                 for name, ps in self.snapshot.parts.items() if name != FACT}
+        view = Warehouse(self.spark, base)
+        view.commit(parts, {"attempted": []})
         return view
 
     def has(self, name: str) -> bool:
-        return folder_names(self.spark, self.path(name)) is not None
+        return name in self.snapshot.parts
 
     def broadcastable(self, name: str) -> bool:
         """Whether the manifest proves the dimension small enough to broadcast."""
@@ -253,23 +265,24 @@ class Warehouse:
             rows * row_bytes(self.table(name)) <= BROADCAST_MAX_BYTES
 
     def fact_years(self) -> list[int] | None:
-        """Years of the fact from its partition folders; None for a filtered view, which must be read."""
-        if getattr(self, "_fact_filter", None) is not None:
+        """Years of the fact, from the snapshot; None for a filtered view, which must be read."""
+        if self._fact_filter is not None:
             return None
-        names = folder_names(self.spark, self.path(FACT)) or []
-        return sorted(int(n.split("=")[1]) for n in names if n.startswith("DateKey=") and n.split("=")[1].isdigit())
+        return sorted({p.values["DateKey"] for p in self.snapshot.of(FACT, status=LOADED) if p.rows})
+
+    def attempted_years(self) -> set[int]:
+        """Years that a load has taken on, whether or not any of their rows could be loaded."""
+        return set(self.snapshot.notes.get("attempted", []))
 
     @property
     def fact(self) -> DataFrame:
         f = self.table(FACT)
-        return f.where(self._fact_filter) if getattr(self, "_fact_filter", None) is not None else f
+        return f.where(self._fact_filter) if self._fact_filter is not None else f
 
     def where_fact(self, condition) -> "Warehouse":
         """A view of this warehouse whose fact is filtered by ``condition``."""
-        view = Warehouse(self.spark, self.root, self.manifest)
-        view._fact_root = getattr(self, "_fact_root", None)
-        current = getattr(self, "_fact_filter", None)
-        view._fact_filter = condition if current is None else (current & condition)
+        view = Warehouse(self.spark, self.store.base, self.snapshot)
+        view._fact_filter = condition if self._fact_filter is None else (self._fact_filter & condition)
         return view
 
     def dim(self, name: str, broadcast: bool = True) -> DataFrame:
@@ -282,105 +295,91 @@ class Warehouse:
         return lookups(self.table("DimDate"), self.table("DimRegion"), self.table("DimLocalAuthority"),
                        self.table("DimCountPoint"), self.manifest)
 
-    def save_manifest(self) -> None:
-        """Record table row counts next to the tables; this commits the version.
-
-        Each call appends a numbered set of rows, so there is never a moment
-        without a manifest; the highest number counts."""
-        for name in DIMS + [FACT]:
-            if name == FACT or name not in self.manifest:
-                self.manifest[name] = self.table(name).count() if self.has(name) else 0
-        self.saved = getattr(self, "saved", 0) + 1
-        rows = [(name, n, self.saved) for name, n in sorted(self.manifest.items())]
-        self.spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").json(self.path("_manifest"))
-
+    def commit(self, parts: dict[str, list[Part]], notes: dict) -> None:
+        """Makes these parts the tables' contents, from this warehouse's snapshot on; this warehouse then shows them."""
+        self.snapshot = self.store.commit(self.snapshot, parts, notes)
+        self._schemas = {}
 
-MANIFEST = "table string, rows bigint, saved int"
-
-
-def folder_names(spark: SparkSession, path: str) -> list[str] | None:
-    """Names in a folder of any file system Spark knows; None if there is no such folder."""
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    try:
-        found = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(place)
-    except Py4JJavaError as e:
-        if "FileNotFoundException" in str(e.java_exception):
-            return None
-        raise
-    return [f.getPath().getName() for f in found]
 
+def open_warehouse(spark: SparkSession, base: str, version: int | None = None) -> Warehouse | None:
+    """The newest snapshot under ``base``, or an earlier one; None before the first commit."""
+    snapshot = Snapshots(spark, base).snapshot(version)
+    return Warehouse(spark, base, snapshot) if snapshot.version else None
 
-def versions(spark: SparkSession, base: str) -> list[tuple[str, bool]]:
-    """(version folder, committed) in order."""
-    names = sorted(n for n in folder_names(spark, base) or [] if re.fullmatch(r"v\d{8}", n))
-    return [(n, "_SUCCESS" in (folder_names(spark, f"{base}/{n}/_manifest") or [])) for n in names]
 
+def write_dimensions(wh: Warehouse, count_points: DataFrame) -> dict[str, list[Part]]:
+    """Write the four dimensions and their key registries; the parts to commit.
 
-def new_version(spark: SparkSession, base: str) -> str:
-    """A folder that no version has used."""
-    last = max((int(n[1:]) for n, _ in versions(spark, base)), default=0)
-    return f"{base}/v{last + 1:08d}"
-
+    Keys that the warehouse's snapshot knows stay.  The independent dimensions
+    are separate Spark jobs submitted concurrently (the local authority waits
+    for regions)."""
+    from concurrent.futures import ThreadPoolExecutor
 
-def open_warehouse(spark: SparkSession, base: str) -> Warehouse | None:
-    """The newest committed version under ``base``, with its manifest; None before the first commit."""
-    done = [n for n, committed in versions(spark, base) if committed]
-    if not done:
-        return None
-    root = f"{base}/{done[-1]}"
-    rows = spark.read.schema(MANIFEST).json(f"{root}/_manifest").collect()  # a few rows for each save
-    saved = max(r["saved"] for r in rows)
-    wh = Warehouse(spark, root, {r["table"]: r["rows"] for r in rows if r["saved"] == saved})
-    wh.saved = saved
-    return wh
+    out: dict[str, list[Part]] = {}
 
+    def known(name: str) -> DataFrame | None:
+        return wh.table(f"Keys{name}") if wh.has(f"Keys{name}") else None
 
-def build_dimensions(spark: SparkSession, count_points: DataFrame, root: str) -> Warehouse:
-    """Write the four dimensions.  The independent ones are separate Spark
-    jobs submitted concurrently (the local authority waits for regions)."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    wh = Warehouse(spark, root)
+    def store(name: str, keyed: tuple[DataFrame, DataFrame]) -> DataFrame:
+        dim, registry = keyed
+        out[name] = wh.store.write(name, dim)
+        out[f"Keys{name}"] = wh.store.write(f"Keys{name}", registry)
+        return wh.store.read(name, out[name], dim.schema)
 
     def dates():
-        dim_date(spark).write.mode("overwrite").parquet(wh.path("DimDate"))
+        out["DimDate"] = wh.store.write("DimDate", dim_date(wh.spark))
 
     def regions_then_authorities():
-        dim_region(count_points).write.mode("overwrite").parquet(wh.path("DimRegion"))
-        dim_local_authority(count_points, wh.table("DimRegion")).write.mode("overwrite").parquet(
-            wh.path("DimLocalAuthority"))
+        regions = store("DimRegion", dim_region(count_points, known("DimRegion")))
+        store("DimLocalAuthority", dim_local_authority(count_points, regions, known("DimLocalAuthority")))
 
     def points():
-        dim_count_point(count_points).write.mode("overwrite").parquet(wh.path("DimCountPoint"))
+        store("DimCountPoint", dim_count_point(count_points, known("DimCountPoint")))
 
     with ThreadPoolExecutor(max_workers=3) as pool:
         for f in [pool.submit(job) for job in (dates, regions_then_authorities, points)]:
             f.result()
-    for name in DIMS:
-        wh.manifest[name] = wh.table(name).count()
+    return out
+
+
+def build_dimensions(spark: SparkSession, count_points: DataFrame, base: str) -> Warehouse:
+    """A refresh of the dimensions with an empty fact, committed."""
+    wh = open_warehouse(spark, base) or Warehouse(spark, base)
+    wh.commit(write_dimensions(wh, count_points) | {FACT: []}, {"attempted": []})
     return wh
 
 
-def load_fact(wh: Warehouse, raw: DataFrame, mode: str = "overwrite", replace_years_only: bool = False) -> int:
-    """Clean, attach keys, write; returns the number of rows with a measure out of range.
+def write_load(wh: Warehouse, raw: DataFrame, maps: dict | None = None, load: str | None = None) -> list[Part]:
+    """Clean, attach keys, write loaded and rejected rows in one pass; the fact's parts to commit."""
+    keyed = keyed_rows(raw, maps or wh.lookups())
+    return wh.store.write(FACT, spread(fact_rows(keyed)), (STATUS, "DateKey"), load)
 
-    Those are counted by a scan of the measures alone (an observed metric of
-    the write would be lost when the plan turns out empty) and, if there are
-    any, set apart as they came."""
-    write_fact(fact_rows(keyed_rows(raw, wh.lookups())), wh.path(FACT), mode, replace_years_only)
-    bad = any_over_range(raw, MEASURE_TYPE.simpleString())
-    rejected = raw.agg(F.count_if(bad)).first()[0]
-    if rejected:
-        raw.where(bad).write.mode("append").parquet(wh.path(REJECTED))
-    return rejected
+
+def load_stats(wh: Warehouse) -> DataFrame:
+    """Rows loaded, dropped for a missing key, and rejected for a measure out of range, as the stored files hold them
+    (a read of the partition columns and the files' footers)."""
+    status = T.StructType([T.StructField(STATUS, T.StringType()), T.StructField("DateKey", T.IntegerType())])
+    rows = wh.store.read(FACT, wh.snapshot.of(FACT), status)
+    return rows.agg(*[F.count_if(F.col(STATUS) == s).alias(name) for s, name in (
+        (LOADED, "loaded_rows"), (NO_KEY, "dropped_rows"), (TOO_LARGE, "over_range_rows"))])
+
+
+def calendar_years(raw: DataFrame) -> list[int]:
+    """The calendar years that a source holds (the partition list of a source partitioned by year)."""
+    inside = raw.select(F.col("year").cast("int").alias("y")).where(F.col("y").between(YEAR_MIN, YEAR_MAX))
+    return sorted(r[0] for r in inside.distinct().collect())
 
 
 def build_warehouse(spark: SparkSession, raw: DataFrame, count_points: DataFrame, base: str) -> Warehouse:
-    """Full refresh: dimensions, then the fact (clean -> keys -> write), in a
-    new version folder that the manifest, written last, commits."""
-    wh = build_dimensions(spark, count_points, new_version(spark, base))
-    load_fact(wh, raw)
-    wh.save_manifest()
+    """Full refresh: dimensions, then the fact (clean -> keys -> write), committed together.
+
+    A refresh that fails leaves the old snapshot in use; of two refreshes at
+    once one commits and the other raises ``Conflict``."""
+    wh = open_warehouse(spark, base) or Warehouse(spark, base)
+    dims = write_dimensions(wh, count_points)
+    fresh = Warehouse(spark, base, Snapshot(wh.snapshot.version, dims))
+    fact = write_load(fresh, raw)
+    wh.commit(dims | {FACT: fact}, {"attempted": calendar_years(raw)})
     return wh
 
 
@@ -389,7 +388,7 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, count_points: DataFrame
 # --------------------------------------------------------------------------
 
 def loaded_years(wh: Warehouse) -> DataFrame:
-    """Distinct years present in the fact, from its partition folders."""
+    """Distinct years present in the fact, from the snapshot."""
     years = wh.fact_years()
     if years is None:
         years = [r[0] for r in wh.fact.select("DateKey").distinct().collect()]  # calendar years
@@ -408,28 +407,42 @@ def years_to_load(wh: Warehouse, raw: DataFrame, target_years=None) -> DataFrame
 
 
 def incremental_load(wh: Warehouse, raw: DataFrame, target_years=None) -> DataFrame:
-    """Append the years not yet loaded; a second run appends nothing.
-
-    Returns the years that were loaded.  Only years of the calendar dimension
-    can ever load, so the others are left out first; the rest is a list of
-    calendar years that goes into the scan as literals and prunes an extract
-    that is partitioned by year."""
-    calendar = wh.dim("DimDate").select("Year")
-    years = sorted(r[0] for r in years_to_load(wh, raw, target_years).join(calendar, "Year").collect())
+    """Load the years not yet taken on; a second run adds nothing.
+
+    Returns the years that were taken on.  Only years of the calendar can ever
+    load; a year whose rows were all rejected counts as taken on.  The years go
+    into the scan as literals and prune an extract that is partitioned by year."""
+    found = calendar_years(raw) if target_years is None else \
+        sorted(int(y) for y in target_years if YEAR_MIN <= int(y) <= YEAR_MAX)
+    years = [y for y in found if y not in wh.attempted_years()]
     if years:
-        load_fact(wh, raw.where(F.col("year").isin(years)), mode="append")
-        wh.manifest[FACT] = wh.table(FACT).count() if wh.has(FACT) else 0
+        parts = write_load(wh, raw.where(F.col("year").isin(years)))
+        wh.commit({FACT: wh.snapshot.of(FACT) + parts}, {"attempted": sorted(wh.attempted_years() | set(years))})
     return wh.spark.createDataFrame([(y,) for y in years], "Year int")
 
 
 def reload_years(wh: Warehouse, raw: DataFrame, years) -> None:
-    """Re-load the given years from the extract, replacing exactly those
-    year partitions of the fact (dynamic partition overwrite); other years
-    are untouched.  A year with no valid rows keeps its old partition."""
+    """Re-load the given years from the extract, replacing exactly those years'
+    loaded and rejected rows; other years are untouched.  A year with no valid
+    rows becomes empty."""
     wanted = sorted({int(y) for y in years})
-    subset = raw.where(F.col("year").isin(wanted))
-    load_fact(wh, subset, mode="overwrite", replace_years_only=True)
-    wh.manifest[FACT] = wh.table(FACT).count()
+    parts = write_load(wh, raw.where(F.col("year").isin(wanted)))
+    others = [p for p in wh.snapshot.of(FACT) if p.values["DateKey"] not in wanted]
+    wh.commit({FACT: others + parts}, {"attempted": sorted(wh.attempted_years() | set(wanted))})
+
+
+def compact_years(wh: Warehouse, most: int = 4) -> list[int]:
+    """Rewrites the years whose loaded rows stand in more than ``most`` loads (many small appends) as one load each."""
+    loads: dict[int, int] = {}
+    for p in wh.snapshot.of(FACT, status=LOADED):
+        loads[p.values["DateKey"]] = loads.get(p.values["DateKey"], 0) + 1
+    years = sorted(y for y, n in loads.items() if n > most)
+    if years:
+        rows = wh.table(FACT).where(F.col("DateKey").isin(years)).withColumn(STATUS, F.lit(LOADED))
+        parts = wh.store.write(FACT, spread(rows), (STATUS, "DateKey"))
+        kept = [p for p in wh.snapshot.of(FACT) if p.values[STATUS] != LOADED or p.values["DateKey"] not in years]
+        wh.commit({FACT: kept + parts}, {})
+    return years
 
 
 _LOCK = threading.RLock()

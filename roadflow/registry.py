@@ -81,9 +81,31 @@ def etl_fact_load(spark, sf):
     return decimals_as_double(wh.fact.select(*whm.FACT_COLUMNS))
 
 
-def etl_fact_load_stats(spark, sf):
+def etl_dim_date(spark, sf):
+    """The calendar, with the rows that the fact holds of each year."""
     wh = warehouse_for(spark, sf)
-    return whm.load_stats(whm.keyed_rows(_raw(spark, sf), wh.lookups()))
+    rows = wh.fact.groupBy("DateKey").agg(F.count(F.lit(1)).alias("FactRows"))
+    return wh.dim("DimDate").join(rows, "DateKey", "left").withColumn("FactRows", F.coalesce("FactRows", F.lit(0)))
+
+
+def etl_dim_keys_stable(spark, sf):
+    """Two refreshes of the dimensions, the first without every third point: points that the first knows keep their keys
+    in the second, whatever their ids, and the others get the next ones."""
+    points = _points(spark, sf)
+    base = new_output_dir(spark, "warehouse-keys")
+    whm.build_dimensions(spark, points.where(F.col("count_point_id") % 3 != 0), base)
+    return whm.build_dimensions(spark, points, base).table("DimCountPoint").select("CountPointID", "CountPointKey")
+
+
+def etl_rejected_rows(spark, sf):
+    """What the load has set apart: rows by reason, year and direction, and their all-vehicle text as it came."""
+    rows = warehouse_for(spark, sf).rejected()
+    return rows.groupBy("status", F.col("DateKey").alias("Year"), F.col("direction_of_travel").alias("Direction")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.max("all_motor_vehicles").alias("largest_text"))
+
+
+def etl_fact_load_stats(spark, sf):
+    return whm.load_stats(warehouse_for(spark, sf))
 
 
 def etl_incremental_load(spark, sf, first_years=(2017, 2018, 2019)):
@@ -134,11 +156,13 @@ ETL = {
     "api_regions_records": api_regions_records,
     "etl_clean_summary": lambda s, sf: cleaning.clean_summary(_raw(s, sf)),
     "etl_validate_aadf": lambda s, sf: cleaning.validate_aadf(_raw(s, sf)),
-    "etl_dim_date": lambda s, sf: warehouse_for(s, sf).table("DimDate"),
+    "etl_dim_date": etl_dim_date,
     "etl_dim_region": lambda s, sf: warehouse_for(s, sf).table("DimRegion"),
     "etl_dim_local_authority": lambda s, sf: warehouse_for(s, sf).table("DimLocalAuthority"),
     "etl_dim_count_point": lambda s, sf: decimals_as_double(warehouse_for(s, sf).table("DimCountPoint")),
+    "etl_dim_keys_stable": etl_dim_keys_stable,
     "etl_fact_load": etl_fact_load,
+    "etl_rejected_rows": etl_rejected_rows,
     "etl_fact_load_stats": etl_fact_load_stats,
     "etl_loaded_years": lambda s, sf: whm.loaded_years(warehouse_for(s, sf)),
     "etl_years_to_load": lambda s, sf: whm.years_to_load(warehouse_for(s, sf), _raw(s, sf)),

@@ -48,19 +48,20 @@ def test_failed_refresh_leaves_the_old_version_in_use(spark, monkeypatch):
     def fail(*args, **kwargs):
         raise RuntimeError("load failed")
 
-    monkeypatch.setattr(whm, "write_fact", fail)
+    monkeypatch.setattr(whm, "write_load", fail)
     changed = points.where("count_point_id % 2 = 0")  # other points, so other surrogate keys
     try:
         whm.build_warehouse(spark, raw, changed, base)
         raise AssertionError("the refresh must fail")
     except RuntimeError:
         pass
-    assert len(whm.versions(spark, base)) == 2
+    assert whm.open_warehouse(spark, base).snapshot.version == 1
     assert sorted(map(tuple, reports.top_roads(open_warehouse(spark, base), 2023, 50).collect())) == before
     monkeypatch.undo()
     whm.build_warehouse(spark, raw, changed, base)
-    assert open_warehouse(spark, base).root.endswith("v00000003")
+    assert open_warehouse(spark, base).snapshot.version == 2
     assert open_warehouse(spark, base).manifest["DimCountPoint"] < warehouse_for(spark, SMALL_SF).manifest["DimCountPoint"]
+    assert sorted(map(tuple, reports.top_roads(open_warehouse(spark, base, 1), 2023, 50).collect())) == before
 
 
 def test_over_range_rows_are_set_apart(spark):
@@ -72,9 +73,16 @@ def test_over_range_rows_are_set_apart(spark):
     from pyspark.sql import functions as F
 
     big = some.withColumn("LGVs", F.lit("99999999999999999999"))
-    rejected = whm.load_fact(wh, big)
-    assert rejected > 0 and wh.has(whm.REJECTED) and wh.table(whm.REJECTED).count() >= rejected
-    assert wh.fact.count() == 0
+    taken = [r.Year for r in whm.incremental_load(wh, big).collect()]
+    rejected = wh.rejected()
+    assert wh.fact.count() == 0 and rejected.count() > 0
+    assert {r["LGVs"] for r in rejected.where("status = 'over_range'").collect()} == {"99999999999999999999"}
+    # the years count as taken on: a second run adds no rejected rows
+    assert taken and whm.incremental_load(wh, big).count() == 0
+    assert wh.rejected().count() == rejected.count()
+    # and reloading a year replaces its rejected rows
+    whm.reload_years(wh, big, taken)
+    assert wh.rejected().count() == rejected.count()
 
 
 def test_reload_replaces_only_given_years(spark):
@@ -85,7 +93,7 @@ def test_reload_replaces_only_given_years(spark):
     land = landing_for(spark, SMALL_SF)
     raw = land.table("raw_aadf")
     wh = warehouse_for(spark, SMALL_SF).with_new_fact(new_output_dir(spark, "reload"))
-    whm.load_fact(wh, raw)
+    whm.incremental_load(wh, raw)
     before = {r.DateKey: r["count"] for r in wh.fact.groupBy("DateKey").count().collect()}
     # reload 2023 from an extract holding only half of that year's rows
     half = raw.where((F.col("year") != 2023) | (F.col("count_point_id") % 2 == 0))
