@@ -65,20 +65,16 @@ def parse_double(c) -> Column:
 
 
 def parse_exact(c, dtype: str, target: str) -> Column:
-    """Text or number -> ``target`` (a decimal type), exactly as written; NULL if it is no number.
-    A number too large for the type is an error, never a silent NULL."""
-    if dtype == "string":
-        exact, number = F.trim(col_(c)).try_cast(target), parse_double(c)
-    else:
-        exact, number = col_(c).try_cast(target), F.nanvl(dbl(c), F.lit(None).cast("double"))
-    text = F.concat(F.lit(f"{c}: too large for {target}: "), col_(c).cast("string"))
-    return F.coalesce(exact, F.when(number.isNotNull(), F.raise_error(text).cast(target)))
+    """Text or number -> ``target`` (a decimal type), exactly as written; NULL if it is no number, or one
+    too large for the type: :func:`over_range` finds the rows that hold such a number."""
+    return (F.trim(col_(c)) if dtype == "string" else col_(c)).try_cast(target)
 
 
 def over_range(c: str, dtype: str, target: str) -> Column:
     """Whether a positive measure is too large for the decimal type ``target`` (and so parses to NULL)."""
     if dtype != "string":
-        return F.col(c).try_cast(target).isNull() & F.coalesce(dbl(c) > 0, F.lit(False))
+        # NaN is greater than any number, but is none.
+        return F.col(c).try_cast(target).isNull() & F.coalesce((dbl(c) > 0) & ~F.isnan(dbl(c)), F.lit(False))
     # Only long texts and those with an exponent can be; the rest is not parsed.
     may = (F.length(c) > 15) | F.contains(F.lower(c), F.lit("e"))
     return F.coalesce(may, F.lit(False)) & F.trim(F.col(c)).try_cast(target).isNull() & F.coalesce(

@@ -267,5 +267,13 @@ EXTRA = {
 }
 
 
+SQL |= {
+    "serve_distinct_points": """SELECT region_name, road_category, count(DISTINCT count_point_id) AS CountPoints
+        FROM raw_aadf WHERE year IS NOT NULL GROUP BY region_name, road_category""",
+    "serve_refresh_changed_year": "SELECT *, Year = 2020 AS refreshed FROM ("
+        + YEARLY.replace("raw_aadf", "(SELECT * FROM raw_aadf WHERE year <> 2020 OR count_point_id % 2 = 1) r") + ") y",
+}
+
+
 def oracle() -> dict[str, str]:
     return {k: with_base(v, EXTRA.get(k)) for k, v in SQL.items()}

@@ -206,5 +206,20 @@ SQL = {
 }
 
 
+# The same reports asked as SQL text with bound values.
+SQL |= {f"sql_{name}": SQL[of] for name, of in {
+    "table_rows": "table_row_counts", "regions": "regions_list", "yearly_totals": "yearly_totals_api",
+    "traffic_by_region": "traffic_by_region", "vehicle_mix_by_region": "vehicle_mix_by_region", "hotspots": "hotspots",
+}.items()}
+SQL |= {
+    "sql_top_roads": SQL["top_roads"].replace("2023", "2022").replace("LIMIT 10", "LIMIT 25"),
+    "sql_roads_of_region": f"""SELECT cp.RoadName, COUNT(DISTINCT cp.CountPointID) AS CountPoints,
+        {S(MV)} AS TotalTraffic {F_CPR} WHERE r.RegionName = 'EUROPE' AND d.Year BETWEEN 2019 AND 2022
+        GROUP BY cp.RoadName""",
+    "sql_quoted_value": f"""SELECT r.RegionName, false AS same, 'ASIA'' OR ''1''=''1" --' AS given,
+        {S(MV)} AS total {F_R} WHERE d.Year >= 2019 GROUP BY r.RegionName""",
+}
+
+
 def oracle() -> dict[str, str]:
     return {k: with_base(v) for k, v in SQL.items()}

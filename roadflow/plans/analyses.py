@@ -30,9 +30,11 @@ from ..schemas import AM_PEAK_HOURS, ANALYSIS_TYPE, MINOR_CATEGORIES, PM_PEAK_HO
 # --------------------------------------------------------------------------
 
 def as_numbers(df: DataFrame, cols=VEHICLE_COLS) -> DataFrame:
-    """Measures as exact decimals, as written (text that is not a number -> NULL)."""
+    """Measures as exact decimals, as written; text that is not a number, and a number too large for the type, is NULL
+    (:mod:`roadflow.plans.extracts` keeps the rows of such numbers).  Decimals stay as they are."""
     types, target = dict(df.dtypes), ANALYSIS_TYPE.simpleString()
-    return df.withColumns({c: parse_exact(c, types[c], target) for c in cols if c in types and types[c] != target})
+    return df.withColumns({c: parse_exact(c, types[c], target) for c in cols
+                           if c in types and not types[c].startswith("decimal")})
 
 
 def keys_present(df: DataFrame, keys) -> DataFrame:

@@ -12,11 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import COUNT_POINTS_SCHEMA, RAW_AADF_SCHEMA
-from ..session import materialise
 from ..sources import pages
 from ..sources.readers import malformed_counts, read_count_points_csv, read_parquet, read_raw_aadf_csv
-from . import exports, quality, serving
-from .analyses import as_numbers
+from . import exports, extracts, quality, serving
+from .snapshots import Snapshots
 from .warehouse import FACT, build_dimensions, build_warehouse, incremental_load, open_warehouse
 
 
@@ -67,10 +66,19 @@ def run_etl(spark: SparkSession, aadf_path: str, count_points_path: str, warehou
         steps.append((f"dq:{r['check']}", r["status"], r["detail"]))
 
     if reports_dir:
-        # Parsed once for the analyses and the stored dashboard datasets.
-        typed = materialise(as_numbers(raw), "typed")
-        serving.store_serving(typed, f"{reports_dir}/datasets")
+        # Parsed once for the analyses and the stored dashboard datasets, which take over the changed years only.
+        source, stored = (Snapshots(spark, f"{root}/{name}") for root, name in (
+            (warehouse_root, "extracts"), (reports_dir, "datasets")))
+        known = source.snapshot().version
+        delivered = sorted(r[0] for r in loaded.collect()) if incremental and known else None
+        if delivered != []:
+            extracts.deliver(source, raw, delivered)
+        typed = extracts.typed(source)
+        n = extracts.oversize(source).count()
+        steps.append(("extract:oversize", "WARN" if n else "OK", f"{n} rows with a measure too large for exact sums"))
+        done = serving.refresh_serving(source, stored)
+        steps.append(("datasets", "OK", f"years computed: {done}"))
         results = (exports.report_results(wh) | exports.analysis_results(typed, points)
-                   | exports.serving_results(typed) | exports.quality_results(wh))
+                   | exports.serving_results(stored) | exports.quality_results(wh))
         steps += [(f"export:{name}", status, detail) for name, status, detail in exports.write_results(results, reports_dir)]
     return spark.createDataFrame(steps, "step string, status string, detail string")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import decimals_as_double
 from ..sources.sinks import write_csv
 from . import analyses, quality, reports, serving
+from .snapshots import Snapshots
 
 # Export name -> (report, its columns in order).
 REPORTS = {
@@ -69,8 +70,8 @@ def analysis_results(raw: DataFrame, points: DataFrame | None = None, counts: Da
             | (of(COUNT_ANALYSES, counts) if counts is not None else {}))
 
 
-def serving_results(raw: DataFrame) -> Results:
-    return {f"serving/{name}": lambda make=make: make(raw) for name, make in serving.DATASETS.items()}
+def serving_results(stored: Snapshots) -> Results:
+    return {f"serving/{name}": lambda name=name: serving.served(stored, name) for name in serving.DATASETS}
 
 
 def quality_results(wh) -> Results:

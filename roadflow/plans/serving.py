@@ -3,19 +3,23 @@
 The serving datasets are computed from the raw AADF extract (data-frame
 semantics, see :mod:`roadflow.plans.analyses`) and are small: one row per
 year, per (year, region), per (year, road) for the top 50, etc.  They are
-stored once (:func:`store_serving`) and the dashboard views (``cloud_*``) read
-the stored files.
+stored and kept up by change (:func:`refresh_serving`), and the dashboard views
+(``cloud_*``) read the stored files.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import json
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.exprs import dbl, growth_pct, pct
+from ..operators.distinct import count_keys, key_bitmaps
+from . import extracts
 from .analyses import as_numbers, keys_present, psum, ratio
+from .snapshots import Snapshots
 
 YEARLY_COLS = {
     "TotalMotor": "all_motor_vehicles", "TotalHGV": "all_HGVs", "TotalCycles": "pedal_cycles",
@@ -226,31 +230,85 @@ def chart_feeds(wh, summary_year: int = 2023, covid: tuple[int, int] = (2019, 20
 
 
 # --------------------------------------------------------------------------
-# Stored datasets
+# Stored datasets, kept up by change
 # --------------------------------------------------------------------------
 
-#: Stored name -> the dataset.
+#: Stored name -> the dataset, and whether it has rows for each year (else of the newest year only).
 DATASETS = {
-    "yearly_totals": serve_yearly_totals,
-    "regional_by_year": serve_regional_by_year,
-    "top_roads_by_year": serve_top_roads_by_year,
-    "geospatial_hotspots": serve_geo_hotspots,
-    "vehicle_mix": serve_vehicle_mix,
-    "road_category_by_year": serve_road_category_by_year,
+    "yearly_totals": (serve_yearly_totals, True),
+    "regional_by_year": (serve_regional_by_year, True),
+    "top_roads_by_year": (serve_top_roads_by_year, True),
+    "geospatial_hotspots": (serve_geo_hotspots, False),
+    "vehicle_mix": (serve_vehicle_mix, False),
+    "road_category_by_year": (serve_road_category_by_year, True),
 }
+STATE, POINT_SETS = "state", "point_sets"
+STATE_KEYS = ["year", "region_name", "road_name", "road_category", "count_point_id"]
+POINT_GROUPS = ["year", "region_name", "road_category"]
 
 
-def store_serving(raw: DataFrame, root: str, parallel: int = 3) -> None:
-    """Write the six datasets under ``root`` (independent jobs, submitted concurrently)."""
+def serving_state(raw: DataFrame) -> DataFrame:
+    """What all six datasets need of the extract, one row per year, point and its attributes.
+
+    It has the extract's columns, with measures summed and of several positions
+    the smallest whole one, so the datasets are the same functions of it."""
+    sums = sorted(set(YEARLY_COLS.values()) | set(REGIONAL_COLS.values()) | set(MIX_COLS.values()))
+    whole = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+    return keys_present(_nums(raw), ["year"]).groupBy(*STATE_KEYS).agg(
+        *[F.sum(c).alias(c) for c in sums], F.min(F.when(whole, F.struct("latitude", "longitude"))).alias("_at")).select(
+        *STATE_KEYS, *sums, "_at.latitude", "_at.longitude")
+
+
+def refresh_serving(source: Snapshots, out: Snapshots, parallel: int = 4) -> list[int]:
+    """Brings the stored datasets up to the extract's newest snapshot; the years that were computed anew.
+
+    The state and the datasets stand by year with the source folders they come
+    from. Only years whose folders have changed are scanned, once, into the
+    state; their rows of the datasets come from the state. Years that are gone
+    go. All is committed at once."""
     from concurrent.futures import ThreadPoolExecutor
 
+    taken, before = source.snapshot(), out.snapshot()
+    now, then = extracts.year_versions(taken), before.notes.get("source", {})
+    now.pop("None", None)  # rows without a year are in no dataset
+    stale = {y for y in now.keys() | then.keys() if now.get(y) != then.get(y)}
+    if before.version and not stale:
+        return []
+    fresh = sorted(int(y) for y in stale & now.keys())
+    state = serving_state(extracts.typed(source, fresh, taken))
+    parts = {STATE: extracts.year_parts(before.of(STATE), "year", stale, False) + out.write(STATE, state, ("year",))}
+    schemas = {STATE: state.schema.json()}
+    changed = out.read(STATE, extracts.year_parts(parts[STATE], "year", {str(y) for y in fresh}, True), state.schema)
+    newest = str(max(map(int, now), default=0))
+    latest = out.read(STATE, extracts.year_parts(parts[STATE], "year", {newest}, True), state.schema)
+
+    def store(name: str) -> None:
+        make, by_year = DATASETS.get(name) or (None, True)
+        if name == POINT_SETS:
+            rows = key_bitmaps(changed, POINT_GROUPS, "count_point_id").withColumnRenamed("year", "Year")
+        else:
+            rows = make(changed if by_year else latest)
+        written = out.write(name, rows, ("Year",) if by_year else ())
+        kept = extracts.year_parts(before.of(name), "Year", stale, False) if by_year else []
+        parts[name], schemas[name] = kept + written, rows.schema.json()
+
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        list(pool.map(lambda item: item[1](raw).write.mode("overwrite").parquet(f"{root}/{item[0]}"), DATASETS.items()))
+        list(pool.map(store, [*DATASETS, POINT_SETS]))
+    out.commit(before, parts, {"source": now, "schemas": schemas})
+    return fresh
 
 
-def served(spark, root: str, name: str) -> DataFrame:
+def served(out: Snapshots, name: str) -> DataFrame:
     """A stored dataset."""
-    return spark.read.parquet(f"{root}/{name}")
+    snapshot = out.snapshot()
+    schema = T.StructType.fromJson(json.loads(snapshot.notes["schemas"][name]))
+    return out.read(name, snapshot.of(name), schema)
+
+
+def distinct_points(out: Snapshots, groups: list[str]) -> DataFrame:
+    """Distinct count points of any of year, region and road category, over all years, from the stored bitmaps: the
+    years' sets are merged, no row is read again."""
+    return count_keys(served(out, POINT_SETS), groups, "CountPoints")
 
 
 # --------------------------------------------------------------------------

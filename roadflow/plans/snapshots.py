@@ -30,6 +30,10 @@ from pyspark.sql import types as T
 from ..sources.files import create_once, delete_folder, folder_names, read_text
 
 
+#: The folder name of a null partition value.
+NULL = "__HIVE_DEFAULT_PARTITION__"
+
+
 class Conflict(RuntimeError):
     """Another load has committed meanwhile; run this one again."""
 
@@ -112,7 +116,8 @@ class Snapshots:
             return [Part(folder, written.count())]
         # Row counts stand in the files' footers; no column is read.
         rows = written.groupBy(*by).count().collect()
-        return [Part("/".join([folder, *(f"{c}={r[c]}" for c in by)]), r["count"], {c: r[c] for c in by})
+        return [Part("/".join([folder, *(f"{c}={NULL if r[c] is None else r[c]}" for c in by)]), r["count"],
+                     {c: r[c] for c in by})
                 for r in sorted(rows, key=lambda r: str(tuple(r)))]
 
     def read(self, table: str, parts: list[Part], schema: T.StructType) -> DataFrame:

@@ -18,7 +18,10 @@ from .plans import analyses as an
 from .plans import quality as dq
 from .plans import reports
 from .plans import serving as sv
+from .plans import extracts
 from .plans import warehouse as whm
+from .plans.snapshots import Snapshots
+from .plans.sqltext import Catalogue
 from .plans.warehouse import warehouse_for
 from .session import materialise, new_output_dir
 from .sources import pages as pg
@@ -193,10 +196,23 @@ def _served(spark, sf, name):
     key = (spark.sparkContext.applicationId, os.path.abspath(sf))
     with _LOCK:
         if key not in _SERVING:
-            root = new_output_dir(spark, "serving")
-            sv.store_serving(_typed(spark, sf), root)
-            _SERVING[key] = root
-    return sv.served(spark, _SERVING[key], name)
+            out = Snapshots(spark, new_output_dir(spark, "serving"))
+            sv.refresh_serving(landing_for(spark, sf).extracts(), out)
+            _SERVING[key] = out
+    return sv.distinct_points(_SERVING[key], ["region_name", "road_category"]) if name == sv.POINT_SETS else \
+        sv.served(_SERVING[key], name)
+
+
+def _reloaded(spark, sf):
+    """An extract delivered whole and served; then 2020 comes again with the odd points only, and the datasets follow.
+    Returns the yearly totals with the years that the second refresh computed."""
+    raw = _raw(spark, sf)
+    source, out = (Snapshots(spark, new_output_dir(spark, n)) for n in ("extracts", "serving"))
+    extracts.deliver(source, raw)
+    sv.refresh_serving(source, out)
+    extracts.deliver(source, raw.where(F.col("count_point_id") % 2 == 1), [2020])
+    again = sv.refresh_serving(source, out)
+    return sv.served(out, "yearly_totals").withColumn("refreshed", F.col("Year").isin(again))
 
 
 def _view(view, dataset):
@@ -237,6 +253,8 @@ ANALYSES = {
     "serve_geo_hotspots": lambda s, sf: _served(s, sf, "geospatial_hotspots"),
     "serve_vehicle_mix": lambda s, sf: _served(s, sf, "vehicle_mix"),
     "serve_road_category_by_year": lambda s, sf: _served(s, sf, "road_category_by_year"),
+    "serve_distinct_points": lambda s, sf: _served(s, sf, sv.POINT_SETS),
+    "serve_refresh_changed_year": _reloaded,
     "cloud_kpis": _view(sv.cloud_kpis, "yearly_totals"),
     "cloud_yoy": _view(sv.cloud_yoy, "yearly_totals"),
     "cloud_region_table": _view(sv.cloud_region_table, "regional_by_year"),
@@ -285,6 +303,27 @@ def export_reports(spark, sf, names=None):
     return exports.written_content(spark, out, names)
 
 
+def _sql(name, **args):
+    """A statement of the catalogue, run as SQL text with bound values."""
+    return lambda s, sf: Catalogue(warehouse_for(s, sf)).run(name, **args)
+
+
+def _sql_quoted(spark, sf):
+    """A text given by the caller; one of its values holds quotes and SQL."""
+    text = """SELECT RegionName, RegionName = :name AS same, :name AS given, sum(AllMotorVehicles) AS total
+        FROM FactTrafficFlowDirection f JOIN DimRegion r ON r.RegionKey = f.RegionKey
+        WHERE f.DateKey >= :since GROUP BY RegionName"""
+    return Catalogue(warehouse_for(spark, sf)).sql(text, {"name": "ASIA' OR '1'='1\" --", "since": 2019})
+
+
+SQL_TEXT = {
+    **{f"sql_{name}": _sql(name) for name in (
+        "table_rows", "regions", "yearly_totals", "traffic_by_region", "vehicle_mix_by_region", "hotspots")},
+    "sql_top_roads": _sql("top_roads", year=2022, limit=25),
+    "sql_roads_of_region": _sql("roads_of_region", regions=["EUROPE", "O'Neil's \"region\""], first=2019, last=2022),
+    "sql_quoted_value": _sql_quoted,
+}
+
 QUALITY = {
     "dq_row_counts": lambda s, sf: dq.dq_row_counts(warehouse_for(s, sf)),
     "dq_null_check": lambda s, sf: dq.dq_null_check(warehouse_for(s, sf)),
@@ -314,7 +353,7 @@ def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     for name in WAREHOUSE_REPORTS:
         out[name] = _on_warehouse(name)
-    for group in (ETL, ANALYSES, QUALITY):
+    for group in (ETL, ANALYSES, SQL_TEXT, QUALITY):
         out.update(group)
     return {name: _plain(query) for name, query in out.items()}
 

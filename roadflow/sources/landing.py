@@ -26,21 +26,13 @@ RAW_TABLES = {
     "full_aadf": lambda land: standin.full_aadf(land.spark, land.sf_dir, land.table("raw_aadf")),
     "subset_aadf": lambda land: standin.subset_aadf(land.spark, land.sf_dir, land.table("full_aadf")),
     "road_segments": lambda land: standin.road_segments(land.spark, land.sf_dir),
-    # the direction extract with its text measures parsed once (numbers as
-    # written, unparsable text -> NULL, nothing clamped or filtered): the
-    # raw-extract analyses scan this instead of re-parsing text per query
-    "raw_aadf_typed": lambda land: _typed(land.table("raw_aadf")),
 }
-
-
-def _typed(raw: DataFrame) -> DataFrame:
-    from ..plans.analyses import as_numbers
-
-    return as_numbers(raw)
-
+#: The direction extract with its text measures parsed once (numbers as written, unparsable text -> NULL, nothing
+#: clamped or filtered): the raw-extract analyses scan this instead of re-parsing text per query.
+TYPED = "raw_aadf_typed"
 
 # Landed tables partitioned by a column (year-filtered analyses prune them).
-PARTITIONED = {"raw_aadf": "year", "raw_aadf_typed": "year"}
+PARTITIONED = {"raw_aadf": "year"}
 
 _LOCK = threading.RLock()
 _CACHE: dict = {}
@@ -64,6 +56,10 @@ class Landing:
     def table(self, name: str) -> DataFrame:
         """The landed table (written on first use; one writer per table, so
         independent tables can be landed concurrently)."""
+        if name == TYPED:
+            from ..plans.extracts import typed
+
+            return typed(self.extracts()).select(*RAW_AADF_SCHEMA.names)
         if name not in self._written:
             with self._lock(name):
                 if name not in self._written:
@@ -79,6 +75,19 @@ class Landing:
         order = RAW_AADF_SCHEMA.names if name in PARTITIONED else df.columns
         return df.select(*order)  # a partition column is read last
 
+    def extracts(self):
+        """The parsed direction extract by year (:mod:`roadflow.plans.extracts`), delivered on first use."""
+        from ..plans.extracts import deliver
+        from ..plans.snapshots import Snapshots
+
+        store = Snapshots(self.spark, self.path("extracts"))
+        if TYPED not in self._written:
+            with self._lock(TYPED):
+                if TYPED not in self._written:
+                    deliver(store, self.table("raw_aadf"))
+                    self._written.add(TYPED)
+        return store
+
     def prepare(self, names: list[str], parallel: int = 4) -> None:
         """Land several tables, submitting independent writes concurrently."""
         from concurrent.futures import ThreadPoolExecutor
