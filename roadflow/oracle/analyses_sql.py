@@ -270,6 +270,11 @@ EXTRA = {
 SQL |= {
     "serve_distinct_points": """SELECT region_name, road_category, count(DISTINCT count_point_id) AS CountPoints
         FROM raw_aadf WHERE year IS NOT NULL GROUP BY region_name, road_category""",
+    "roads_geojson_document": f"""SELECT
+        CASE WHEN row_number() OVER (ORDER BY CountPointID) = 1 THEN '{{"type":"FeatureCollection","features":[' ELSE '' END
+        || CAST(feature AS VARCHAR)
+        || CASE WHEN row_number() OVER (ORDER BY CountPointID DESC) = 1 THEN ']}}' ELSE ',' END AS line
+        FROM ({SQL["roads_geojson"]}) g""",
     "serve_refresh_changed_year": "SELECT *, Year = 2020 AS refreshed FROM ("
         + YEARLY.replace("raw_aadf", "(SELECT * FROM raw_aadf WHERE year <> 2020 OR count_point_id % 2 = 1) r") + ") y",
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .analyses_sql import EXTRA as ANALYSIS_CTES
+from .analyses_sql import SQL as ANALYSIS_SQL
 from .base import FACT_NAMES, IN_RANGE, MEASURES, parsed, with_base
 
 REQUIRED = ["count_point_id", "year", "region_id", "local_authority_id", "direction_of_travel"] + MEASURES
@@ -79,8 +81,39 @@ SQL = {
 }
 
 
+_PAGES = "(SELECT unnest(range(1, CAST(ceil((SELECT count(*) FROM raw_aadf) / 1000.0) AS BIGINT) + 1)) AS page)"
+_TYPES = [("count_point_id", "bigint"), ("year", "int"), ("region_id", "int"), ("region_name", "string"),
+          ("local_authority_id", "int"), ("road_name", "string"), ("road_category", "string"),
+          ("direction_of_travel", "string"), ("latitude", "decimal(10,8)"), ("longitude", "decimal(11,8)"),
+          ("link_length_km", "decimal(8,3)"), ("estimation_method", "string"), ("estimation_method_detailed", "string"),
+          *[(m, "string") for m in MEASURES]]
+SQL |= {
+    "etl_page_gaps": f"""SELECT * FROM (WITH held AS (
+        SELECT page, CASE WHEN page % 10 IN (3, 4, 6) THEN 0 ELSE 1 END + CASE WHEN page % 5 = 0 THEN 1 ELSE 0 END AS copies
+        FROM {_PAGES} p), wrong AS (
+        SELECT *, page - row_number() OVER (PARTITION BY copies ORDER BY page) AS run FROM held WHERE copies <> 1)
+        SELECT CASE WHEN copies = 0 THEN 'missing' ELSE 'repeated' END AS problem, min(page) AS first_page,
+          max(page) AS last_page, count(*) AS pages, copies FROM wrong GROUP BY copies, run) t""",
+    "stream_pages_fact": FACT_SELECT,
+    "stream_page_receipts": f"""SELECT * FROM (WITH size AS (SELECT page, least(1000, (SELECT count(*) FROM raw_aadf) - (page - 1) * 1000)
+        AS n FROM {_PAGES} p)
+        SELECT * FROM (
+        SELECT 'new' AS status, count(*) AS n_pages, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_rows, 0 AS n_texts FROM size
+        UNION ALL SELECT 'repeat', count(*), CAST(sum(n) AS BIGINT), 0 FROM size WHERE page % 6 = 3
+        UNION ALL SELECT 'corrupt', count(*), 0, count(*) FROM size WHERE page % 5 = 0) t WHERE n_pages > 0) t""",
+    "csv_append_once": ANALYSIS_SQL["seasonal_pattern"],
+    "csv_pruned_regions": """SELECT region_id, region_name, count(DISTINCT count_point_id) AS points FROM count_points
+        GROUP BY region_id, region_name""",
+    "csv_dates": """SELECT CAST(month(count_date) AS INTEGER) AS month, count(*) AS n_rows, min(count_date) AS first_day,
+        max(count_date) AS last_day FROM raw_counts GROUP BY ALL""",
+    "csv_peek": " UNION ALL ".join(
+        f"SELECT '{c}' AS column, '{t}' AS type, (SELECT least(5, count(*)) FROM raw_aadf) AS n_rows" for c, t in _TYPES),
+    "fact_load_dates": """SELECT DateKey, count(*) AS n_rows, true AS loaded_before_now FROM FactTrafficFlowDirection
+        GROUP BY DateKey""",
+}
 SQL["etl_clean_aadf_csv"] = SQL["etl_clean_aadf"]
 
 
 def oracle() -> dict[str, str]:
-    return {k: with_base(v) for k, v in SQL.items()}
+    return {k: with_base(v, ANALYSIS_CTES.get("seasonal_pattern") if k == "csv_append_once" else None)
+            for k, v in SQL.items()}

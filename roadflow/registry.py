@@ -138,6 +138,103 @@ def stream_pages_ingest(spark, sf):
     return decimals_as_double(ingest_pages(spark, src, f"{out}/table", f"{out}/_checkpoint").drop("current_page"))
 
 
+def _delivered_pages(spark, sf):
+    """The page lines of the landing, with their page number."""
+    lines = spark.read.text(landing_for(spark, sf).pages_path())
+    return lines.withColumn("page", F.get_json_object("value", "$.current_page").cast("long"))
+
+
+def etl_page_gaps(spark, sf):
+    """A delivery that lacks pages 3, 4 and 6 of each ten, and holds every fifth page twice."""
+    lines = _delivered_pages(spark, sf)
+    out = new_output_dir(spark, "pages-gaps")
+    held = lines.where(~(F.col("page") % 10).isin(3, 4, 6))
+    held.unionByName(lines.where(F.col("page") % 5 == 0)).select("value").write.text(out)
+    return pg.page_gaps(pg.read_pages(spark, out))
+
+
+def _streamed(spark, sf):
+    """Pages streamed into a warehouse in three runs, the last without new files: odd pages, then even pages with the
+    odd thirds again (under other file names) and a cut copy of every fifth page."""
+    from .streaming.page_load import load_pages
+
+    key = ("streamed", spark.sparkContext.applicationId, os.path.abspath(sf))
+    with _LOCK:
+        if key not in _SERVING:
+            lines, page = _delivered_pages(spark, sf), F.col("page")
+            root = new_output_dir(spark, "pages-load")
+            base = f"{root}/warehouse"
+            whm.build_dimensions(spark, _points(spark, sf), base)
+            cut = F.expr("substring(value, 1, length(value) div 2)").alias("value")
+            for batch in ([lines.where(page % 2 == 1).select("value")],
+                          [lines.where(page % 2 == 0).select("value"), lines.where(page % 6 == 3).select("value"),
+                           lines.where(page % 5 == 0).select(cut)], []):
+                for part in batch:
+                    part.write.mode("append").text(f"{root}/pages")
+                load_pages(spark, f"{root}/pages", base, f"{root}/checkpoint")
+            _SERVING[key] = base
+    return whm.open_warehouse(spark, _SERVING[key])
+
+
+def stream_pages_fact(spark, sf):
+    return _streamed(spark, sf).fact.select(*whm.FACT_COLUMNS)
+
+
+def stream_page_receipts(spark, sf):
+    from .streaming.page_load import receipts
+
+    return receipts(_streamed(spark, sf)).groupBy("status").agg(
+        F.count(F.lit(1)).alias("n_pages"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"),
+        F.count("text").alias("n_texts"))
+
+
+def csv_append_once(spark, sf):
+    """The hourly counts appended as CSV in a run per half-year, the first run twice; what the folder then holds."""
+    from .schemas import RAW_COUNTS_SCHEMA
+    from .sources.sinks import append_csv, read_appended
+
+    path = new_output_dir(spark, "csv-append")
+    counts = _counts(spark, sf)
+    half = F.month("count_date") > 6
+    for run, rows in (("first", counts.where(~half)), ("first", counts.where(~half)), ("second", counts.where(half))):
+        append_csv(rows, path, run)
+    return an.seasonal_pattern(read_appended(spark, path, RAW_COUNTS_SCHEMA))
+
+
+def csv_pruned_regions(spark, sf):
+    """Three columns of the count points' CSV; the others are not parsed."""
+    from .sources.readers import read_count_points_csv
+
+    columns = ["region_id", "region_name", "count_point_id"]
+    df = read_count_points_csv(spark, landing_for(spark, sf).csv_path("count_points"), columns)
+    return df.groupBy("region_id", "region_name").agg(F.count_distinct("count_point_id").alias("points"))
+
+
+def csv_dates(spark, sf):
+    """The hourly counts' CSV with its dates parsed: rows and first and last day of each month."""
+    from .sources.readers import read_raw_counts_csv
+
+    df = read_raw_counts_csv(spark, landing_for(spark, sf).csv_path("raw_counts"), ["count_date"])
+    return df.groupBy(F.month("count_date").alias("month")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("count_date").alias("first_day"), F.max("count_date").alias("last_day"))
+
+
+def csv_peek(spark, sf, n=5):
+    """The first rows of the direction extract's CSV, as a profile of their columns."""
+    from .sources.readers import read_raw_aadf_csv, sample
+
+    head = sample(read_raw_aadf_csv(spark, landing_for(spark, sf).csv_path("raw_aadf")), n)
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(t).alias("type")) for c, t in head.dtypes])
+    return head.agg(F.count(F.lit(1)).alias("n_rows")).select(F.explode(cells).alias("c"), "n_rows").select("c.*", "n_rows")
+
+
+def fact_load_dates(spark, sf):
+    """Rows of each year, and whether all carry the time of a load that is over."""
+    done = F.col("LoadDate").isNotNull() & (F.col("LoadDate") <= F.current_timestamp())
+    return warehouse_for(spark, sf).fact.groupBy("DateKey").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.bool_and(done).alias("loaded_before_now"))
+
+
 def etl_clean_aadf_csv(spark, sf):
     """Clean the extract as delivered: a headed CSV read with an explicit
     schema (measures as text), split across tasks by the reader."""
@@ -172,7 +269,15 @@ ETL = {
     "etl_incremental_load": etl_incremental_load,
     "etl_pages_flatten": etl_pages_flatten,
     "etl_pages_completeness": etl_pages_completeness,
+    "etl_page_gaps": etl_page_gaps,
     "stream_pages_ingest": stream_pages_ingest,
+    "stream_pages_fact": stream_pages_fact,
+    "stream_page_receipts": stream_page_receipts,
+    "csv_append_once": csv_append_once,
+    "csv_pruned_regions": csv_pruned_regions,
+    "csv_dates": csv_dates,
+    "csv_peek": csv_peek,
+    "fact_load_dates": fact_load_dates,
 }
 
 # --------------------------------------------------------------------------
@@ -227,6 +332,15 @@ def _roads_geojson(s, sf):
     return sv.point_features(wh.table("DimCountPoint"), traffic)
 
 
+def roads_geojson_document(spark, sf):
+    """The point features written as one document; its lines, in order."""
+    from .sources.sinks import write_geojson_document
+
+    path = new_output_dir(spark, "geojson")
+    write_geojson_document(_roads_geojson(spark, sf), path, "CountPointID")
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
 ANALYSES = {
     "estimation_method_by_year": lambda s, sf: an.estimation_method_by_year(_typed(s, sf)),
     "estimation_method_detailed": lambda s, sf: an.estimation_method_detailed(_typed(s, sf)),
@@ -271,6 +385,7 @@ ANALYSES = {
     "roads_with_traffic_2023": lambda s, sf: sv.roads_with_traffic(
         landing_for(s, sf).table("road_segments"), _typed(s, sf), 2023),
     "roads_geojson": _roads_geojson,
+    "roads_geojson_document": roads_geojson_document,
 }
 
 # --------------------------------------------------------------------------

@@ -74,3 +74,26 @@ def pages_completeness(envelopes: DataFrame) -> DataFrame:
         "complete",
         (F.col("distinct_pages") == F.col("last_page")) & (F.col("rows_received") == F.col("total")),
     )
+
+
+def page_gaps(envelopes: DataFrame) -> DataFrame:
+    """Which pages lack, came more than once, or lie beyond the last one: runs of neighbouring pages as
+    ``(problem, first_page, last_page, pages, copies)``.
+
+    Pages of a kind are numbered densely in page order; along a run, page and
+    number grow together, so their difference names the run. No page list is
+    gathered in one place: the numbering is range-partitioned."""
+    last = envelopes.agg(F.max("last_page")).first()[0] or 0
+    came = envelopes.where(F.col("current_page").isNotNull()).groupBy(F.col("current_page").alias("page")).agg(
+        F.count(F.lit(1)).alias("copies"))
+    expected = envelopes.sparkSession.range(1, last + 1).withColumnRenamed("id", "page")
+    missing = expected.join(came, "page", "left_anti").select(
+        F.lit("missing").alias("problem"), "page", F.lit(0).cast("long").alias("copies"))
+    inside = F.col("page").between(1, last)
+    wrong = came.where(~inside | (F.col("copies") > 1)).select(
+        F.when(inside, "repeated").otherwise("unexpected").alias("problem"), "page", "copies")
+    kinds = ["problem", "copies"]
+    numbered = with_dense_key(missing.unionByName(wrong), "_n", [*kinds, "page"], key_type="bigint")
+    runs = numbered.groupBy(*kinds, (F.col("page") - F.col("_n")).alias("_run")).agg(
+        F.min("page").alias("first_page"), F.max("page").alias("last_page"), F.count(F.lit(1)).alias("pages"))
+    return runs.select("problem", "first_page", "last_page", "pages", "copies")

@@ -1,11 +1,14 @@
 """Readers and sinks: explicit-schema CSV round trips, appends, GeoJSON, records."""
 
+import glob
 import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roadflow.sources import readers, sinks
+from roadflow.sources.files import delete_folder
 from roadflow.sources.landing import landing_for
 from roadflow.session import new_output_dir
 
@@ -85,12 +88,42 @@ def test_profile_reports_an_unreadable_file_and_goes_on(spark, tmp_path):
     assert len(got["bad"]["column_names"]) > 200  # the whole error
 
 
-def test_append_csv_keeps_all_rows(spark):
+def test_a_run_is_appended_once(spark, monkeypatch):
     out = new_output_dir(spark, "append")
-    df = spark.range(0, 10).withColumnRenamed("id", "v")
-    sinks.append_csv(df, out)
-    sinks.append_csv(df, out)
-    assert spark.read.option("header", True).csv(out).count() == 20
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
+    rows = [spark.createDataFrame([(i, f"x,{i}") for i in range(k)], schema) for k in (3, 5)]
+    assert sinks.append_csv(rows[0], out, "r1") and not sinks.append_csv(rows[0], out, "r1")
+    assert sinks.append_csv(rows[1], out, "r2")
+
+    def content():
+        return sorted(map(tuple, sinks.read_appended(spark, out, schema).collect()))
+
+    whole = sorted((i, f"x,{i}") for k in (3, 5) for i in range(k))
+    assert content() == whole
+    # a run that failed before its commit is not read, and is written anew
+    rows[1].write.option("header", True).csv(f"{out}/run=r3")
+    delete_folder(spark, f"{out}/run=r3/_SUCCESS")
+    assert content() == whole
+    assert sinks.append_csv(rows[0], out, "r3") and len(content()) == len(whole) + 3
+    with pytest.raises(ValueError, match="columns"):
+        sinks.append_csv(rows[0].select("b", "a"), out, "r4")
+    with pytest.raises(ValueError, match="folder name"):
+        sinks.append_csv(rows[0], out, "../r5")
+    assert sinks.read_appended(spark, new_output_dir(spark, "append-none"), schema).count() == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 500])
+def test_geojson_document_is_one_collection(spark, monkeypatch, n):
+    monkeypatch.setattr(sinks, "partitions_for", lambda df: 4)
+    features = spark.range(n).select((F.col("id") * 7919 % 10007).alias("k")).withColumn(
+        "feature", F.to_json(F.struct(F.lit("Feature").alias("type"), F.col("k").alias("id"))))
+    out = new_output_dir(spark, "geojson-doc")
+    assert sinks.write_geojson_document(features.repartition(5), out, "k") == n
+    files = sorted(glob.glob(f"{out.replace('file:', '')}/part-*"))
+    document = json.loads("".join(open(f).read() for f in files))
+    assert document["type"] == "FeatureCollection"
+    assert [f["id"] for f in document["features"]] == sorted(i * 7919 % 10007 for i in range(n))
+    assert n < 500 or len(files) == 4
 
 
 def test_append_parquet_partitioned(spark):
