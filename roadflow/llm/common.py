@@ -155,12 +155,12 @@ def drop_rows(docs: DataFrame, dropped: DataFrame, id_col: str, text_col: str) -
 
     ``dropped`` must be materialised: it is counted, and broadcast only if small.
     """
-    key = fresh(docs, "__key")
-    gone = broadcast_if_small(dropped.select(F.col("id").alias("__gone_id"), F.col("key").alias("__gone_key")),
+    key, gone_id, gone_key = (fresh(docs, n) for n in ("__key", "__gone_id", "__gone_key"))
+    gone = broadcast_if_small(dropped.select(F.col("id").alias(gone_id), F.col("key").alias(gone_key)),
                               dropped.count(), 64)
     keyed = docs.withColumn(key, content_key(text_of(text_col)))
-    return keyed.join(gone, keyed[id_col].eqNullSafe(F.col("__gone_id"))
-                      & (keyed[key] == F.col("__gone_key")), "left_anti").drop(key)
+    return keyed.join(gone, keyed[id_col].eqNullSafe(F.col(gone_id))
+                      & (keyed[key] == F.col(gone_key)), "left_anti").drop(key)
 
 
 def survivors(docs: DataFrame, verdict: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -176,10 +176,10 @@ def survivors(docs: DataFrame, verdict: DataFrame, id_col: str, text_col: str) -
     again = rows.filter("kept")
     if again.isEmpty():
         return out
-    key = fresh(docs, "__key")
+    key, again_id, again_key = (fresh(docs, n) for n in ("__key", "__again_id", "__again_key"))
     keyed = out.withColumn(key, content_key(text_of(text_col)))
-    again = again.select(F.col("id").alias("__again_id"), F.col("key").alias("__again_key"))
-    on = keyed[id_col].eqNullSafe(F.col("__again_id")) & (keyed[key] == F.col("__again_key"))
+    again = again.select(F.col("id").alias(again_id), F.col("key").alias(again_key))
+    on = keyed[id_col].eqNullSafe(F.col(again_id)) & (keyed[key] == F.col(again_key))
     copies = keyed.join(again, on, "left_semi").dropDuplicates([id_col, key])
     return keyed.join(again, on, "left_anti").unionByName(copies).drop(key)
 

@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, ascii_lower, content_key, drop_rows, let, materialise, text_of
+from .common import BROADCAST_BYTES, ascii_lower, content_key, drop_rows, fresh, let, materialise, text_of
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: The same class before lower-casing.
@@ -135,17 +135,18 @@ def drop_contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id",
 
 def cut_spans(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the words inside benchmark windows, and what separates them, cut from the text."""
+    hit_id, hit_key, spans = (fresh(docs, n) for n in ("__hit_id", "__hit_key", "__hits"))
     hits = materialise(find_hits(docs, bench, id_col, text_col).select(
-        F.col("id").alias("__hit_id"), F.col("key").alias("__hit_key"), F.col("hits").alias("__hits")), "spans")
+        F.col("id").alias(hit_id), F.col("key").alias(hit_key), F.col("hits").alias(spans)), "spans")
     text = text_of(text_col)
-    joined = docs.join(hits, docs[id_col].eqNullSafe(F.col("__hit_id"))
-                       & (content_key(text_of(text_col)) == F.col("__hit_key")), "left")
+    joined = docs.join(hits, docs[id_col].eqNullSafe(F.col(hit_id))
+                       & (content_key(text_of(text_col)) == F.col(hit_key)), "left")
     words, gaps = F.array_remove(F.split(text, NOT_WORD_RAW), ""), F.split(text, WORD_RAW, -1)
     kept = let(words, lambda w: let(gaps, lambda g: F.concat(
         F.array_join(F.transform(
             F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: ~F.exists(
-                "__hits", lambda h: (h["at"] <= i) & (i < h["at"] + h["length"]))),
+                spans, lambda h: (h["at"] <= i) & (i < h["at"] + h["length"]))),
             lambda i: F.concat(F.get(g, i), F.get(w, i))), ""),
         F.element_at(g, -1))))
-    return joined.withColumn(text_col, F.when(F.col("__hits").isNotNull(), kept).otherwise(F.col(text_col))).select(
+    return joined.withColumn(text_col, F.when(F.col(spans).isNotNull(), kept).otherwise(F.col(text_col))).select(
         *[F.col(f"`{c}`") for c in docs.columns])

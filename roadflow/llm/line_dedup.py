@@ -1,162 +1,362 @@
 """Line dedup by content-defined chunks of lines.
 
-A chunk reaches from a line with text over ``MIN_LINES`` such lines, with the
-blank lines between them, and one starts at every line with text; a line of at
-least ``LONG_BYTES`` bytes is a chunk by itself too. So a chunk depends on
-nothing but its own lines, and chunks overlap: all pairs of neighbouring lines
-of a repeated passage are repeated chunks wherever the passage stands, and
-together they reach to its real ends. Chunks whose hash occurs more than once
-in the corpus are candidates; their texts are compared byte by byte before
-anything goes. Of equal chunks the first (smallest id, then earliest) stays,
-the others are removed. The first occurrence of a line is never in a copy, or
-in a run of equal lines its first line is not, so no line is lost altogether.
-
-Hashes are counted with map-side combining, and the comparison keeps only the
-smallest and the largest text of a hash: these are equal exactly if all are.
-Neither gathers a frequent chunk's rows in one task. Hashes whose texts differ
-(collisions) are grouped by text instead.
-
-Defined results: null text is an empty text of one empty line; rows equal in
-id and text are one document, which is no copy of itself; null ids come after
-all others; lines end at \\n only; a short line that is repeated without a
-neighbour stays, and so do blank lines at the ends of a passage.
+Lines are cut where they end and, inside, at words that their own content
+chooses: one word in some ``WORDS``, by a rolling hash over it and the word
+before, ends a piece. So a long line is several pieces, and a passage is cut
+alike wherever it begins. In the same way a rolling hash over the hashes of the
+last ``SPAN`` pieces chooses chunk boundaries, after one piece in ``PIECES``:
+boundaries shift with the text, and a passage holds whole chunks in any context.
+
+Chunks whose hash occurs more than once in the corpus are seeds. The first of
+equal chunks (smallest id, then earliest) is their owner; each other occurrence
+is compared with the owner's bytes and then extended, piece by piece and at last
+word by word, as far as the text before and after it equals the owner's: to the
+passage's real ends, which lie inside the neighbouring chunks. A stretch along
+one owner is a passage if it holds two whole lines or at least ``LEAST`` pieces
+(some twenty words); passages are removed, but for their first occurrence. A
+passage of fifty words holds no whole chunk, and stays, in fewer than one case
+in a hundred.
+
+Hashes are counted with map-side combining, occurrences meet their owner in a
+join that adaptive execution splits where a chunk is frequent; no chunk's rows
+are gathered in one task.
+
+Defined results: null text is an empty text of one empty line; rows equal in id
+and text are one document, which is no copy of itself; null ids come after all
+others; lines end at \\n only; white space at the ends of a passage inside a line
+stays; empty tables give empty results; extra columns of any name pass through
+``drop_...`` and are ignored by ``scan``; texts of any length are cut whole.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+from functools import lru_cache
+
+import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, content_key, let, materialise, small_arrow_batches, text_of
+from .common import content_key, fresh, materialise, small_arrow_batches, text_of
 
-MIN_LINES = 2
-#: A repeated line of so many bytes (about fifty words) is a passage without a neighbour.
-LONG_BYTES = 250
+#: One word in so many ends a piece, one piece in so many a chunk.
+WORDS, PIECES = 4, 2
+#: Words, and pieces, that the rolling hashes span.
+SPAN = 2
+#: Pieces that make a passage of parts of lines.
+LEAST = 6
+_BASE, _MIX = 0x9E3779B97F4A7C15, np.uint64(0xFF51AFD7ED558CCD)
+_INVERSE = pow(_BASE, -1, 1 << 64)
+#: Pieces before a seed's neighbour that are read, too: boundaries there may depend on what lies before the passage.
+SLACK = 2 * SPAN + 1
+POSITIVE = np.arange(1, 257, dtype=np.uint64)
+IS_SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
 
 
-def chunks_of(text: str) -> list[dict]:
-    """first (line, from 0), lines and hash of each chunk, in order; neither starts nor ends ever go back."""
-    lines = text.encode("utf-8", "surrogatepass").split(b"\n")
-    full = [i for i, x in enumerate(lines) if x and not x.isspace()]
+@lru_cache(maxsize=None)
+def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """base^i and base^-i modulo 2^64."""
     out = []
+    for base in (_BASE, _INVERSE):
+        p = np.full(1 << bits, base, np.uint64)
+        p[0] = 1
+        out.append(np.multiply.accumulate(p))
+    return out[0], out[1]
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(33))) * _MIX
+    return h ^ (h >> np.uint64(29))
+
+
+class Hashes:
+    """Polynomial hashes of stretches of bytes, the same wherever a stretch stands."""
+
+    def __init__(self, data: np.ndarray):
+        power, self.back = _powers(max(16, len(data).bit_length()))
+        self.sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(POSITIVE[data] * power[:len(data)], out=self.sums[1:])
+
+    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mixed((self.sums[ends] - self.sums[starts]) * self.back[starts] + (ends - starts).astype(np.uint64))
+
+
+def rolled(h: np.ndarray) -> np.ndarray:
+    """At each place the polynomial hash of the last ``SPAN`` hashes, as a hash rolled along them has it."""
+    out = np.zeros_like(h)
+    for back in range(SPAN):
+        out[back:] += h[:len(h) - back] * np.uint64(pow(_BASE, back, 1 << 64))
+    return mixed(out)
+
+
+def pieces_of(b: np.ndarray, hashes: Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first byte, end, line, hash) of each piece: words and the white space between them, inside a line."""
+    space = IS_SPACE[b]
+    edge = np.diff(np.concatenate([[True], space, [True]]).astype(np.int8))
+    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)  # of words
+    if not len(starts):
+        none = np.empty(0, np.int64)
+        return none, none, none, np.empty(0, np.uint64)
+    line = np.searchsorted(np.flatnonzero(b == 10), starts)
+    last = (rolled(hashes.of(starts, ends)) >> np.uint64(40)) % np.uint64(WORDS) == 0
+    last[:-1] |= line[1:] != line[:-1]
+    last[-1] = True
+    at = np.flatnonzero(last)
+    first = np.concatenate([[0], at[:-1] + 1])
+    return starts[first], ends[at], line[at], hashes.of(starts[first], ends[at])
 
-    def add(first: int, end: int) -> None:
-        digest = xxhash.xxh64_intdigest(b"\n".join(lines[first:end]), 1)
-        out.append({"first": first, "lines": end - first, "hash": digest - (1 << 64) if digest >> 63 else digest})
 
-    for k, first in enumerate(full):
-        if len(lines[first]) >= LONG_BYTES:
-            add(first, first + 1)
-        if k + MIN_LINES <= len(full):
-            add(first, full[k + MIN_LINES - 1] + 1)
-    return out
+def chunk_ends(hashes: np.ndarray) -> np.ndarray:
+    """Numbers of the pieces after the last one of each chunk."""
+    last = (rolled(hashes) >> np.uint64(40)) % np.uint64(PIECES) == 0
+    if len(last):
+        last[-1] = True
+    return np.flatnonzero(last) + 1
+
+
+class Cut:
+    """A text with its pieces and chunks."""
+
+    def __init__(self, text: str):
+        self.data = text.encode("utf-8", "surrogatepass")
+        b = np.frombuffer(self.data, np.uint8)
+        with np.errstate(over="ignore"):
+            hashes = Hashes(b)
+            self.start, self.end, self.line, self.hash = pieces_of(b, hashes)
+            self.chunk_end = chunk_ends(self.hash)
+            self.chunk_first = np.concatenate([[0], self.chunk_end])[:len(self.chunk_end)].astype(np.int64)
+            self.chunk_hash = hashes.of(self.start[self.chunk_first], self.end[self.chunk_end - 1]).view(np.int64)
+
+    def info(self, first: int, end: int) -> list[dict]:
+        """number, line, start, end of some pieces, and whether they begin and close their line."""
+        n = len(self.start)
+        return [{"piece": i, "line": int(self.line[i]), "start": int(self.start[i]), "end": int(self.end[i]),
+                 "begins": i == 0 or bool(self.line[i] != self.line[i - 1]),
+                 "closes": i + 1 == n or bool(self.line[i] != self.line[i + 1])} for i in range(first, end)]
+
+    def seed(self, chunk: int, before: bool, after: bool) -> dict:
+        """A chunk's bytes, where its pieces stand, and the bytes before and after it, as far as wanted.
+
+        These reach over the neighbouring chunk, and before it over ``SLACK`` pieces more."""
+        first, end = int(self.chunk_first[chunk]), int(self.chunk_end[chunk])
+        left = max(int(self.chunk_first[chunk - 1]) - SLACK, 0) if chunk and before else first
+        right = int(self.chunk_end[chunk + 1]) if chunk + 1 < len(self.chunk_end) and after else end
+        start, stop = int(self.start[first]), int(self.end[end - 1])
+        return {"chunk": chunk, "hash": int(self.chunk_hash[chunk]), "first": first, "pieces": end - first,
+                "start": start, "end": stop, "body": self.data[start:stop], "before": self.data[self.start[left]:start],
+                "after": self.data[stop:self.end[right - 1]], "info": self.info(left, right)}
+
+
+PIECE = "struct<piece:int,line:int,start:bigint,end:bigint,begins:boolean,closes:boolean>"
+SEED = (f"struct<chunk:int,hash:bigint,first:int,pieces:int,start:bigint,end:bigint,body:binary,before:binary,after:binary,"
+        f"info:array<{PIECE}>>")
 
 
 def chunk_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, key, first, lines, hash of each chunk of each document."""
-    @F.pandas_udf("array<struct<first:int,lines:int,hash:bigint>>")
+    """id, key and the hashes of the chunks, in order, of each document once."""
+    @F.pandas_udf("array<bigint>")
     def chunks(texts: pd.Series) -> pd.Series:
-        return pd.Series([chunks_of(t) for t in texts], dtype=object)
+        return pd.Series([Cut(t).chunk_hash for t in texts], dtype=object)
 
     small_arrow_batches(docs.sparkSession)
     text = text_of(text_col)
-    rows = docs.select(F.col(id_col).alias("id"), content_key(text).alias("key"), chunks(text).alias("chunks"))
-    return rows.select("id", "key", F.explode("chunks").alias("c")).select("id", "key", "c.first", "c.lines", "c.hash")
+    rows = docs.select(F.col(id_col).alias("id"), content_key(text).alias("key"), chunks(text).alias("hashes"))
+    return rows.dropDuplicates(["id", "key"])
 
 
 def _place() -> Column:
-    return F.struct(F.col("id").isNull(), F.col("id"), F.col("key"), F.col("first"))
-
-
-def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(all chunks, the removable ones): the latter are id, key, first, lines."""
-    chunks = materialise(chunk_table(docs, id_col, text_col).distinct(), "chunks")
-    repeated = materialise(chunks.groupBy("hash").agg(
-        F.count("*").alias("n"), F.min(_place()).alias("owner")).filter("n > 1"), "repeated")
-    small = broadcast_if_small(repeated, repeated.count(), 80)
-    copies = materialise(chunks.join(small, "hash"), "copies")
-
-    # Byte comparison: only texts of candidate chunks are read out.
-    marks = materialise(copies.groupBy(F.col("id").alias("mark_id"), F.col("key").alias("mark_key")).agg(
-        F.collect_list(F.struct("first", "lines", "hash")).alias("marks")), "marks")
-    size = marks.agg(F.sum(F.lit(48) + 16 * F.size("marks"))).first()[0] or 0
-    marks = broadcast_if_small(marks, size, 1)
+    return F.struct(F.col("id").isNull().alias("last"), F.col("id").alias("id"), F.col("key").alias("key"),
+                    F.col("chunk").alias("chunk"))
+
+
+def repeated_chunks(table: DataFrame) -> DataFrame:
+    """id, key and wanted for documents that hold chunks which are repeated somewhere: array of chunk, owner (whether it
+    is the first of its hash), before, after (whether the chunk beside it does not go on along the same owner)."""
+    each = table.select("id", "key", F.posexplode("hashes").alias("chunk", "hash"))
+    repeated = each.groupBy("hash").agg(F.count("*").alias("n"), F.min(_place()).alias("owner")).filter("n > 1")
+    repeated = materialise(repeated.select("hash", "owner"), "repeated")
+    # Which document owns a chunk, and at which place.
+    owner = F.col("owner")
+    found = each.join(repeated, "hash").select("id", "key", "chunk", (owner == _place()).alias("owner"), F.xxhash64(
+        owner["id"], owner["key"]).alias("of"), owner["chunk"].alias("at"))
+    wanted = found.groupBy("id", "key").agg(F.array_sort(F.collect_list(F.struct("chunk", "owner", "of", "at"))).alias("w"))
+
+    def apart(x: Column, other: Column, step: int) -> Column:
+        """Whether the neighbouring chunk is not the neighbour of this chunk's owner, too."""
+        along = (other["chunk"] == x["chunk"] + step) & (other["of"] == x["of"]) & (other["at"] == x["at"] + step)
+        return ~F.coalesce(along, F.lit(False))
+
+    marked = F.transform("w", lambda x, i: F.struct(
+        x["chunk"].alias("chunk"), x["owner"].alias("owner"),
+        F.when(i > 0, apart(x, F.get("w", i - 1), -1)).otherwise(True).alias("before"),
+        apart(x, F.get("w", i + 1), 1).alias("after")))
+    return wanted.select("id", "key", marked.alias("wanted"))
+
+
+def seed_table(docs: DataFrame, wanted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, key and the fields of ``Cut.seed`` for each occurrence of a repeated chunk."""
+    @F.pandas_udf(f"array<{SEED}>")
+    def cut(texts: pd.Series, chosen: pd.Series) -> pd.Series:
+        out = []
+        for text, chunks in zip(texts, chosen):
+            whole = Cut(text)
+            # An owner shows both sides, as its copies may need either.
+            out.append([whole.seed(int(c["chunk"]), bool(c["owner"] or c["before"]), bool(c["owner"] or c["after"]))
+                        for c in chunks])
+        return pd.Series(out, dtype=object)
+
     text = text_of(text_col)
-    texts = docs.select(F.col(id_col).alias("id"), text.alias("text"), content_key(text).alias("key"))
-    texts = texts.join(marks, texts["id"].eqNullSafe(F.col("mark_id")) & (texts["key"] == F.col("mark_key")))
-    parts = let(F.split("text", "\n", -1), lambda all_lines: F.transform("marks", lambda m: F.struct(
-        m["first"].alias("first"), m["hash"].alias("hash"),
-        F.array_join(F.slice(all_lines, m["first"] + 1, m["lines"]), "\n").alias("part"))))
-    parts = texts.select("id", "key", F.explode(parts).alias("m")).select("id", "key", "m.first", "m.hash", "m.part")
-    compared = materialise(parts.groupBy("hash").agg(
-        (F.min("part") == F.max("part")).alias("equal")), "compared")
-    differ = compared.filter("not equal").select("hash")
-    removable = copies.join(compared.filter("equal").select("hash"), "hash").filter(_place() != F.col("owner"))
-    removable = removable.select("id", "key", "first", "lines")
-    if not differ.isEmpty():
-        apart = materialise(parts.join(differ, "hash").distinct(), "apart")
-        owners = apart.groupBy("hash", "part").agg(F.min(_place()).alias("owner"))
-        again = apart.join(owners, ["hash", "part"]).filter(_place() != F.col("owner")).select("id", "key", "first", "hash")
-        copy = F.broadcast(again) if again.count() < 10_000 else again
-        removable = removable.unionByName(copies.join(
-            copy, copies["id"].eqNullSafe(copy["id"]) & (copies["key"] == copy["key"])
-            & (copies["first"] == copy["first"]) & (copies["hash"] == copy["hash"]), "left_semi").select(
-            "id", "key", "first", "lines"))
-    return chunks, removable
-
-
-def _passages(chunks: Column) -> Column:
-    """(first, lines) of what sorted chunks cover together; chunks that touch are one passage."""
-    def end(c: Column) -> Column:
-        return c["first"] + c["lines"]
-
-    def joined(c: Column) -> Column:
-        starts = F.filter(c, lambda x, i: (i == 0) | (x["first"] > end(F.get(c, i - 1))))
-        ends = F.filter(c, lambda x, i: (i == F.size(c) - 1) | (F.get(c, i + 1)["first"] > end(x)))
-        return F.zip_with(starts, ends, lambda a, z: F.struct(
-            a["first"].alias("first"), (end(z) - a["first"]).alias("lines")))
-
-    return let(chunks, joined)
+    rows = docs.select(F.col(id_col).alias("doc"), text.alias("text"), content_key(text).alias("doc_key"))
+    once = rows.join(wanted, F.col("doc").eqNullSafe(F.col("id")) & (F.col("doc_key") == F.col("key")))
+    return once.select("id", "key", F.explode(cut("text", "wanted")).alias("s")).select("id", "key", "s.*").dropDuplicates(
+        ["id", "key", "chunk"])
+
+
+SPACE = b" \t\n\v\f\r"
+
+
+def common(a: bytes, b: bytes) -> int:
+    """Bytes at the start that are equal, up to the end of a word that ends there in both."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    n = min(len(x), len(y))
+    differ = np.flatnonzero(x[:n] != y[:n])
+    n = int(differ[0]) if len(differ) else n
+    while n and not all(n == len(t) or t[n] in SPACE for t in (a, b)):
+        n -= 1
+    return len(a[:n].rstrip(SPACE))
+
+
+def _extended(before: pd.Series, owner_before: pd.Series, after: pd.Series, owner_after: pd.Series) -> pd.DataFrame:
+    """Bytes before and after a seed that equal the owner's, in whole words."""
+    return pd.DataFrame({"left": [common(a[::-1], b[::-1]) for a, b in zip(before, owner_before)],
+                         "right": [common(a, b) for a, b in zip(after, owner_after)]}, dtype="int64")
+
+
+class Covered:
+    """What is known of a document's pieces, and what byte ranges cover."""
+
+    def __init__(self, pieces: list):
+        known = {p["piece"]: p for p in pieces}
+        self.pieces = [known[i] for i in sorted(known)]
+        self.starts, self.ends = ([p[k] for p in self.pieces] for k in ("start", "end"))
+
+    def joined(self, ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        """Sorted ranges, those joined that touch or have white space between them only."""
+        out: list[tuple[int, int]] = []
+        for start, end in ranges:
+            if out and (start <= out[-1][1] or self.next_to(out[-1][1], start)):
+                out[-1] = out[-1][0], max(out[-1][1], end)
+            else:
+                out.append((start, end))
+        return out
+
+    def next_to(self, end: int, start: int) -> bool:
+        """Whether a piece ends here and the next piece starts there."""
+        k = bisect_left(self.ends, end)
+        return (k + 1 < len(self.ends) and self.ends[k] == end and self.starts[k + 1] == start
+                and self.pieces[k + 1]["piece"] == self.pieces[k]["piece"] + 1)
+
+    def measured(self, start: int, end: int) -> dict:
+        """The range with its lines, whole pieces and whole lines."""
+        touched = self.pieces[bisect_right(self.ends, start):bisect_left(self.starts, end)]
+        inside = [p for p in touched if start <= p["start"] and p["end"] <= end]
+        whole = {p["line"] for p in inside if p["begins"]} & {p["line"] for p in inside if p["closes"]}
+        return {"first": touched[0]["line"], "lines": touched[-1]["line"] - touched[0]["line"] + 1, "start": start,
+                "end": end, "pieces": len(inside), "whole": len(whole)}
+
+
+def passages_of(pieces: list, stretches: list) -> list[dict]:
+    """Passages of a document: stretches along one owner's text are joined, those long enough count, and what they
+    cover together is returned."""
+    known, along = Covered(pieces), {}
+    for s in stretches:
+        along.setdefault((s["of"], s["apart"]), []).append((s["start"], s["end"]))
+    long = []
+    for ranges in along.values():
+        for start, end in known.joined(sorted(ranges)):
+            m = known.measured(start, end)
+            if m["whole"] >= 2 or m["pieces"] >= LEAST:
+                long.append((start, end))
+    return [known.measured(*r) for r in known.joined(sorted(long))]
+
+
+PASSAGE = "array<struct<first:int,lines:int,start:bigint,end:bigint,pieces:int,whole:int>>"
+
+
+def repeated_passages(seeds: DataFrame) -> DataFrame:
+    """id, key and passages of documents that hold some. ``seeds`` is a written table."""
+    # Chunks are equal where hash and bytes are: the join compares both.
+    first = F.min(F.struct(_place().alias("owner"), F.col("start").alias("owner_start"),
+                           F.col("before").alias("owner_before"), F.col("after").alias("owner_after")))
+    owners = seeds.groupBy("hash", "body").agg(first.alias("first"), F.count("*").alias("n")).filter("n > 1")
+    owners = materialise(owners.select("hash", "body", "first.*"), "owners")
+    extend = F.pandas_udf(_extended, "left long, right long")
+    copies = seeds.join(owners, ["hash", "body"]).filter(F.col("owner") != _place()).withColumn(
+        "same", extend("before", "owner_before", "after", "owner_after"))
+    stretch = F.struct(
+        F.xxhash64(F.col("owner")["id"], F.col("owner")["key"]).alias("of"),
+        (F.col("owner_start") - F.col("start")).alias("apart"),
+        (F.col("start") - F.col("same.left")).alias("start"), (F.col("end") + F.col("same.right")).alias("end"))
+    per = copies.select("id", "key", "info", stretch.alias("s")).groupBy("id", "key").agg(
+        F.array_distinct(F.flatten(F.collect_list("info"))).alias("info"),
+        F.collect_list("s").alias("stretches"))
+
+    @F.pandas_udf(PASSAGE)
+    def joined(pieces: pd.Series, stretches: pd.Series) -> pd.Series:
+        return pd.Series([passages_of(list(p), list(s)) for p, s in zip(pieces, stretches)], dtype=object)
+
+    return per.select("id", "key", joined("info", "stretches").alias("passages")).filter(F.size("passages") > 0)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_lines, n_chunks, removed (array of first, lines; the chunks, which overlap) and passages (the same lines,
-    each once) for each row of ``docs``."""
-    chunks, removable = repeated_chunks(docs, id_col, text_col)
-    counted = chunks.groupBy("id", "key").agg(F.count("*").alias("n_chunks"))
-    gone = removable.groupBy("id", "key").agg(F.array_sort(F.collect_list(F.struct("first", "lines"))).alias("removed"))
-    per = counted.join(gone, counted["id"].eqNullSafe(gone["id"]) & (counted["key"] == gone["key"]), "left").select(
-        counted["id"].alias("doc"), counted["key"].alias("doc_key"), "n_chunks", "removed")
+    """id, key, n_lines, n_chunks and passages (first line, lines, first byte and end in UTF-8, pieces, whole lines) for
+    each row of ``docs``."""
+    table = materialise(chunk_table(docs, id_col, text_col), "chunks")
+    seeds = materialise(seed_table(docs, repeated_chunks(table), id_col, text_col), "seeds")
+    found = materialise(repeated_passages(seeds), "passages")
+    counted = table.select(F.col("id").alias("doc"), F.col("key").alias("doc_key"),
+                           F.size("hashes").cast("long").alias("n_chunks"))
+    per = counted.join(found, F.col("doc").eqNullSafe(F.col("id")) & (F.col("doc_key") == F.col("key")), "left").select(
+        "doc", "doc_key", "n_chunks", "passages")
     text = text_of(text_col)
     rows = docs.select(F.col(id_col).alias("id"), content_key(text).alias("key"),
                        F.size(F.split(text, "\n", -1)).cast("long").alias("n_lines"))
-    none = F.array().cast(gone.schema["removed"].dataType)
-    removed = F.coalesce("removed", none)
     return rows.join(per, rows["id"].eqNullSafe(F.col("doc")) & (rows["key"] == F.col("doc_key")), "left").select(
-        "id", "key", "n_lines", F.coalesce("n_chunks", F.lit(0)).alias("n_chunks"), removed.alias("removed"),
-        _passages(removed).alias("passages"))
+        "id", "key", "n_lines", "n_chunks", F.coalesce("passages", F.array().cast(PASSAGE)).alias("passages"))
+
+
+def without(text: str, passages: list) -> str:
+    """A text without the passages; a line end goes with a whole line, and blank lines between them with a passage."""
+    data, out, at = text.encode("utf-8", "surrogatepass"), [], 0
+    for p in passages:
+        start, end = p["start"], p["end"]
+        begins = data[:start].rpartition(b"\n")[2].strip() == b""
+        closes = data[end:].partition(b"\n")[0].strip() == b""
+        if begins and closes:  # only whole lines: their own white space and one line end go too
+            start = data.rfind(b"\n", 0, start) + 1
+            stop = data.find(b"\n", end)
+            if stop >= 0:
+                end = stop + 1
+            else:  # the last line: the line end before it
+                start, end = max(start - 1, 0), len(data)
+        out.append(data[at:max(at, start)])
+        at = max(at, end)
+    return b"".join([*out, data[at:]]).decode("utf-8", "surrogatepass")
 
 
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the repeated passages cut out of the texts."""
+    gone_id, gone_key, gone = (fresh(docs, n) for n in ("__gone_id", "__gone_key", "__gone"))
     found = materialise(scan(docs, id_col, text_col).filter(F.size("passages") > 0).select(
-        F.col("id").alias("__gone_id"), F.col("key").alias("__gone_key"), F.col("passages").alias("__gone")).distinct(),
-        "removed")
-    text = text_of(text_col)
-    joined = docs.join(found, docs[id_col].eqNullSafe(F.col("__gone_id")) & (content_key(text) == F.col("__gone_key")),
-                       "left")
-
-    def between(lines: Column) -> Column:
-        """The lines before, between and after the passages."""
-        def stretch(i: Column) -> Column:
-            last = F.get("__gone", i - 1)
-            start = F.coalesce(last["first"] + last["lines"], F.lit(0))
-            return F.slice(lines, start + 1, F.coalesce(F.get("__gone", i)["first"], F.size(lines)) - start)
+        F.col("id").alias(gone_id), F.col("key").alias(gone_key), F.col("passages").alias(gone)).dropDuplicates(
+        [gone_id, gone_key]), "removed")
 
-        return F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size("__gone")), stretch)), "\n")
+    @F.pandas_udf("string")
+    def kept(texts: pd.Series, passages: pd.Series) -> pd.Series:
+        return pd.Series([t if p is None else without(t, list(p)) for t, p in zip(texts, passages)], dtype=object)
 
-    kept = let(F.split(text, "\n", -1), between)
-    return joined.withColumn(text_col, F.when(F.col("__gone").isNotNull(), kept).otherwise(F.col(text_col))).select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    text = text_of(text_col)
+    joined = docs.join(found, docs[id_col].eqNullSafe(F.col(gone_id)) & (content_key(text) == F.col(gone_key)), "left")
+    return joined.withColumn(text_col, F.when(F.col(gone).isNotNull(), kept(text, F.col(gone))).otherwise(
+        F.col(text_col))).select(*[F.col(f"`{c}`") for c in docs.columns])

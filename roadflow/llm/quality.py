@@ -184,9 +184,11 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
     chosen = F.broadcast(chosen[0].unionByName(chosen[1]))  # 2 * sample rows at most
     small_arrow_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).join(chosen, "id")
-    rows = texts.mapInPandas(partial(_cut, most=most), "label int, id long, chunks binary")
-    # Repeated rows of an id must not pass the bound either.
-    rows = sorted(rows.dropDuplicates(["id"]).collect(), key=lambda r: r["id"])
+    kind = texts.schema["id"].dataType.simpleString()
+    rows = texts.mapInPandas(partial(_cut, most=most), f"label int, id {kind}, chunks binary")
+    # Repeated rows of an id must not pass the bound either; of different texts always the same one counts.
+    rows = rows.groupBy("id").agg(F.min(F.struct("chunks", "label")).alias("r")).select("id", "r.label", "r.chunks")
+    rows = sorted(rows.collect(), key=lambda r: r["id"])
     truth = np.array([r["label"] for r in rows], np.float32)
     if len(set(truth.tolist())) < 2:
         return Constant(share)

@@ -92,11 +92,15 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.scan(table(spark, sf_dir, "documents"))
-    lines = F.aggregate("passages", F.lit(0).cast("long"), lambda a, r: a + r["lines"])
+
+    def total(field: str):
+        return F.aggregate("passages", F.lit(0).cast("long"), lambda a, r: a + r[field])
+
+    spans = F.transform("passages", lambda r: F.concat_ws(":", r["start"].cast("string"), r["end"].cast("string")))
     return found.select(
-        F.col("id").alias("doc_id"), "n_lines", "n_chunks", F.size("removed").cast("long").alias("n_removed_chunks"),
-        lines.alias("n_removed_lines"), F.array_join(F.transform("passages", lambda r: F.concat_ws(
-            ":", r["first"].cast("string"), (r["first"] + r["lines"]).cast("string"))), ",").alias("removed"))
+        F.col("id").alias("doc_id"), "n_lines", "n_chunks", F.size("passages").cast("long").alias("n_removed_passages"),
+        total("lines").alias("n_removed_lines"), (total("end") - total("start")).alias("n_removed_bytes"),
+        F.array_join(spans, ",").alias("removed"))
 
 
 def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:

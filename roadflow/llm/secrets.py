@@ -20,7 +20,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPAN, let, match_spans, ordered, replace_spans, text_of
+from .common import SPAN, fresh, let, match_spans, ordered, replace_spans, text_of
 
 # The base patterns.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -145,7 +145,7 @@ def scan(docs: DataFrame, text_col: str = "text", to: str = "spans") -> DataFram
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with every span of the text replaced by [SECRET]."""
-    spans = "__spans"
+    spans = fresh(docs, "__spans")
     found = scan(docs, text_col, spans)
     text = F.when(F.size(spans) > 0, replace_spans(
         text_of(text_col), F.col(spans), lambda s: F.lit("[SECRET]"))).otherwise(F.col(text_col))

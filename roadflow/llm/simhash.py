@@ -121,7 +121,8 @@ def components(edges: DataFrame) -> DataFrame:
     def star(table: DataFrame, large: bool) -> DataFrame:
         both = table.unionByName(table.select(F.col("b").alias("a"), F.col("a").alias("b")))
         seen = both if large else both.filter("b < a")
-        least = seen.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # Written, so that the join meets two plain shuffles and adaptive execution can split a hub's edges.
+        least = materialise(seen.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
         moved = seen.join(least, "a")
         if large:
             out = moved.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, small_arrow_batches, text_of
+from .common import fresh, materialise, small_arrow_batches, text_of
 from .quality import held_out
 
 #: Chain order; the seeds of each category but the last, which is the label.
@@ -161,5 +161,6 @@ def score(docs: DataFrame, model: Chain | Constant, text_col: str = "text") -> D
         return pd.Series(list(model.score(texts.tolist())), dtype=object)
 
     small_arrow_batches(docs.sparkSession)
-    out = docs.withColumn("__p", scored(text_of(text_col)))
-    return out.withColumns({f"p_{c}": F.get("__p", F.lit(k)) for k, c in enumerate(CATEGORIES)}).drop("__p")
+    p = fresh(docs, "__p")
+    out = docs.withColumn(p, scored(text_of(text_col)))
+    return out.withColumns({f"p_{c}": F.get(p, F.lit(k)) for k, c in enumerate(CATEGORIES)}).drop(p)
