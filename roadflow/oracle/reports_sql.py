@@ -206,6 +206,8 @@ SQL = {
 }
 
 
+# The same reports over bucketed copies.
+SQL |= {f"bucketed_{name}": SQL[name] for name in ("top_busiest_roads", "road_category_distribution")}
 # The same reports asked as SQL text with bound values.
 SQL |= {f"sql_{name}": SQL[of] for name, of in {
     "table_rows": "table_row_counts", "regions": "regions_list", "yearly_totals": "yearly_totals_api",
