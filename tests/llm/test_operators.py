@@ -398,7 +398,7 @@ def test_line_dedup_boundaries_move_with_the_text():
         words = c.data.split()
         assert [w for a, b in zip(c.start, c.end) for w in c.data[a:b].split()] == words
         assert all(b"\n" not in c.data[a:b] for a, b in zip(c.start, c.end))
-        assert c.chunk_end.tolist() == sorted(set(c.chunk_end.tolist())) and len(c.chunk_hash) == len(c.chunk_end)
+        assert c.chunk_end.tolist() == sorted(set(c.chunk_end.tolist())) and len(c.chunk_hash) == len(c.long)
         assert not len(c.start) or c.chunk_end[-1] == len(c.start)
     few = line_dedup.Cut("word " * 40_000)
     assert len(set(few.hash.tolist())) <= 3  # equal words are cut alike
@@ -412,7 +412,8 @@ def test_line_dedup_copies_tails_and_odd_texts(spark):
     got = {r["doc_id"]: r["text"] for r in line_dedup.drop_repeated_lines(frame(spark, texts)).collect()}
     assert [got[i] for i in range(base)] == [t for t in ODD]
     assert got[base] == long and got[base + 1] == "" and got[base + 2].strip() == "" and got[base + 3].strip() == ""
-    assert got[base + 4] == texts[base + 4]  # other white space between short lines: other bytes
+    # other white space between short lines are other bytes: single lines go at most, whole ones
+    assert set(got[base + 4].split("\n")) <= set(texts[base + 4].split("\n")) and len(got[base + 4].split()) > 60
     rows = {r["id"]: r for r in line_dedup.scan(frame(spark, texts)).collect()}
     assert all(rows[i]["n_lines"] == (t or "").count("\n") + 1 for i, t in enumerate(texts))
     assert rows[base + 1]["passages"][0].asDict() == {
@@ -423,12 +424,12 @@ def test_line_dedup_copies_tails_and_odd_texts(spark):
 
 
 def test_line_dedup_compares_bytes_where_hashes_collide(spark):
-    def seed(i, body, before=b"", after=b""):
-        piece = {"piece": 0, "line": 0, "start": 0, "end": len(body), "begins": True, "closes": True}
-        return (i, 0, {"chunk": 0, "hash": 5, "first": 0, "pieces": 1, "start": 0, "end": len(body), "body": body,
-                       "before": before, "after": after, "info": [{**piece, "piece": k, "line": k} for k in range(3)]})
+    def seed(i, body, owner=False):
+        info = np.array([[k, k, 2 * k, 2 * k + 1, 3] for k in range(2)], np.int32)  # two whole lines
+        return (i, 0, {"at": 0, "hash": 5, "owner": owner, "start": 0, "end": len(body), "body": body, "before": b"",
+                       "after": b"", "info": info.tobytes()})
 
-    rows = [seed(1, b"a b"), seed(2, b"c d"), seed(3, b"a b"), seed(4, b"c d"), seed(5, b"e f")]
+    rows = [seed(1, b"a b", True), seed(2, b"c d"), seed(3, b"a b"), seed(4, b"c d"), seed(5, b"e f")]
     seeds = spark.createDataFrame(rows, f"id long, key long, s {line_dedup.SEED}").select("id", "key", "s.*")
     assert sorted(r["id"] for r in line_dedup.repeated_passages(materialise(seeds, "seeds")).collect()) == [3, 4]
 
