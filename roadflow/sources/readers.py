@@ -3,7 +3,8 @@
 A CSV is read as text by its header: columns are found by name, in any order,
 and extra ones are ignored.  The wanted columns are then cast to the declared
 types, with no inference pass.  Ids written as ``3.0`` are whole numbers, and
-the usual words for a missing value are NULL.  What does not fit its type is
+the usual words for a missing value are NULL.  The files of one folder share a
+header; a file with another one fails the read by name.  What does not fit its type is
 NULL and counted by :func:`malformed_counts`; raw measures stay text, so that
 the cleaner decides how bad values are coerced.  Files are split by the reader
 (``spark.sql.files.maxPartitionBytes``), so a large extract is scanned in
