@@ -4,7 +4,7 @@ Lines are cut where they end and, inside, at words that their own content
 chooses: one word in some ``WORDS``, by a rolling hash over it and the word
 before, ends a piece. So a long line is several pieces, and a passage is cut
 alike wherever it begins. In the same way a rolling hash over the hashes of the
-last ``SPAN`` pieces chooses chunk boundaries, after one piece in ``PIECES``:
+last two pieces chooses chunk boundaries, after one piece in ``PIECES``:
 boundaries shift with the text, and a passage holds whole chunks in any context.
 
 Chunks of at least ``MIN_PIECES`` pieces whose hash occurs more than once in the
@@ -43,14 +43,12 @@ from .common import content_key, fresh, materialise, small_arrow_batches, text_o
 
 #: One word in so many ends a piece, one piece in so many a chunk.
 WORDS, PIECES = 3, 2
-#: Words, and pieces, that the rolling hashes span.
-SPAN = 2
 #: Pieces that make a seed, and a passage of parts of lines.
 MIN_PIECES, LEAST = 2, 8
 _BASE, _MIX = 0x9E3779B97F4A7C15, np.uint64(0xFF51AFD7ED558CCD)
 _INVERSE = pow(_BASE, -1, 1 << 64)
 #: Pieces before a seed's neighbour that are read, too: boundaries there may depend on what lies before the passage.
-SLACK = 2 * SPAN + 1
+SLACK = 5
 POSITIVE = np.arange(1, 257, dtype=np.uint64)
 IS_SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
 
@@ -83,54 +81,88 @@ class Hashes:
         return mixed((self.sums[ends] - self.sums[starts]) * self.back[starts] + (ends - starts).astype(np.uint64))
 
 
-def rolled(h: np.ndarray) -> np.ndarray:
-    """At each place the polynomial hash of the last ``SPAN`` hashes, as a hash rolled along them has it."""
-    out = np.zeros_like(h)
-    for back in range(SPAN):
-        out[back:] += h[:len(h) - back] * np.uint64(pow(_BASE, back, 1 << 64))
+def rolled(h: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """At each place the polynomial hash of the last two hashes, as a hash rolled along them has it; ``first`` marks
+    where a document begins, with nothing before."""
+    out = h.copy()
+    out[1:] += np.where(first[1:], np.uint64(0), h[:-1] * np.uint64(_BASE))
     return mixed(out)
 
 
-def pieces_of(b: np.ndarray, hashes: Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(first byte, end, line, hash) of each piece: words and the white space between them, inside a line."""
-    space = IS_SPACE[b]
-    edge = np.diff(np.concatenate([[True], space, [True]]).astype(np.int8))
-    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)  # of words
-    if not len(starts):
-        none = np.empty(0, np.int64)
-        return none, none, none, np.empty(0, np.uint64)
-    line = np.searchsorted(np.flatnonzero(b == 10), starts)
-    last = (rolled(hashes.of(starts, ends)) >> np.uint64(40)) % np.uint64(WORDS) == 0
-    last[:-1] |= line[1:] != line[:-1]
-    last[-1] = True
-    at = np.flatnonzero(last)
-    first = np.concatenate([[0], at[:-1] + 1])
-    return starts[first], ends[at], line[at], hashes.of(starts[first], ends[at])
+def begins(group: np.ndarray) -> np.ndarray:
+    """Marks the first member of each run of equal numbers."""
+    out = np.ones(len(group), bool)
+    out[1:] = group[1:] != group[:-1]
+    return out
 
 
-def chunk_ends(hashes: np.ndarray) -> np.ndarray:
-    """Numbers of the pieces after the last one of each chunk."""
-    last = (rolled(hashes) >> np.uint64(40)) % np.uint64(PIECES) == 0
-    if len(last):
-        last[-1] = True
-    return np.flatnonzero(last) + 1
+class Cuts:
+    """Some texts with their pieces and chunks: all in one pass, as the bytes of one text behind the other."""
 
+    def __init__(self, texts: list[str]):
+        self.data = [t.encode("utf-8", "surrogatepass") for t in texts]
+        whole = np.frombuffer(b"\n".join(self.data), np.uint8)
+        size = np.array([len(d) + 1 for d in self.data], np.int64)
+        self.at = np.cumsum(size) - size  # where each text begins
+        with np.errstate(over="ignore"):
+            self._cut(whole, Hashes(whole))
+
+    def _cut(self, b: np.ndarray, hashes: Hashes) -> None:
+        edge = np.diff(np.concatenate([[True], IS_SPACE[b], [True]]).astype(np.int8))
+        starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)  # of words
+        line = np.searchsorted(np.flatnonzero(b == 10), starts)
+        doc = np.searchsorted(self.at, starts, "right") - 1
+        last = (rolled(hashes.of(starts, ends), begins(doc)) >> np.uint64(40)) % np.uint64(WORDS) == 0
+        last[:-1] |= line[1:] != line[:-1]
+        last[-1:] = True
+        at = np.flatnonzero(last)
+        first = np.concatenate([[0], at + 1])[:len(at)].astype(np.int64)
+        self.start, self.end, self.line, self.doc = starts[first], ends[at], line[at], doc[at]
+        self.hash = hashes.of(self.start, self.end)
+        new = begins(self.doc)
+        last = (rolled(self.hash, new) >> np.uint64(40)) % np.uint64(PIECES) == 0
+        last[:-1] |= new[1:]
+        last[-1:] = True
+        end = np.flatnonzero(last) + 1
+        first = np.concatenate([[0], end])[:len(end)].astype(np.int64)
+        long = end - first >= MIN_PIECES
+        self.chunk_first, self.chunk_end = first[long], end[long]
+        self.chunk_doc = self.doc[self.chunk_first]
+        self.chunk_hash = hashes.of(self.start[self.chunk_first], self.end[self.chunk_end - 1]).view(np.int64)
+
+    def sides(self) -> np.ndarray:
+        """The hashes of the pieces before and after each long chunk, 32 bits of each; 0 at a text's ends."""
+        h = np.concatenate([[0], self.hash >> np.uint64(32), [0]]).astype(np.uint64)
+        doc = np.concatenate([[-1], self.doc, [-1]])
+        left = np.where(doc[self.chunk_first] == self.chunk_doc, h[self.chunk_first], np.uint64(0))
+        right = np.where(doc[self.chunk_end + 1] == self.chunk_doc, h[self.chunk_end + 1], np.uint64(0))
+        return (left << np.uint64(32) | right).view(np.int64)
+
+    def small(self) -> np.ndarray:
+        """Whether a chunk that goes on to neither side can be no passage: it has few pieces, all on one line."""
+        pieces = self.chunk_end - self.chunk_first
+        return (pieces + 2 < LEAST) & (self.line[self.chunk_first] == self.line[self.chunk_end - 1])
+
+    def __len__(self) -> int:
+        return len(self.data)
+
+    def __getitem__(self, k: int) -> "Cut":
+        return Cut(self, k)
 
-class Cut:
-    """A text with its pieces and chunks."""
 
-    def __init__(self, text: str):
-        self.data = text.encode("utf-8", "surrogatepass")
-        b = np.frombuffer(self.data, np.uint8)
-        with np.errstate(over="ignore"):
-            hashes = Hashes(b)
-            self.start, self.end, self.line, self.hash = pieces_of(b, hashes)
-            self.chunk_end = chunk_ends(self.hash)
-            self.chunk_first = np.concatenate([[0], self.chunk_end])[:len(self.chunk_end)].astype(np.int64)
-            long = self.chunk_end - self.chunk_first >= MIN_PIECES
-            self.long = np.flatnonzero(long)
-            starts, ends = self.start[self.chunk_first[long]], self.end[self.chunk_end[long] - 1]
-            self.chunk_hash = hashes.of(starts, ends).view(np.int64)
+class Cut:
+    """One text with its pieces and long chunks."""
+
+    def __init__(self, cuts: Cuts, k: int):
+        lo, hi = np.searchsorted(cuts.doc, [k, k + 1])
+        self.data = cuts.data[k]
+        self.start, self.end = cuts.start[lo:hi] - cuts.at[k], cuts.end[lo:hi] - cuts.at[k]
+        before = int(np.count_nonzero(np.frombuffer(self.data[:self.start[0]], np.uint8) == 10)) if lo < hi else 0
+        self.line = cuts.line[lo:hi] - (cuts.line[lo] - before) if lo < hi else cuts.line[lo:hi]
+        self.hash = cuts.hash[lo:hi]
+        one, two = np.searchsorted(cuts.chunk_doc, [k, k + 1])
+        self.chunk_first, self.chunk_end = cuts.chunk_first[one:two] - lo, cuts.chunk_end[one:two] - lo
+        self.chunk_hash = cuts.chunk_hash[one:two]
 
     def seeds(self, wanted: list) -> list[dict]:
         """The wanted chunks' bytes, where their pieces stand, and the bytes before and after them.
@@ -141,7 +173,7 @@ class Cut:
         new_line = np.append(self.line[1:] != self.line[:-1], True)
         flags = np.concatenate([[True], new_line[:-1]])[:len(self.line)] + 2 * new_line[:len(self.line)]
         info = np.stack([np.arange(len(self.line)), self.line, self.start, self.end, flags], axis=1).astype(np.int32)
-        firsts, ends, n = self.chunk_first[self.long].tolist(), self.chunk_end[self.long].tolist(), len(self.line)
+        firsts, ends, n = self.chunk_first.tolist(), self.chunk_end.tolist(), len(self.line)
         out = []
         for w in wanted:
             at, left, right = w["at"], 0, n
@@ -166,15 +198,18 @@ SEED = ("struct<at:int,hash:bigint,owner:boolean,start:bigint,end:bigint,body:bi
 
 
 def chunk_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, key and the hashes of the long chunks, in order, of each document once."""
-    @F.pandas_udf("array<bigint>")
-    def chunks(texts: pd.Series) -> pd.Series:
-        return pd.Series([Cut(t).chunk_hash for t in texts], dtype=object)
+    """id, key and the hashes, sides and smallness of the long chunks, in order, of each document once."""
+    @F.pandas_udf("hashes array<bigint>, sides array<bigint>, small array<boolean>")
+    def chunks(texts: pd.Series) -> pd.DataFrame:
+        cuts = Cuts(texts.tolist())
+        parts = np.searchsorted(cuts.chunk_doc, np.arange(1, len(cuts)))
+        return pd.DataFrame({name: pd.Series(np.split(x, parts) if len(cuts) else [], dtype=object) for name, x in (
+            ("hashes", cuts.chunk_hash), ("sides", cuts.sides()), ("small", cuts.small()))})
 
     small_arrow_batches(docs.sparkSession)
     text = text_of(text_col)
-    rows = docs.select(F.col(id_col).alias("id"), content_key(text).alias("key"), chunks(text).alias("hashes"))
-    return rows.dropDuplicates(["id", "key"])
+    rows = docs.select(F.col(id_col).alias("id"), content_key(text).alias("key"), chunks(text).alias("c"))
+    return rows.dropDuplicates(["id", "key"]).select("id", "key", "c.*")
 
 
 def _place() -> Column:
@@ -185,25 +220,36 @@ def _place() -> Column:
 def repeated_chunks(table: DataFrame) -> DataFrame:
     """id, key and wanted for documents that hold chunks which are repeated somewhere: array of at (which of its hashes),
     owner (whether it is the first of its hash), before, after (whether the chunk beside it does not go on along the
-    same owner)."""
-    each = table.select("id", "key", F.posexplode("hashes").alias("at", "hash"))
-    repeated = each.groupBy("hash").agg(F.count("*").alias("n"), F.min(_place()).alias("owner")).filter("n > 1")
-    repeated = materialise(repeated.select("hash", "owner"), "repeated")
+    same owner).
+
+    Left out are small copies whose neighbouring pieces both differ from their owner's: they go on to neither side, and
+    so can be no passage. These are most, as short strings repeat by chance."""
+    each = table.select("id", "key", F.posexplode(F.arrays_zip("hashes", "sides", "small")).alias("at", "c")).select(
+        "id", "key", "at", F.col("c.hashes").alias("hash"), "c.sides", "c.small")
+    first = F.min(F.struct(_place().alias("place"), "sides"))
+    repeated = each.groupBy("hash").agg(F.count("*").alias("n"), first.alias("first")).filter("n > 1")
+    repeated = materialise(repeated.select("hash", F.col("first.place").alias("owner"), F.col("first.sides").alias("shown")),
+                           "repeated")
+    owner, differ = F.col("owner"), F.col("sides").bitwiseXOR(F.col("shown"))
+    apart = (F.shiftrightunsigned(differ, 32) != 0) & (differ.bitwiseAND(F.lit(0xFFFFFFFF)) != 0)
+    copies = each.join(repeated, "hash").filter((owner != _place()) & ~(F.col("small") & apart))
+    copies = materialise(copies.select("id", "key", "at", "hash", "owner"), "copies")
     # Which document owns a chunk, and at which place.
-    owner = F.col("owner")
-    found = each.join(repeated, "hash").select("id", "key", "at", (owner == _place()).alias("owner"), F.xxhash64(
-        owner["id"], owner["key"]).alias("of"), owner["at"].alias("there"))
+    of, there = F.xxhash64(owner["id"], owner["key"]).alias("of"), owner["at"].alias("there")
+    owners = copies.groupBy("hash").agg(F.min("owner").alias("owner")).select(
+        owner["id"].alias("id"), owner["key"].alias("key"), owner["at"].alias("at"), F.lit(True).alias("owner"), of, there)
+    found = copies.select("id", "key", "at", F.lit(False).alias("owner"), of, there).unionByName(owners)
     wanted = found.groupBy("id", "key").agg(F.array_sort(F.collect_list(F.struct("at", "owner", "of", "there"))).alias("w"))
 
-    def apart(x: Column, other: Column, step: int) -> Column:
-        """Whether the neighbouring chunk is not the neighbour of this chunk's owner, too."""
-        along = (other["at"] == x["at"] + step) & (other["of"] == x["of"]) & (other["there"] == x["there"] + step)
-        return ~F.coalesce(along, F.lit(False))
+    def goes_on(x: Column, other: Column, step: int) -> Column:
+        """Whether the neighbouring chunk is the neighbour of this chunk's owner, too."""
+        return F.coalesce((other["at"] == x["at"] + step) & (other["of"] == x["of"]) & (other["there"] == x["there"] + step),
+                          F.lit(False))
 
     marked = F.transform("w", lambda x, i: F.struct(
         x["at"].alias("at"), x["owner"].alias("owner"),
-        F.when(i > 0, apart(x, F.get("w", i - 1), -1)).otherwise(True).alias("before"),
-        apart(x, F.get("w", i + 1), 1).alias("after")))
+        F.when(i > 0, ~goes_on(x, F.get("w", i - 1), -1)).otherwise(True).alias("before"),
+        (~goes_on(x, F.get("w", i + 1), 1)).alias("after")))
     return wanted.select("id", "key", marked.alias("wanted"))
 
 
@@ -213,7 +259,8 @@ def seed_table(docs: DataFrame, wanted: DataFrame, id_col: str = "doc_id", text_
     of ``docs`` may be equal in id and text."""
     @F.pandas_udf(f"array<{SEED}>")
     def cut(texts: pd.Series, chosen: pd.Series) -> pd.Series:
-        return pd.Series([Cut(t).seeds(list(c)) for t, c in zip(texts, chosen)], dtype=object)
+        cuts = Cuts(texts.tolist())
+        return pd.Series([cuts[k].seeds(list(c)) for k, c in enumerate(chosen)], dtype=object)
 
     text = text_of(text_col)
     rows = docs.select(F.col(id_col).alias("doc"), text.alias("text"), content_key(text).alias("doc_key"))
@@ -226,23 +273,40 @@ def seed_table(docs: DataFrame, wanted: DataFrame, id_col: str = "doc_id", text_
 SPACE = b" \t\n\v\f\r"
 
 
-def common(a: bytes, b: bytes) -> int:
-    """Bytes at the start that are equal, up to the end of a word that ends there in both."""
-    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    n = min(len(x), len(y))
-    differ = np.flatnonzero(x[:n] != y[:n])
-    n = int(differ[0]) if len(differ) else n
+def common(a: bytes, b: bytes) -> tuple[int, bool]:
+    """(bytes at the start that are equal, up to the end of a word that ends there in both; whether a difference ends
+    them and not an end of the bytes)."""
+    n = min(len(a), len(b))
+    differ = int.from_bytes(a[:n], "little") ^ int.from_bytes(b[:n], "little")
+    if differ:
+        n = ((differ & -differ).bit_length() - 1) // 8
     while n and not all(n == len(t) or t[n] in SPACE for t in (a, b)):
         n -= 1
-    return len(a[:n].rstrip(SPACE))
+    return len(a[:n].rstrip(SPACE)), bool(differ)
 
 
-def _extended(body: pd.Series, owner_body: pd.Series, before: pd.Series, owner_before: pd.Series, after: pd.Series,
-              owner_after: pd.Series) -> pd.DataFrame:
-    """Bytes before and after a seed that equal the owner's, in whole words; null where the seed itself differs."""
-    rows = [(common(b[::-1], ob[::-1]), common(c, oc)) if a == oa else (None, None)
-            for a, oa, b, ob, c, oc in zip(body, owner_body, before, owner_before, after, owner_after)]
-    return pd.DataFrame(rows, columns=["left", "right"], dtype="Int64")
+def extended(start: int, end: int, before: bytes, owner_before: bytes, after: bytes, owner_after: bytes,
+             info: bytes) -> tuple | None:
+    """(start, end, pieces) of a seed as far as the text around it equals the owner's, in whole words; None if the
+    stretch ends in differences on both sides and is no passage."""
+    left, ended = common(before[::-1], owner_before[::-1])
+    right, closed = common(after, owner_after)
+    start, end = start - left, end + right
+    pieces = np.frombuffer(info, np.int32).reshape(-1, 5)
+    pieces = pieces[(pieces[:, 3] > start) & (pieces[:, 2] < end)]
+    known = pieces.tobytes()
+    if ended and closed and len(pieces) < LEAST + 2 and not Covered([known]).passage(start, end):
+        return None
+    return start, end, known
+
+
+def _extended(body: pd.Series, owner_body: pd.Series, *rest: pd.Series) -> pd.DataFrame:
+    """The stretches; start is null for no passage, and -1 where the seed itself differs from the owner's."""
+    rows = [(extended(*r) or (None, None, None)) if a == b else (-1, -1, None)
+            for a, b, r in zip(body, owner_body, zip(*rest))]
+    return pd.DataFrame({"start": pd.Series([r[0] for r in rows], dtype="Int64"),
+                         "end": pd.Series([r[1] for r in rows], dtype="Int64"),
+                         "info": pd.Series([r[2] for r in rows], dtype=object)})
 
 
 class Covered:
@@ -279,6 +343,10 @@ class Covered:
         return {"first": first, "lines": last - first + 1, "start": start, "end": end, "pieces": len(inside),
                 "whole": len(whole)}
 
+    def passage(self, start: int, end: int) -> bool:
+        m = self.measured(start, end)
+        return m["whole"] >= 2 or m["pieces"] >= LEAST
+
 
 def passages_of(pieces: list[bytes], stretches: list) -> list[dict]:
     """Passages of a document: stretches along one owner's text are joined, those long enough count, and what they
@@ -289,8 +357,7 @@ def passages_of(pieces: list[bytes], stretches: list) -> list[dict]:
     long = []
     for ranges in along.values():
         for start, end in known.joined(sorted(ranges)):
-            m = known.measured(start, end)
-            if m["whole"] >= 2 or m["pieces"] >= LEAST:
+            if known.passage(start, end):
                 long.append((start, end))
     return [known.measured(*r) for r in known.joined(sorted(long))]
 
@@ -300,28 +367,27 @@ PASSAGE = "array<struct<first:int,lines:int,start:bigint,end:bigint,pieces:int,w
 
 def repeated_passages(seeds: DataFrame) -> DataFrame:
     """id, key and passages of documents that hold some. ``seeds`` is a written table."""
-    extend = F.pandas_udf(_extended, "left long, right long")
+    extend = F.pandas_udf(_extended, "start long, end long, info binary")
 
     def compared(copies: DataFrame, owners: DataFrame, on: list[str]) -> DataFrame:
-        """What each copy shares with its owner; nothing where only the hash is the same."""
+        """What each copy shares with its owner."""
         owned = owners.select(*on, _place().alias("place"), F.col("start").alias("owner_start"), F.col("body").alias(
             "owner_body"), F.col("before").alias("owner_before"), F.col("after").alias("owner_after"))
-        same = extend("body", "owner_body", "before", "owner_before", "after", "owner_after")
-        return copies.join(owned, on).withColumn("same", same).select(
+        same = extend(*[F.col(c) for c in ("body", "owner_body", "start", "end", "before", "owner_before", "after",
+                                           "owner_after", "info")])
+        return copies.join(owned, on).withColumn("same", same).filter("same.start is not null").select(
             "id", "key", "at", F.xxhash64(F.col("place")["id"], F.col("place")["key"]).alias("of"),
-            (F.col("owner_start") - F.col("start")).alias("apart"), (F.col("start") - F.col("same.left")).alias("start"),
-            (F.col("end") + F.col("same.right")).alias("end"), "info")
+            (F.col("owner_start") - F.col("start")).alias("apart"), "same.start", "same.end", "same.info")
 
     found = materialise(compared(seeds.filter("not owner"), seeds.filter("owner"), ["hash"]), "stretches")
-    stretches = found.filter("start is not null")
-    other = found.filter("start is null").select("id", "key", "at")
+    stretches = found.filter("start >= 0")
+    other = found.filter("start < 0").select("id", "key", "at")
     if not other.isEmpty():  # hashes that collide: among the others, chunks are equal where their bytes are
         mine = seeds["id"].eqNullSafe(other["id"]) & (seeds["key"] == other["key"]) & (seeds["at"] == other["at"])
         rest = materialise(seeds.join(other, mine, "left_semi"), "colliding")
         first = rest.groupBy("hash", "body").agg(F.min(_place()).alias("first"))
         rest = rest.join(first, ["hash", "body"]).withColumn("owner", F.col("first") == _place())
-        more = compared(rest.filter("not owner"), rest.filter("owner"), ["hash", "body"])
-        stretches = stretches.unionByName(more.filter("start is not null"))
+        stretches = stretches.unionByName(compared(rest.filter("not owner"), rest.filter("owner"), ["hash", "body"]))
     per = stretches.groupBy("id", "key").agg(
         F.collect_list("info").alias("info"), F.collect_list(F.struct("of", "apart", "start", "end")).alias("stretches"))
 

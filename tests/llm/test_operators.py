@@ -390,18 +390,27 @@ def test_line_dedup_removes_whole_passages_in_any_context(spark):
 def test_line_dedup_boundaries_move_with_the_text():
     rng = random.Random(3)
     text = "\n".join(some_words(rng, 40) for _ in range(20))
-    plain = line_dedup.Cut(text)
+    plain = line_dedup.Cuts([text])[0]
     for before in ("x", "x\n", some_words(rng, 33), some_words(rng, 7) + "\n\n \n"):
-        moved = line_dedup.Cut(before + (" " if before == "x" else "") + text)
+        moved = line_dedup.Cuts([before + (" " if before == "x" else "") + text])[0]
         assert set(plain.chunk_hash.tolist()[6:]) <= set(moved.chunk_hash.tolist())
-    for c in (plain, line_dedup.Cut(""), line_dedup.Cut(" \n \n"), line_dedup.Cut("é"), line_dedup.Cut("word " * 40_000)):
-        words = c.data.split()
-        assert [w for a, b in zip(c.start, c.end) for w in c.data[a:b].split()] == words
-        assert all(b"\n" not in c.data[a:b] for a, b in zip(c.start, c.end))
-        assert c.chunk_end.tolist() == sorted(set(c.chunk_end.tolist())) and len(c.chunk_hash) == len(c.long)
-        assert not len(c.start) or c.chunk_end[-1] == len(c.start)
-    few = line_dedup.Cut("word " * 40_000)
-    assert len(set(few.hash.tolist())) <= 3  # equal words are cut alike
+
+
+def test_line_dedup_cuts_texts_alike_alone_and_together():
+    rng = random.Random(5)
+    texts = ["", " \n \n", "é", "a\nb\n\n c", "word " * 40_000, "", "\n\nlast"]
+    texts += ["\n".join(some_words(rng, rng.randint(0, 30)) for _ in range(rng.randint(0, 9))) for _ in range(50)]
+    together = line_dedup.Cuts(texts)
+    for k, text in enumerate(texts):
+        c, alone = together[k], line_dedup.Cuts([text])[0]
+        for field in ("start", "end", "line", "hash", "chunk_first", "chunk_end", "chunk_hash"):
+            assert getattr(c, field).tolist() == getattr(alone, field).tolist(), field
+        pieces = [c.data[a:b] for a, b in zip(c.start, c.end)]
+        assert [w for p in pieces for w in p.split()] == c.data.split()
+        assert all(b"\n" not in p for p in pieces)
+        assert c.line.tolist() == [c.data[:a].count(b"\n") for a in c.start]
+        assert all(b - a >= line_dedup.MIN_PIECES for a, b in zip(c.chunk_first, c.chunk_end))
+    assert len(set(together[4].hash.tolist())) <= 3  # equal words are cut alike
 
 
 def test_line_dedup_copies_tails_and_odd_texts(spark):
@@ -438,7 +447,7 @@ def test_line_dedup_compares_bytes_where_hashes_collide(spark):
     (b" x y", b" x z", 2), (b" xy", b" xz", 0), (b" x y", b" x y", 4), (b" x", b" x y", 2), (b"", b" x", 0),
     (b" x ", b" x  y", 2), (b"x y", b"xx", 0)])
 def test_line_dedup_extends_in_whole_words(a, b, n):
-    assert line_dedup.common(a, b) == line_dedup.common(b, a) == n
+    assert line_dedup.common(a, b)[0] == line_dedup.common(b, a)[0] == n
 
 
 # Empty tables and the pipeline
