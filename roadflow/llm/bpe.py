@@ -12,7 +12,10 @@ and words of over ``TRIE_SYMBOLS`` symbols walk the same states alone instead
 of being stored. None of this changes a result.
 
 Defined results: null and empty texts have no ids and decode to ""; ids that
-the vocabulary lacks are skipped by ``decode``; null ids lists decode to "".
+the vocabulary lacks are skipped by ``decode``; null ids lists decode to "";
+repeated rows get equal results; an empty table gives an empty result; other
+columns pass through, but one named like a result is replaced; long texts are
+split at spaces and line ends, which no word spans.
 """
 
 from __future__ import annotations

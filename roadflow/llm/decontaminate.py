@@ -10,7 +10,10 @@ window is missed, and the words are looked up five times less often.
 
 Defined results: null or empty texts have no words and are clean; items
 without words have no windows; a null item id marks words as hit but is not
-listed; repeated rows get equal results; an empty benchmark finds nothing.
+listed; repeated rows get equal results; an empty benchmark finds nothing; an
+empty documents table gives an empty result; other columns of any name pass
+through ``drop_contaminated`` and ``cut_spans`` and are ignored otherwise; texts
+of any length are read whole.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ digests is written once; all later steps read only it.
 
 Defined results: null text is an empty text; a null id is a document like any
 other but loses ties against other ids; rows repeated in full are copies, of
-which one is kept; an empty table gives an empty result. Other columns of the
+which one is kept; texts of any length are read whole; an empty table gives an
+empty result. Other columns of the
 input, whatever their names, are ignored by ``exact_groups`` and kept by
 ``drop_exact_duplicates``.
 """

@@ -21,7 +21,8 @@ template 2-grams to reach ``CONTAINMENT``.
 
 Defined results: null and empty texts have no license; repeated rows get equal
 results; an empty table is scored with the templates' windows alone as
-training data.
+training data; other columns are ignored; texts of any length are read whole;
+of equally likely families the first of ``FAMILIES`` counts.
 """
 
 from __future__ import annotations

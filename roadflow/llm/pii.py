@@ -15,7 +15,8 @@ joint lines, as smaller counts estimate nothing.
 
 Defined results: null and empty texts have no spans and count no lines with
 entities; repeated rows count as often as they occur and get equal results; an
-empty table has no terms.
+empty table has no terms; other columns are ignored and not returned; texts of
+any length are read whole; of overlapping spans a replacement takes the first.
 """
 
 from __future__ import annotations

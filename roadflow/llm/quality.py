@@ -14,7 +14,9 @@ shares set the final bias.
 Defined results: null text is an empty text and is scored as one (a chunk of
 padding); rows without a usable label do not train; without labels of both
 classes every score is the smoothed share of label 1; repeated rows get equal
-scores.
+scores; an id with several labels has the highest, one with several texts trains
+on the one whose chunks come first; ids of any type; an empty table gives an
+empty result; other columns pass through, but one named like ``to`` is replaced.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ such window's start to its last one's end. Candidates on the allow-list, and
 those that overlap a base span, are suppressed; base spans always stay.
 
 Defined results: null and empty texts have no spans; repeated rows get equal
-results; other columns are ignored.
+results; an empty table gives an empty result; texts of any length are read
+whole; other columns pass through, but one named like ``to`` is replaced.
 """
 
 from __future__ import annotations

@@ -18,7 +18,9 @@ components with linear work. No link is lost.
 
 Defined results: null text is an empty text; texts without words have
 fingerprint zero; null ids belong to components but never name one unless all
-its ids are null; an empty table gives an empty result.
+its ids are null; rows repeated in full are copies, of which a drop keeps one;
+other columns of any name pass through ``drop_near_duplicates`` and are ignored
+otherwise; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -13,7 +13,9 @@ documents of each label); only the chosen words of these reach the driver. Rows
 Defined results: null and empty texts have no words and get the models' base
 rates; rows without a usable label do not train; without labels of both values
 every probability is the smoothed share of toxic rows; repeated rows get equal
-results.
+results; an id with several labels has the highest; an empty table gives an
+empty result; other columns pass through, but ones named ``p_<category>`` are
+replaced.
 """
 
 from __future__ import annotations
