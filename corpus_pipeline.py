@@ -3,6 +3,11 @@
 Each stage takes all that the stage before kept, and its decisions take
 effect: rows go. Stage results are written to the shared folder and read
 again, so a lost executor never costs more than the stage that runs.
+
+Defined results: null and empty texts are documents like others to each stage
+(see the operators); rows repeated in full are copies, of which one stays; of
+ties the smallest id stays; all stages but the last keep the columns of
+``documents``, whatever their names; empty tables give an empty result.
 """
 
 from __future__ import annotations
