@@ -5,7 +5,7 @@ partition; the position inside a partition comes from
 ``monotonically_increasing_id`` and the partition's start offset from a
 tiny per-partition count table (one row per partition, so its size is
 bounded by the partition count, not by the data).  The tagged rows are
-checkpointed first so both passes see the same partitioning.  Keys are
+written first, as Parquet files, so both passes see the same partitioning.  Keys are
 1..n in the order of ``order_cols``; equal to ``row_number() OVER (ORDER
 BY order_cols)``.
 """
@@ -17,18 +17,19 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import materialise, shared_dir
 from .joins import input_bytes
 
 
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+TARGET_PARTITION_BYTES = 16 * 1024 * 1024
 #: Sizes from here on are the planner's stand-in for "unknown" (the largest long, or products of it).
 UNKNOWN_BYTES = 1 << 60
 
 
 def partitions_for(df: DataFrame) -> int:
-    """Range partitions of ~128 MB of input each: a small dimension gets a
-    handful, a large input as many as its size asks for.  An input whose size
+    """Range partitions of ~16 MB of input files each (compressed columns; as
+    rows they are many times that): a small dimension gets a handful, a large
+    input as many as its size asks for.  An input whose size
     the planner does not know gets the session's number of shuffle partitions."""
     size = input_bytes(df)
     if size >= UNKNOWN_BYTES:
@@ -40,20 +41,18 @@ def with_dense_key(df: DataFrame, key: str, order_cols: list[str], num_partition
                    key_type: str = "int") -> DataFrame:
     """``key_type`` is ``int`` for dimensions (under 2^31 members) and must be
     ``bigint`` where rows are numbered."""
-    spark = df.sparkSession
-    shared_dir(spark)  # make sure a checkpoint folder is registered
+    shared_dir(df.sparkSession)  # make sure a checkpoint folder is registered
     n = num_partitions or partitions_for(df)
-    tagged = (
+    tagged = materialise(
         df.repartitionByRange(n, *order_cols)
         .sortWithinPartitions(*order_cols)
         .withColumn("_kp", F.spark_partition_id())
-        .withColumn("_km", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-    )
+        .withColumn("_km", F.monotonically_increasing_id()), "numbered")
     counts = tagged.groupBy("_kp").agg(F.count(F.lit(1)).alias("_kn"), F.min("_km").alias("_k0"))
     w = Window.orderBy("_kp").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_koff", F.coalesce(F.sum("_kn").over(w), F.lit(0)))
-    out = tagged.join(F.broadcast(offsets.select("_kp", "_k0", "_koff")), "_kp")
+    offsets = counts.withColumn("_koff", F.coalesce(F.sum("_kn").over(w), F.lit(0))).select("_kp", "_k0", "_koff")
+    # Counted once, not by every job that reads the keys; a row per partition.
+    out = tagged.join(F.broadcast(offsets.checkpoint(eager=True)), "_kp")
     out = out.withColumn(key, (F.col("_koff") + F.col("_km") - F.col("_k0") + 1).cast(key_type))
     return out.drop("_kp", "_km", "_k0", "_koff", "_kn")
 
@@ -70,8 +69,9 @@ def with_stable_key(members: DataFrame, known: DataFrame | None, key: str, natur
         return keyed, keyed.select(*natural, key)
     old = known.select(*[F.col(c).alias(f"_k_{c}") for c in natural], F.col(key).alias(key))
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in natural])
-    # Written once: both the found and the new members come from it.
-    found = members.join(old, same, "left").drop(*[f"_k_{c}" for c in natural]).checkpoint(eager=True)
+    # Written once: both the found and the new members come from it. Read as files they have their real size, where
+    # a checkpoint keeps the planner's estimate of the join, the product of both sides, and as many partitions.
+    found = materialise(members.join(old, same, "left").drop(*[f"_k_{c}" for c in natural]), "members")
     highest = known.agg(F.max(key)).first()[0] or 0
     new = with_dense_key(found.where(F.col(key).isNull()).drop(key), key, natural)
     new = new.withColumn(key, (F.col(key) + F.lit(highest)).cast(dict(old.dtypes)[key]))

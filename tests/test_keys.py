@@ -3,7 +3,9 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from roadflow.operators import keys
 from roadflow.operators.keys import with_dense_key
+from roadflow.session import materialise
 
 
 def test_dense_key_matches_row_number(spark):
@@ -18,3 +20,16 @@ def test_dense_key_with_nulls_first(spark):
     df = spark.createDataFrame([(3,), (None,), (1,), (2,)], "v int")
     keyed = dict((r.v, r.k) for r in with_dense_key(df, "k", ["v"], num_partitions=3).collect())
     assert keyed == {None: 1, 1: 2, 2: 3, 3: 4}
+
+
+def test_partitions_of_new_members_follow_their_real_size(spark, monkeypatch):
+    """Not the planner's estimate of the join with the known ones, the product of both sides."""
+    seen, real = [], keys.partitions_for
+    monkeypatch.setattr(keys, "partitions_for", lambda df: seen.append(real(df)) or 3)
+    members = materialise(spark.range(0, 30000).withColumnRenamed("id", "v"), "members")
+    known = materialise(members.where("v % 3 != 0").selectExpr("v", "CAST(v AS INT) AS k"), "known")
+    keyed, registry = keys.with_stable_key(members, known, "k", ["v"])
+    assert seen == [1]
+    assert keyed.count() == registry.count() == 30000
+    new = dict(map(tuple, keyed.where("v % 3 = 0").select("v", "k").collect()))
+    assert [new[v] for v in (0, 3, 6)] == [30000, 30001, 30002]
