@@ -19,6 +19,7 @@ from ..functions.exprs import dbl, growth_pct, pct
 from ..operators.distinct import count_keys, key_bitmaps
 from . import extracts
 from .analyses import as_numbers, keys_present, psum, ratio
+from ..schemas import LATITUDE_TYPE, LONGITUDE_TYPE
 from .snapshots import Snapshots
 
 YEARLY_COLS = {
@@ -60,6 +61,36 @@ def latest_year_partition(df: DataFrame, year_col: str = "year") -> DataFrame:
     return df.where(F.col(year_col) == F.lit(latest))
 
 
+PLACE = "_at"
+
+
+def smallest_position(df: DataFrame) -> F.Column:
+    """Aggregate ``_at``: the smallest whole position, by latitude, then longitude.
+
+    As two decimals of the extract it is one number, which a hash aggregate can
+    keep; the minimum of a struct would have all rows sorted by their keys."""
+    whole = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+    if not _packs(df):
+        return F.min(F.when(whole, F.struct("latitude", "longitude"))).alias(PLACE)
+    # Longitudes are under a thousand, so a step of latitude (1e-8, here 1e4) outweighs any of them.
+    packed = F.expr("CAST(latitude * 1000000000000BD + longitude AS DECIMAL(25,8))")
+    return F.min(F.when(whole, packed)).alias(PLACE)
+
+
+def _packs(df: DataFrame) -> bool:
+    types = dict(df.dtypes)
+    return (types["latitude"], types["longitude"]) == (LATITUDE_TYPE.simpleString(), LONGITUDE_TYPE.simpleString())
+
+
+def position(df: DataFrame) -> tuple[F.Column, F.Column]:
+    """Latitude and longitude of ``_at``, in the types that they have in ``df``, of which it was aggregated."""
+    if not _packs(df):
+        return F.col(f"{PLACE}.latitude").alias("latitude"), F.col(f"{PLACE}.longitude").alias("longitude")
+    latitude = f"CAST(round({PLACE} / 10000BD, 0) / 100000000BD AS {LATITUDE_TYPE.simpleString()})"
+    longitude = f"CAST({PLACE} - {latitude} * 1000000000000BD AS {LONGITUDE_TYPE.simpleString()})"
+    return F.expr(latitude).alias("latitude"), F.expr(longitude).alias("longitude")
+
+
 def serve_yearly_totals(raw: DataFrame) -> DataFrame:
     df = keys_present(_nums(raw), ["year"])
     return df.groupBy(F.col("year").alias("Year")).agg(
@@ -97,11 +128,11 @@ def serve_geo_hotspots(raw: DataFrame, min_total: float = 10_000) -> DataFrame:
     g = df.groupBy(F.col("count_point_id").alias("CountPointID"), F.col("road_name").alias("RoadName"),
                    F.col("region_name").alias("RegionName")).agg(
         psum("all_motor_vehicles").alias("TotalTraffic"),
-        F.min(F.when(F.col("latitude").isNotNull() & F.col("longitude").isNotNull(),
-                     F.struct("latitude", "longitude"))).alias("_at"),
+        smallest_position(df),
     ).where(F.col("TotalTraffic") > min_total)
+    latitude, longitude = position(df)
     return g.select("CountPointID", "RoadName", "RegionName", "TotalTraffic",
-                    dbl("_at.latitude").alias("Latitude"), dbl("_at.longitude").alias("Longitude"))
+                    dbl(latitude).alias("Latitude"), dbl(longitude).alias("Longitude"))
 
 
 def serve_vehicle_mix(raw: DataFrame) -> DataFrame:
@@ -253,10 +284,9 @@ def serving_state(raw: DataFrame) -> DataFrame:
     It has the extract's columns, with measures summed and of several positions
     the smallest whole one, so the datasets are the same functions of it."""
     sums = sorted(set(YEARLY_COLS.values()) | set(REGIONAL_COLS.values()) | set(MIX_COLS.values()))
-    whole = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
-    return keys_present(_nums(raw), ["year"]).groupBy(*STATE_KEYS).agg(
-        *[F.sum(c).alias(c) for c in sums], F.min(F.when(whole, F.struct("latitude", "longitude"))).alias("_at")).select(
-        *STATE_KEYS, *sums, "_at.latitude", "_at.longitude")
+    rows = keys_present(_nums(raw), ["year"])
+    return rows.groupBy(*STATE_KEYS).agg(*[F.sum(c).alias(c) for c in sums], smallest_position(rows)).select(
+        *STATE_KEYS, *sums, *position(rows))
 
 
 def refresh_serving(source: Snapshots, out: Snapshots, parallel: int = 4) -> list[int]:
