@@ -34,7 +34,7 @@ from ..operators.clean import any_over_range, clean_aadf
 from ..operators.joins import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, bounded_broadcast, row_bytes
 from ..operators.keys import with_stable_key
 from ..schemas import FACT_MEASURES, MEASURE_TYPE, YEAR_MAX, YEAR_MIN
-from ..session import new_output_dir
+from ..session import materialise, new_output_dir
 from .snapshots import Part, Snapshot, Snapshots
 
 FACT = "FactTrafficFlowDirection"
@@ -159,22 +159,50 @@ def lookups(dates: DataFrame, regions: DataFrame, las: DataFrame, points: DataFr
 
 def attach_keys(clean: DataFrame, maps: dict) -> DataFrame:
     """Cleaned rows with their four surrogate keys (NULL when not found)."""
+    return attach_points(attach_names(clean, maps), maps)
+
+
+def attach_names(clean: DataFrame, maps: dict) -> DataFrame:
+    """The keys of the year, region and local authority."""
     j = clean.join(maps["date"], clean.year == F.col("_y"), "left").drop("_y")
     j = j.join(maps["region"], j.region_id == F.col("_r"), "left").drop("_r")
-    j = j.join(maps["la"], j.local_authority_id == F.col("_l"), "left").drop("_l")
-    j = j.join(maps["cp"], j.count_point_id == F.col("_c"), "left").drop("_c")
-    return j
+    return j.join(maps["la"], j.local_authority_id == F.col("_l"), "left").drop("_l")
+
+
+def names_found():
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in FACT_KEYS if k != "CountPointKey"])
+
+
+def attach_points(keyed: DataFrame, maps: dict) -> DataFrame:
+    return keyed.join(maps["cp"], keyed.count_point_id == F.col("_c"), "left").drop("_c")
 
 
 def all_keys_present():
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in FACT_KEYS])
 
 
-def keyed_rows(raw: DataFrame, maps: dict) -> DataFrame:
-    """Cleaned rows with their keys, their status, and the row as it came for those that are set apart."""
+def unknown_points(raw: DataFrame, points: DataFrame) -> DataFrame:
+    """The ids in ``raw`` that the point map lacks, as ``_u``."""
+    ids = raw.select(F.col("count_point_id").alias("_u")).where(F.col("_u").isNotNull()).distinct()
+    found = materialise(ids.join(points, F.col("_u") == F.col("_c"), "left_anti"), "unknown-points")
+    return bounded_broadcast(found, known_rows=found.count())
+
+
+def keyed_rows(raw: DataFrame, maps: dict, unknown: DataFrame | None = None) -> DataFrame:
+    """Cleaned rows with their keys, their status, and the row as it came for those that are set apart.
+
+    Where the point map is too large to broadcast, ``unknown`` (the ids that it
+    lacks) tells beforehand which rows are set apart: only these carry their
+    raw row through the shuffle of the join by point."""
     kind = MEASURE_TYPE.simpleString()
     came = raw.withColumns({OVER_RANGE: any_over_range(raw, kind), AS_CAME: F.struct(*raw.columns)})
-    keyed = attach_keys(clean_aadf(came, kind), maps)
+    if unknown is not None:
+        came = came.join(unknown, came.count_point_id == F.col("_u"), "left")
+    clean = attach_names(clean_aadf(came, kind), maps)
+    if unknown is not None:
+        apart = ~names_found() | F.col("_u").isNotNull() | F.col(OVER_RANGE)
+        clean = clean.withColumn(AS_CAME, F.when(apart, F.col(AS_CAME))).drop("_u")
+    keyed = attach_points(clean, maps)
     status = F.when(~all_keys_present(), NO_KEY).when(F.col(OVER_RANGE), TOO_LARGE).otherwise(LOADED)
     return keyed.withColumn(STATUS, status).drop(OVER_RANGE)
 
@@ -351,7 +379,9 @@ def build_dimensions(spark: SparkSession, count_points: DataFrame, base: str) ->
 
 def write_load(wh: Warehouse, raw: DataFrame, maps: dict | None = None, load: str | None = None) -> list[Part]:
     """Clean, attach keys, write loaded and rejected rows in one pass; the fact's parts to commit."""
-    keyed = keyed_rows(raw, maps or wh.lookups())
+    maps = maps or wh.lookups()
+    unknown = None if wh.broadcastable("DimCountPoint") else unknown_points(raw, maps["cp"])
+    keyed = keyed_rows(raw, maps, unknown)
     return wh.store.write(FACT, spread(fact_rows(keyed)), (STATUS, "DateKey"), load)
 
 
