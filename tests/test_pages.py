@@ -1,6 +1,10 @@
 """Paged JSON envelopes: parse, flatten, completeness, streaming ingest."""
 
+import glob
 import json
+import os
+
+from pyspark.sql import functions as F
 
 from roadflow.sources import pages as pg
 from roadflow.streaming.page_ingest import ingest_pages
@@ -49,6 +53,23 @@ def test_build_envelopes_bounds_page_size(spark):
     assert c.complete and c.total == 2500 and c.last_page == 3
 
 
+def test_records_are_made_in_their_pages_and_stored_compressed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(pg, "PAGES_PER_TASK", 2)
+    rows = spark.range(0, 45).selectExpr("id AS k", "id % 7 AS narrow")
+    env = pg.build_envelopes(rows, ["k"], per_page=10, record=[
+        F.col("k").alias("count_point_id"), F.lpad(F.col("narrow").cast("string"), 500, "0").alias("road_name")])
+    assert env.rdd.getNumPartitions() == 3  # of five pages
+    path = str(tmp_path / "pages")
+    pg.write_page_files(env, path)
+    files = glob.glob(f"{path}/part-*")
+    assert files and all(f.endswith(".json.gz") for f in files)
+    assert sum(map(os.path.getsize, files)) < 45 * 500 / 4
+    back = pg.flatten_pages(pg.read_pages(spark, path)).select("count_point_id", "road_name").collect()
+    assert sorted(map(tuple, back)) == [(k, str(k % 7).rjust(500, "0")) for k in range(45)]
+    c = pg.pages_completeness(pg.read_pages(spark, path)).first()
+    assert c.complete and c.total == 45 and c.last_page == 5
+
+
 def test_stream_ingest_is_incremental(spark, tmp_path):
     src = write(tmp_path, "src", [TWO])
     out = tmp_path / "out"
