@@ -63,3 +63,45 @@ def test_results_with_a_row_per_point_are_not_written_by_one_task(spark, monkeyp
     names = ["geospatial_hotspots", "serving/geospatial_hotspots", "serving/yearly_totals"]
     exports.write_results({n: lambda: spark.range(1) for n in names}, str(tmp_path))
     assert [single[f"{tmp_path}/{n}"] for n in names] == [False, False, True]
+
+
+def _tables(spark, root):
+    """A few lineitems, on points of all kinds: left out, minor, without a length, unknown, and one that stands twice."""
+    from decimal import Decimal
+
+    parts = [(1, "STANDARD X", 7), (2, "SMALL X", 7), (3, "MEDIUM X", 10), (210, "PROMO X", 5), (5, None, 3),
+             (6, "ECONOMY X", None), (7, "PROMO X", 4), (7, "PROMO X", 4)]
+    spark.createDataFrame(parts, "p_partkey long, p_type string, p_size int").write.parquet(f"{root}/part.parquet")
+    nations = [(i, f"NATION {i}", i % 5) for i in range(25)]
+    spark.createDataFrame(nations, "n_nationkey long, n_name string, n_regionkey long").write.parquet(
+        f"{root}/nation.parquet")
+    spark.createDataFrame([(i, f"REGION {i}") for i in range(5)], "r_regionkey long, r_name string").write.parquet(
+        f"{root}/region.parquet")
+    lines = [(key, part, 1, Decimal(key), "R", "F", "1996-01-02")
+             for key in (1, 139, 278) for part in (1, 2, 3, 4, 5, 6, 7, 210)]
+    spark.createDataFrame(
+        lines, "l_orderkey long, l_partkey long, l_linenumber int, l_quantity decimal(15,2), l_returnflag string, "
+        "l_linestatus string, l_shipdate string").selectExpr(
+        "* except (l_shipdate)", "cast(l_shipdate as date) l_shipdate").write.parquet(f"{root}/lineitem.parquet")
+    return str(root)
+
+
+def test_extract_rows_are_dealt_out_narrow_and_state_their_points(spark, tmp_path):
+    from roadflow.sources import standin
+
+    sf = _tables(spark, tmp_path)
+    moved = standin.aadf_rows(spark, sf).columns
+    assert not {"road_name", "latitude", "longitude", "link_length_km", "n_name"} & set(moved)
+    points = {r["count_point_id"]: r for r in standin.point_attributes(spark, sf).collect()}
+    seen = standin.raw_aadf(spark, sf, by="year").collect()
+    assert len(seen) == 27  # a point that stands twice doubles its rows
+    for r in seen:
+        p = points.get(r["count_point_id"])
+        half = 0.5 if int(r["cars_and_taxis"]) >= 400 * 139 else 0
+        if p is None:
+            assert (r["road_name"], r["road_category"], r["latitude"], r["longitude"], r["link_length_km"]) == (None,) * 5
+            continue
+        assert (r["road_name"], r["road_category"], r["link_length_km"]) == (
+            p["road_name"], p["road_category"], p["link_length_km"])
+        assert float(r["latitude"]) == float(p["latitude"]) + half
+        assert float(r["longitude"]) == float(p["longitude"]) - half
