@@ -75,10 +75,27 @@ def over_range(c: str, dtype: str, target: str) -> Column:
     if dtype != "string":
         # NaN is greater than any number, but is none.
         return F.col(c).try_cast(target).isNull() & F.coalesce((dbl(c) > 0) & ~F.isnan(dbl(c)), F.lit(False))
-    # Only long texts and those with an exponent can be; the rest is not parsed.
-    may = (F.length(c) > 15) | F.contains(F.lower(c), F.lit("e"))
-    return F.coalesce(may, F.lit(False)) & F.trim(F.col(c)).try_cast(target).isNull() & F.coalesce(
-        parse_double(c) > 0, F.lit(False))
+    return F.coalesce(_may_be_large(F.col(c)), F.lit(False)) & _too_large(F.col(c), target)
+
+
+def _may_be_large(text: Column) -> Column:
+    """Only long texts and those with an exponent can be too large; the rest need not be parsed."""
+    return (F.length(text) > 15) | F.contains(F.lower(text), F.lit("e"))
+
+
+def _too_large(text: Column, target: str) -> Column:
+    return F.trim(text).try_cast(target).isNull() & F.coalesce(parse_double(text) > 0, F.lit(False))
+
+
+def any_text_over_range(cols: list[str], target: str) -> Column:
+    """:func:`over_range` of any of several text measures, which are parsed only in rows where one may be.
+
+    One test of the whole row and one parse, written once: spelled out for each measure they make a method that the
+    JVM does not compile, and cost several times the load."""
+    longest = F.greatest(F.lit(0), *[F.length(c) for c in cols])
+    may = (longest > 15) | F.contains(F.lower(F.concat_ws("", *cols)), F.lit("e"))
+    large = F.exists(F.array(*cols), lambda t: F.coalesce(_may_be_large(t), F.lit(False)) & _too_large(t, target))
+    return F.when(may, large).otherwise(F.lit(False))
 
 
 def coerce_measure(c: str, dtype, target: str = "double") -> Column:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import coerce_measure, over_range, parse_double
+from ..functions.exprs import any_text_over_range, coerce_measure, over_range, parse_double
 from ..schemas import (
     KEY_COLS, REQUIRED_COLS, VALID_DIRECTIONS, VALID_ROAD_CATEGORIES, VEHICLE_COLS,
     YEAR_MAX, YEAR_MIN,
@@ -41,8 +41,10 @@ def clean_aadf(df: DataFrame, measure_type: str = "double") -> DataFrame:
 def any_over_range(df: DataFrame, measure_type: str) -> Column:
     """Whether a row holds a measure that is too large for ``measure_type``."""
     dtypes = dict(df.dtypes)
-    return reduce(lambda a, b: a | b, [over_range(c, dtypes[c], measure_type) for c in VEHICLE_COLS if c in dtypes],
-                  F.lit(False))
+    texts = [c for c in VEHICLE_COLS if dtypes.get(c) == "string"]
+    numbers = [c for c in VEHICLE_COLS if c in dtypes and c not in texts]
+    found = any_text_over_range(texts, measure_type) if texts else F.lit(False)
+    return reduce(lambda a, b: a | b, [over_range(c, dtypes[c], measure_type) for c in numbers], found)
 
 
 def clean_summary(df: DataFrame) -> DataFrame:

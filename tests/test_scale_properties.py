@@ -105,3 +105,24 @@ def test_extract_rows_are_dealt_out_narrow_and_state_their_points(spark, tmp_pat
             p["road_name"], p["road_category"], p["link_length_km"])
         assert float(r["latitude"]) == float(p["latitude"]) + half
         assert float(r["longitude"]) == float(p["longitude"]) - half
+
+
+def test_over_range_test_is_parsed_once_for_all_measures(spark):
+    from roadflow.functions.exprs import over_range
+    from roadflow.operators.clean import any_over_range
+    from roadflow.schemas import VEHICLE_COLS
+
+    kind = "decimal(18,2)"
+    texts = ["1", "12345678901234567890", "-12345678901234567890", "1e20", "1E3", " 99999999999999999999 ", "", None,
+             "abcdefghijklmnopqrst", "nan", "1e400", "9999999999999999.999", "123456789012345.5", "Infinity"]
+    first, last = VEHICLE_COLS[0], VEHICLE_COLS[-1]
+    rows = [(t, "7") for t in texts] + [(None, t) for t in texts]
+    df = spark.createDataFrame(rows, f"{first} string, {last} string")
+    each = F.lit(False)
+    for c in (first, last):
+        each = each | over_range(c, "string", kind)
+    got = df.select(any_over_range(df, kind).alias("any"), each.alias("each")).collect()
+    assert [r["any"] for r in got] == [r["each"] for r in got] and sum(r["any"] for r in got) == 10
+    wide = spark.createDataFrame([], ", ".join(f"{c} string" for c in VEHICLE_COLS))
+    plan = wide.select(any_over_range(wide, kind).alias("any"))._jdf.queryExecution().analyzed().toString()
+    assert plan.lower().count(kind) <= 2
