@@ -17,7 +17,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import new_output_dir
+from ..session import STORED, new_output_dir
 from .warehouse import FACT, FACT_COLUMNS, Warehouse
 
 POINTS = "DimCountPoint"
@@ -59,7 +59,7 @@ def bucketed(wh: Warehouse, buckets: int = 64) -> BucketedWarehouse:
         dealt = df.withColumn("_bucket", F.pmod(F.hash("CountPointKey"), F.lit(buckets)))
         dealt = dealt.hint("rebalance", "_bucket", *by).drop("_bucket")
         names[name] = f"bucketed_{name.lower()}_{tag}"
-        writer = dealt.write.bucketBy(buckets, "CountPointKey").sortBy("CountPointKey")
+        writer = dealt.write.bucketBy(buckets, "CountPointKey").sortBy("CountPointKey").options(**STORED)
         (writer.partitionBy(*by) if by else writer).option(
             "path", new_output_dir(wh.spark, f"bucketed-{name}")).saveAsTable(names[name])
     return BucketedWarehouse(wh, names, buckets)

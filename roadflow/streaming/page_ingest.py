@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import PAGE_ENVELOPE_SCHEMA
+from ..session import STORED
 
 
 def ingest_pages(spark: SparkSession, source_dir: str, target_dir: str, checkpoint_dir: str,
@@ -28,7 +29,7 @@ def ingest_pages(spark: SparkSession, source_dir: str, target_dir: str, checkpoi
     rows = stream.select(F.col("current_page"), F.explode("data").alias("r")).select("current_page", "r.*")
     query = (
         rows.writeStream.format("parquet")
-        .option("path", target_dir)
+        .options(path=target_dir, **STORED)
         .option("checkpointLocation", checkpoint_dir)
         .outputMode("append")
         .trigger(availableNow=True)

@@ -79,3 +79,40 @@ def test_stream_ingest_is_incremental(spark, tmp_path):
     assert ingest_pages(spark, src, str(out / "t"), str(out / "ck")).count() == 2
     (tmp_path / "src" / "page-9.json").write_text(json.dumps(ONE) + "\n")
     assert ingest_pages(spark, src, str(out / "t"), str(out / "ck")).count() == 3
+
+
+def test_deliveries_of_some_pages_move_and_write_only_these(spark, tmp_path, monkeypatch):
+    from roadflow import registry
+    from roadflow.sources.landing import landing_for
+
+    from .test_scale_properties import _tables
+
+    sf = _tables(spark, tmp_path)  # 27 rows
+    monkeypatch.setattr(pg.number_pages, "__defaults__", (2,))  # rows a page: 14 pages
+    gaps = {tuple(r) for r in registry.etl_page_gaps(spark, sf).collect()}
+    assert gaps == {("missing", 3, 4, 2, 0), ("missing", 6, 6, 1, 0), ("missing", 13, 14, 2, 0),
+                    ("repeated", 5, 5, 1, 2), ("repeated", 10, 10, 1, 2)}
+    status = {r["status"]: (r["n_pages"], r["n_rows"], r["n_texts"]) for r in registry.stream_page_receipts(spark, sf).collect()}
+    assert status == {"new": (14, 27, 0), "repeat": (2, 4, 0), "corrupt": (2, 0, 2)}
+    land = landing_for(spark, sf)
+    assert "pages_json" not in land._written  # no copy of all pages as text was made for them
+    some = land.envelopes(F.col("page").isin(2, 14))
+    assert sorted((r["current_page"], len(r["data"]), r["total"], r["last_page"]) for r in some.collect()) == [
+        (2, 2, 27, 14), (14, 1, 27, 14)]
+    names = "count_point_id", "year", "region_name", "estimation_method", "estimation_method_detailed"
+    paged = pg.flatten_pages(land.envelopes()).select(*names).collect()
+    assert sorted(map(tuple, paged)) == sorted(map(tuple, land.table("raw_aadf").select(*names).collect()))
+
+
+def test_rows_kept_for_a_run_are_stored_with_zstd(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from roadflow.plans.snapshots import Snapshots
+    from roadflow.session import materialise
+
+    rows = spark.range(100)
+    store = Snapshots(spark, str(tmp_path / "store"))
+    place = store.path(store.write("t", rows)[0].folder)
+    for folder in (place, materialise(rows, "rows").inputFiles()[0].replace("file://", "").rpartition("/")[0]):
+        for f in glob.glob(f"{folder}/*.parquet"):
+            assert pq.ParquetFile(f).metadata.row_group(0).column(0).compression == "ZSTD"
