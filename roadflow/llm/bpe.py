@@ -33,10 +33,10 @@ from pyspark.sql import functions as F
 
 from .common import fresh, small_arrow_batches, text_of
 
-TRIE_SYMBOLS, TRIE_NODES = 64, 300_000
+TRIE_SYMBOLS, TRIE_NODES = 64, 150_000
 TOKEN, START = 0, 1
-#: Words and token pairs whose results a worker remembers; about 200 MB for the words.
-KNOWN_WORDS, KNOWN_PAIRS = 900_000, 300_000
+#: Words and token pairs whose results a worker remembers; with the trie about 140 MB.
+KNOWN_WORDS, KNOWN_PAIRS = 400_000, 150_000
 #: Characters normalised and split at a time.
 PIECE = 1 << 16
 _NEVER = 1 << 60

@@ -174,6 +174,15 @@ def test_bpe_forgets_words_without_changing_results(monkeypatch):
     assert [x.tolist() for t in texts for x in small.encode_batch([t])] == want
 
 
+def test_bpe_worker_remembers_little():
+    import sys
+
+    word, ids, pair = (sys.getsizeof(x) for x in ("antidisestablish", b"0" * 12, (40_000, 40_001)))
+    known = bpe.KNOWN_WORDS * (word + ids + 100)  # 100: a place in a dictionary that has just grown
+    trie = bpe.TRIE_NODES * sys.getsizeof({bpe.TOKEN: 40_000, bpe.START: 3})
+    assert known + trie + bpe.KNOWN_PAIRS * (pair + 2 * sys.getsizeof(40_000) + 100) < 180e6
+
+
 # 5 licenses
 
 def test_licenses(spark):
