@@ -178,8 +178,8 @@ def _measures(signed: bool, as_text: bool) -> dict:
 
 def _with_points(spark: SparkSession, sf_dir: str, li: DataFrame, cols: list[str]) -> DataFrame:
     pts = point_attributes(spark, sf_dir).select("count_point_id", *cols)
-    # Size is left to the planner (AQE turns it into a broadcast when small).
-    return li.join(pts, li.l_partkey == pts.count_point_id, "left").drop("count_point_id")
+    # Hashed by part, so a task holds its share of the parts and never sorts its share of the line items.
+    return li.join(pts.hint("shuffle_hash"), li.l_partkey == pts.count_point_id, "left").drop("count_point_id")
 
 
 def aadf_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

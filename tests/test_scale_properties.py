@@ -107,6 +107,15 @@ def test_extract_rows_are_dealt_out_narrow_and_state_their_points(spark, tmp_pat
         assert float(r["longitude"]) == float(p["longitude"]) - half
 
 
+def test_part_join_does_not_sort_the_line_items(spark, tmp_path):
+    from roadflow.sources import standin
+
+    sf = _tables(spark, tmp_path)
+    for df in (standin.aadf_rows(spark, sf), standin.raw_counts(spark, sf)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_over_range_test_is_parsed_once_for_all_measures(spark):
     from roadflow.functions.exprs import over_range
     from roadflow.operators.clean import any_over_range
