@@ -24,6 +24,7 @@ TYPE_TO_CATEGORY = {
 }
 LINE_TO_DIRECTION = {1: "N", 2: "S", 3: "E", 4: "W", 5: "C", 6: "N", 7: "S"}
 MAJOR = ("TM", "PM", "TA", "PA")
+CATEGORIES = (*TYPE_TO_CATEGORY.values(), "MCU")
 LEFT_OUT_MOD, LEFT_OUT_REM = 211, 210
 OVER_RANGE = "12345678901234567890"
 
@@ -182,10 +183,31 @@ def _with_points(spark: SparkSession, sf_dir: str, li: DataFrame, cols: list[str
     return li.join(pts.hint("shuffle_hash"), li.l_partkey == pts.count_point_id, "left").drop("count_point_id")
 
 
+def _traits(nation: F.Column, category: F.Column, counted: F.Column) -> F.Column:
+    """A nation's number, a road category (or none) and a flag in one number: a column costs a shuffle more than its
+    content."""
+    number = F.coalesce(F.array_position(F.array(*[F.lit(c) for c in CATEGORIES]), category), F.lit(0))
+    return nation.cast("bigint") * 16 + number * 2 + F.when(counted, 1).otherwise(0)
+
+
+def _nation_of(traits: F.Column) -> F.Column:
+    return F.shiftright(traits, 4)
+
+
+def _category_of(traits: F.Column) -> F.Column:
+    numbered = F.array(F.lit(None).cast("string"), *[F.lit(c) for c in CATEGORIES])
+    return F.get(numbered, F.shiftright(traits, 1).bitwiseAND(F.lit(7)).cast("int"))
+
+
+def _counted(traits: F.Column) -> F.Column:
+    return traits.bitwiseAND(F.lit(1)) == 1
+
+
 def aadf_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the raw AADF rows are computed from, with the (order, line) key that orders them: much narrower than they
     are, so this is what shuffles should move. Of a point it holds the part's category and size, of a nation its number
-    (:func:`with_nations` adds the rest after the shuffles)."""
+    (:func:`with_nations` adds the rest after the shuffles); the category, the number and whether the row was counted
+    stand in one column (:func:`_traits`)."""
     li = _lineitem_base(spark, sf_dir)
     year = F.when(F.col("l_orderkey") % 101 == 0, F.lit(1990)).otherwise(F.year("l_shipdate") + 22).cast("int")
     li = li.select(
@@ -193,12 +215,18 @@ def aadf_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws("-", "l_returnflag", "l_linestatus").alias("estimation_method_detailed"))
     li = _with_points(spark, sf_dir, li, ["road_category", "p_size"])
     nat = _numbered_nations(spark, sf_dir).select("n_nationkey", "_nation")
-    return li.join(nat, (F.col("l_partkey") % 25) == F.col("n_nationkey")).drop("n_nationkey")
+    li = li.join(nat, (F.col("l_partkey") % 25) == F.col("n_nationkey")).drop("n_nationkey")
+    return li.withColumn("_traits", _traits(F.col("_nation"), F.col("road_category"), F.col("_counted"))).drop(
+        "_nation", "road_category", "_counted")
 
 
 def with_nations(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
-    """:func:`aadf_rows` with the names and keys of their nations and regions, one partner for each row."""
-    return rows.join(_numbered_nations(spark, sf_dir).drop("n_name"), "_nation").drop("_nation")
+    """:func:`aadf_rows` with their traits as columns, and the names and keys of their nations and regions, one partner
+    for each row."""
+    nat = _numbered_nations(spark, sf_dir).drop("n_name")
+    traits = F.col("_traits")
+    return rows.join(nat, _nation_of(traits) == F.col("_nation")).withColumns(
+        {"road_category": _category_of(traits), "_counted": _counted(traits)}).drop("_nation", "_traits")
 
 
 def aadf_columns() -> list[F.Column]:

@@ -116,6 +116,20 @@ def test_part_join_does_not_sort_the_line_items(spark, tmp_path):
         assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
 
 
+def test_traits_are_one_column_and_come_back_whole(spark, tmp_path):
+    from roadflow.sources import standin
+
+    rows = standin.aadf_rows(spark, _tables(spark, tmp_path))
+    assert "_traits" in rows.columns and not {"road_category", "_counted", "_nation"} & set(rows.columns)
+    cases = [(n, c, k) for n in (1, 25, 10_000) for c in (None, *standin.CATEGORIES) for k in (True, False, None)]
+    df = spark.createDataFrame(cases, "n int, c string, k boolean").withColumn(
+        "t", standin._traits(F.col("n"), F.col("c"), F.col("k")))
+    t = F.col("t")
+    for r in df.select("n", "c", "k", standin._nation_of(t).alias("n2"), standin._category_of(t).alias("c2"),
+                       standin._counted(t).alias("k2")).collect():
+        assert (r["n2"], r["c2"], r["k2"]) == (r["n"], r["c"], r["k"] is True)
+
+
 def test_over_range_test_is_parsed_once_for_all_measures(spark):
     from roadflow.functions.exprs import over_range
     from roadflow.operators.clean import any_over_range
