@@ -116,6 +116,14 @@ def test_part_join_does_not_sort_the_line_items(spark, tmp_path):
         assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
 
 
+def test_landed_rows_of_a_part_stand_together(spark, tmp_path):
+    from roadflow.sources import standin
+
+    sf = _tables(spark, tmp_path)
+    seen = [r[0] for r in standin.raw_aadf(spark, sf, by="year").coalesce(1).select("count_point_id").collect()]
+    assert len(seen) == 27 and seen == sorted(seen)
+
+
 def test_traits_are_one_column_and_come_back_whole(spark, tmp_path):
     from roadflow.sources import standin
 
