@@ -1,12 +1,19 @@
 """Benchmark decontamination with DataFrame functions only.
 
-Benchmark windows (ten consecutive words, or the whole of a shorter item) form
-a hash set that is broadcast in parts of a proven size. Wherever a window of m
-words stands in a document, it holds a whole block of (m + 1) / 2 words that
-starts at a multiple of that number. So the set has each window under the
-hashes of all its blocks, only the document's aligned blocks are probed, and
-every probe that hits is verified by comparing the window word by word. No
-window is missed, and the words are looked up five times less often.
+Wherever a benchmark window (ten consecutive words, or the whole of a shorter
+item) of m words stands in a document, it holds a whole block of (m + 1) / 2
+words that starts at a multiple of that number. So only the document's aligned
+blocks are looked up, in a bitmap of the hashes of all blocks of all windows.
+Around each block that the bitmap may hold, the windows that contain it are
+hashed and looked up in a second bitmap, and what is left is joined to the
+windows by hash and compared word by word. No window is missed, and a word is
+hashed once unless its block is found.
+
+What a task holds does not grow with the benchmark: a bitmap is broadcast and
+has at most ``MOST_BITS``; past that it only lets more candidates through. The
+windows are broadcast if they are proven small and sorted and merged if not.
+Windows of the same items share a numbered set of items, which is joined to the
+documents once their hits are found.
 
 Defined results: null or empty texts have no words and are clean; items
 without words have no windows; a null item id marks words as hit but is not
@@ -30,8 +37,12 @@ NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 NOT_WORD_RAW = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WORD_RAW = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 10
-#: Bytes that a window's row may take in the broadcast hash set, beside its words.
-ROW_BYTES = 200
+#: Bytes that a row may take in a broadcast table, beside its words or items, and that an item may take there.
+ROW_BYTES, ITEM_BYTES = 200, 40
+#: Bytes of benchmark text that one task makes windows of.
+TASK_BYTES = 1 << 20
+#: A bitmap has so many bits for a hash, and at least and at most so many in all (powers of two).
+BITS_PER_HASH, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 27
 
 
 def words_of(text: Column) -> Column:
@@ -50,7 +61,10 @@ def block_hash(words: str, start: Column, size: int) -> Column:
 def benchmark_windows(bench: DataFrame, item_col: str = "item_id", text_col: str = "text",
                       window: int = WINDOW) -> DataFrame:
     """Distinct windows: words, length, items (ids of the items that contain it)."""
-    items = bench.select(F.col(item_col).alias("item"), words_of(text_of(text_col)).alias("all")).filter(
+    # Windows are many times their text, and a file of items may be one task's.
+    tasks = -(-(bench.agg(F.sum(F.length(text_col))).first()[0] or 0) // TASK_BYTES)
+    spread = bench.repartition(tasks) if tasks > 1 else bench
+    items = spread.select(F.col(item_col).alias("item"), words_of(text_of(text_col)).alias("all")).filter(
         F.size("all") > 0).withColumn("length", F.least(F.size("all"), F.lit(window)))
     each = items.select("item", "length", "all", F.explode(F.sequence(
         F.lit(0), F.size("all") - F.col("length"))).alias("at"))
@@ -59,24 +73,64 @@ def benchmark_windows(bench: DataFrame, item_col: str = "item_id", text_col: str
 
 
 def window_blocks(windows: DataFrame, lengths: list[int]) -> DataFrame:
-    """Each window under the hash of each of its blocks: hash, offset (of the block), words, length, items."""
+    """hash of each block of each window."""
     def size(make):
         return reduce(lambda e, n: e.when(F.col("length") == n, make(block_size(n))), lengths[1:],
                       F.when(F.col("length") == lengths[0], make(block_size(lengths[0]))))
 
-    each = windows.withColumn("offset", F.explode(F.sequence(F.lit(0), F.col("length") - size(F.lit))))
-    return each.withColumn("hash", size(lambda b: block_hash("words", F.col("offset"), b)))
+    each = windows.select("words", "length", F.explode(F.sequence(F.lit(0), F.col("length") - size(F.lit))).alias("offset"))
+    return each.select(size(lambda b: block_hash("words", F.col("offset"), b)).alias("hash"))
+
+
+def bitmap(hashes: DataFrame, n: int) -> tuple[DataFrame, int]:
+    """(rows of 64 longs by ``row``, bits in all) of about ``n`` hashes."""
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (n * BITS_PER_HASH).bit_length()))
+    place = hashes.select(F.col("hash").bitwiseAND(F.lit(bits - 1)).alias("bit"))
+    longs = place.groupBy(F.shiftright("bit", 12).alias("row"), F.shiftright("bit", 6).bitwiseAND(F.lit(63)).alias("at")).agg(
+        F.expr("bit_or(shiftleft(1L, CAST(bit & 63 AS INT)))").alias("long"))
+    rows = longs.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("at", "long"))).alias("longs")).select(
+        "row", F.transform(F.sequence(F.lit(0).cast("long"), F.lit(63).cast("long")), lambda i: F.coalesce(
+            F.try_element_at("longs", i), F.lit(0).cast("long"))).alias("longs"))
+    return materialise(rows, "bitmap"), bits
+
+
+def maybe_in(probes: DataFrame, hash_col: str, held: tuple[DataFrame, int]) -> DataFrame:
+    """The rows whose hash the bitmap may hold."""
+    rows, bits = held
+    bit = F.col(hash_col).bitwiseAND(F.lit(bits - 1))
+    long = F.get("longs", F.shiftright(bit, 6).bitwiseAND(F.lit(63)).cast("int"))
+    return probes.join(F.broadcast(rows), F.shiftright(bit, 12) == F.col("row")).filter(
+        F.getbit(long, bit.bitwiseAND(F.lit(63)).cast("int")) == 1).drop("row", "longs")
+
+
+def small_or_merged(table: DataFrame, width: Column) -> DataFrame:
+    """``table`` for a join: broadcast if its rows, each of at most ``width`` bytes, are few enough, else sorted and
+    merged, whatever its files' size lets Spark expect."""
+    small = (table.agg(F.sum(width)).first()[0] or 0) <= BROADCAST_BYTES
+    return F.broadcast(table) if small else table.hint("merge")
+
+
+def numbered_windows(bench: DataFrame, item_col: str, text_col: str, window: int) -> tuple[DataFrame, DataFrame]:
+    """(the windows: words, length, hash, set; the sets of items: set, items, for a join)."""
+    windows = materialise(benchmark_windows(bench, item_col, text_col, window).withColumn(
+        "items", F.array_sort("items")), "windows")
+    sets = materialise(windows.select("items").distinct().withColumn("set", F.monotonically_increasing_id()), "item-sets")
+    sets = small_or_merged(sets, F.lit(ROW_BYTES) + ITEM_BYTES * F.size("items"))
+    numbered = windows.join(sets, "items").select("words", "length", F.xxhash64("words").alias("hash"), "set")
+    return materialise(numbered, "numbered-windows"), sets
 
 
 def find_hits(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               item_col: str = "item_id", bench_text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """id, key, hits (array of at, length: merged word ranges), items, n_hit for each contaminated text."""
-    windows = materialise(benchmark_windows(bench, item_col, bench_text_col, window), "windows")
+    windows, sets = numbered_windows(bench, item_col, bench_text_col, window)
     # At most ``window`` lengths; an empty benchmark goes the same way with no rows.
-    lengths = sorted(r[0] for r in windows.select("length").distinct().collect()) or [window]
-    blocks = materialise(window_blocks(windows, lengths), "blocks")
-    width = F.lit(ROW_BYTES) + F.length(F.array_join("words", " ")) + 16 * F.size("items")
-    parts = max(1, -(-(blocks.agg(F.sum(width)).first()[0] or 0) // BROADCAST_BYTES))
+    counted = {r[0]: r[1] for r in windows.groupBy("length").count().collect()}
+    lengths = sorted(counted) or [window]
+    n_windows = sum(counted.values())
+    # Neighbouring windows share their blocks, so there are about as many.
+    blocks_held = bitmap(window_blocks(windows, lengths), n_windows)
+    windows_held = bitmap(windows.select("hash"), n_windows)
 
     texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     words = texts.select("id", content_key(F.col("text")).alias("key"), words_of(F.col("text")).alias("doc"))
@@ -89,25 +143,29 @@ def find_hits(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_co
         F.array().cast("array<bigint>")) for b in sizes])
     probes = words.select("id", "key", "doc", F.explode(slots).alias("slot")).select(
         "id", "key", "doc", F.floor(F.col("slot") / base).cast("int").alias("start"), (F.col("slot") % base).alias("size"))
-    probes = probes.withColumn("hash", reduce(
-        lambda e, b: e.when(F.col("size") == b, block_hash("doc", F.col("start"), b)), sizes[1:],
-        F.when(F.col("size") == sizes[0], block_hash("doc", F.col("start"), sizes[0]))))
-
-    def hits_of(part: int) -> DataFrame:
-        table = blocks.filter(F.pmod("hash", F.lit(parts)) == part) if parts > 1 else blocks
-        at = F.col("start") - F.col("offset")
-        found = probes.join(F.broadcast(table), "hash").filter(
-            (at >= 0) & (at + F.col("length") <= F.size("doc")))
-        # A column that the aggregate tests: as a filter it would become part of the join, which then could not run in
-        # generated code and would copy the words of every probe.
-        same = F.forall(F.sequence(F.lit(0), F.col("length") - 1), lambda k: F.get("doc", at + k) == F.get("words", k))
-        return found.select("id", "key", at.alias("at"), "length", "items", same.alias("same"))
-
-    hits = reduce(DataFrame.unionByName, [hits_of(p) for p in range(parts)])
-    grouped = hits.groupBy("id", "key").agg(
-        F.array_sort(F.collect_set(F.when(F.col("same"), F.struct("at", "length")))).alias("found"),
-        F.array_distinct(F.flatten(F.collect_set(F.when(F.col("same"), F.col("items"))))).alias("items")).filter(
-        F.size("found") > 0)
+
+    def by_size(make):
+        return reduce(lambda e, b: e.when(F.col("size") == b, make(b)), sizes[1:],
+                      F.when(F.col("size") == sizes[0], make(sizes[0])))
+
+    found = maybe_in(probes.withColumn("block", by_size(lambda b: block_hash("doc", F.col("start"), b))), "block", blocks_held)
+    # The windows around a block, as offset (of the block) * (window + 1) + length.
+    around = {b: F.array(*[F.lit(o * base + m) for m in lengths if block_size(m) == b for o in range(m - b + 1)]) for b in sizes}
+    found = found.withColumn("around", F.explode(by_size(around.get)))
+    found = found.select("id", "key", "doc", (F.col("start") - F.floor(F.col("around") / base).cast("int")).alias("at"),
+                         (F.col("around") % base).alias("length")).filter(
+        (F.col("at") >= 0) & (F.col("at") + F.col("length") <= F.size("doc")))
+    found = found.select("id", "key", "at", "length", F.slice("doc", F.col("at") + 1, F.col("length")).alias("words"))
+    found = maybe_in(found.withColumn("hash", F.xxhash64("words")), "hash", windows_held)
+
+    table = small_or_merged(windows.select(F.col("hash").alias("_hash"), F.col("words").alias("_words"), "set"),
+                            F.lit(ROW_BYTES) + F.length(F.array_join("_words", " ")))
+    hits = found.join(table, (F.col("hash") == F.col("_hash")) & (F.col("words") == F.col("_words")))
+    # A place in a text is one window's, so the sets of a text share no hits.
+    grouped = hits.groupBy("id", "key", "set").agg(F.collect_set(F.struct("at", "length")).alias("found")).join(
+        sets, "set").groupBy("id", "key").agg(
+        F.array_sort(F.flatten(F.collect_list("found"))).alias("found"),
+        F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
     # found is sorted, so each hit adds what lies past the end of those before it.
     covered = F.aggregate(
         "found", F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")),

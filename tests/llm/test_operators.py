@@ -255,6 +255,26 @@ def test_contamination_in_blocks(spark, monkeypatch):
     assert sorted(map(str, decontaminate.find_hits(docs, bench).select("id", "n_hit").collect())) == want and want
 
 
+@pytest.mark.parametrize("most", [0, 1 << 30])
+def test_contamination_of_a_large_benchmark(spark, monkeypatch, most):
+    """The documents are looked up once, with two bitmaps and at most two small tables as broadcasts, whatever the
+    benchmark's size; a bitmap that is too small for its hashes lets more through, and nothing else."""
+    docs, pairs = documents(spark)
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    bench = bench.unionByName(bench.withColumn("item_id", F.col("item_id") + 1000))  # windows of two items
+    want = {i: w for i, w in ref.contamination(pairs, [(r["item_id"], r["text"]) for r in bench.collect()]).items() if w[1]}
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", most)
+    monkeypatch.setattr(decontaminate, "MOST_BITS", 1 << 12)
+    monkeypatch.setattr(decontaminate, "TASK_BYTES", 1000)
+    hits = decontaminate.find_hits(docs, bench)
+    got = {r["id"]: (r["n_hit"], sorted(str(i) for i in r["items"])) for r in hits.collect()}
+    assert got == {i: w[1:] for i, w in want.items()} and got
+    plan = hits._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("documents.parquet") == 1
+    assert plan.count("BroadcastHashJoin") == (4 if most else 2)
+    assert plan.count("SortMergeJoin") == (0 if most else 2)
+
+
 # 7 SimHash
 
 def test_near_groups_equal_all_pairs(spark):
